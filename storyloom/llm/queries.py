@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from storyloom.llm.near_duplicates import op5_near_duplicates
 from storyloom.llm.packing import op1_best_fit_packing
+from storyloom.llm.phrase_fingerprints import op7_phrase_fingerprints
 from storyloom.llm.substring_dedup import op2_substring_dedup
 from storyloom.llm.token_files import op9_token_files
 
@@ -11,6 +12,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_substring_dedup": op2_substring_dedup,
     "op5_near_duplicates": op5_near_duplicates,
+    "op7_phrase_fingerprints": op7_phrase_fingerprints,
     "op9_token_files": op9_token_files,
 }
 ORACLE_SQL: dict[str, str] = {}
