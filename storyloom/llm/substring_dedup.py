@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyloom.llm.text_arrays import flat, gathered, mix, ngrams, slices, span_hashes, words
+from storyloom.llm.text_arrays import flat, gathered, member, mix, ngrams, slices, span_hashes, words
 from storyloom.scratch import dropped, stored
 
 
@@ -68,7 +68,7 @@ def _windows_at(docs: DataFrame, window: int, seed_words: int) -> DataFrame:
         for batch in slices(batches):
             w = Windows(batch, window, seed_words)
             wanted = batch.column(batch.schema.get_field_index("seeds")).flatten().to_numpy().view(np.uint64)
-            at = np.isin(w.seeds, wanted)
+            at = member(w.seeds, wanted)
             yield pa.RecordBatch.from_arrays([pa.array(w.hashes[at].view(np.int64)), pa.array(_rows(batch)[w.owner[at]])], names=["hash", "doc_id"])
 
     return docs.mapInArrow(emit, "hash long, doc_id long")
@@ -84,7 +84,7 @@ def _without(docs: DataFrame, window: int, seed_words: int) -> DataFrame:
             lists = batch.column(batch.schema.get_field_index("hashes"))
             row = np.repeat(np.arange(n), lists.value_lengths().fill_null(0).to_numpy())
             own = lambda hashes, rows: mix(hashes + rows.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))  # noqa: E731  a list holds for its own text only
-            gone = w.at[np.isin(own(w.hashes, w.owner), own(lists.flatten().to_numpy().view(np.uint64), row))]
+            gone = w.at[member(own(w.hashes, w.owner), own(lists.flatten().to_numpy().view(np.uint64), row))]
             cover = np.zeros(len(w.starts) + 1, np.int64)
             np.add.at(cover, gone, 1)
             np.add.at(cover, gone + window, -1)

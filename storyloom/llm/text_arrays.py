@@ -111,3 +111,11 @@ def gathered(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices of the ranges [start, start + length), one after the other."""
     firsts = np.cumsum(lengths) - lengths
     return np.arange(int(lengths.sum())) + np.repeat(starts - firsts, lengths)
+
+
+def member(values: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Which values are among ``of``, by sorting (np.isin may hash, which is slow for 64-bit hashes)."""
+    if not len(of):
+        return np.zeros(len(values), bool)
+    of = np.sort(of)
+    return of[np.minimum(np.searchsorted(of, values), len(of) - 1)] == values

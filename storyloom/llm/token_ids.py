@@ -14,7 +14,7 @@ import numpy as np
 
 from storyloom.llm.text_arrays import gathered, span_hashes, words
 
-CACHE_PIECES = 1_500_000
+CACHE_PIECES, SLOTS = 1_500_000, 1 << 22
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -56,7 +56,7 @@ def _words_and_letters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarra
     if not len(data):
         return (np.zeros(0, np.int64),) * 3
     inner = np.flatnonzero(_letters_end(data)) + 1
-    starts, ends = np.union1d(starts, inner), np.union1d(ends, inner)
+    starts, ends = (np.sort(np.concatenate([x, inner]), kind="stable") for x in (starts, ends))  # ``inner`` has none of them
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
@@ -75,35 +75,61 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.keys, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.int32)
-
-    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
+        """Open addressing: ``keys[slot]`` is a piece's hash (0: free), ``entry[slot]`` its place in ``at`` and ``size``."""
+        self.keys, self.entry = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int32)
+        self.at, self.size, self.known, self.used = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), 0, 0
+        self.pool = np.zeros(1 << 18, np.int32)
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """Entry of each piece, -1 if it is new."""
+        slot = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+        found = self.keys[slot]
+        out = np.where(found == hashes, self.entry[slot], -1)
+        at = np.flatnonzero((found != hashes) & (found != 0))
+        while len(at):
+            slot[at] = (slot[at] + 1) & (SLOTS - 1)
+            found = self.keys[slot[at]]
+            same = found == hashes[at]
+            out[at[same]] = self.entry[slot[at[same]]]
+            at = at[~same & (found != 0)]
+        return out
+
+    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
         ids = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
         size = np.fromiter(map(len, ids), np.int64, len(ids))
-        at = len(self.pool) + np.cumsum(size) - size
-        self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum()))])
-        order = np.searchsorted(self.keys, keys)
-        self.keys, self.at, self.size = np.insert(self.keys, order, keys), np.insert(self.at, order, at), np.insert(self.size, order, size)
+        flat_ids = np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum()))
+        entry = np.arange(self.known, self.known + len(ids))
+        while len(self.pool) < self.used + len(flat_ids):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        while len(self.at) < self.known + len(ids):
+            self.at, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.size))
+        self.pool[self.used : self.used + len(flat_ids)] = flat_ids
+        self.at[entry], self.size[entry] = self.used + np.cumsum(size) - size, size
+        self.used, self.known = self.used + len(flat_ids), self.known + len(ids)
+        slot, todo = (hashes & np.uint64(SLOTS - 1)).astype(np.int64), np.arange(len(hashes))
+        while len(todo):
+            free = todo[self.keys[slot[todo]] == 0]
+            self.keys[slot[free]], self.entry[slot[free]] = hashes[free], entry[free]  # of several for one slot, the last stays
+            todo = todo[self.keys[slot[todo]] != hashes[todo]]
+            slot[todo] = (slot[todo] + 1) & (SLOTS - 1)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and how many each text has; ``end`` closes each text."""
-        if len(self.keys) > CACHE_PIECES:
+        if self.known > CACHE_PIECES:
             self.forget()
         starts, ends, doc = self.cut(data, offsets)
+        raw = data.tobytes()
         # The word vocabulary has lower case only, but for names of special tokens.
-        lower = self.folds and b"<|" not in data.tobytes()
-        distinct, first, inverse = np.unique(span_hashes(data, starts, ends, lower), return_index=True, return_inverse=True)
-        found = np.searchsorted(self.keys, distinct)
-        known = np.zeros(len(distinct), bool)
-        if len(self.keys):
-            known = self.keys[np.minimum(found, len(self.keys) - 1)] == distinct
-        if not known.all():
-            raw = data.tobytes()
-            self._learn(distinct[~known], [raw[starts[i] : ends[i]].decode("utf-8", "replace") for i in first[~known]])
-            found = np.searchsorted(self.keys, distinct)
-        size = self.size[found][inverse]
-        ids = self.pool[gathered(self.at[found][inverse], size)]
+        hashes = span_hashes(data, starts, ends, self.folds and b"<|" not in raw)
+        entry = self._find(hashes)
+        new = np.flatnonzero(entry < 0)
+        if len(new):
+            distinct, first = np.unique(hashes[new], return_index=True)
+            spans = zip(starts[new[first]].tolist(), ends[new[first]].tolist(), strict=True)
+            self._learn(distinct, [raw[a:b].decode("utf-8", "replace") for a, b in spans])
+            entry[new] = self._find(hashes[new])
+        size = self.size[entry]
+        ids = self.pool[gathered(self.at[entry], size)]
         count = np.bincount(doc, size, len(offsets) - 1).astype(np.int64)
         if end is not None:
             closed = np.empty(len(ids) + len(count), np.int32)
