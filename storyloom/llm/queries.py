@@ -7,6 +7,7 @@ from storyloom.llm.packing import op1_best_fit_packing
 from storyloom.llm.phrase_fingerprints import op7_phrase_fingerprints
 from storyloom.llm.substring_dedup import op2_substring_dedup
 from storyloom.llm.token_files import op9_token_files
+from storyloom.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
@@ -14,5 +15,6 @@ QUERIES = {
     "op5_near_duplicates": op5_near_duplicates,
     "op7_phrase_fingerprints": op7_phrase_fingerprints,
     "op9_token_files": op9_token_files,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {}
