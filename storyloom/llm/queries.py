@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from storyloom.llm.language_field import op8_language_field
+from storyloom.llm.language_model import op6_language_model
 from storyloom.llm.near_duplicates import op5_near_duplicates
 from storyloom.llm.packing import op1_best_fit_packing
 from storyloom.llm.phrase_fingerprints import op7_phrase_fingerprints
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_substring_dedup": op2_substring_dedup,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_language_model": op6_language_model,
     "op7_phrase_fingerprints": op7_phrase_fingerprints,
     "op8_language_field": op8_language_field,
     "op9_token_files": op9_token_files,
