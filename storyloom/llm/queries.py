@@ -7,6 +7,7 @@ from storyloom.llm.language_model import op6_language_model
 from storyloom.llm.near_duplicates import op5_near_duplicates
 from storyloom.llm.packing import op1_best_fit_packing
 from storyloom.llm.phrase_fingerprints import op7_phrase_fingerprints
+from storyloom.llm.sharding import op4_kd_shards
 from storyloom.llm.substring_dedup import op2_substring_dedup
 from storyloom.llm.token_files import op9_token_files
 from storyloom.llm.toxicity import op10_toxicity
@@ -14,6 +15,7 @@ from storyloom.llm.toxicity import op10_toxicity
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_substring_dedup": op2_substring_dedup,
+    "op4_kd_shards": op4_kd_shards,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_language_model": op6_language_model,
     "op7_phrase_fingerprints": op7_phrase_fingerprints,
