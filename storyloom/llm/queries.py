@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from storyloom.llm.decontamination import op3_template_decontamination
 from storyloom.llm.language_field import op8_language_field
 from storyloom.llm.language_model import op6_language_model
 from storyloom.llm.near_duplicates import op5_near_duplicates
@@ -15,6 +16,7 @@ from storyloom.llm.toxicity import op10_toxicity
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_template_decontamination": op3_template_decontamination,
     "op4_kd_shards": op4_kd_shards,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_language_model": op6_language_model,
