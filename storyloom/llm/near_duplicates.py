@@ -6,10 +6,12 @@ estimate of similarity that is corrected for chance collisions (Li and König, 2
 estimate is not far below the threshold are confirmed on the full sets.
 
 Documents with equal sets form one class before anything is paired. In each bucket, the classes are
-first compared with the smallest one only; what that joins needs no further comparison. Buckets
-that still hold several components then compare the classes outside their largest component with all
-others of the bucket, inside a join whose condition has the estimate, so that no list of all pairs
-arises. A pair at the threshold of 0.85 shares no band with a probability of about 2e-8.
+first compared with one of them only, the one that most others meet in any band: an original rather
+than one of its edited copies. What that joins needs no further comparison. Buckets that still hold several
+components do the same with a class outside their largest component, a few times. Those that even
+then hold several compare all classes outside their largest component with all others of the bucket,
+inside a join whose condition has the estimate and takes each pair in one band only, so that no list of
+all pairs arises. A pair at the threshold of 0.85 shares no band with a probability of about 2e-8.
 """
 
 from __future__ import annotations
@@ -25,7 +27,10 @@ from storyloom.graph import connected_components
 from storyloom.llm.text_arrays import _BASE, flat, mix, ngrams, slices, span_hashes, words
 from storyloom.scratch import stored
 
-MINIMA, BAND_ROWS, BITS = 96, 4, 4
+#: Minima kept as low bits, those that also make bands, minima in a band, bits kept.
+MINIMA, BANDED, BAND_ROWS, BITS = 1024, 96, 4, 4
+#: Comparisons of whole buckets with one of their classes, before the rest is compared pair by pair.
+STARS = 3
 _rng = np.random.default_rng(85)
 _FACTORS = _rng.integers(0, 2**31, MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _TERMS = _rng.integers(0, 2**32, MINIMA, dtype=np.uint32)
@@ -78,7 +83,7 @@ def signatures(docs: DataFrame, shingle_words: int) -> DataFrame:
             low = ((minima ^ (minima >> np.uint32(16))) & np.uint32((1 << BITS) - 1)).astype(np.uint64)
             per = 64 // BITS
             packed = (low.reshape(batch.num_rows, -1, per) << (np.arange(per, dtype=np.uint64) * np.uint64(BITS))).sum(2, dtype=np.uint64)
-            whole = minima.astype(np.uint64).reshape(batch.num_rows, -1, BAND_ROWS)
+            whole = minima[:, :BANDED].astype(np.uint64).reshape(batch.num_rows, -1, BAND_ROWS)
             bands = np.zeros(whole.shape[:2], np.uint64)
             for j in range(BAND_ROWS):
                 bands = mix(bands ^ whole[:, :, j])
@@ -99,21 +104,31 @@ def full_sets(docs: DataFrame, shingle_words: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(collect, "doc_id long, shingles array<long>")
 
 
+def _differing(x: Column, y: Column) -> Column:
+    """How many of the minima in two longs differ."""
+    differ = x.bitwiseXOR(y)
+    for shift in (1, 2):
+        differ = differ.bitwiseOR(F.shiftrightunsigned(differ, shift))
+    return F.bit_count(differ.bitwiseAND(F.lit(0x1111111111111111)))
+
+
+def _most_differing(percent: int, minima: int) -> int:
+    """Differing minima of a pair at the threshold: chance collisions taken off, five standard deviations allowed."""
+    differ = (1 - percent / 100) * (1 - 2.0**-BITS)
+    return int(minima * differ + 5 * (minima * differ * (1 - differ)) ** 0.5)
+
+
 def estimate(x: Column, y: Column) -> Column:
     """Similarity from packed low bits: the share of equal minima, less what chance would give."""
-    equal = F.lit(MINIMA)
-    for i in range(MINIMA * BITS // 64):
-        differ = x[i].bitwiseXOR(y[i])
-        for shift in (1, 2):
-            differ = differ.bitwiseOR(F.shiftrightunsigned(differ, shift))
-        equal = equal - F.bit_count(differ.bitwiseAND(F.lit(0x1111111111111111)))
-    chance = 2.0**-BITS
-    return (equal / F.lit(MINIMA) - chance) / (1 - chance)
+    differ = F.aggregate(F.zip_with(x, y, _differing), F.lit(0), lambda a, b: a + b)
+    return 1 - differ / F.lit(MINIMA) / (1 - 2.0**-BITS)
 
 
 def _could_link(n: Column, m: Column, x: Column, y: Column, percent: int) -> Column:
-    least = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / MINIMA) ** 0.5
-    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (estimate(x, y) >= least)
+    """Sizes that allow a link, then a quick look at the first minima, then the estimate from all."""
+    quick = sum((_differing(x[i], y[i]) for i in range(1, 8)), _differing(x[0], y[0])) <= _most_differing(percent, 8 * 64 // BITS)
+    least = 1 - (_most_differing(percent, MINIMA) + 1) / MINIMA / (1 - 2.0**-BITS)
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & quick & (estimate(x, y) > least)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -137,26 +152,40 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     nodes = stored(signed.join(classes, key).where("doc_id = rep").select("rep", "n_shingles", "bits", "bands").dropDuplicates(["rep", "n_shingles", "bits"]), "nodes")
 
     buckets = nodes.select("rep", F.posexplode("bands").alias("band", "value"))
-    hubs = buckets.groupBy("band", "value").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub <> last").drop("last")
-    members = stored(buckets.join(hubs, ["band", "value"]), "members")
-    needed = members.select(F.col("rep").alias("doc_id")).distinct()
-    sets = stored(full_sets(docs.select("doc_id", "text").join(needed, "doc_id", "left_semi"), shingle_words), "sets")
+    shared = buckets.groupBy("band", "value").agg(F.min("rep").alias("first"), F.max("rep").alias("last"), F.count("*").alias("met")).where("first <> last")
+    members = stored(buckets.join(shared.select("band", "value", "met"), ["band", "value"]), "members")
+    popular = stored(members.groupBy("rep").agg(F.sum("met").alias("met")), "popular")
+    sets = stored(full_sets(docs.select("doc_id", "text").join(popular.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), shingle_words), "sets")
 
     facts = nodes.select("rep", "n_shingles", "bits")
     hub_facts = facts.select(F.col("rep").alias("a"), F.col("n_shingles").alias("na"), F.col("bits").alias("xa"))
     own_facts = facts.select(F.col("rep").alias("b"), F.col("n_shingles").alias("nb"), F.col("bits").alias("xb"))
-    stars = members.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    likely = stars.join(own_facts, "b").join(hub_facts, "a").where(_could_link(F.col("na"), F.col("nb"), F.col("xa"), F.col("xb"), percent)).select("a", "b")
-    links = stored(_confirmed(likely, sets, percent), "links")
-    components = connected_components(links)
-
-    placed = members.select("band", "value", "rep").join(components.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    sizes = placed.groupBy("band", "value", "component").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("band", "value").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("parts")).where("parts > 1")
-    rest = stored(placed.join(mixed.drop("parts"), ["band", "value"]).join(facts, "rep"), "mixed")
+    place = ["band", "value"]
+    placed = members.select(*place, "rep").join(popular, "rep").withColumn("component", F.col("rep"))
+    links, components = None, None
+    for nth in range(STARS + 1):
+        if nth:
+            placed = members.select(*place, "rep").join(popular, "rep").join(components.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+            sizes = placed.groupBy(*place, "component").agg(F.count("*").alias("n"))
+            mixed = sizes.groupBy(*place).agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("parts")).where("parts > 1")
+            placed = stored(placed.join(mixed.drop("parts"), place), "placed")
+            if nth == STARS:
+                break
+        candidates = placed.where("component <> largest") if nth else placed
+        hubs = candidates.groupBy(*place).agg(F.max_by(F.struct("rep", "component"), F.struct("met", "rep")).alias("hub"))
+        stars = placed.join(hubs, place).where("rep <> hub.rep AND component <> hub.component").select(F.col("hub.rep").alias("a"), F.col("rep").alias("b")).distinct()
+        likely = stars.join(own_facts, "b").join(hub_facts, "a").where(_could_link(F.col("na"), F.col("nb"), F.col("xa"), F.col("xb"), percent)).select("a", "b")
+        more = stored(_confirmed(likely, sets, percent), "links")
+        links = more if links is None else links.unionByName(more)
+        components = connected_components(links)
+
+    rest = placed.select(*place, "rep", "component", "largest").join(nodes.select("rep", "n_shingles", "bits", "bands"), "rep")
     x, y = rest.where("component <> largest").alias("x"), rest.alias("y")
-    open_pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.value") == F.col("y.value")) & (F.col("x.component") != F.col("y.component")) & _could_link(F.col("x.n_shingles"), F.col("y.n_shingles"), F.col("x.bits"), F.col("y.bits"), percent))
-    open_pairs = open_pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+    earlier = F.forall(F.sequence(F.lit(0), F.col("x.band")), lambda i: (i == F.col("x.band")) | (F.get("x.bands", i) != F.get("y.bands", i)))
+    apart = (F.col("x.band") == F.col("y.band")) & (F.col("x.value") == F.col("y.value")) & (F.col("x.component") != F.col("y.component"))
+    once = (F.col("y.component") == F.col("y.largest")) | (F.col("x.rep") < F.col("y.rep"))
+    open_pairs = x.join(y, apart & once & _could_link(F.col("x.n_shingles"), F.col("y.n_shingles"), F.col("x.bits"), F.col("y.bits"), percent) & earlier)
+    open_pairs = open_pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
     more = stored(_confirmed(open_pairs, sets, percent), "links")
     if not more.isEmpty():
         components = connected_components(links.unionByName(more))

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES, SLICE_ROWS = 1 << 20, 4096
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -39,7 +39,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = S
         at = 0
         while at < batch.num_rows:
             done = ends[at - 1] if at else 0
-            stop = max(at + 1, int(np.searchsorted(ends, done + limit, "right")))
+            stop = min(at + SLICE_ROWS, max(at + 1, int(np.searchsorted(ends, done + limit, "right"))))
             yield batch.slice(at, stop - at)
             at = stop
 
