@@ -122,12 +122,12 @@ def segment_candidates(units: DataFrame, cuts: DataFrame | None = None, group: s
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     hard = (F.coalesce("_kind", F.lit("")) == "hard").cast("int")
     rows = rows.withColumn("_sum", F.sum("minutes").over(run)).withColumn("_hard", F.sum(hard).over(run)).withColumn("_last", F.max("pos").over(Window.partitionBy(group)))
-    before_sum, before_hard = F.coalesce(F.lag("_sum").over(w), F.lit(0.0)), F.coalesce(F.lag("_hard").over(w), F.lit(0))
-    starts = rows.select(group, F.col("pos").alias("start"), before_sum.alias("_s0"), before_hard.alias("_h0"), F.explode(F.sequence(F.lit(sizes[0]), F.lit(sizes[1]))).alias("units")).withColumn("stop", F.col("start") + F.col("units") - 1)
+    before = rows.select(group, F.col("pos").alias("start"), F.coalesce(F.lag("_sum").over(w), F.lit(0.0)).alias("_s0"), F.coalesce(F.lag("_hard").over(w), F.lit(0)).alias("_h0"))
+    starts = before.select("*", F.explode(F.sequence(F.lit(sizes[0]), F.lit(sizes[1]))).alias("units")).withColumn("stop", F.col("start") + F.col("units") - 1)
     ends = rows.select(group, F.col("pos").alias("stop"), "_sum", "_hard", "_kind", "_last")
     pairs = starts.join(ends, [group, "stop"])
     at_end = F.coalesce("_kind", F.lit(""))
-    pairs = pairs.where(F.col("_hard") - (at_end == "hard").cast("int") - F.col("_h0") == 0).withColumn("minutes", F.col("_sum") - F.col("_s0"))
+    pairs = pairs.where(F.col("_hard") - (at_end == "hard").cast("int") - F.col("_h0") == 0).withColumn("minutes", F.round(F.col("_sum") - F.col("_s0"), 9))  # sums of decimals, so that limits are met exactly
     end_cost = F.when((at_end == "hard") | (F.col("stop") == F.col("_last")), 0.0).when(at_end == "soft", SOFT_END).otherwise(OTHER_END)
     return pairs.select(group, "start", "stop", "units", "minutes", (duration_penalty(F.col("minutes")) + end_cost).alias("cost"))
 

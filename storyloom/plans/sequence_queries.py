@@ -76,8 +76,7 @@ FROM k JOIN l USING (grp) WHERE stop <= l.last""")
 def segment_candidates(spark, sf):
     u = _units(spark, sf)
     cuts = u.where("pos % 4 = 0").select("grp", "pos", F.lit("soft").alias("kind"))
-    # Tenths of minutes are exact as whole numbers; prefix sums are then, too.
-    return sequence.segment_candidates(u.select("grp", "pos", F.round("minutes", 6).alias("minutes")), cuts).withColumn("minutes", F.round("minutes", 6)).select("grp", "start", "stop", "units", "minutes", F.round(sequence.duration_penalty(F.col("minutes")) + F.round(F.col("cost") - sequence.duration_penalty(F.col("minutes")), 0), 4).alias("cost"))
+    return sequence.segment_candidates(u.select("grp", "pos", "minutes"), cuts).select("grp", "start", "stop", "units", F.round("minutes", 6).alias("minutes"), F.round("cost", 4).alias("cost"))
 
 
 @query()

@@ -12,6 +12,7 @@ from storyloom.operators.quality import todo, work_state
 
 
 def _marked(log: DataFrame, late: str, ts: str) -> DataFrame:
+    log = log.withColumn(ts, F.col(ts).cast("timestamp"))
     return log.withWatermark(ts, late) if log.isStreaming else log
 
 
@@ -36,7 +37,7 @@ def progress(log: DataFrame, width: str = "1 day", late: str = "1 hour", ts: str
 
 def headline(done: DataFrame, expected: int, ts: str = "ts") -> DataFrame:
     """done, ok, failed, percent, elapsed and left (seconds at the mean rate so far) of a run log."""
-    rows = done.agg(F.count("*").alias("done"), F.count_if("passed").alias("ok"), F.count_if(~F.col("passed")).alias("failed"), (F.max(ts).cast("double") - F.min(ts).cast("double")).alias("elapsed"))
+    rows = done.agg(F.count("*").alias("done"), F.count_if("passed").alias("ok"), F.count_if(~F.col("passed")).alias("failed"), (F.max(F.col(ts).cast("timestamp")).cast("double") - F.min(F.col(ts).cast("timestamp")).cast("double")).alias("elapsed"))
     return rows.withColumn("percent", F.round(F.col("done") * 100 / expected, 1)).withColumn("left", F.round(F.col("elapsed") / F.greatest(F.col("done"), F.lit(1)) * (expected - F.col("done")), 1))
 
 
