@@ -1,0 +1,295 @@
+"""Numbered operators against plain versions, on the given tables and on awkward rows."""
+
+import bisect
+import hashlib
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from storyloom.llm import decontamination, language_field, language_model, near_duplicates, packing, phrase_fingerprints, sharding, substring_dedup, token_files, toxicity
+from storyloom.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+LONG = " ".join(f"word{i % 977} é{i % 13}" for i in range(30_000))
+AWKWARD = [(1, "One two three four five six seven eight nine ten eleven twelve thirteen fourteen.", "en", "a"), (1, "One two three four five six seven eight nine ten eleven twelve thirteen fourteen.", "en", "a"), (2, None, None, None), (3, "", "fr", "b"), (4, LONG, "en", "a"), (5, " \n\t ", "en", "a"), (None, "A text without an id, but with words", "en", None), (7, "One two three four five six seven eight nine ten eleven twelve thirteen fourteen.", "de", "c"), (8, "12345 !!! ***", "en", "a"), (9, LONG, "en", "a"), (10, "ñandú ÄÖÜ 中文字符 \U0001f600", "es", "d"), (11, "x", "en", "a")]
+CLASHING = ["seed", "hash", "part", "band", "component", "n", "bucket", "shard", "size", "word", "text_key", "score", "raw", "words", "rep", "chunk", "length"]
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    df = spark.createDataFrame(AWKWARD, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.length("text").cast("long"))
+    return df.select("*", *[F.lit("x").alias(c) for c in CLASHING]).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(awkward):
+    return awkward.limit(0)
+
+
+@pytest.fixture(scope="module")
+def given(spark):
+    return {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+
+
+def byte_path():
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def run_all(spark, docs):
+    labels = spark.createDataFrame([(1, 1), (7, 0), (None, 1), (4, None)], "doc_id long, toxic int")
+    items = spark.createDataFrame([(1, "One two three four five six seven eight nine ten eleven twelve"), (2, None), (3, "")], "item_id long, text string")
+    return {
+        1: packing.pack_documents(docs, byte_path()).collect(),
+        2: substring_dedup.remove_repeats(docs).collect(),
+        3: decontamination.contaminated(docs, items).collect(),
+        4: sharding.shard(docs).collect(),
+        5: near_duplicates.near_duplicates(docs).collect(),
+        6: language_model.score(docs, language_model.fit(docs)).collect(),
+        7: phrase_fingerprints.compare_with_following(docs).collect(),
+        8: language_field.identify(docs, language_field.fit_sample(docs)).collect(),
+        10: toxicity.toxicity(docs, toxicity.fit(docs, labels)).collect(),
+    }
+
+
+def test_empty_tables(spark, empty, tmp_path):
+    assert all(not rows for rows in run_all(spark, empty).values())
+    token_files.write_token_files(empty, str(tmp_path / "t"), byte_path(), "space", 2)
+    assert token_files.read_token_files(spark, str(tmp_path / "t"), "ids").count() == 0
+
+
+def test_awkward_rows(spark, awkward, tmp_path):
+    out = run_all(spark, awkward)
+    n = len(AWKWARD)
+    assert all(len(out[k]) == n for k in (2, 4, 5, 6, 7, 8, 10))
+    pieces = defaultdict(list)
+    for r in out[1]:
+        pieces[r.sequence_id].append((r.offset, r.length))
+    assert all(sum(x for _, x in p) <= 1024 and sorted(p)[0][0] == 0 for p in pieces.values())
+    assert {r.doc_id for r in out[3]} == {1, 7}
+    assert {r.doc_id: r.component_id for r in out[5] if r.doc_id} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 7: 1, 8: 8, 9: 4, 10: 10, 11: 11}
+    assert {r.doc_id: r.n_removed for r in out[2] if r.doc_id in (1, 7, 9)} == {1: 0, 7: 14, 9: 60_000}
+    assert {r.doc_id: r.lang_pred for r in out[8]}[8] == "und" and all(0 <= r.score <= 1 for r in out[8])
+    assert {r.doc_id: r.n_tokens for r in out[6]}[2] == 1
+    for s in {r.shard for r in out[4]}:
+        assert sorted(r.slot for r in out[4] if r.shard == s) == list(range(sum(r.shard == s for r in out[4])))
+    token_files.write_token_files(awkward, str(tmp_path / "t"), byte_path(), "space", 2)
+    rows = token_files.read_token_files(spark, str(tmp_path / "t"), "ids").orderBy("start").collect()
+    assert len(rows) == n and [r.start for r in rows] == [sum(len(x.ids) for x in rows[:i]) for i in range(n)]
+    known = {}
+    for r in out[7]:
+        known.setdefault(r.doc_id, r.fingerprint)
+    assert known[1] == known[7] and known[2] == known[3]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_equal_the_tokenizer(name, given):
+    import pyarrow as pa
+
+    from storyloom.llm.text_arrays import flat
+    from storyloom.llm.token_ids import Encoder
+
+    texts = [*list(given.values())[:60], "a  b\n c", "x 　y", " lead", "trail ", "don't we'll", "a \x1fb", "a<|endoftext|>b", 'foo.Bar,don\'t"x', "a1b2.c", "", "ab", "c", "A<|ENDOFTEXT|>"]
+    plain, cut = Tokenizer.from_file(public_tokenizers.path(name)), "space" if name.startswith("byte") else "white"
+    ids, count = Encoder(public_tokenizers.path(name), cut).encode(*flat(pa.array(texts)))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_packing_equals_sequential_best_fit():
+    rng = np.random.default_rng(1)
+    lengths = np.minimum(64, rng.geometric(0.08, 500))
+    plan = packing.best_fit_plan({int(k): int((lengths == k).sum()) for k in set(lengths)}, 64)
+    used = defaultdict(list)
+    for i, (length, rank, per, first, offset) in enumerate(plan):
+        following = [p[1] for p in plan[i + 1 :] if p[0] == length]
+        stop = following[0] if following else int((lengths == length).sum())
+        for r in range(rank, stop):
+            used[first + (r - rank) // per].append((offset + (r - rank) % per * length, length))
+    for spans in used.values():
+        at = 0
+        for o, k in sorted(spans):
+            assert o == at
+            at += k
+        assert at <= 64
+    bins = []
+    opened = 0
+    for k in sorted(lengths, reverse=True):
+        i = bisect.bisect_left(bins, k)
+        left = bins.pop(i) - k if i < len(bins) else 64 - k
+        opened += i >= len(bins) + (left != 64 - k)
+        bisect.insort(bins, left)
+    assert len(used) == len(bins)
+
+
+def test_op2(spark, given):
+    found = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in QUERIES["op2_substring_dedup"](spark, SF).collect()}
+    words = {d: WORDS.findall(t or "") for d, t in sorted(given.items())}
+    first = {}
+    for d, w in words.items():
+        for i in range(len(w) - 12):
+            first.setdefault(tuple(w[i : i + 13]), d)
+    for d, w in words.items():
+        keep = [True] * len(w)
+        for i in range(len(w) - 12):
+            if first[tuple(w[i : i + 13])] < d:
+                keep[i : i + 13] = [False] * 13
+        kept = " ".join(x for x, k in zip(w, keep, strict=True) if k)
+        assert found[d] == (len(w), len(w) - sum(keep), hashlib.sha256(kept.encode()).hexdigest())
+
+
+def test_op5(spark, given):
+    found = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in QUERIES["op5_near_duplicates"](spark, SF).collect()}
+    sets = {}
+    for d, t in given.items():
+        w = WORDS.findall((t or "").translate(LOWER))
+        sets[d] = {tuple(w[i : i + 3]) for i in range(len(w) - 2)} if len(w) >= 3 else ({tuple(w)} if w else set())
+    parent = {d: d for d in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    assert found == {d: (len(s), root(d), root(d) == d) for d, s in sets.items()}
+
+
+def test_near_copies_around_an_original_all_meet(spark):
+    """Copies of one text that are too far from each other, but near it, and a chain."""
+    rng = np.random.default_rng(2)
+    base = [f"w{i}" for i in range(120)]
+
+    def edited(k):
+        out = list(base)
+        for i in rng.choice(120, k, replace=False):
+            out[i] = f"e{rng.integers(10**9)}"
+        return " ".join(out)
+
+    rows = [(i, edited(2)) for i in range(60)] + [(100, " ".join(base))] + [(200 + i, edited(30)) for i in range(20)]
+    found = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    assert {r.component_id for r in found if r.doc_id <= 100} == {0}
+    assert all(r.kept for r in found if r.doc_id >= 200)
+
+
+def test_op6_base_is_exact_and_model_helps(spark, given):
+    import math
+    from collections import Counter
+
+    found = {r.doc_id: r for r in QUERIES["op6_language_model"](spark, SF).collect()}
+    tokens = {d: [*WORDS.findall((t or "").translate(LOWER)), None] for d, t in given.items()}
+    c = Counter(x for d, w in tokens.items() if zlib.crc32(str(d).encode()) % 5 != 1 for x in w)
+    n, v = sum(c.values()), len(c)
+    for d, w in tokens.items():
+        r = found[d]
+        base = sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum(c[x] > 0 for x in w), n)
+        assert r.base_score == pytest.approx(base)
+    held = [r for r in found.values() if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_op7(spark, given):
+    found = {r.doc_id: r for r in QUERIES["op7_phrase_fingerprints"](spark, SF).collect()}
+    rows = sorted(given.items())
+    for i, (d, t) in enumerate(rows):
+        following, half = rows[(i + 1) % len(rows)][1], len(t) // 2
+        edit = t[: len(t) - half] + following[:half]
+        own, other, after = (phrase_fingerprints.fingerprints_of(x.encode())[0] for x in (t, edit, following))
+        r = found[d]
+        assert (r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint) == (len(t), hashlib.sha256(edit.encode()).hexdigest(), own.tobytes().hex(), other.tobytes().hex())
+        assert (r.near_edited, r.near_next) == (phrase_fingerprints.likeness(own, other), phrase_fingerprints.likeness(own, after))
+
+
+def test_phrases_are_those_of_the_plain_parse():
+    text, seen, cur = b"abababacabacabbbbabc" * 5, [], b""
+    for i in range(len(text)):
+        cur += text[i : i + 1]
+        if cur not in seen:
+            seen.append(cur)
+            cur = b""
+    ends, _ = phrase_fingerprints.phrase_ends(text, {})
+    assert [text[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)] == seen
+
+
+def test_forward_backward():
+    rng = np.random.default_rng(1)
+    count, k = np.array([0, 5, 200, 64, 1]), 3
+    scores, move = rng.normal(size=(count.sum(), k)), rng.normal(size=(k, k))
+    found, at = language_field.posteriors(scores, count, move), 0
+    for c in count:
+        e, forward, state = np.exp(scores[at : at + c]), [], np.ones(k)
+        for t in range(c):
+            state = (state @ np.exp(move)) * e[t]
+            state /= state.sum()
+            forward.append(state)
+        back = np.ones(k)
+        for t in range(c - 1, -1, -1):
+            both = forward[t] * back
+            assert np.allclose(found[at + t], both / both.sum())
+            back = np.exp(move) @ (e[t] * back)
+            back /= back.sum()
+        at += c
+
+
+def test_op8_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    held = [r for r in QUERIES["op8_language_field"](spark, sf).collect() if r.held_out]
+    assert sum(truth[r.doc_id] == r.lang_pred for r in held) >= 0.98 * len(held)
+
+
+def test_op10_held_out_and_hidden_words(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    held = [r for r in QUERIES["op10_toxicity"](spark, sf).collect() if r.held_out and r.doc_id in labels]
+    caught = [r.predicted for r in held if labels[r.doc_id]]
+    clean = [r.predicted for r in held if not labels[r.doc_id]]
+    assert sum(caught) >= 0.8 * len(caught) and sum(clean) <= 0.03 * len(clean)
+    model = toxicity.character_model(toxicity.character_counts(spark.read.parquet(f"{sf}/documents.parquet")))
+    for hidden, word in (("l0ser", "loser"), ("1d10t", "idiot"), ("s t u p i d", "stupid"), ("mooooron", "moron"), ("tr@sh", "trash"), ("i-d-i-o-t", "idiot")):
+        assert toxicity.decode(hidden, model) == word
+
+
+def test_op3_variants(spark):
+    item = spark.createDataFrame([(1, "Then Anna bought 12 apples for 3 dollars and gave 12 of them to Bob yesterday evening.")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x y z. Then Mary bought 7 apples for 9 dollars and gave 7 of them to Tom yesterday evening. foo"), (2, "Then Mary bought 7 apples for 9 dollars and gave 8 of them to Tom yesterday evening."), (3, "Then Anna bought 12 apples for 3 dollars and gave 12 of them to Bob yesterday evening.")], "doc_id long, text string")
+    assert {r.doc_id: r.reparameterised for r in decontamination.contaminated(docs, item).collect()} == {1: True, 3: False}
+
+
+def test_op3_finds_all_exact_copies(spark, given):
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    found = {(r.doc_id, r.item_id) for r in QUERIES["op3_template_decontamination"](spark, SF).collect()}
+    assert {(d, i) for d, t in given.items() for i, x in items.items() if x in (t or "") and len(x.split()) >= 11} <= found
+
+
+def test_op4(spark, given):
+    rows = QUERIES["op4_kd_shards"](spark, "/root/testdata/sf0.1").collect()
+    size = defaultdict(int)
+    for r in rows:
+        size[r.shard] += r.size
+    mean = sum(size.values()) / 24
+    assert set(size) == set(range(24)) and max(size.values()) < 1.1 * mean and min(size.values()) > 0.9 * mean
+
+
+def test_pipeline(spark, given):
+    import corpus_pipeline
+
+    docs, kept = spark.read.parquet(f"{SF}/documents.parquet"), []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF).cache()
+        assert docs.columns == corpus_pipeline.COLUMNS
+        kept.append((name, docs.count()))
+    assert 0 < kept[-1][1] <= kept[0][1] <= len(given)
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert {r.doc_id for r in out} == {r.doc_id for r in docs.collect()}
