@@ -72,11 +72,13 @@ def _unit(x: np.ndarray, axes: tuple[int, ...]) -> np.ndarray:
     return x / x.max(axes, keepdims=True)
 
 
-def posteriors(scores: np.ndarray, count: np.ndarray, transitions: np.ndarray) -> np.ndarray:
+def posteriors(scores: np.ndarray, count: np.ndarray, transitions: np.ndarray, pairs: bool = False):
     """P(language) of each word by forward-backward over texts of ``count`` words each.
 
     Texts are cut into blocks. The product of a block's transfer matrices carries messages across it, so
     all blocks advance together and only one step for each block of the longest text is in series.
+    With ``pairs``, also the expected number of each transition within blocks, for fitting: there,
+    every sequence is one block.
     """
     k = scores.shape[1]
     move = np.exp(transitions - transitions.max())
@@ -117,7 +119,11 @@ def posteriors(scores: np.ndarray, count: np.ndarray, transitions: np.ndarray) -
         backward[:, t] = leave
         leave = np.where(real[:, t, None], _unit((emit[:, t] * leave) @ move.T, (1,)), leave)
     both = (forward * backward)[real]
-    return both / both.sum(1, keepdims=True)
+    both /= both.sum(1, keepdims=True)
+    if not pairs:
+        return both
+    joint = (forward[:, :-1, :, None] * move * (emit * backward)[:, 1:, None, :])[real[:, 1:]]
+    return both, (joint / joint.sum((1, 2), keepdims=True)).sum(0)
 
 
 def fit(texts: list[bytes], labels: list[str], width: int = 1 << 17, sequences: int = 4000, rounds: int = 6, seed: int = 8) -> Field:
@@ -167,21 +173,17 @@ def fit(texts: list[bytes], labels: list[str], width: int = 1 << 17, sequences:
                 known[a] = index[gathered((np.cumsum(total) - total)[at], total[at])], total[at]
             index, total = known[a]
             scores = np.add.reduceat(weights[index], np.cumsum(total) - total)
-            p = posteriors(scores, np.full(len(w) // BLOCK, BLOCK), transitions)
+            p, expected = posteriors(scores, np.full(len(w) // BLOCK, BLOCK), transitions, pairs=True)
             wrong = -p
             wrong[np.arange(len(w)), y] += 1
             spread = np.repeat(wrong, total, 0)
             grad = np.stack([np.bincount(index, spread[:, j], width) for j in range(k)], 1) - 1e-3 * weights
             past_w += grad**2
             weights += 0.3 * grad / np.sqrt(past_w)
-            # Expected transitions, from neighbouring posteriors and the scores between them.
-            move = np.exp(transitions - transitions.max())
             inside = ~first[a : a + batch][1:]
-            pair = p[:-1, :, None] * move * p[1:, None, :] / np.maximum(1e-12, (p[:-1] @ move)[:, None, :])
-            pair = pair[inside] / pair[inside].sum((1, 2), keepdims=True)
             seen = np.zeros((k, k))
             np.add.at(seen, (y[:-1][inside], y[1:][inside]), 1)
-            gt = seen - pair.sum(0) - 1e-1 * transitions
+            gt = seen - expected - 1e-1 * transitions
             past_t += gt**2
             transitions += 0.1 * gt / np.sqrt(past_t)
     return Field(languages, weights, transitions)
