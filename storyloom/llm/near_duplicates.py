@@ -8,8 +8,7 @@ estimate is not far below the threshold are confirmed on the full sets.
 Documents with equal sets form one class before anything is paired. In each bucket, the classes are
 first compared with one of them only, the one that most others meet in any band: an original rather
 than one of its edited copies. What that joins needs no further comparison. Buckets that still hold several
-components do the same with a class outside their largest component, a few times. Those that even
-then hold several compare all classes outside their largest component with all others of the bucket,
+components compare all classes outside their largest component with all others of the bucket,
 inside a join whose condition has the estimate and takes each pair in one band only, so that no list of
 all pairs arises. A pair at the threshold of 0.85 shares no band with a probability of about 2e-8.
 """
@@ -29,8 +28,9 @@ from storyloom.scratch import stored
 
 #: Minima kept as low bits, those that also make bands, minima in a band, bits kept.
 MINIMA, BANDED, BAND_ROWS, BITS = 1024, 96, 4, 4
-#: Comparisons of whole buckets with one of their classes, before the rest is compared pair by pair.
-STARS = 3
+#: Comparisons of whole buckets with one of their classes, before the rest is compared pair by pair; more
+#: than one are with a class outside the largest component.
+STARS = 1
 _rng = np.random.default_rng(85)
 _FACTORS = _rng.integers(0, 2**31, MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _TERMS = _rng.integers(0, 2**32, MINIMA, dtype=np.uint32)
@@ -124,11 +124,11 @@ def estimate(x: Column, y: Column) -> Column:
     return 1 - differ / F.lit(MINIMA) / (1 - 2.0**-BITS)
 
 
-def _could_link(n: Column, m: Column, x: Column, y: Column, percent: int) -> Column:
-    """Sizes that allow a link, then a quick look at the first minima, then the estimate from all."""
-    quick = sum((_differing(x[i], y[i]) for i in range(1, 8)), _differing(x[0], y[0])) <= _most_differing(percent, 8 * 64 // BITS)
+def _could_link(n: Column, m: Column, x: Column, y: Column, percent: int, also: Column) -> Column:
+    """Sizes that allow a link, then a quick look at the first minima, then ``also``, then the estimate from all."""
+    quick = sum((_differing(x[i], y[i]) for i in range(1, 12)), _differing(x[0], y[0])) <= _most_differing(percent, 12 * 64 // BITS)
     least = 1 - (_most_differing(percent, MINIMA) + 1) / MINIMA / (1 - 2.0**-BITS)
-    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & quick & (estimate(x, y) > least)
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & quick & also & (estimate(x, y) > least)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -174,7 +174,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
         candidates = placed.where("component <> largest") if nth else placed
         hubs = candidates.groupBy(*place).agg(F.max_by(F.struct("rep", "component"), F.struct("met", "rep")).alias("hub"))
         stars = placed.join(hubs, place).where("rep <> hub.rep AND component <> hub.component").select(F.col("hub.rep").alias("a"), F.col("rep").alias("b")).distinct()
-        likely = stars.join(own_facts, "b").join(hub_facts, "a").where(_could_link(F.col("na"), F.col("nb"), F.col("xa"), F.col("xb"), percent)).select("a", "b")
+        likely = stars.join(own_facts, "b").join(hub_facts, "a").where(_could_link(F.col("na"), F.col("nb"), F.col("xa"), F.col("xb"), percent, F.lit(True))).select("a", "b")
         more = stored(_confirmed(likely, sets, percent), "links")
         links = more if links is None else links.unionByName(more)
         components = connected_components(links)
@@ -184,7 +184,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     earlier = F.forall(F.sequence(F.lit(0), F.col("x.band")), lambda i: (i == F.col("x.band")) | (F.get("x.bands", i) != F.get("y.bands", i)))
     apart = (F.col("x.band") == F.col("y.band")) & (F.col("x.value") == F.col("y.value")) & (F.col("x.component") != F.col("y.component"))
     once = (F.col("y.component") == F.col("y.largest")) | (F.col("x.rep") < F.col("y.rep"))
-    open_pairs = x.join(y, apart & once & _could_link(F.col("x.n_shingles"), F.col("y.n_shingles"), F.col("x.bits"), F.col("y.bits"), percent) & earlier)
+    open_pairs = x.join(y, apart & once & _could_link(F.col("x.n_shingles"), F.col("y.n_shingles"), F.col("x.bits"), F.col("y.bits"), percent, earlier))
     open_pairs = open_pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
     more = stored(_confirmed(open_pairs, sets, percent), "links")
     if not more.isEmpty():
