@@ -120,9 +120,10 @@ def remove_repeats(docs: DataFrame, window: int = 13, seed_words: int | None = N
     dropped(repeated)
     windows = stored(_windows_at(known.join(places, "doc_id"), window, seed_words), "windows")
     dropped(places)
-    owners = windows.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("hash", "first")
+    # Written first: joined in the stage of its own aggregation, a hot window's rows could not be split.
+    owners = stored(windows.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("hash", "first"), "owners")
     removed = stored(windows.join(owners, "hash").where("first < doc_id").groupBy("doc_id").agg(F.collect_list("hash").alias("hashes")), "removed")
-    dropped(windows)
+    dropped(windows, owners)
     return _without(docs.join(removed, "doc_id", "left"), window, seed_words)
 
 
