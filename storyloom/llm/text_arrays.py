@@ -6,6 +6,7 @@ Words are maximal runs of bytes other than 0x20 and 0x09-0x0D. Texts are cut int
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +31,16 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def release() -> None:
+    """Give freed memory back to the system; Spark keeps Python workers for later tasks, of this job or of others."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds about ``limit`` bytes of text, or a single longer text."""
+    """Cut batches so that each holds about ``limit`` bytes of text, or a single longer text; then release memory."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -42,6 +51,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = S
             stop = min(at + SLICE_ROWS, max(at + 1, int(np.searchsorted(ends, done + limit, "right"))))
             yield batch.slice(at, stop - at)
             at = stop
+    release()
 
 
 def mix(x: np.ndarray) -> np.ndarray:

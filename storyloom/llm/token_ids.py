@@ -14,7 +14,8 @@ import numpy as np
 
 from storyloom.llm.text_arrays import gathered, span_hashes, words
 
-CACHE_PIECES, SLOTS = 1_500_000, 1 << 22
+#: Pieces that a worker remembers at most, places in its hash table, and pieces encoded in one call.
+CACHE_PIECES, SLOTS, LEARN = 1_000_000, 1 << 21, 1 << 13
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -74,20 +75,21 @@ class Encoder:
         self.folds = cut == "white"
         self.forget()
 
-    def forget(self) -> None:
+    def forget(self, slots: int = SLOTS) -> None:
         """Open addressing: ``keys[slot]`` is a piece's hash (0: free), ``entry[slot]`` its place in ``at`` and ``size``."""
-        self.keys, self.entry = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int32)
+        self.keys, self.entry = np.zeros(slots, np.uint64), np.zeros(slots, np.int32)
         self.at, self.size, self.known, self.used = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), 0, 0
         self.pool = np.zeros(1 << 18, np.int32)
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
         """Entry of each piece, -1 if it is new."""
-        slot = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+        last = len(self.keys) - 1
+        slot = (hashes & np.uint64(last)).astype(np.int64)
         found = self.keys[slot]
         out = np.where(found == hashes, self.entry[slot], -1)
         at = np.flatnonzero((found != hashes) & (found != 0))
         while len(at):
-            slot[at] = (slot[at] + 1) & (SLOTS - 1)
+            slot[at] = (slot[at] + 1) & last
             found = self.keys[slot[at]]
             same = found == hashes[at]
             out[at[same]] = self.entry[slot[at[same]]]
@@ -106,12 +108,13 @@ class Encoder:
         self.pool[self.used : self.used + len(flat_ids)] = flat_ids
         self.at[entry], self.size[entry] = self.used + np.cumsum(size) - size, size
         self.used, self.known = self.used + len(flat_ids), self.known + len(ids)
-        slot, todo = (hashes & np.uint64(SLOTS - 1)).astype(np.int64), np.arange(len(hashes))
+        last = len(self.keys) - 1
+        slot, todo = (hashes & np.uint64(last)).astype(np.int64), np.arange(len(hashes))
         while len(todo):
             free = todo[self.keys[slot[todo]] == 0]
             self.keys[slot[free]], self.entry[slot[free]] = hashes[free], entry[free]  # of several for one slot, the last stays
             todo = todo[self.keys[slot[todo]] != hashes[todo]]
-            slot[todo] = (slot[todo] + 1) & (SLOTS - 1)
+            slot[todo] = (slot[todo] + 1) & last
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and how many each text has; ``end`` closes each text."""
@@ -125,8 +128,14 @@ class Encoder:
         new = np.flatnonzero(entry < 0)
         if len(new):
             distinct, first = np.unique(hashes[new], return_index=True)
+            if 4 * (self.known + len(distinct)) > 3 * len(self.keys):  # very long texts: begin anew, in a table that holds them
+                new = np.arange(len(hashes))
+                distinct, first = np.unique(hashes, return_index=True)
+                self.forget(max(SLOTS, 1 << (2 * len(distinct)).bit_length()))
             spans = zip(starts[new[first]].tolist(), ends[new[first]].tolist(), strict=True)
-            self._learn(distinct, [raw[a:b].decode("utf-8", "replace") for a, b in spans])
+            texts = [raw[a:b].decode("utf-8", "replace") for a, b in spans]
+            for at in range(0, len(texts), LEARN):
+                self._learn(distinct[at : at + LEARN], texts[at : at + LEARN])
             entry[new] = self._find(hashes[new])
         size = self.size[entry]
         ids = self.pool[gathered(self.at[entry], size)]
