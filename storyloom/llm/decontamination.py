@@ -4,9 +4,9 @@ Numbers, names and units become typed placeholders, so that a question stays rec
 values are changed. Windows of template words are joined by hash. Where they match, the values in the
 placeholders must be consistent: each value of the benchmark item is always replaced by the same value.
 
-Two passes keep the work in proportion. The first hashes one window in ``stride`` of each document and
-looks for it among all windows of the benchmark, which finds every run of ``window + stride - 1`` equal
-template words. The second compares all windows of the documents found.
+Two passes keep the work in proportion. The first hashes every window of each document and looks for it
+among all windows of the benchmark, so that every run of ``window`` equal template words is found, wherever
+it lies. The second compares all windows of the documents found.
 """
 
 from __future__ import annotations
@@ -46,19 +46,20 @@ def templates(rows: DataFrame, key: str) -> DataFrame:
     return cleaned.select(key, F.split("_clean", r"\s+").alias("raw"), F.split(_template(F.col("_clean")), r"\s+").alias("words"))
 
 
-def _windows(frame: DataFrame, window: int, stride: int = 1) -> DataFrame:
-    """Add ``at`` (from 1) and ``hash`` of each window, or one in ``stride``.
+def _windows(frame: DataFrame, window: int) -> DataFrame:
+    """Add ``at`` (from 1) and ``hash`` of each window.
 
-    Short texts give an empty list, and the outer explode drops none: a filter before it would be moved
-    below the template expressions, which would then be computed twice.
+    Words are taken one by one, since a slice would copy the whole text for each window. Short texts give
+    an empty list, and the outer explode drops none: a filter before it would be moved below the template
+    expressions, which would then be computed twice.
     """
-    last = F.size("words") - window + 1
-    starts = F.sequence(F.lit(1), F.greatest(last, F.lit(1)), F.lit(stride))
-    hashes = F.transform(starts, lambda i: F.when(last >= 1, F.xxhash64(F.slice("words", i, window))))
-    return frame.select(*frame.columns, F.posexplode_outer(hashes).alias("at", "hash")).where("hash IS NOT NULL").withColumn("at", F.col("at") * stride + 1)
+    last = F.size("words") - window
+    starts = F.sequence(F.lit(0), F.greatest(last, F.lit(0)))
+    hashes = F.transform(starts, lambda i: F.when(last >= 0, F.xxhash64(*[F.get("words", i + j) for j in range(window)])))
+    return frame.select(*frame.columns, F.posexplode_outer(hashes).alias("at", "hash")).where("hash IS NOT NULL").withColumn("at", F.col("at") + 1)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, stride: int = 4, coverage: float = 0.5, consistency: float = 0.8) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverage: float = 0.5, consistency: float = 0.8) -> DataFrame:
     """One row for each (doc_id, item_id) where the document holds the item or a variant with other values.
 
     ``matched_words`` of the item's ``item_words`` lie in windows of equal template words, at least
@@ -72,7 +73,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, stride:
     if items.count() <= BROADCAST_WINDOWS:
         hashes = F.broadcast(hashes)
     known = docs.where("doc_id IS NOT NULL")
-    likely = _windows(templates(known, "doc_id").drop("raw"), window, stride).select("doc_id", "hash").join(hashes, "hash", "left_semi").select("doc_id").distinct()
+    likely = _windows(templates(known, "doc_id").drop("raw"), window).select("doc_id", "hash").join(hashes, "hash", "left_semi").select("doc_id").distinct()
     likely = stored(likely, "likely")
     found = _windows(templates(known.select("doc_id", "text").join(likely, "doc_id", "left_semi"), "doc_id"), window)
     found = found.select("doc_id", "at", "hash", F.slice("raw", F.col("at"), window).alias("values"))

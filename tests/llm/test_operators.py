@@ -273,6 +273,15 @@ def test_op3_finds_all_exact_copies(spark, given):
     assert {(d, i) for d, t in given.items() for i, x in items.items() if x in (t or "") and len(x.split()) >= 11} <= found
 
 
+def test_op3_short_runs_at_all_offsets(spark):
+    item = "seven tall trees stand near old grey stone walls behind many quiet green hills under very pale morning skies today"
+    words = item.split()
+    items = [(n, " ".join(words[:n])) for n in (8, 9, 10, 20)]
+    docs = [(100 * k + n, " ".join([f"before{i}" for i in range(k)] + words[:n] + ["after"] * 30)) for k in range(4) for n in (8, 9, 10)]
+    found = {(r.doc_id, r.item_id, r.matched_words) for r in decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert found == {(100 * k + n, m, min(n, m)) for k in range(4) for n in (8, 9, 10) for m in (8, 9, 10, 20) if min(n, m) >= m / 2}
+
+
 def test_op4(spark, given):
     rows = QUERIES["op4_kd_shards"](spark, "/root/testdata/sf0.1").collect()
     size = defaultdict(int)
