@@ -6,12 +6,13 @@ placeholders must be consistent: each value of the benchmark item is always repl
 
 Two passes keep the work in proportion. The first hashes every window of each document and looks for it
 among all windows of the benchmark, so that every run of ``window`` equal template words is found, wherever
-it lies. The second compares all windows of the documents found.
+it lies. The second compares the words of the windows found, by occurrence, since a document may hold an
+item several times with different values.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storyloom.scratch import stored
@@ -41,9 +42,9 @@ def _template(clean: Column) -> Column:
 
 
 def templates(rows: DataFrame, key: str) -> DataFrame:
-    """key, raw words and template words, which correspond one to one."""
-    cleaned = rows.select(F.col(key).cast("long").alias(key), _clean(F.col("text")).alias("_clean"))
-    return cleaned.select(key, F.split("_clean", r"\s+").alias("raw"), F.split(_template(F.col("_clean")), r"\s+").alias("words"))
+    """key, a hash of the text (``copy``), raw words and template words, which correspond one to one."""
+    cleaned = rows.select(F.col(key).cast("long").alias(key), F.xxhash64("text").alias("copy"), _clean(F.col("text")).alias("_clean"))
+    return cleaned.select(key, "copy", F.split("_clean", r"\s+").alias("raw"), F.split(_template(F.col("_clean")), r"\s+").alias("words"))
 
 
 def _windows(frame: DataFrame, window: int) -> DataFrame:
@@ -59,35 +60,61 @@ def _windows(frame: DataFrame, window: int) -> DataFrame:
     return frame.select(*frame.columns, F.posexplode_outer(hashes).alias("at", "hash")).where("hash IS NOT NULL").withColumn("at", F.col("at") + 1)
 
 
+def _occurrences(pairs: DataFrame) -> DataFrame:
+    """Each pair of windows with the parts of the document by which it is judged (``part``).
+
+    These are the whole document; the diagonal (document place less item place), which holds one
+    alignment even where the item repeats itself; and the stretch, in which the item's windows follow
+    in order on neighbouring diagonals, as around an edit. A stretch takes of each document window the
+    match on the strongest diagonal, and ends where the item begins again or the diagonal jumps by more
+    than the item's length.
+    """
+    key = ["doc_id", "copy", "item_id", "version"]
+    part = lambda kind, copy, n: F.struct(F.lit(kind).alias("kind"), copy.cast("long").alias("copy"), n.cast("long").alias("n"))
+    sides = pairs.withColumn("part", F.explode(F.array(part("whole", F.lit(0), F.lit(0)), part("diagonal", F.col("copy"), F.col("diagonal")))))
+    weighed = pairs.withColumn("_weight", F.count("*").over(Window.partitionBy(*key, "diagonal")))
+    ranked = weighed.withColumn("_rank", F.row_number().over(Window.partitionBy(*key, "at").orderBy(F.desc("_weight"), "item_at")))
+    order = Window.partitionBy(*key).orderBy("at")
+    back = (F.col("item_at") <= F.lag("item_at").over(order)) | (F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) > F.col("item_words"))
+    broken = ranked.where("_rank = 1").withColumn("_new", F.coalesce(back, F.lit(False)).cast("int"))
+    stretches = broken.withColumn("part", part("stretch", F.col("copy"), F.sum("_new").over(order))).drop("_weight", "_rank", "_new")
+    return sides.unionByName(stretches)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverage: float = 0.5, consistency: float = 0.8) -> DataFrame:
     """One row for each (doc_id, item_id) where the document holds the item or a variant with other values.
 
     ``matched_words`` of the item's ``item_words`` lie in windows of equal template words, at least
     ``coverage`` of them. Of the item's ``slots`` that matched, at least ``consistency`` must be
-    consistent: within a document, an item's value always meets the same value. ``reparameterised`` says
-    that some value differs. Null or empty texts, texts of fewer than ``window`` words, and null ids match
-    nothing. Repeated rows of one id count as one; other columns are ignored.
+    consistent: an item's value always meets the same value. Both are judged for the whole document and
+    for each occurrence in it; one that passes is enough, and of several the row describes the one with
+    most matched words. ``reparameterised`` says that some value differs there. Null or empty texts, texts
+    of fewer than ``window`` words, and null ids match nothing. Repeated rows of one id count as one; other
+    columns are ignored.
     """
-    items = stored(_windows(templates(benchmark.where("item_id IS NOT NULL"), "item_id"), window).dropDuplicates(["item_id", "at", "hash"]), "items")
+    wanted = templates(benchmark.where("item_id IS NOT NULL"), "item_id").withColumnRenamed("copy", "version").withColumn("item_words", F.size("words").cast("long"))
+    items = stored(_windows(wanted, window).select("item_id", "version", "item_words", F.col("at").alias("item_at"), "hash").distinct(), "items")
     hashes = items.select("hash").distinct()
     if items.count() <= BROADCAST_WINDOWS:
         hashes = F.broadcast(hashes)
     known = docs.where("doc_id IS NOT NULL")
-    likely = _windows(templates(known, "doc_id").drop("raw"), window).select("doc_id", "hash").join(hashes, "hash", "left_semi").select("doc_id").distinct()
-    likely = stored(likely, "likely")
-    found = _windows(templates(known.select("doc_id", "text").join(likely, "doc_id", "left_semi"), "doc_id"), window)
-    found = found.select("doc_id", "at", "hash", F.slice("raw", F.col("at"), window).alias("values"))
-    wanted = items.select("item_id", F.col("at").alias("item_at"), "hash", F.size("words").alias("item_words"), F.slice("raw", F.col("at"), window).alias("item_values"), F.slice("words", F.col("at"), window).alias("kinds"))
-    pairs = found.join(wanted, "hash")
-    words = pairs.select("doc_id", "item_id", "item_words", F.explode(F.arrays_zip("values", "item_values", "kinds", F.sequence(F.col("item_at"), F.col("item_at") + window - 1).alias("place"))).alias("w"))
-    # Each word of the item with each word it met; windows that overlap meet again.
-    met = words.select("doc_id", "item_id", "item_words", F.col("w.place").alias("place"), F.col("w.item_values").alias("theirs"), F.col("w.values").alias("ours"), F.col("w.kinds").startswith("<").alias("is_slot")).distinct()
-    values = met.where("is_slot").groupBy("doc_id", "item_id", "theirs").agg(F.count_distinct("ours").alias("n"), F.count_distinct("place").alias("slots"), F.max(F.col("ours") != F.col("theirs")).alias("changed"))
-    slots = values.groupBy("doc_id", "item_id").agg(F.sum("slots").alias("slots"), F.sum(F.when(F.col("n") == 1, F.col("slots")).otherwise(0)).alias("consistent"), F.max("changed").alias("changed"))
-    cover = met.groupBy("doc_id", "item_id", "item_words").agg(F.count_distinct("place").alias("matched_words"))
-    zero = F.lit(0).cast("long")
-    out = cover.join(slots, ["doc_id", "item_id"], "left").select("doc_id", "item_id", "matched_words", F.col("item_words").cast("long").alias("item_words"), F.coalesce("slots", zero).alias("slots"), F.coalesce("consistent", zero).alias("consistent_slots"), F.coalesce("changed", F.lit(False)).alias("reparameterised"))
-    return out.where((F.col("matched_words") >= F.col("item_words") * coverage) & (F.col("consistent_slots") >= F.col("slots") * consistency))
+    seen = _windows(templates(known, "doc_id").drop("raw"), window).select("doc_id", "copy", "at", "hash").join(hashes, "hash", "left_semi")
+    seen = stored(seen, "seen").distinct()
+    pairs = stored(seen.join(items, "hash").drop("hash").withColumn("diagonal", F.col("at") - F.col("item_at")), "pairs")
+    places = F.sequence(F.col("item_at"), F.col("item_at") + window - 1)
+    met = _occurrences(pairs).select("doc_id", "copy", "item_id", "version", "item_words", "part", "diagonal", F.explode(places).alias("place")).distinct()
+    # Each word of the item with each word it met.
+    likely = known.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
+    ours = templates(likely, "doc_id").select("doc_id", "copy", F.posexplode("raw").alias("at", "ours")).distinct()
+    ours = ours.withColumn("at", F.col("at") + 1)
+    theirs = wanted.select("item_id", "version", F.posexplode(F.arrays_zip("raw", "words")).alias("place", "w")).select("item_id", "version", (F.col("place") + 1).alias("place"), F.col("w.raw").alias("theirs"), F.col("w.words").startswith("<").alias("is_slot")).distinct()
+    met = met.withColumn("at", F.col("place") + F.col("diagonal")).join(ours, ["doc_id", "copy", "at"]).join(theirs, ["item_id", "version", "place"])
+    group = ["doc_id", "item_id", "version", "item_words", "part"]
+    values = met.groupBy(*group, "theirs").agg(F.count_distinct("place").alias("places"), F.count_distinct(F.when(F.col("is_slot"), F.col("place"))).alias("slots"), F.count_distinct(F.when(F.col("is_slot"), F.col("ours"))).alias("n"), F.max(F.col("is_slot") & (F.col("ours") != F.col("theirs"))).alias("changed"))
+    judged = values.groupBy(*group).agg(F.sum("places").alias("matched_words"), F.sum("slots").alias("slots"), F.sum(F.when(F.col("n") == 1, F.col("slots")).otherwise(0)).alias("consistent_slots"), F.max("changed").alias("changed"))
+    passed = judged.where((F.col("matched_words") >= F.col("item_words") * coverage) & (F.col("consistent_slots") >= F.col("slots") * consistency))
+    best = passed.groupBy("doc_id", "item_id").agg(F.max(F.struct("matched_words", "consistent_slots", (-F.col("slots")).alias("slots"), (~F.col("changed")).alias("same"), "item_words")).alias("b"))
+    return best.select("doc_id", "item_id", "b.matched_words", "b.item_words", (-F.col("b.slots")).alias("slots"), "b.consistent_slots", (~F.col("b.same")).alias("reparameterised"))
 
 
 def op3_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -282,6 +282,15 @@ def test_op3_short_runs_at_all_offsets(spark):
     assert found == {(100 * k + n, m, min(n, m)) for k in range(4) for n in (8, 9, 10) for m in (8, 9, 10, 20) if min(n, m) >= m / 2}
 
 
+def test_op3_item_and_variants_in_one_document(spark):
+    text = "Then {0} bought {1} apples for {2} dollars and gave {1} of them to {3} yesterday{4} evening in the garden."
+    a, b, c, d = text.format("Anna", 12, 3, "Bob", ""), text.format("Mary", 7, 9, "Tom", ""), text.format("Eve", 5, 8, "Max", ""), text.format("Eve", 5, 8, "Max", " again in the late")
+    bad = "Then Mary bought 7 apples for 9 dollars and gave 8 of them to Tom yesterday evening in the garden."
+    docs = [(1, f"{a} Some words. {b} {c}"), (2, f"{b} {c}"), (3, f"{b} {b}"), (4, f"{bad} and {bad}"), (5, f"{bad} and {d} {d} {b}"), (6, f"{d} {text.format('Mary', 7, 9, 'Tom', ' again in the late')}")]
+    rows = decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, a)], "item_id long, text string")).collect()
+    assert {r.doc_id: r.reparameterised for r in rows} == {1: False, 2: True, 3: True, 5: True, 6: True} and len(rows) == 5
+
+
 def test_op4(spark, given):
     rows = QUERIES["op4_kd_shards"](spark, "/root/testdata/sf0.1").collect()
     size = defaultdict(int)
