@@ -20,16 +20,18 @@ from storyloom.scratch import stored
 # Units of measure and money, as they follow a number.
 UNITS = ["mm", "cm", "m", "km", "inch", "inches", "foot", "feet", "mile", "miles", "mg", "g", "kg", "lb", "lbs", "ton", "tons", "ml", "l", "litre", "litres", "liter", "liters", "s", "sec", "second", "seconds", "minute", "minutes", "hour", "hours", "day", "days", "week", "weeks", "month", "months", "year", "years", "percent", "dollar", "dollars", "euro", "euros", "pound", "pounds", "cent", "cents", "usd", "eur"]
 _MARK = "\x01"
+_START = "\x02"
 #: Benchmark windows up to this many are broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_WINDOWS = 1_000_000
 
 
 def _clean(text: Column) -> Column:
-    """Lower case without ASCII punctuation; a mark before words that are capitalised inside a sentence.
+    """Lower case without ASCII punctuation; marks before words that are capitalised inside a sentence or at its start.
 
     Patterns begin with what is rare, so that most characters are passed at the first test.
     """
     marked = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?=\p{Lu})(?<=[\p{L}\p{N},;:]\s)(?=\p{Lu}\p{Ll})", _MARK)
+    marked = F.regexp_replace(marked, r"(?=\p{Lu})(?<=(?:^|\s)[\"'(\[“‘„«¿¡]{0,3})(?=\p{Lu}\p{Ll})", _START)
     return F.btrim(F.regexp_replace(F.lower(marked), r"[!-/:-@\[-`{-~]+", ""), F.lit(" \t\n\r\f\x0b"))
 
 
@@ -38,17 +40,23 @@ def _template(clean: Column) -> Column:
     named = F.regexp_replace(clean, rf"{_MARK}\S+", "<name>")
     joined = F.regexp_replace(named, rf"(?=[0-9])(?<=^|\s)[0-9]+(?:{units})(?=\s|$)", "<quantity>")
     numbers = F.regexp_replace(joined, r"(?=[0-9])(?<=^|\s)[0-9]+(?=\s|$)", "<number>")
-    return F.when(clean.rlike("[0-9]"), F.regexp_replace(numbers, rf"<number>(\s+)(?:{units})(?=\s|$)", "<number>$1<unit>")).otherwise(named)
+    return F.when(clean.rlike("[0-9]"), F.regexp_replace(numbers, rf"<number>(\s+){_START}?(?:{units})(?=\s|$)", "<number>$1<unit>")).otherwise(named)
 
 
 def templates(rows: DataFrame, key: str) -> DataFrame:
-    """key, a hash of the text (``copy``), raw words and template words, which correspond one to one."""
+    """key, a hash of the text (``copy``), raw words and template words in two forms, which correspond one to one.
+
+    A capitalised word at the start of a sentence may be a name or not: it is a plain word in ``words``
+    and a name in ``named``.
+    """
     cleaned = rows.select(F.col(key).cast("long").alias(key), F.xxhash64("text").alias("copy"), _clean(F.col("text")).alias("_clean"))
-    return cleaned.select(key, "copy", F.split("_clean", r"\s+").alias("raw"), F.split(_template(F.col("_clean")), r"\s+").alias("words"))
+    marked = cleaned.select(key, "copy", F.translate("_clean", _MARK + _START, "").alias("raw"), _template(F.col("_clean")).alias("_marked"))
+    plain, named = F.translate("_marked", _START, ""), F.regexp_replace("_marked", rf"{_START}\S+", "<name>")
+    return marked.select(key, "copy", *[F.split(c, r"\s+").alias(n) for c, n in ((F.col("raw"), "raw"), (plain, "words"), (named, "named"))])
 
 
 def _windows(frame: DataFrame, window: int) -> DataFrame:
-    """Add ``at`` (from 1) and ``hash`` of each window.
+    """Add ``at`` (from 1), ``hash`` and ``plain`` of each window, once more as names (not ``plain``) where that differs.
 
     Words are taken one by one, since a slice would copy the whole text for each window. Short texts give
     an empty list, and the outer explode drops none: a filter before it would be moved below the template
@@ -56,8 +64,11 @@ def _windows(frame: DataFrame, window: int) -> DataFrame:
     """
     last = F.size("words") - window
     starts = F.sequence(F.lit(0), F.greatest(last, F.lit(0)))
-    hashes = F.transform(starts, lambda i: F.when(last >= 0, F.xxhash64(*[F.get("words", i + j) for j in range(window)])))
-    return frame.select(*frame.columns, F.posexplode_outer(hashes).alias("at", "hash")).where("hash IS NOT NULL").withColumn("at", F.col("at") + 1)
+    hashes = lambda c: F.transform(starts, lambda i: F.when(last >= 0, F.xxhash64(*[F.get(c, i + j) for j in range(window)])))
+    both = frame.select(*frame.columns, hashes("words").alias("_plain"), hashes("named").alias("_named"))
+    every = F.concat("_plain", F.zip_with("_plain", "_named", lambda p, n: F.when(p != n, n)))
+    out = both.select(*frame.columns, F.size("_plain").alias("_n"), F.posexplode_outer(every).alias("_at", "hash")).where("hash IS NOT NULL")
+    return out.withColumn("at", F.col("_at") % F.col("_n") + 1).withColumn("plain", F.col("_at") < F.col("_n")).drop("_at", "_n")
 
 
 def _occurrences(pairs: DataFrame) -> DataFrame:
@@ -86,30 +97,34 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverag
 
     ``matched_words`` of the item's ``item_words`` lie in windows of equal template words, at least
     ``coverage`` of them. Of the item's ``slots`` that matched, at least ``consistency`` must be
-    consistent: an item's value always meets the same value. Both are judged for the whole document and
+    consistent: an item's value always meets the same value. A capitalised word at the start of a sentence
+    matches as the word it is or as a name. Both are judged for the whole document and
     for each occurrence in it; one that passes is enough, and of several the row describes the one with
     most matched words. ``reparameterised`` says that some value differs there. Null or empty texts, texts
     of fewer than ``window`` words, and null ids match nothing. Repeated rows of one id count as one; other
     columns are ignored.
     """
     wanted = templates(benchmark.where("item_id IS NOT NULL"), "item_id").withColumnRenamed("copy", "version").withColumn("item_words", F.size("words").cast("long"))
-    items = stored(_windows(wanted, window).select("item_id", "version", "item_words", F.col("at").alias("item_at"), "hash").distinct(), "items")
+    items = stored(_windows(wanted, window).select("item_id", "version", "item_words", F.col("at").alias("item_at"), "hash", F.col("plain").alias("item_plain")).distinct(), "items")
     hashes = items.select("hash").distinct()
     if items.count() <= BROADCAST_WINDOWS:
         hashes = F.broadcast(hashes)
     known = docs.where("doc_id IS NOT NULL")
-    seen = _windows(templates(known, "doc_id").drop("raw"), window).select("doc_id", "copy", "at", "hash").join(hashes, "hash", "left_semi")
+    seen = _windows(templates(known, "doc_id").drop("raw"), window).select("doc_id", "copy", "at", "hash", "plain").join(hashes, "hash", "left_semi")
     seen = stored(seen, "seen").distinct()
-    pairs = stored(seen.join(items, "hash").drop("hash").withColumn("diagonal", F.col("at") - F.col("item_at")), "pairs")
+    pairs = seen.join(items, "hash").groupBy("doc_id", "copy", "item_id", "version", "item_words", "at", "item_at").agg(F.max(F.col("plain") & F.col("item_plain")).alias("plain"))
+    pairs = stored(pairs.withColumn("diagonal", F.col("at") - F.col("item_at")), "pairs")
     places = F.sequence(F.col("item_at"), F.col("item_at") + window - 1)
-    met = _occurrences(pairs).select("doc_id", "copy", "item_id", "version", "item_words", "part", "diagonal", F.explode(places).alias("place")).distinct()
+    met = _occurrences(pairs).select("doc_id", "copy", "item_id", "version", "item_words", "part", "diagonal", "plain", F.explode(places).alias("place"))
+    # Windows equal as plain words are judged by themselves and with the others.
+    met = met.withColumn("plain", F.explode(F.when(F.col("plain"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False))))).distinct()
     # Each word of the item with each word it met.
     likely = known.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
     ours = templates(likely, "doc_id").select("doc_id", "copy", F.posexplode("raw").alias("at", "ours")).distinct()
     ours = ours.withColumn("at", F.col("at") + 1)
-    theirs = wanted.select("item_id", "version", F.posexplode(F.arrays_zip("raw", "words")).alias("place", "w")).select("item_id", "version", (F.col("place") + 1).alias("place"), F.col("w.raw").alias("theirs"), F.col("w.words").startswith("<").alias("is_slot")).distinct()
-    met = met.withColumn("at", F.col("place") + F.col("diagonal")).join(ours, ["doc_id", "copy", "at"]).join(theirs, ["item_id", "version", "place"])
-    group = ["doc_id", "item_id", "version", "item_words", "part"]
+    theirs = wanted.select("item_id", "version", F.posexplode(F.arrays_zip("raw", "words", "named")).alias("place", "w")).select("item_id", "version", (F.col("place") + 1).alias("place"), F.col("w.raw").alias("theirs"), F.col("w.words").startswith("<").alias("_words"), F.col("w.named").startswith("<").alias("_named")).distinct()
+    met = met.withColumn("at", F.col("place") + F.col("diagonal")).join(ours, ["doc_id", "copy", "at"]).join(theirs, ["item_id", "version", "place"]).withColumn("is_slot", F.when(F.col("plain"), F.col("_words")).otherwise(F.col("_named")))
+    group = ["doc_id", "item_id", "version", "item_words", "part", "plain"]
     values = met.groupBy(*group, "theirs").agg(F.count_distinct("place").alias("places"), F.count_distinct(F.when(F.col("is_slot"), F.col("place"))).alias("slots"), F.count_distinct(F.when(F.col("is_slot"), F.col("ours"))).alias("n"), F.max(F.col("is_slot") & (F.col("ours") != F.col("theirs"))).alias("changed"))
     judged = values.groupBy(*group).agg(F.sum("places").alias("matched_words"), F.sum("slots").alias("slots"), F.sum(F.when(F.col("n") == 1, F.col("slots")).otherwise(0)).alias("consistent_slots"), F.max("changed").alias("changed"))
     passed = judged.where((F.col("matched_words") >= F.col("item_words") * coverage) & (F.col("consistent_slots") >= F.col("slots") * consistency))

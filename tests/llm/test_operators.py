@@ -291,6 +291,17 @@ def test_op3_item_and_variants_in_one_document(spark):
     assert {r.doc_id: r.reparameterised for r in rows} == {1: False, 2: True, 3: True, 5: True, 6: True} and len(rows) == 5
 
 
+def test_op3_names_at_sentence_starts(spark):
+    text = "{0} has {2} apples. {0} gives {3} to {1}. {1} eats one of them. {0} sells the rest at noon! {1} asks how many are left? {0} says nothing."
+    item = text.format("Anna", "Bob", 12, 3)
+    docs = [(1, text.format("Mary", "Tom", 9, 4)), (2, f"He said: {text.format('Mary', 'Tom', 9, 4)}"), (3, item), (4, item.lower()), (5, text.format("Mary", "Tom", 9, 4).replace("Mary says", "Eve says").replace("Tom asks", "Max asks").replace("Mary sells", "Sue sells").replace("Tom eats", "Jim eats"))]
+    rows = decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert {r.doc_id: r.reparameterised for r in rows} == {1: True, 2: True, 3: False, 4: False}
+    plain = "The tall trees stand near old grey stone walls. Behind many quiet green hills a pale morning sky is seen."
+    rows = decontamination.contaminated(spark.createDataFrame([(1, plain.lower()), (2, plain)], "doc_id long, text string"), spark.createDataFrame([(1, plain)], "item_id long, text string")).collect()
+    assert {(r.doc_id, r.matched_words, r.reparameterised) for r in rows} == {(1, 20, False), (2, 20, False)}
+
+
 def test_op4(spark, given):
     rows = QUERIES["op4_kd_shards"](spark, "/root/testdata/sf0.1").collect()
     size = defaultdict(int)
