@@ -118,11 +118,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverag
     met = _occurrences(pairs).select("doc_id", "copy", "item_id", "version", "item_words", "part", "diagonal", "plain", F.explode(places).alias("place"))
     # Windows equal as plain words are judged by themselves and with the others.
     met = met.withColumn("plain", F.explode(F.when(F.col("plain"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False))))).distinct()
-    # Each word of the item with each word it met.
-    likely = known.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
-    ours = templates(likely, "doc_id").select("doc_id", "copy", F.posexplode("raw").alias("at", "ours")).distinct()
+    # Each word of the item with each word it met; what repeated rows repeat is counted once below. The ids
+    # are written first, so that the join knows their size and need not shuffle the texts.
+    likely = known.join(stored(pairs.select("doc_id").distinct(), "likely"), "doc_id", "left_semi")
+    ours = templates(likely, "doc_id").select("doc_id", "copy", F.posexplode("raw").alias("at", "ours"))
     ours = ours.withColumn("at", F.col("at") + 1)
-    theirs = wanted.select("item_id", "version", F.posexplode(F.arrays_zip("raw", "words", "named")).alias("place", "w")).select("item_id", "version", (F.col("place") + 1).alias("place"), F.col("w.raw").alias("theirs"), F.col("w.words").startswith("<").alias("_words"), F.col("w.named").startswith("<").alias("_named")).distinct()
+    theirs = wanted.select("item_id", "version", F.posexplode(F.arrays_zip("raw", "words", "named")).alias("place", "w")).select("item_id", "version", (F.col("place") + 1).alias("place"), F.col("w.raw").alias("theirs"), F.col("w.words").startswith("<").alias("_words"), F.col("w.named").startswith("<").alias("_named"))
     met = met.withColumn("at", F.col("place") + F.col("diagonal")).join(ours, ["doc_id", "copy", "at"]).join(theirs, ["item_id", "version", "place"]).withColumn("is_slot", F.when(F.col("plain"), F.col("_words")).otherwise(F.col("_named")))
     group = ["doc_id", "item_id", "version", "item_words", "part", "plain"]
     values = met.groupBy(*group, "theirs").agg(F.count_distinct("place").alias("places"), F.count_distinct(F.when(F.col("is_slot"), F.col("place"))).alias("slots"), F.count_distinct(F.when(F.col("is_slot"), F.col("ours"))).alias("n"), F.max(F.col("is_slot") & (F.col("ours") != F.col("theirs"))).alias("changed"))
