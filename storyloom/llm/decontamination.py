@@ -6,12 +6,14 @@ placeholders must be consistent: each value of the benchmark item is always repl
 
 Two passes keep the work in proportion. The first hashes every window of each document and looks for it
 among all windows of the benchmark, so that every run of ``window`` equal template words is found, wherever
-it lies. The second compares the words of the windows found, by occurrence, since a document may hold an
+it lies; items of fewer words are windows as a whole. The second compares the words of the windows found, by occurrence, since a document may hold an
 item several times with different values.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,56 +21,96 @@ from storyloom.scratch import stored
 
 # Units of measure and money, as they follow a number.
 UNITS = ["mm", "cm", "m", "km", "inch", "inches", "foot", "feet", "mile", "miles", "mg", "g", "kg", "lb", "lbs", "ton", "tons", "ml", "l", "litre", "litres", "liter", "liters", "s", "sec", "second", "seconds", "minute", "minutes", "hour", "hours", "day", "days", "week", "weeks", "month", "months", "year", "years", "percent", "dollar", "dollars", "euro", "euros", "pound", "pounds", "cent", "cents", "usd", "eur"]
-_MARK = "\x01"
-_START = "\x02"
+#: First characters of words that are names, numbers, quantities or units, and of words that may be names.
+_NAME, _NUMBER, _QUANTITY, _UNIT, _MAYBE = "\x01", "\x02", "\x03", "\x04", "\x05"
+_TYPED = {_NAME: "<name>", _NUMBER: "<number>", _QUANTITY: "<quantity>", _UNIT: "<unit>"}
 #: Benchmark windows up to this many are broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_WINDOWS = 1_000_000
 
 
-def _clean(text: Column) -> Column:
-    """Lower case without ASCII punctuation; marks before words that are capitalised inside a sentence or at its start.
+def _marked(text: Column) -> Column:
+    """Words in lower case without ASCII punctuation; those that a template replaces have their type's mark before them.
 
-    Patterns begin with what is rare, so that most characters are passed at the first test.
+    Patterns begin with what is rare, so that most characters are passed at the first test. Names are
+    capitalised words inside a sentence; at its start they may be names (``_MAYBE``).
     """
-    marked = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?=\p{Lu})(?<=[\p{L}\p{N},;:]\s)(?=\p{Lu}\p{Ll})", _MARK)
-    marked = F.regexp_replace(marked, r"(?=\p{Lu})(?<=(?:^|\s)[\"'(\[“‘„«¿¡]{0,3})(?=\p{Lu}\p{Ll})", _START)
-    return F.btrim(F.regexp_replace(F.lower(marked), r"[!-/:-@\[-`{-~]+", ""), F.lit(" \t\n\r\f\x0b"))
+    marked = F.regexp_replace(F.concat(F.lit(" "), F.coalesce(text, F.lit(""))), r"\s[\"'(\[“‘„«¿¡]{0,3}(?=\p{Lu}\p{Ll})", f"$0{_MAYBE}")
+    marked = F.regexp_replace(marked, rf"{_MAYBE}(?<=[\p{{L}}\p{{N}},;:]\s{_MAYBE})", _NAME)
+    clean = F.concat(F.lit(" "), F.regexp_replace(F.lower(marked), r"[!-/:-@\[-`{-~]+", ""))
+    units = "|".join(UNITS)
+    numbers = F.regexp_replace(clean, r"[0-9](?<=\s[0-9])(?=[0-9]*(?:\s|$))", f"{_NUMBER}$0")
+    quantities = F.regexp_replace(numbers, rf"[0-9](?<=\s[0-9])(?=[0-9]*(?:{units})(?:\s|$))", f"{_QUANTITY}$0")
+    measured = F.regexp_replace(quantities, rf"({_NUMBER}[0-9]+\s+){_MAYBE}?(?={units})(?=(?:{units})(?:\s|$))", f"$1{_UNIT}")
+    return F.split(F.btrim(F.when(clean.rlike("[0-9]"), measured).otherwise(clean), F.lit(" \t\n\r\f\x0b")), r"\s+")
 
 
-def _template(clean: Column) -> Column:
-    units = "|".join(UNITS)
-    named = F.regexp_replace(clean, rf"{_MARK}\S+", "<name>")
-    joined = F.regexp_replace(named, rf"(?=[0-9])(?<=^|\s)[0-9]+(?:{units})(?=\s|$)", "<quantity>")
-    numbers = F.regexp_replace(joined, r"(?=[0-9])(?<=^|\s)[0-9]+(?=\s|$)", "<number>")
-    return F.when(clean.rlike("[0-9]"), F.regexp_replace(numbers, rf"<number>(\s+){_START}?(?:{units})(?=\s|$)", "<number>$1<unit>")).otherwise(named)
+def _raw(word: Column) -> Column:
+    return F.when(word < "\x06", F.substring(word, 2, 1 << 30)).otherwise(word)
 
 
-def templates(rows: DataFrame, key: str) -> DataFrame:
-    """key, a hash of the text (``copy``), raw words and template words in two forms, which correspond one to one.
+def _is_slot(word: Column, maybe: bool) -> Column:
+    """Is the word replaced, that is, typed or, in the form ``maybe``, perhaps a name?"""
+    return (word < (_MAYBE if not maybe else "\x06")) & (word != "")
 
-    A capitalised word at the start of a sentence may be a name or not: it is a plain word in ``words``
-    and a name in ``named``.
-    """
-    cleaned = rows.select(F.col(key).cast("long").alias(key), F.xxhash64("text").alias("copy"), _clean(F.col("text")).alias("_clean"))
-    marked = cleaned.select(key, "copy", F.translate("_clean", _MARK + _START, "").alias("raw"), _template(F.col("_clean")).alias("_marked"))
-    plain, named = F.translate("_marked", _START, ""), F.regexp_replace("_marked", rf"{_START}\S+", "<name>")
-    return marked.select(key, "copy", *[F.split(c, r"\s+").alias(n) for c, n in ((F.col("raw"), "raw"), (plain, "words"), (named, "named"))])
 
+def _template(word: Column, maybe: bool) -> Column:
+    """The word as it stands in a template; ``maybe``: words that may be names are."""
+    typed = F.when(word.startswith(_MAYBE), F.lit("<name>") if maybe else F.substring(word, 2, 1 << 30))
+    for mark, name in _TYPED.items():
+        typed = typed.when(word.startswith(mark), name)
+    return F.when(word < "\x06", typed).otherwise(word)
 
-def _windows(frame: DataFrame, window: int) -> DataFrame:
+
+def templates(rows: DataFrame, key: str) -> DataFrame:
+    """key, a hash of the text (``copy``) and its marked words."""
+    return rows.select(F.col(key).cast("long").alias(key), F.xxhash64("text").alias("copy"), _marked(F.col("text")).alias("marked"))
+
+
+def _windows(frame: DataFrame, window: int, exact: list[int], typed: bool = True) -> DataFrame:
     """Add ``at`` (from 1), ``hash`` and ``plain`` of each window, once more as names (not ``plain``) where that differs.
 
-    Words are taken one by one, since a slice would copy the whole text for each window. Short texts give
-    an empty list, and the outer explode drops none: a filter before it would be moved below the template
-    expressions, which would then be computed twice.
+    For each length of ``exact``, every run of so many words is a window, too, known by its words as they
+    stand. Each word is hashed once, positions are exploded, and windows are hashes of hashes, in code that
+    is small enough to be compiled. The outer explode drops no row: a filter on sizes before it would be
+    moved below the template expressions and compute them twice.
+    """
+    keys = [c for c in frame.columns if c != "marked"]
+    forms = {"_plain": F.transform("marked", lambda w: F.xxhash64(_template(w, False))), "_named": F.transform("marked", lambda w: F.xxhash64(_template(w, True)))} if typed else {}
+    if exact:
+        forms["_raw"] = F.transform("marked", lambda w: F.xxhash64(_raw(w)))
+    lengths = [*([window] if typed else []), *exact]
+    starts = F.sequence(F.lit(0), F.greatest(F.size("marked") - min(lengths), F.lit(0)))
+    rows = frame.select(*keys, F.size("marked").alias("_size"), *[c.alias(n) for n, c in forms.items()], starts.alias("_starts"))
+    rows = rows.select(*keys, "_size", *forms, F.explode_outer("_starts").alias("_i"))
+    run = lambda c, n: [F.get(c, F.col("_i") + j) for j in range(n)]
+    fits = lambda n: F.col("_i") + n <= F.col("_size")
+    hashes = [F.when(fits(window), F.xxhash64(*run(c, window))).alias(c) for c in ("_plain", "_named") if typed]
+    hashes += [F.when(fits(n), F.xxhash64(F.lit(n), *run("_raw", n))).alias(f"_{n}") for n in exact]
+    rows = rows.select(*keys, "_i", *hashes)
+    every = F.array(*(["_plain", F.nullif("_named", "_plain")] if typed else [F.lit(None).cast("long")] * 2), *[f"_{n}" for n in exact])
+    out = rows.select(*keys, "_i", F.posexplode_outer(every).alias("_k", "hash")).where("hash IS NOT NULL")
+    return out.select(*keys, (F.col("_i") + 1).alias("at"), "hash", (F.col("_k") != 1).alias("plain"))
+
+
+def _item_windows(wanted: DataFrame, window: int) -> tuple[DataFrame, list[int]]:
+    """Windows of the benchmark, and the lengths of those that are known by their words as they stand.
+
+    These are items of fewer than ``window`` words, which are one window each, and windows of
+    placeholders only: as templates they would say too little.
     """
-    last = F.size("words") - window
-    starts = F.sequence(F.lit(0), F.greatest(last, F.lit(0)))
-    hashes = lambda c: F.transform(starts, lambda i: F.when(last >= 0, F.xxhash64(*[F.get(c, i + j) for j in range(window)])))
-    both = frame.select(*frame.columns, hashes("words").alias("_plain"), hashes("named").alias("_named"))
-    every = F.concat("_plain", F.zip_with("_plain", "_named", lambda p, n: F.when(p != n, n)))
-    out = both.select(*frame.columns, F.size("_plain").alias("_n"), F.posexplode_outer(every).alias("_at", "hash")).where("hash IS NOT NULL")
-    return out.withColumn("at", F.col("_at") % F.col("_n") + 1).withColumn("plain", F.col("_at") < F.col("_n")).drop("_at", "_n")
+    bare = F.exists(F.sequence(F.lit(0), F.size("marked") - window), lambda i: F.forall(F.slice("marked", i + 1, window), lambda w: _is_slot(w, True)))
+    sizes = wanted.select(F.least("item_words", F.lit(window)).alias("n"), F.when(F.col("item_words") >= window, bare).otherwise(True).alias("exact")).where("exact").select("n").distinct()
+    exact = sorted(r["n"] for r in sizes.collect())  # at most ``window`` numbers
+    long = wanted.where(F.col("item_words") >= window)
+    parts = [_windows(wanted.where(F.col("item_words") == n), window, [n], typed=False) for n in exact if n < window]
+    slots = F.forall(F.slice("marked", F.col("at"), window), lambda w: _is_slot(w, True))
+    whole = long.join(_windows(long, window, []).select("item_id", "version", "at", "hash", "plain"), ["item_id", "version"]).where(~slots)
+    parts.append(whole.select("item_id", "version", "item_words", "at", "hash", "plain"))
+    if window in exact:
+        values = long.join(_windows(long, window, [window], typed=False).select("item_id", "version", "at", "hash", "plain"), ["item_id", "version"]).where(slots)
+        parts.append(values.select("item_id", "version", "item_words", "at", "hash", "plain"))
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows.select("item_id", "version", "item_words", F.col("at").alias("item_at"), "hash", F.col("plain").alias("item_plain")).distinct(), exact
 
 
 def _occurrences(pairs: DataFrame) -> DataFrame:
@@ -100,30 +142,34 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverag
     consistent: an item's value always meets the same value. A capitalised word at the start of a sentence
     matches as the word it is or as a name. Both are judged for the whole document and
     for each occurrence in it; one that passes is enough, and of several the row describes the one with
-    most matched words. ``reparameterised`` says that some value differs there. Null or empty texts, texts
-    of fewer than ``window`` words, and null ids match nothing. Repeated rows of one id count as one; other
+    most matched words. ``reparameterised`` says that some value differs there. An item of fewer than
+    ``window`` words is one window as a whole, and only with its own values, as so short a template says too
+    little. Null or empty texts and null ids match nothing. Repeated rows of one id count as one; other
     columns are ignored.
     """
-    wanted = templates(benchmark.where("item_id IS NOT NULL"), "item_id").withColumnRenamed("copy", "version").withColumn("item_words", F.size("words").cast("long"))
-    items = stored(_windows(wanted, window).select("item_id", "version", "item_words", F.col("at").alias("item_at"), "hash", F.col("plain").alias("item_plain")).distinct(), "items")
+    wanted = templates(benchmark.where("item_id IS NOT NULL"), "item_id").where("marked[0] <> '' OR size(marked) > 1")
+    wanted = stored(wanted.withColumnRenamed("copy", "version").withColumn("item_words", F.size("marked").cast("long")), "wanted")
+    items, exact = _item_windows(wanted, window)
+    items = stored(items, "items")
     hashes = items.select("hash").distinct()
     if items.count() <= BROADCAST_WINDOWS:
-        hashes = F.broadcast(hashes)
+        hashes, items = F.broadcast(hashes), F.broadcast(items)
     known = docs.where("doc_id IS NOT NULL")
-    seen = _windows(templates(known, "doc_id").drop("raw"), window).select("doc_id", "copy", "at", "hash", "plain").join(hashes, "hash", "left_semi")
+    seen = _windows(templates(known, "doc_id"), window, exact).join(hashes, "hash", "left_semi")
     seen = stored(seen, "seen").distinct()
     pairs = seen.join(items, "hash").groupBy("doc_id", "copy", "item_id", "version", "item_words", "at", "item_at").agg(F.max(F.col("plain") & F.col("item_plain")).alias("plain"))
     pairs = stored(pairs.withColumn("diagonal", F.col("at") - F.col("item_at")), "pairs")
-    places = F.sequence(F.col("item_at"), F.col("item_at") + window - 1)
+    places = F.sequence(F.col("item_at"), F.least(F.col("item_at") + window - 1, F.col("item_words")))
     met = _occurrences(pairs).select("doc_id", "copy", "item_id", "version", "item_words", "part", "diagonal", "plain", F.explode(places).alias("place"))
     # Windows equal as plain words are judged by themselves and with the others.
     met = met.withColumn("plain", F.explode(F.when(F.col("plain"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False))))).distinct()
     # Each word of the item with each word it met; what repeated rows repeat is counted once below. The ids
     # are written first, so that the join knows their size and need not shuffle the texts.
     likely = known.join(stored(pairs.select("doc_id").distinct(), "likely"), "doc_id", "left_semi")
-    ours = templates(likely, "doc_id").select("doc_id", "copy", F.posexplode("raw").alias("at", "ours"))
-    ours = ours.withColumn("at", F.col("at") + 1)
-    theirs = wanted.select("item_id", "version", F.posexplode(F.arrays_zip("raw", "words", "named")).alias("place", "w")).select("item_id", "version", (F.col("place") + 1).alias("place"), F.col("w.raw").alias("theirs"), F.col("w.words").startswith("<").alias("_words"), F.col("w.named").startswith("<").alias("_named"))
+    ours = templates(likely, "doc_id").select("doc_id", "copy", F.posexplode("marked").alias("at", "ours"))
+    ours = ours.select("doc_id", "copy", (F.col("at") + 1).alias("at"), _raw(F.col("ours")).alias("ours"))
+    theirs = wanted.select("item_id", "version", F.posexplode("marked").alias("place", "w"))
+    theirs = theirs.select("item_id", "version", (F.col("place") + 1).alias("place"), _raw(F.col("w")).alias("theirs"), _is_slot(F.col("w"), False).alias("_words"), _is_slot(F.col("w"), True).alias("_named"))
     met = met.withColumn("at", F.col("place") + F.col("diagonal")).join(ours, ["doc_id", "copy", "at"]).join(theirs, ["item_id", "version", "place"]).withColumn("is_slot", F.when(F.col("plain"), F.col("_words")).otherwise(F.col("_named")))
     group = ["doc_id", "item_id", "version", "item_words", "part", "plain"]
     values = met.groupBy(*group, "theirs").agg(F.count_distinct("place").alias("places"), F.count_distinct(F.when(F.col("is_slot"), F.col("place"))).alias("slots"), F.count_distinct(F.when(F.col("is_slot"), F.col("ours"))).alias("n"), F.max(F.col("is_slot") & (F.col("ours") != F.col("theirs"))).alias("changed"))
