@@ -26,7 +26,8 @@ def normalized(text: Column) -> Column:
     """Compatibility form, one form of each mark, no white space; ASCII texts skip the Python step."""
     from storyloom.functions.similarity import nfkc
 
-    composed = F.when(text.rlike(r"^\p{ASCII}*$"), text).otherwise(nfkc(text))
+    ascii_only = text.rlike(r"^\p{ASCII}*$")
+    composed = F.when(ascii_only, text).otherwise(nfkc(F.when(~ascii_only, text)))
     expanded = F.regexp_replace(composed, "…", "...")
     return flat(F.translate(expanded, "".join(PUNCTUATION), "".join(PUNCTUATION.values())))
 

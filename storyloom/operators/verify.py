@@ -16,11 +16,11 @@ from storyloom.functions.text import SPEECH, flat, is_speech, normalized, speech
 def check_quotes(quotes: DataFrame, paragraphs: DataFrame, near: float = 0.70, norm=normalized) -> DataFrame:
     """quotes (qid, seq, para, quote) with status, para_found, para_correct, similarity.
 
-    Order of checks: empty; in the claimed paragraph; in any paragraph of the unit (the first counts);
+    Paragraph 0 is no claim. Order of checks: empty; in the claimed paragraph; in any paragraph of the unit (the first counts);
     across paragraphs (para_found -1); else near or miss by similarity. para_correct is null where no
     paragraph is claimed or the quote goes across paragraphs.
     """
-    own = quotes.withColumn("_q", norm(F.coalesce("quote", F.lit(""))))
+    own = quotes.withColumn("para", F.nullif("para", F.lit(0))).withColumn("_q", norm(F.coalesce("quote", F.lit(""))))
     text = paragraphs.select("seq", F.col("para").alias("_p"), norm(F.col("text")).alias("_t"))
     empty = own.where("_q = ''").select("qid", F.lit("empty").alias("status"), F.lit(None).cast("int").alias("para_found"), F.lit(None).cast("boolean").alias("para_correct"), F.lit(0.0).alias("similarity"))
     full = own.where("_q <> ''")
@@ -59,10 +59,13 @@ def unit_report(checked: DataFrame, most: int = 80) -> DataFrame:
     return checked.groupBy("seq").agg(n("exact").alias("exact"), n("near").alias("near"), n("miss").alias("miss"), total.alias("total"), F.when(total > 0, n("exact") / total).otherwise(1.0).alias("verbatim_rate"), F.count_if(F.col("para_correct") == F.lit(False)).alias("misplaced"), F.slice(F.array_sort(F.collect_list(problem)), 1, most).alias("problems"))
 
 
-def coverage(paragraphs: DataFrame, extracted: DataFrame, pattern: str = SPEECH, norm=flat, speech=is_speech, samples: int = 20) -> DataFrame:
-    """seq, speech, covered, coverage_rate (1 when there is no speech), missed: speech segments of the source in the extracted quotes."""
+def coverage(paragraphs: DataFrame, extracted: DataFrame, pattern: str = SPEECH, norm=normalized, speech=is_speech, samples: int = 20) -> DataFrame:
+    """seq, speech, covered, coverage_rate (1 when there is no speech), missed: speech segments of the source in the extracted quotes.
+
+    A segment is covered if it is in the unit's extracted texts, in normal form and in order of their paragraphs, one after the other.
+    """
     found = paragraphs.select("seq", "para", F.posexplode(speech_segments(F.col("text"), pattern)).alias("pos", "segment")).where(speech(F.col("segment")))
-    given = extracted.groupBy("seq").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("para", norm(F.col("quote")).alias("t")))), lambda x: x["t"]), "\n").alias("_given"))
+    given = extracted.groupBy("seq").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("para", norm(F.col("quote")).alias("t")))), lambda x: x["t"]), "").alias("_given"))
     rows = found.join(given, "seq", "left").withColumn("_has", F.contains(F.coalesce("_given", F.lit("")), norm(F.col("segment"))))
     missed = F.array_sort(F.collect_list(F.when(~F.col("_has"), F.struct("para", "pos", "segment"))))
     out = rows.groupBy("seq").agg(F.count("*").alias("speech"), F.count_if(F.col("_has")).alias("covered"), F.transform(F.slice(missed, 1, samples), lambda x: x["segment"]).alias("missed"))
