@@ -152,25 +152,34 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverag
     items, exact = _item_windows(wanted, window)
     items = stored(items, "items")
     hashes = items.select("hash").distinct()
-    if items.count() <= BROADCAST_WINDOWS:
+    small = items.count() <= BROADCAST_WINDOWS
+    if small:
         hashes, items = F.broadcast(hashes), F.broadcast(items)
     known = docs.where("doc_id IS NOT NULL")
     seen = _windows(templates(known, "doc_id"), window, exact).join(hashes, "hash", "left_semi")
     seen = stored(seen, "seen").distinct()
     pairs = seen.join(items, "hash").groupBy("doc_id", "copy", "item_id", "version", "item_words", "at", "item_at").agg(F.max(F.col("plain") & F.col("item_plain")).alias("plain"))
     pairs = stored(pairs.withColumn("diagonal", F.col("at") - F.col("item_at")), "pairs")
-    places = F.sequence(F.col("item_at"), F.least(F.col("item_at") + window - 1, F.col("item_words")))
-    met = _occurrences(pairs).select("doc_id", "copy", "item_id", "version", "item_words", "part", "diagonal", "plain", F.explode(places).alias("place"))
-    # Windows equal as plain words are judged by themselves and with the others.
-    met = met.withColumn("plain", F.explode(F.when(F.col("plain"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False))))).distinct()
+    # Windows equal as plain words are judged by themselves and with the others. Of windows that follow each other on
+    # a diagonal, each gives only the places that those before have not given.
+    key = ["doc_id", "copy", "item_id", "version", "item_words", "part", "diagonal", "plain"]
+    met = _occurrences(pairs).withColumn("plain", F.explode(F.when(F.col("plain"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))))
+    last = F.least(F.col("item_at") + window - 1, F.col("item_words"))
+    given = F.max(last).over(Window.partitionBy(*key).orderBy("item_at").rowsBetween(Window.unboundedPreceding, -1))
+    met = met.withColumn("_from", F.greatest(F.col("item_at"), F.coalesce(given + 1, F.lit(1)))).where(F.col("_from") <= last)
+    met = met.select(*key, F.explode_outer(F.sequence("_from", last)).alias("place"))
     # Each word of the item with each word it met; what repeated rows repeat is counted once below. The ids
     # are written first, so that the join knows their size and need not shuffle the texts.
     likely = known.join(stored(pairs.select("doc_id").distinct(), "likely"), "doc_id", "left_semi")
-    ours = templates(likely, "doc_id").select("doc_id", "copy", F.posexplode("marked").alias("at", "ours"))
+    # The outer explode again: a filter on sizes would be moved to the scan and canonicalise all texts.
+    ours = templates(likely, "doc_id").select("doc_id", "copy", F.posexplode_outer("marked").alias("at", "ours"))
     ours = ours.select("doc_id", "copy", (F.col("at") + 1).alias("at"), _raw(F.col("ours")).alias("ours"))
     theirs = wanted.select("item_id", "version", F.posexplode("marked").alias("place", "w"))
     theirs = theirs.select("item_id", "version", (F.col("place") + 1).alias("place"), _raw(F.col("w")).alias("theirs"), _is_slot(F.col("w"), False).alias("_words"), _is_slot(F.col("w"), True).alias("_named"))
-    met = met.withColumn("at", F.col("place") + F.col("diagonal")).join(ours, ["doc_id", "copy", "at"]).join(theirs, ["item_id", "version", "place"]).withColumn("is_slot", F.when(F.col("plain"), F.col("_words")).otherwise(F.col("_named")))
+    if small:
+        theirs = F.broadcast(theirs)
+    # Neither side has a bound, and files say little of what their rows explode to.
+    met = met.withColumn("at", F.col("place") + F.col("diagonal")).hint("merge").join(ours, ["doc_id", "copy", "at"]).join(theirs, ["item_id", "version", "place"]).withColumn("is_slot", F.when(F.col("plain"), F.col("_words")).otherwise(F.col("_named")))
     group = ["doc_id", "item_id", "version", "item_words", "part", "plain"]
     values = met.groupBy(*group, "theirs").agg(F.count_distinct("place").alias("places"), F.count_distinct(F.when(F.col("is_slot"), F.col("place"))).alias("slots"), F.count_distinct(F.when(F.col("is_slot"), F.col("ours"))).alias("n"), F.max(F.col("is_slot") & (F.col("ours") != F.col("theirs"))).alias("changed"))
     judged = values.groupBy(*group).agg(F.sum("places").alias("matched_words"), F.sum("slots").alias("slots"), F.sum(F.when(F.col("n") == 1, F.col("slots")).otherwise(0)).alias("consistent_slots"), F.max("changed").alias("changed"))
