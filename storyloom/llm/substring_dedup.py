@@ -1,12 +1,14 @@
 """Removal of passages that repeat across documents (operator 2): seed and extend.
 
-A window is ``window`` consecutive words. The seed of a window is the least hash among its runs of
-``seed_words`` words (winnowing: neighbouring windows mostly share it, and equal windows always do).
-Seeds that occur in two documents select, document by document, the places that are worth comparing;
-from each, the match is extended both ways over the windows that contain the seed. Windows that start in
-a document with a smaller doc_id are marked, and marked windows that touch are one maximal repeat.
-Only windows around repeated seeds are shuffled, as hashes; each window's first owner comes from
-min(), so that a passage which very many documents share is never gathered in one task.
+A window is ``window`` consecutive words. Its anchor is the least hash among its runs of ``seed_words``
+words (winnowing: neighbouring windows mostly share it, and equal windows always do). Documents are joined
+on anchors that two of them have. From each such place the match is extended both ways: over the
+windows that contain the anchor and, along the diagonal of the two documents, over all windows that follow
+without a gap, up to a maximal repeat of ``window`` words or more.
+
+The partner of a window is its first owner, the smallest doc_id that has it and its first place there. It comes
+from min(), so a passage which very many documents share is never gathered in one task, and no pairs of
+all its holders arise; as every repeated window has a first owner, no repeated word is lost.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyloom.llm.text_arrays import flat, gathered, member, mix, ngrams, slices, span_hashes, words
+from storyloom.llm.text_arrays import flat, gathered, member, ngrams, slices, span_hashes, words
 from storyloom.scratch import dropped, stored
 
 
@@ -44,8 +46,12 @@ class Windows:
             self.seeds = (np.minimum(span[: len(span) - rest], span[rest:]) if rest else span)[self.at]
 
 
+def _column(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(batch.schema.get_field_index(name)).to_numpy()
+
+
 def _rows(batch: pa.RecordBatch) -> np.ndarray:
-    return batch.column(batch.schema.get_field_index("doc_id")).to_numpy()
+    return _column(batch, "doc_id")
 
 
 def _seeds(docs: DataFrame, window: int, seed_words: int) -> DataFrame:
@@ -62,69 +68,114 @@ def _seeds(docs: DataFrame, window: int, seed_words: int) -> DataFrame:
 
 
 def _windows_at(docs: DataFrame, window: int, seed_words: int) -> DataFrame:
-    """hash, doc_id of the windows around the seeds listed in ``seeds``."""
+    """hash, doc_id, place of the windows around the anchors listed in ``seeds``; a place is the text's tag and the window's position."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             w = Windows(batch, window, seed_words)
             wanted = batch.column(batch.schema.get_field_index("seeds")).flatten().to_numpy().view(np.uint64)
             at = member(w.seeds, wanted)
-            yield pa.RecordBatch.from_arrays([pa.array(w.hashes[at].view(np.int64)), pa.array(_rows(batch)[w.owner[at]])], names=["hash", "doc_id"])
+            owner = w.owner[at]
+            first = np.searchsorted(w.doc, np.arange(batch.num_rows))
+            place = _column(batch, "tag")[owner] << 32 | (w.at[at] - first[owner])
+            yield pa.RecordBatch.from_arrays([pa.array(w.hashes[at].view(np.int64)), pa.array(_rows(batch)[owner]), pa.array(place)], names=["hash", "doc_id", "place"])
+
+    return docs.mapInArrow(emit, "hash long, doc_id long, place long")
 
-    return docs.mapInArrow(emit, "hash long, doc_id long")
 
+def _extended(at: np.ndarray, first_doc: np.ndarray, first_place: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """Maximal repeats from matched windows of one text: start, words, first_doc, first_start.
+
+    Windows with one partner text and one distance between the places lie on one diagonal; those that
+    follow each other there are one repeat.
+    """
+    tag, first_at = first_place >> 32, first_place & 0xFFFFFFFF
+    diagonal = at - first_at
+    order = np.lexsort((at, diagonal, tag, first_doc))
+    a, d, t, f = at[order], diagonal[order], tag[order], first_doc[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1] + 1) | (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (f[1:] != f[:-1])
+    begin = np.flatnonzero(new)
+    stop = np.append(begin[1:], len(a)) - 1
+    by = np.argsort(a[begin], kind="stable")
+    begin, stop = begin[by], stop[by]
+    return a[begin], a[stop] - a[begin] + window, f[begin], a[begin] - d[begin]
 
-def _without(docs: DataFrame, window: int, seed_words: int) -> DataFrame:
-    """Apply ``hashes``, each document's windows to remove."""
+
+REPEAT = "start long, n_words long, first_doc long, first_start long"
+
+
+def _without(docs: DataFrame, window: int) -> DataFrame:
+    """Extend ``matches`` of each document to its maximal repeats, and take them out."""
+    fields = [x.split()[0] for x in REPEAT.split(", ")]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             n = batch.num_rows
-            w = Windows(batch, window, seed_words, seeds=False)
-            lists = batch.column(batch.schema.get_field_index("hashes"))
-            row = np.repeat(np.arange(n), lists.value_lengths().fill_null(0).to_numpy())
-            own = lambda hashes, rows: mix(hashes + rows.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))  # noqa: E731  a list holds for its own text only
-            gone = w.at[member(own(w.hashes, w.owner), own(lists.flatten().to_numpy().view(np.uint64), row))]
-            cover = np.zeros(len(w.starts) + 1, np.int64)
-            np.add.at(cover, gone, 1)
-            np.add.at(cover, gone + window, -1)
+            data, offsets = flat(batch.column(batch.schema.get_field_index("text")))
+            starts, ends, doc = words(data, offsets)
+            first = np.searchsorted(doc, np.arange(n))
+            lists, tags = batch.column(batch.schema.get_field_index("matches")), _column(batch, "tag")
+            size = lists.value_lengths().fill_null(0).to_numpy()
+            flat_lists = lists.flatten()
+            place, first_doc, first_place = (flat_lists.field(i).to_numpy() for i in range(3))
+            row = np.repeat(np.arange(n), size)
+            own = place >> 32 == tags[row]  # rows of one doc_id may have different texts
+            row, place, first_doc, first_place = row[own], place[own], first_doc[own], first_place[own]
+            cover = np.zeros(len(starts) + 1, np.int64)
+            found: list[list] = [[], [], [], []]
+            many = np.zeros(n, np.int64)
+            cuts = np.searchsorted(row, np.arange(n + 1))
+            for i in np.flatnonzero(np.diff(cuts)).tolist():
+                part = slice(cuts[i], cuts[i + 1])
+                repeats = _extended(place[part] & 0xFFFFFFFF, first_doc[part], first_place[part], window)
+                np.add.at(cover, first[i] + repeats[0], 1)
+                np.add.at(cover, first[i] + repeats[0] + repeats[1], -1)
+                many[i] = len(repeats[0])
+                for to, values in zip(found, repeats, strict=True):
+                    to.append(values)
             keep = np.cumsum(cover[:-1]) == 0
-            starts, length, doc = w.starts[keep], (w.ends - w.starts)[keep], w.doc[keep]
-            size = length + 1
-            buffer = np.full(int(size.sum()), 0x20, np.uint8)
-            firsts = np.cumsum(size) - size
-            buffer[gathered(firsts, length)] = w.data[gathered(starts, length)]
-            ends = np.cumsum(np.bincount(doc, size, n).astype(np.int64))
-            raw, begins = buffer.tobytes(), np.concatenate([[0], ends[:-1]])
-            texts = [raw[a : max(a, b - 1)] for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
-            total = np.bincount(w.doc, minlength=n)
-            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("doc_id")), pa.array(total.astype(np.int64)), pa.array((total - np.bincount(doc, minlength=n)).astype(np.int64)), pa.array(texts, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept_text"])
-
-    return docs.mapInArrow(emit, "doc_id long, n_words long, n_removed long, kept_text string")
+            begin, length, kept = starts[keep], (ends - starts)[keep], doc[keep]
+            spaced = length + 1
+            buffer = np.full(int(spaced.sum()), 0x20, np.uint8)
+            buffer[gathered(np.cumsum(spaced) - spaced, length)] = data[gathered(begin, length)]
+            stops = np.cumsum(np.bincount(kept, spaced, n).astype(np.int64))
+            raw, begins = buffer.tobytes(), np.concatenate([[0], stops[:-1]])
+            texts = [raw[a : max(a, b - 1)] for a, b in zip(begins.tolist(), stops.tolist(), strict=True)]
+            total = np.bincount(doc, minlength=n).astype(np.int64)
+            removed = total - np.bincount(kept, minlength=n)
+            repeats = pa.StructArray.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for x in found], names=fields)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32)), repeats)
+            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("doc_id")), pa.array(total), pa.array(removed), lists, pa.array(texts, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "repeats", "kept_text"])
+
+    kind = ", ".join(f"{x.split()[0]}: {x.split()[1]}" for x in REPEAT.split(", "))
+    return docs.mapInArrow(emit, f"doc_id long, n_words long, n_removed long, repeats array<struct<{kind}>>, kept_text string")
 
 
 def remove_repeats(docs: DataFrame, window: int = 13, seed_words: int | None = None) -> DataFrame:
-    """doc_id, n_words, n_removed and kept_text (kept words joined by one space), one row for each row.
+    """doc_id, n_words, n_removed, repeats and kept_text (kept words joined by one space), one row for each row.
 
-    A word goes if a window that covers it also starts in a document with a smaller doc_id. A null
+    A word goes if a window that covers it also starts in a document with a smaller doc_id. ``repeats``
+    are the maximal repeats of the text with the first owners of its windows, by words from 0 (see :data:`REPEAT`). A null
     text has no words; texts of fewer than ``window`` words are kept whole. Rows of equal doc_id
     never remove each other; rows whose doc_id is null neither remove nor lose words. Other columns are
     ignored. Windows are compared by 64-bit hashes.
     """
-    seed_words = seed_words or max(1, min(8, window // 3))
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    seed_words = seed_words or max(1, min(8, window - 5))
+    docs = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)).alias("tag"))
     known = docs.where("doc_id IS NOT NULL")
     seeds = _seeds(known, window, seed_words)
     repeated = stored(seeds.groupBy("seed").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("seed"), "seeds")
-    places = stored(seeds.join(repeated, "seed", "left_semi").groupBy("doc_id").agg(F.collect_list("seed").alias("seeds")), "places")
+    places = stored(seeds.join(repeated, "seed", "left_semi").groupBy("doc_id").agg(F.collect_set("seed").alias("seeds")), "places")
     dropped(repeated)
     windows = stored(_windows_at(known.join(places, "doc_id"), window, seed_words), "windows")
     dropped(places)
     # Written first: joined in the stage of its own aggregation, a hot window's rows could not be split.
-    owners = stored(windows.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("hash", "first"), "owners")
-    removed = stored(windows.join(owners, "hash").where("first < doc_id").groupBy("doc_id").agg(F.collect_list("hash").alias("hashes")), "removed")
+    owners = stored(windows.groupBy("hash").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.max("doc_id").alias("last")).where("first.doc_id < last").select("hash", F.col("first.doc_id").alias("first_doc"), F.col("first.place").alias("first_place")), "owners")
+    matched = windows.join(owners, "hash").where("first_doc < doc_id")
+    matches = stored(matched.groupBy("doc_id").agg(F.collect_list(F.struct("place", "first_doc", "first_place")).alias("matches")), "matches")
     dropped(windows, owners)
-    return _without(docs.join(removed, "doc_id", "left"), window, seed_words)
+    return _without(docs.join(matches, "doc_id", "left"), window)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
