@@ -2,25 +2,30 @@
 
 After Talbot and Osborne (2007): n-gram counts are quantised to logarithmic levels, and an n-gram of
 level q is put into a Bloom filter with each of 1..q; probing level after level until one is missing
-gives the count back. The filter holds bigrams of frequent words and is broadcast; probabilities are a
-Katz back-off from bigrams to unigrams.
+gives the count back. The filter holds all words, all bigrams and, for each history, how many kinds of words follow
+it. A smoothed probability comes from three such counts (Witten and Bell's interpolation):
 
-What is broadcast has a size bound that does not depend on the corpus: at most ``head_words`` words with
-their counts, and a filter of at most ``filter_bytes``. The least bigram count that is kept is the smallest with which
-the filter stays within its bound at its designed load. Counts of words beyond the head are exact, too;
-they reach the texts through a join.
+    P(w | h) = (v(h, w) + t(h) P(w)) / (m(h) + t(h)),   P(w) = (v(w) + 0.5) / (Q + 0.5 (V + 1))
+
+where m(h) is the sum of v(h, w) over all w and Q that of v(w), of quantised counts, so that probabilities sum to one but for
+false positives (2^-12 for each bigram that was not seen).
+
+The filter has a place for every n-gram of the corpus, in segments. Up to ``filter_bytes`` it is broadcast.
+Beyond, its segments stay a table: the n-grams of blocks of texts are sent to their segments by a join, and what
+they find is sent back. Both ways give the same scores. m(h) + t(h) and the exact counts of base scores come from a table of words:
+its most frequent ones, at most ``head_words``, are in every task, the others reach the texts through a join.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storyloom.llm.text_arrays import flat, mix, slices, span_hashes, words
@@ -28,8 +33,30 @@ from storyloom.scratch import stored
 
 END = int(mix(np.array([0xE0D], np.uint64))[0])  # the end token's place among word hashes
 SEGMENT_BITS = 1 << 21
-PROBES = 8
+PROBES = 12
 STEP = 1.5
+#: What tells words, histories and bigrams apart in the filter.
+WORD, FOLLOWERS, PAIR = (np.uint64(x) for x in (0x57, 0xF0, 0x2B))
+#: Bytes of text in a block, where the filter is not broadcast.
+BLOCK_BYTES = 24 << 20
+_LEVELS = 128
+_LOW = np.ceil(STEP ** np.arange(_LEVELS) - 1e-9)
+#: Count that each level stands for: the middle of the counts that have it (level 0: none).
+VALUES = np.concatenate([[0.0], (_LOW[:-1] + np.maximum(_LOW[:-1], _LOW[1:] - 1)) / 2])
+
+
+def level_of(n: np.ndarray) -> np.ndarray:
+    return np.searchsorted(_LOW, n, "right")
+
+
+def followed(hashes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each token's history (an end stands before each text), and the key of the two."""
+    before = np.empty_like(hashes)
+    before[1:] = hashes[:-1]
+    first = np.ones(len(hashes), bool)
+    first[1:] = row[1:] != row[:-1]
+    before[first] = END
+    return before, mix(mix(before ^ PAIR) + hashes)
 
 
 def tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -42,28 +69,28 @@ def tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, np.repeat(np.arange(batch.num_rows), count), count
 
 
-def _counted(batches: Iterator[np.ndarray], most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Distinct values and counts, put together in a task before they are shuffled."""
-    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for values in batches:
-        one, n = np.unique(values, return_counts=True)
+def _counted(batches: Iterator[tuple[np.ndarray, np.ndarray]], most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Distinct keys, what goes with each, and counts, put together in a task before they are shuffled."""
+    keys, of, counts = (np.zeros(0, np.int64) for _ in range(3))
+    for values, more in batches:
+        one, first, n = np.unique(values, return_index=True, return_counts=True)
         both = np.concatenate([keys, one])
         order = np.argsort(both, kind="stable")
-        both, n = both[order], np.concatenate([counts, n])[order]
+        both, of, n = both[order], np.concatenate([of, more[first]])[order], np.concatenate([counts, n])[order]
         new = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.zeros(0, np.int64)
-        keys, counts = both[new], np.add.reduceat(n, new) if len(new) else n
+        keys, of, counts = both[new], of[new], np.add.reduceat(n, new) if len(new) else n
         if len(keys) > most:
-            yield keys, counts
-            keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            yield keys, of, counts
+            keys, of, counts = (np.zeros(0, np.int64) for _ in range(3))
     if len(keys):
-        yield keys, counts
+        yield keys, of, counts
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """word (hash), c over all whole texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, counts in _counted(tokens(b)[0].view(np.int64) for b in slices(batches)):
+        for keys, _, counts in _counted((w, w) for w in (tokens(b)[0].view(np.int64) for b in slices(batches))):
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["word", "c"])
 
     return docs.select("text").mapInArrow(count, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
@@ -84,16 +111,6 @@ class Head:
         return np.where(self.keys[at] == hashes, at, -1)
 
 
-def pairs_of(rank: np.ndarray, row: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rank of each token's history (an end stands before each text; -1: beyond the head), and of the token."""
-    before = np.empty_like(rank)
-    before[1:] = rank[:-1]
-    first = np.ones(len(rank), bool)
-    first[1:] = row[1:] != row[:-1]
-    before[first] = end
-    return before, rank
-
-
 def _places(key: np.ndarray, level: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
     """Segment of each n-gram, and its two hashes at a level."""
     h = mix(key.astype(np.uint64))
@@ -101,17 +118,19 @@ def _places(key: np.ndarray, level: np.ndarray, segments: int) -> tuple[np.ndarr
     return (h % np.uint64(segments)).astype(np.int64), g
 
 
-def probe(bits: np.ndarray, segments: int, key: np.ndarray, levels: int) -> np.ndarray:
-    """Level of each n-gram: how many membership probes in a row succeed."""
+def probe(bits: np.ndarray, segments: int, key: np.ndarray, one_segment: bool = False) -> np.ndarray:
+    """Level of each n-gram: how many membership probes in a row succeed. ``one_segment``: ``bits`` are those of the keys' segment."""
     out = np.zeros(len(key), np.int64)
     alive = np.arange(len(key))
-    for q in range(1, levels + 1):
+    for q in range(1, _LEVELS):
         segment, g = _places(key[alive], np.full(len(alive), q), segments)
-        at, step = g >> np.uint64(32), g | np.uint64(1)
+        at, step = g >> np.uint64(32), (g | np.uint64(1)) & np.uint64(0xFFFFFFFF)
+        base = np.zeros(len(alive), np.int64) if one_segment else segment * SEGMENT_BITS
         for j in range(PROBES):
-            bit = segment * SEGMENT_BITS + ((at + np.uint64(j) * (step & np.uint64(0xFFFFFFFF))) % np.uint64(SEGMENT_BITS)).astype(np.int64)
+            bit = base + ((at + np.uint64(j) * step) % np.uint64(SEGMENT_BITS)).astype(np.int64)
             ok = (bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
-            alive, segment, at, step = alive[ok], segment[ok], at[ok], step[ok]
+            if not ok.all():
+                alive, base, at, step = alive[ok], base[ok], at[ok], step[ok]
             if not len(alive):
                 return out
         out[alive] = q
@@ -121,154 +140,190 @@ def probe(bits: np.ndarray, segments: int, key: np.ndarray, levels: int) -> np.n
 @dataclass
 class Model:
     head: Head
-    end: int
+    divisors: np.ndarray  # log10 of m + t of the head's words
     total: int  # N
     vocabulary: int  # V
-    least: int
-    levels: int
+    mass: float  # Q
     segments: int
-    bits: Broadcast
-    mass: np.ndarray  # of kept bigrams, by history
-    share: np.ndarray  # unigram probability of the words that follow in kept bigrams
-    counts: DataFrame  # word, c
+    bits: Broadcast | None  # the filter, or None where it is larger than may be broadcast
+    filter: DataFrame  # segment, bits
+    words: DataFrame  # word, c, divisor
 
-    def base(self, c: np.ndarray) -> np.ndarray:
-        return (c + 0.5) / (self.total + 0.5 * (self.vocabulary + 1))
+    def single(self, level: np.ndarray) -> np.ndarray:
+        """P(w) from the level of a word."""
+        return (VALUES[level] + 0.5) / (self.mass + 0.5 * (self.vocabulary + 1))
 
-    def value(self, level: np.ndarray) -> np.ndarray:
-        """Count that a level stands for."""
-        return self.least * STEP ** (level - 1.0) * (1 + STEP) / 2 - (0.25 if self.least > 1 else 0)
+
+def _build(table: pa.Table, segments: int) -> pa.Table:
+    """All n-grams of a segment: at the designed load, some 120,000 insertions."""
+    key, level = table["key"].to_numpy(), table["level"].to_numpy()
+    out = np.zeros(SEGMENT_BITS, bool)
+    for q in range(1, int(level.max()) + 1):
+        _, g = _places(key[level >= q], np.full(int((level >= q).sum()), q), segments)
+        at, step = g >> np.uint64(32), g | np.uint64(1)
+        for j in range(PROBES):
+            out[((at + np.uint64(j) * (step & np.uint64(0xFFFFFFFF))) % np.uint64(SEGMENT_BITS)).astype(np.int64)] = True
+    return pa.table({"segment": table["segment"][:1], "bits": pa.array([np.packbits(out, bitorder="little").tobytes()], pa.binary())})
 
 
-def fit(docs: DataFrame, head_words: int = 1 << 18, filter_bytes: int = 1 << 25, least_count: int = 2) -> Model:
-    """Count words and bigrams of all whole texts of ``docs`` (null: empty) and build the filter.
+def fit(docs: DataFrame, head_words: int = 1 << 18, filter_bytes: int = 1 << 27) -> Model:
+    """Count words and bigrams of all whole texts of ``docs`` (null: empty) and put all of them into the filter.
 
-    An empty table gives a model without words. Only the bounded head, totals and filter come to the driver.
+    An empty table gives a model without words. The head, totals and a filter of up to ``filter_bytes`` come to the driver.
     """
     spark = docs.sparkSession
     counts = stored(word_counts(docs), "words")
-    totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    # The head's least count, from a histogram of at most 1,000 rows.
+
+    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def keys_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+            hashes, row, _ = tokens(batch)
+            before, key = followed(hashes, row)
+            return key.view(np.int64), before.view(np.int64)
+
+        for keys, of, n in _counted(keys_of(b) for b in slices(batches)):
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(of), pa.array(n)], names=["key", "history", "n"])
+
+    pairs = docs.select("text").mapInArrow(count_pairs, "key long, history long, n long").groupBy("key", "history").agg(F.sum("n").alias("n"))
+    pairs = stored(pairs, "pairs")
+    value = F.element_at(F.lit(VALUES[1:].tolist()), _level(F.col("n")))
+    followers = pairs.groupBy("history").agg(F.sum(value).alias("m"), F.count("*").alias("types"))
+    followers = stored(followers, "followers")
+
+    grams = [(pairs, "key", "n", np.uint64(0)), (counts, "word", "c", WORD), (followers, "history", "types", FOLLOWERS)]
+    inserts = sum(t.agg(F.coalesce(F.sum(_level(F.col(n))), F.lit(0))).first()[0] for t, _, n, _ in grams)
+    segments = max(1, math.ceil(inserts * PROBES / math.log(2) / SEGMENT_BITS))
+
+    def route(kind: np.uint64):
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                key, n = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+                key = mix(key ^ kind) if kind else key
+                yield pa.RecordBatch.from_arrays([pa.array(_places(key, np.ones(len(key)), segments)[0].astype(np.int32)), pa.array(key.view(np.int64)), pa.array(level_of(n).astype(np.int16))], names=["segment", "key", "level"])
+
+        return place
+
+    rows = [t.select(key, n).mapInArrow(route(kind), "segment int, key long, level short") for t, key, n, kind in grams]
+    placed = rows[0].unionByName(rows[1]).unionByName(rows[2])
+    built = stored(placed.groupBy("segment").applyInArrow(lambda t: _build(t, segments), "segment int, bits binary"), "filter")
+    size, bits = SEGMENT_BITS // 8, None
+    if segments * size <= filter_bytes:
+        whole = np.zeros(segments * size, np.uint8)
+        for row in built.toLocalIterator():
+            whole[row["segment"] * size : (row["segment"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
+        bits = spark.sparkContext.broadcast(whole)
+
+    # The divisor has the count of followers as the filter gives it back.
+    divisor = F.log10(F.coalesce("m", F.lit(0.0)) + F.greatest(F.lit(1.0), F.coalesce(F.element_at(F.lit(VALUES[1:].tolist()), _level(F.col("types"))), F.lit(0.0))))
+    known = stored(counts.join(followers.withColumnRenamed("history", "word"), "word", "left").select("word", "c", divisor.alias("divisor")), "model")
+    totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"), F.coalesce(F.sum(F.element_at(F.lit(VALUES[1:].tolist()), _level(F.col("c")))), F.lit(0.0)).alias("q")).first()
+    # The head's least count, from a histogram of at most 1,000 rows; without a head all words are joined.
     bins = sorted(((r["b"], r["n"]) for r in counts.groupBy(F.floor(F.log2("c") * 16).cast("int").alias("b")).agg(F.count("*").alias("n")).collect()), reverse=True)
     taken, cut = 0, None
     for b, n in bins:
         if taken + n > head_words:
             break
         taken, cut = taken + n, b
-    frequent = counts.where(F.floor(F.log2("c") * 16).cast("int") >= cut).toArrow() if cut is not None else pa.table({"word": pa.array([], pa.int64()), "c": pa.array([], pa.int64())})
-    keys, c = frequent["word"].to_numpy().view(np.uint64), frequent["c"].to_numpy()
+    empty = pa.table({"word": pa.array([], pa.int64()), "c": pa.array([], pa.int64()), "divisor": pa.array([], pa.float64())})
+    frequent = known.where(F.floor(F.log2("c") * 16).cast("int") >= cut).toArrow() if cut is not None else empty
+    keys = frequent["word"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    head = Head(keys[order], c[order])
-    end = int(head.rank(np.array([END], np.uint64))[0])
+    head = Head(keys[order], frequent["c"].to_numpy()[order])
+    return Model(head, frequent["divisor"].to_numpy()[order], int(totals["n"]), int(totals["v"]), float(totals["q"]), segments, bits, built, known)
 
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def keys_of(batch: pa.RecordBatch) -> np.ndarray:
-            hashes, row, _ = tokens(batch)
-            before, word = pairs_of(head.rank(hashes), row, end)
-            both = (before >= 0) & (word >= 0)
-            return before[both] << 32 | word[both]
 
-        for keys, n in _counted(keys_of(b) for b in slices(batches)):
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["pair", "n"])
+def _level(n: Column) -> Column:
+    """The level of a count, as in :func:`level_of`."""
+    return (F.floor(F.log(n) / math.log(STEP) + 1e-12) + 1).cast("int")
 
-    pairs = docs.select("text").mapInArrow(count_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= least_count)
-    pairs = stored(pairs, "pairs")
-    # Inserts by count level decide the least count kept: again a histogram of bounded size.
-    fine = {r["b"]: (r["k"], r["least"]) for r in pairs.groupBy(F.floor(F.log2("n") * 16).cast("int").alias("b")).agg(F.count("*").alias("k"), F.min("n").alias("least")).collect()}
-    capacity = int(filter_bytes * 8 * math.log(2) / PROBES)
-    least, inserts, most = least_count, 0, least_count
-    for b in sorted(fine, reverse=True):
-        low = fine[b][1]
-        # Levels are counted from the least count, so each lower one raises all.
-        need = sum(k * (1 + int(math.log(max(1.0, 2 ** ((bb + 1) / 16) / low), STEP))) for bb, (k, _) in fine.items() if bb >= b)
-        if need > capacity:
-            break
-        least, inserts, most = low, need, max(most, 2 ** ((max(fine) + 1) / 16))
-    else:
-        least = min((x[1] for x in fine.values()), default=least_count)
-    levels = 1 + int(math.log(max(1.0, most / least), STEP))
-    bits_wanted = max(SEGMENT_BITS, inserts * PROBES / math.log(2))
-    segments = int(min(filter_bytes * 8 // SEGMENT_BITS, -(-bits_wanted // SEGMENT_BITS)))
-    kept = pairs.where(F.col("n") >= (least if inserts else 1 << 62))
-    size = SEGMENT_BITS // 8
-
-    def levelled(n: np.ndarray) -> np.ndarray:
-        return 1 + np.floor(np.log(np.maximum(1.0, n / least)) / math.log(STEP) + 1e-9).astype(np.int64)
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key, n = (batch.column(i).to_numpy() for i in range(2))
-            segment, _ = _places(key, np.ones(len(key)), segments)
-            yield pa.RecordBatch.from_arrays([pa.array(segment.astype(np.int32)), pa.array(key), pa.array(levelled(n))], names=["segment", "pair", "level"])
-
-    def build(table: pa.Table) -> pa.Table:
-        """All n-grams of a segment: at the designed load, some 180,000 insertions."""
-        key, level = table["pair"].to_numpy(), table["level"].to_numpy()
-        out = np.zeros(SEGMENT_BITS, bool)
-        for q in range(1, int(level.max()) + 1):
-            _, g = _places(key[level >= q], np.full(int((level >= q).sum()), q), segments)
-            at, step = g >> np.uint64(32), g | np.uint64(1)
-            for j in range(PROBES):
-                out[((at + np.uint64(j) * (step & np.uint64(0xFFFFFFFF))) % np.uint64(SEGMENT_BITS)).astype(np.int64)] = True
-        return pa.table({"segment": table["segment"][:1], "bits": pa.array([np.packbits(out, bitorder="little").tobytes()], pa.binary())})
-
-    bits = np.zeros(segments * size, np.uint8)
-    for row in kept.select("pair", "n").mapInArrow(route, "segment int, pair long, level long").groupBy("segment").applyInArrow(build, "segment int, bits binary").toLocalIterator():
-        bits[row["segment"] * size : (row["segment"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
-    model = Model(head, end, int(totals["n"]), int(totals["v"]), int(least), levels, segments, spark.sparkContext.broadcast(bits), np.zeros(len(keys)), np.zeros(len(keys)), counts)
-
-    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key, n = (batch.column(i).to_numpy() for i in range(2))
-            yield pa.RecordBatch.from_arrays([pa.array(key >> 32), pa.array(model_value(levelled(n))), pa.array(base_of(key & 0xFFFFFFFF))], names=["history", "mass", "share"])
-
-    least_value, norm, head_counts = float(least), model.total + 0.5 * (model.vocabulary + 1), head.counts
-    shift = 0.25 if least > 1 else 0
-    model_value = lambda level: least_value * STEP ** (level - 1.0) * (1 + STEP) / 2 - shift
-    base_of = lambda rank: (head_counts[rank] + 0.5) / norm
-    sums = kept.select("pair", "n").mapInArrow(follow, "history long, mass double, share double").groupBy("history").agg(F.sum("mass").alias("mass"), F.sum("share").alias("share"))
-    table = sums.toArrow()  # a row for each word of the head at most
-    model.mass[table["history"].to_numpy()] = table["mass"].to_numpy()
-    model.share[table["history"].to_numpy()] = table["share"].to_numpy()
-    return model
-
-
-def score(docs: DataFrame, model: Model, discount: float = 2.0) -> DataFrame:
+
+def _scored(batch: pa.RecordBatch, model: Model, levels) -> pa.RecordBatch:
+    """Per text: tokens, those in the head, their base score, and the model's score but for the divisors of other histories.
+
+    ``levels`` gives the levels of keys.
+    """
+    hashes, row, count = tokens(batch)
+    n = batch.num_rows
+    norm = model.total + 0.5 * (model.vocabulary + 1)
+    rank = model.head.rank(hashes)
+    known = rank >= 0
+    sums = lambda x, at: np.bincount(row[at], x, n).astype(np.float64)
+    base = sums(np.log10((model.head.counts + 0.5) / norm)[rank[known]], known)
+    distinct, inverse = np.unique(hashes, return_inverse=True)
+    word, kinds = levels(mix(distinct ^ WORD)), np.maximum(1.0, VALUES[levels(mix(distinct ^ FOLLOWERS))])
+    before, key = followed(hashes, row)
+    place = np.empty(len(hashes), np.int64)  # of the history among the distinct hashes; every text has an end
+    place[1:] = inverse[:-1]
+    place[before == END] = np.searchsorted(distinct, np.uint64(END))
+    pair = np.zeros(len(hashes), np.int64)
+    both = np.flatnonzero((word[inverse] > 0) & (word[place] > 0))  # no others can be bigrams
+    pair[both] = levels(key[both])
+    total = np.log10(VALUES[pair] + kinds[place] * model.single(word)[inverse])
+    model_score = np.bincount(row, total, n) - sums(model.divisors[rank[known]], known)  # every token but an end is the history of one, and an end begins the text
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(count), pa.array(np.bincount(row[known], minlength=n)), pa.array(base), pa.array(model_score.astype(np.float64))], names=["doc_id", "text_key", "n_tokens", "head_known", "head_base", "model_score"])
+
+
+SCORED = "doc_id long, text_key long, n_tokens long, head_known long, head_base double, model_score double"
+
+
+def _by_join(docs: DataFrame, model: Model) -> DataFrame:
+    """:func:`_scored` where the filter is a table: keys of blocks of texts go to their segments, and levels back."""
+    light = replace(model, bits=None, filter=None, words=None)
+    segments = model.segments
+    blocks = max(1, math.ceil((docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / BLOCK_BYTES))
+    docs = stored(docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(blocks)).cast("int")).repartition(blocks, "block"), "blocks")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            hashes, row, _ = tokens(batch)
+            _, pair = followed(hashes, row)
+            block = np.repeat(batch.column("block").to_numpy(), np.bincount(row, minlength=batch.num_rows))
+            for b in np.unique(block):
+                some = np.unique(hashes[block == b])
+                key = np.unique(np.concatenate([mix(some ^ WORD), mix(some ^ FOLLOWERS), pair[block == b], mix(np.array([END], np.uint64) ^ WORD), mix(np.array([END], np.uint64) ^ FOLLOWERS)]))
+                yield pa.RecordBatch.from_arrays([pa.array(_places(key, np.ones(len(key)), segments)[0].astype(np.int32)), pa.array(key.view(np.int64)), pa.array(np.full(len(key), b, np.int32))], names=["segment", "key", "block"])
+
+    def answer(asked: pa.Table, held: pa.Table) -> pa.Table:
+        key = asked["key"].to_numpy().view(np.uint64)
+        level = np.zeros(len(key), np.int64)
+        if held.num_rows and len(key):
+            level = probe(np.frombuffer(held["bits"][0].as_py(), np.uint8), segments, key, one_segment=True)
+        some = level > 0
+        return pa.table({"block": asked["block"].filter(pa.array(some)), "key": asked["key"].filter(pa.array(some)), "level": pa.array(level[some].astype(np.int16))})
+
+    def finish(texts: pa.Table, found: pa.Table) -> pa.Table:
+        key, first = np.unique(found["key"].to_numpy().view(np.uint64), return_index=True)
+        level = found["level"].to_numpy()[first].astype(np.int64)
+
+        def levels(keys: np.ndarray) -> np.ndarray:
+            if not len(key):
+                return np.zeros(len(keys), np.int64)
+            at = np.minimum(np.searchsorted(key, keys), len(key) - 1)
+            return np.where(key[at] == keys, level[at], 0)
+
+        return pa.Table.from_batches([_scored(b, light, levels) for b in slices(iter(texts.to_batches()))])
+
+    asked = docs.mapInArrow(ask, "segment int, key long, block int")
+    answers = asked.groupBy("segment").cogroup(model.filter.groupBy("segment")).applyInArrow(answer, "block int, key long, level short")
+    return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finish, SCORED)
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score (log10 probability of each whole text).
 
     A null text is as empty: one end token. Each row gets one row, repeated rows and null doc_ids
     included; other columns are ignored.
     """
-    head, end, bits, segments, levels = model.head, model.end, model.bits, model.segments, model.levels
+    light = replace(model, filter=None, words=None)  # what goes to the tasks
     norm = model.total + 0.5 * (model.vocabulary + 1)
-    single = np.log10((head.counts + 0.5) / norm)
-    whole = np.maximum(head.counts, model.mass) + discount
-    backed = np.log10(np.maximum(1e-12, 1 - model.mass / whole) / np.maximum(1e-12, 1 - model.share))
-    seen_value = np.log10(np.maximum(1e-12, model.value(np.arange(levels + 1))))
-    seen_whole = np.log10(whole)
 
     def main(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            hashes, row, count = tokens(batch)
-            rank = head.rank(hashes)
-            before, word = pairs_of(rank, row, end)
-            known = word >= 0
-            sums = lambda x, at: np.bincount(row[at], x, batch.num_rows)
-            base = sums(single[word[known]], known)
-            # What the model adds to the unigram probability.
-            some = before >= 0
-            gain = np.zeros(len(word))
-            gain[some] = backed[before[some]]
-            both = np.flatnonzero(some & known)
-            level = probe(bits.value, segments, before[both] << 32 | word[both], levels)
-            hit = both[level > 0]
-            gain[hit] = seen_value[level[level > 0]] - seen_whole[before[hit]] - single[word[hit]]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(count), pa.array(np.bincount(row[known], minlength=batch.num_rows)), pa.array(base), pa.array(np.bincount(row, gain, batch.num_rows))], names=["doc_id", "text_key", "n_tokens", "head_known", "head_base", "gain"])
+            yield _scored(batch, light, lambda keys: probe(light.bits.value, light.segments, keys))
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             hashes, row, _ = tokens(batch)
-            at = np.flatnonzero(head.rank(hashes) < 0)
+            at = np.flatnonzero(light.head.rank(hashes) < 0)
             order = at[np.lexsort((hashes[at], row[at]))]
             h, r = hashes[order], row[order]
             new = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (r[1:] != r[:-1])])) if len(h) else np.zeros(0, np.int64)
@@ -277,17 +332,18 @@ def score(docs: DataFrame, model: Model, discount: float = 2.0) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(take), batch.column("text_key").take(take), pa.array(h[new].view(np.int64)), pa.array(n)], names=["doc_id", "text_key", "word", "n"])
 
     docs = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key"))
-    rows = docs.mapInArrow(main, "doc_id long, text_key long, n_tokens long, head_known long, head_base double, gain double")
+    rows = docs.mapInArrow(main, SCORED) if model.bits is not None else _by_join(docs, model)
     c = F.coalesce(F.col("c"), F.lit(0))
-    joined = docs.mapInArrow(rare, "doc_id long, text_key long, word long, n long").join(model.counts, "word", "left")
-    tail = joined.groupBy("doc_id", "text_key").agg(F.sum("n").alias("all"), F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("tail_known"), F.sum(F.col("n") * F.log10((c + 0.5) / F.lit(norm))).alias("tail_base"))
+    joined = docs.mapInArrow(rare, "doc_id long, text_key long, word long, n long").join(model.words, "word", "left")
+    tail = joined.groupBy("doc_id", "text_key").agg(F.sum("n").alias("all"), F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("tail_known"), F.sum(F.col("n") * F.log10((c + 0.5) / F.lit(norm))).alias("tail_base"), F.sum(F.col("n") * F.coalesce("divisor", F.lit(0.0))).alias("tail_divisor"))
     tail = tail.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
     out = rows.join(tail, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
     # Repeated rows meet in ``tail``: each gets its part.
     part = F.coalesce((F.col("n_tokens") - F.col("head_known")) / F.col("all"), F.lit(0.0))
     base = F.col("head_base") + F.coalesce(F.col("tail_base") * part, F.lit(0.0))
     known = F.col("head_known") + F.coalesce(F.round(F.col("tail_known") * part).cast("long"), F.lit(0))
-    return out.select("doc_id", "n_tokens", known.alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"))
+    final = F.col("model_score") - F.coalesce(F.col("tail_divisor") * part, F.lit(0.0))
+    return out.select("doc_id", "n_tokens", known.alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"), base.alias("base_score"), final.alias("score"))
 
 
 def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
