@@ -190,18 +190,33 @@ def fit(texts: list[bytes], labels: list[str], width: int = 1 << 17, sequences:
 
 
 def fit_sample(docs: DataFrame, max_rows: int = 1200, max_bytes: int = 24 << 20) -> Field:
-    """Fit to a sample of rows with a text and a lang: about ``max_rows`` of least hash, within ``max_bytes`` of whole texts.
+    """Fit to a sample of rows with a text and a lang: of each language those of least hash, ``max_rows`` in all and ``max_bytes`` of text.
 
-    Both bounds are of the classifier's sample; predictions cover all rows.
+    Every language has the same number of places, one at least, so that rare ones are learned at any size. Which rows
+    take part is decided by numbers alone, before any text comes to the driver. Both bounds are of the classifier's
+    sample (a single text of more bytes than a language's part takes no part in it); predictions cover all rows.
     """
-    known = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text", F.xxhash64("doc_id", F.length("text")).alias("_h"))
-    share = min(1.0, max_rows / max(1, known.select("lang").count()))
-    if share < 1:
-        known = known.where(F.pmod("_h", F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-    rows = sorted(known.collect(), key=lambda r: r["_h"])
-    total = np.cumsum([len(r["text"].encode()) for r in rows]) if rows else np.zeros(0)
-    rows = rows[: int(np.searchsorted(total, max_bytes, "right"))]
-    return fit([r["text"].encode() for r in rows], [r["lang"] for r in rows])
+    known = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text", F.shiftrightunsigned(F.xxhash64("doc_id", F.length("text")), 1).alias("_h"))
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not counts:
+        return fit([], [])
+    rows, size = max(1, max_rows // len(counts)), max_bytes // len(counts)
+    # Twice the places by hash, so that each language has enough, then the exact number from the driver.
+    limit = F.element_at(F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 2 * (rows + 8) / n) * 2.0**63)]), F.col("lang"))
+    likely = known.where(F.col("_h") <= limit)
+    facts: dict[str, list] = {}
+    for r in likely.groupBy("lang", "_h").agg(F.max(F.octet_length("text")).alias("size")).collect():
+        facts.setdefault(r["lang"], []).append((r["_h"], r["size"]))
+    chosen = set()
+    for lang, found in facts.items():
+        left = size
+        for h, n in sorted(found)[:rows]:
+            if n <= left:
+                left -= n
+                chosen.add((lang, h))
+    picked = likely.where(F.col("_h").isin([h for _, h in chosen])).groupBy("lang", "_h").agg(F.min("text").alias("text")).collect() if chosen else []
+    texts = sorted({(r["_h"], r["lang"], r["text"]) for r in picked if (r["lang"], r["_h"]) in chosen})
+    return fit([t.encode() for _, _, t in texts], [lang for _, lang, _ in texts])
 
 
 def identify(docs: DataFrame, model: Field) -> DataFrame:
