@@ -10,6 +10,7 @@ with log-odds weights from labelled rows.
 from __future__ import annotations
 
 import math
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,11 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyloom.llm.text_arrays import flat, member, mix, slices, span_hashes, words
+from storyloom.llm.text_arrays import flat, gathered, member, mix, slices, span_hashes, words
 
 # What each character may stand for.
 LOOKALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c"}
 SEPARATORS = "._-*~"
+# Letters of other alphabets that look like Latin ones (Cyrillic, then Greek), and these.
+FOREIGN = dict(zip("аеорсухѕіјһԁԛԝкмтвнαειοκνρτυχ", "aeopcyxsijhdqwkmtbhaeiokvptux", strict=True))
 #: Codes of the character model: 0 a word's end, 1-26 letters, 27 any other character.
 CODES = 28
 _CODE = np.full(256, 27, np.uint8)
@@ -40,8 +43,8 @@ _SEP = np.zeros(256, bool)
 _SEP[[ord(c) for c in SEPARATORS]] = True
 _LOOSE = np.zeros(256, bool)  # may be part of a hidden word at its edge
 _LOOSE[[ord(c) for c in "@$"]] = True
-#: Longer words and runs are not hidden words (keys, links, encoded data), and stay as they are.
-LONGEST = 40
+_FOREIGN = np.zeros(256, bool)  # first bytes of Cyrillic, Greek and full-width letters
+_FOREIGN[[0xCE, 0xCF, 0xD0, 0xD1, 0xD2, 0xD4, 0xEF]] = True
 
 
 def character_counts(docs: DataFrame) -> np.ndarray:
@@ -97,7 +100,7 @@ def _lattice(core: str) -> list[tuple[list[str], bool]]:
         while stop < len(core) and core[stop] == c:
             stop += 1
         n = stop - at
-        base = LOOKALIKES.get(c, c)
+        base = LOOKALIKES.get(c) or FOREIGN.get(c, c)
         times = (1,) if n == 1 else (2,) if n == 2 else (1, 2)
         out.append(([r * k for r in base for k in times], spaced))
         at, spaced = stop, False
@@ -105,25 +108,47 @@ def _lattice(core: str) -> list[tuple[list[str], bool]]:
 
 
 def decode(core: str, model: np.ndarray) -> str:
-    """The likeliest reading of a hidden word or spaced run (lower case), words parted by a space."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for readings, may_split in _lattice(core):
-        following: dict[tuple[int, int], tuple[float, str]] = {}
-        for (p, q), (score, text) in states.items():
-            starts = [(p, q, score, text)]
-            if may_split and text:
-                starts.append((0, 0, score + model[p, q, 0], text + " "))
-            for a, b, s, t in starts:
+    """The likeliest reading of a hidden word or spaced run (lower case), words parted by a space.
+
+    A state is the last two characters; each keeps its best score and a pointer to the readings before, so the
+    work is linear in the length, which has no limit.
+    """
+    logs = model.tolist()
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+    for readings, may_split in _lattice(unicodedata.normalize("NFKC", core).lower()):
+        following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (p, q), (score, path) in states.items():
+            starts = [(p, q, score, "")]
+            if may_split and path:
+                starts.append((0, 0, score + logs[p][q][0], " "))
+            for a, b, s, gap in starts:
                 for reading in readings:
                     x, y, total = a, b, s
                     for ch in reading:
                         z = ord(ch) - 96 if "a" <= ch <= "z" else 27
-                        total += model[x, y, z]
+                        total += logs[x][y][z]
                         x, y = y, z
                     if (x, y) not in following or following[x, y][0] < total:
-                        following[x, y] = (total, t + reading)
+                        following[x, y] = (total, (path, gap + reading))
         states = following
-    return max((score + model[p, q, 0], text) for (p, q), (score, text) in states.items())[1] if states else ""
+    if not states:
+        return ""
+    best = max(states, key=lambda s: (states[s][0] + logs[s[0]][s[1]][0], s))
+    path, out = states[best][1], []
+    while path:
+        path, text = path
+        out.append(text)
+    return "".join(reversed(out))
+
+
+def _joined(data: np.ndarray, first: np.ndarray, last: np.ndarray, at: np.ndarray, model: np.ndarray) -> np.ndarray:
+    """Which of the words ``at`` the model finds likelier as one with the next."""
+    a, b = at, at + 1
+    code = lambda place, inside: np.where(inside, _CODE[data[np.minimum(np.maximum(place, 0), len(data) - 1)]], 0).astype(np.int64)
+    y, z = code(last[a] - 2, last[a] - first[a] > 1), code(last[a] - 1, True)
+    p, q = code(first[b], True), code(first[b] + 1, last[b] - first[b] > 1)
+    gain = model[y, z, p] + model[z, p, q] - model[y, z, 0] - model[0, 0, p] - model[0, p, q]
+    return at[gain > 0]
 
 
 def _evidence(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -156,20 +181,31 @@ def features(batch: pa.RecordBatch, model: np.ndarray, memory: dict[str, str]) -
         if len(data) > 2:
             triple[2:] = _ASCII[kind[2:]] & (kind[2:] == kind[1:-1]) & (kind[1:-1] == kind[:-2])
         lettered = any_of(_ASCII[kind])
-        odd = lettered & (any_of((_SIGN[kind] | _SEP[kind]) & inner) | any_of(triple))
-        hidden = core & odd & (length <= LONGEST)
+        foreign = any_of(_FOREIGN[kind] & inner)
+        odd = (lettered & (any_of((_SIGN[kind] | _SEP[kind]) & inner) | any_of(triple) | foreign)) | any_of((kind == 0xEF) & inner)
+        hidden = core & odd
         letters = np.add.reduceat(_LETTER[kind].astype(np.int32), starts)
         single = core & (last - first == 1) & (_ASCII[kind[np.minimum(first, len(data) - 1)]] | _SIGN[kind[np.minimum(first, len(data) - 1)]])
         plain = core & ~hidden & (letters > 0)
         found.append(_evidence(data, first[plain], last[plain]))
         rows.append(doc[plain])
+        # Neighbours of ASCII letters with one space between.
+        spelled = plain & (np.add.reduceat(_ASCII[kind].astype(np.int32), starts) == last - first)
+        next_to = spelled[:-1] & spelled[1:] & (doc[:-1] == doc[1:]) & (last[:-1] == ends[:-1]) & (first[1:] == starts[1:]) & (starts[1:] == ends[:-1] + 1)
+        left = _joined(data, first, last, np.flatnonzero(next_to), model)
+        if len(left):
+            size = np.stack([last[left] - first[left], last[left + 1] - first[left + 1]], 1)
+            pairs = data[gathered(np.stack([first[left], first[left + 1]], 1).ravel(), size.ravel())]
+            stop = np.cumsum(size.sum(1))
+            found.append(_evidence(pairs, stop - size.sum(1), stop))
+            rows.append(doc[left])
 
         raw = data.tobytes()
         texts, owner = [], []
 
         def restore(text: str, row: int) -> None:
             if text not in memory:
-                if len(memory) > 100_000:
+                if len(memory) > 100_000 or len(text) > 1000:  # long ones are few and large
                     memory.clear()
                 memory[text] = decode(text, model)
             texts.extend(memory[text].split())
@@ -182,7 +218,7 @@ def features(batch: pa.RecordBatch, model: np.ndarray, memory: dict[str, str]) -
         begins = np.flatnonzero(single & ~joined[:-1])
         stops = np.flatnonzero(single & ~joined[1:]) + 1
         for a, b in zip(begins.tolist(), stops.tolist(), strict=True):
-            if 3 <= b - a <= LONGEST:
+            if b - a >= 3:
                 restore(" ".join(chr(data[first[i]]) for i in range(a, b)).lower(), int(doc[a]))
         if texts:
             encoded = [t.encode() for t in texts]
@@ -217,7 +253,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 40_000, least_rows:
     model = character_model(character_counts(docs))
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     share = min(1.0, max_rows / max(1, known.count()))
-    sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else known
+    sample = known.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 1) < int(share * 2.0**63)) if share < 1 else known
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory: dict[str, str] = {}
