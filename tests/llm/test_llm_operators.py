@@ -322,3 +322,119 @@ def test_pipeline(spark, given):
     assert 0 < kept[-1][1] <= kept[0][1] <= len(given)
     out = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
     assert {r.doc_id for r in out} == {r.doc_id for r in docs.collect()}
+
+
+def test_op6_filter_as_a_table_gives_the_same_scores(spark, given):
+    docs = spark.createDataFrame([(d, t) for d, t in sorted(given.items())[:60]] + [(900, None), (901, "zzz qqq zzz")], "doc_id long, text string")
+    train = docs.where("doc_id % 3 <> 1")
+    held = language_model.fit(train)
+    large = language_model.fit(train, head_words=0, filter_bytes=0)  # no head, no broadcast
+    assert held.bits is not None and large.bits is None and len(large.head.keys) == 0
+    one = {r.doc_id: r for r in language_model.score(docs, held).collect()}
+    two = {r.doc_id: r for r in language_model.score(docs, large).collect()}
+    assert set(one) == set(two) == {r.doc_id for r in docs.collect()}
+    for d, r in one.items():
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (two[d].n_tokens, two[d].n_known, two[d].train_tokens)
+        assert r.base_score == pytest.approx(two[d].base_score) and r.score == pytest.approx(two[d].score)
+
+
+def test_op6_scores_equal_plain_counts_and_sum_to_one(spark, given):
+    """Against a plain model with counts in dictionaries; a false positive of the filter may change single words."""
+    import math
+    from collections import Counter
+
+    texts = dict(sorted(given.items())[:80])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    model = language_model.fit(docs.where("doc_id % 4 <> 0"))
+    tokens = {d: [None, *WORDS.findall((t or "").translate(LOWER)), None] for d, t in texts.items()}
+    words, pairs = Counter(), Counter()
+    for d, w in tokens.items():
+        if d % 4:
+            words.update(w[1:])
+            pairs.update(zip(w, w[1:], strict=False))
+    value = lambda n: language_model.VALUES[language_model.level_of(np.array([n]))[0]]
+    q, v = sum(value(n) for n in words.values()), len(words)
+    m, kinds = Counter(), Counter()
+    for (h, _), n in pairs.items():
+        m[h] += value(n)
+        kinds[h] += 1
+    single = lambda w: (value(words[w]) + 0.5) / (q + 0.5 * (v + 1))
+    t = lambda h: max(1.0, value(kinds[h]))
+    p = lambda h, w: (value(pairs[h, w]) + t(h) * single(w)) / (m[h] + t(h))
+    for h in [w for w, _ in words.most_common(10)]:
+        assert sum(p(h, w) for w in words) + p(h, "not a word") == pytest.approx(1)
+    found = {r.doc_id: r.score for r in language_model.score(docs, model).collect()}
+    near = 0
+    for d, w in tokens.items():
+        want = sum(math.log10(p(a, b)) for a, b in zip(w, w[1:], strict=False))
+        assert found[d] == pytest.approx(want, abs=0.02 * len(w))
+        near += found[d] == pytest.approx(want)
+    assert near >= 0.8 * len(tokens)
+
+
+def test_op4_groups_stay_whole_and_sizes_are_near(spark):
+    for sf in ("sf0.001", "sf0.01"):
+        docs = {r.doc_id: r.text for r in spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").collect()}
+        rows = QUERIES["op4_kd_shards"](spark, f"/root/testdata/{sf}").collect()
+        assert sorted(r.doc_id for r in rows) == sorted(docs)
+        shards, size = defaultdict(set), defaultdict(int)
+        for r in rows:
+            raw = (docs[r.doc_id] or "").encode()
+            assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(raw) + 8, zlib.crc32(raw), "bytes", None)
+            shards[docs[r.doc_id] or ""].add(r.shard)
+            size[r.shard] += r.size
+        assert all(len(s) == 1 for s in shards.values())
+        for s in range(24):
+            assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
+        mean, group = sum(size.values()) / 24, max(len((t or "").encode()) for t in docs.values())
+        assert max(size.values()) <= max(1.1 * mean, mean + group)
+
+
+def test_op4_only_a_group_larger_than_a_shard_is_divided(spark):
+    rows = [(i, "the same text again " * 5, "en", "web") for i in range(3000)] + [(5000 + i, f"text {i} " * (1 + i % 30), "en", f"s{i % 5}") for i in range(3000)]
+    found = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), 8).collect()
+    size, split = defaultdict(int), {r.shard for r in found if r.doc_id < 3000}
+    for r in found:
+        size[r.shard] += r.size
+    mean = sum(size.values()) / 8
+    assert len(split) == -(-3000 * 108 // int(mean)) and max(size.values()) < 1.06 * mean and min(size.values()) > 0.94 * mean
+
+
+def test_op2_repeats_are_maximal(spark):
+    shared = " ".join(f"s{i}" for i in range(40))
+    docs = [(1, f"a b c {shared} d"), (2, f"x {shared} y z"), (3, f"{shared} {shared}")]
+    found = {r.doc_id: r for r in substring_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert found[1].repeats == [] and [tuple(x) for x in found[2].repeats] == [(1, 40, 1, 3)]
+    assert [tuple(x) for x in found[3].repeats] == [(0, 40, 1, 3), (40, 40, 1, 3)] and found[3].kept_text == ""
+    # Rows of one doc_id with different texts keep to their own places.
+    docs = [(1, shared), (2, f"q {shared}"), (2, f"{shared} r r")]
+    assert sorted(r.kept_text for r in substring_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect() if r.doc_id == 2) == ["q", "r r"]
+
+
+def test_op3_short_items_and_placeholders_match_by_their_values(spark):
+    items = spark.createDataFrame([(1, "What is the capital city of France?"), (2, "10 20 30 40 50 60 70 80 90"), (3, "Yes.")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "Tell me: what is the capital city of France? Now."), (2, "what is the capital city of Spain"), (3, "x 10 20 30 40 50 60 70 80 90 y"), (4, "x 11 21 31 41 51 61 71 81 91 y"), (5, "what is the capital")], "doc_id long, text string")
+    assert {(r.doc_id, r.item_id, r.reparameterised) for r in decontamination.contaminated(docs, items).collect()} == {(1, 1, False), (3, 2, False)}
+
+
+@pytest.mark.parametrize("size", [3, 7, 8, 9, 13, 20])
+def test_op3_copies_of_any_length_at_every_place(spark, size):
+    words = [f"w{chr(97 + i)}" for i in range(size)]
+    docs = [(k, " ".join(["before"] * k + words + ["after"] * 9)) for k in range(9)] + [(50, " ".join(words[1:])), (51, "before after " * 20)]
+    found = decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")).collect()
+    assert {r.doc_id for r in found if r.matched_words == size} == set(range(9))
+    assert {r.doc_id for r in found} - set(range(9)) <= ({50} if size > 8 else set())
+
+
+def test_op10_long_runs_spaces_and_other_alphabets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    plain = spark.createDataFrame([(i, "you are a stupid person and a stupid fool") for i in range(30)] + [(100 + i, "the garden is green and the person walks there") for i in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(30)] + [(100 + i, 0) for i in range(300)], "doc_id long, toxic int")
+    model = toxicity.fit(docs.select(F.col("doc_id") + 1000, "text").unionByName(plain.withColumnRenamed("doc_id", "(doc_id + 1000)")).toDF("doc_id", "text").unionByName(plain), labels)
+    spaced = " ".join("you are quite a stupid person to say so about the garden".replace(" ", ""))
+    hidden = {1: "stupid", 2: spaced, 3: "st upid", 4: "stu pid, yes", 5: "ѕtuріd", 6: "ｓｔｕｐｉｄ", 7: "s" + "t" * 60 + "upid", 8: ".".join("stupid" * 12)}
+    clean = {20: "the garden is green", 21: "", 22: None, 23: "x" * 5000}
+    rows = spark.createDataFrame([*hidden.items(), *clean.items()], "doc_id long, text string")
+    score = {r.doc_id: r.score for r in toxicity.toxicity(rows, model).collect()}
+    assert all(score[d] > score[21] for d in hidden), score
+    assert all(score[d] <= score[21] + 1e-9 for d in clean), score
