@@ -123,14 +123,14 @@ def _occurrences(pairs: DataFrame) -> DataFrame:
     than the item's length.
     """
     key = ["doc_id", "copy", "item_id", "version"]
-    part = lambda kind, copy, n: F.struct(F.lit(kind).alias("kind"), copy.cast("long").alias("copy"), n.cast("long").alias("n"))
-    sides = pairs.withColumn("part", F.explode(F.array(part("whole", F.lit(0), F.lit(0)), part("diagonal", F.col("copy"), F.col("diagonal")))))
+    part = lambda kind, n: F.struct(F.lit(kind).alias("kind"), n.cast("long").alias("n"))
+    sides = pairs.withColumn("part", F.explode(F.array(part("whole", F.lit(0)), part("diagonal", F.col("diagonal")))))
     weighed = pairs.withColumn("_weight", F.count("*").over(Window.partitionBy(*key, "diagonal")))
     ranked = weighed.withColumn("_rank", F.row_number().over(Window.partitionBy(*key, "at").orderBy(F.desc("_weight"), "item_at")))
     order = Window.partitionBy(*key).orderBy("at")
     back = (F.col("item_at") <= F.lag("item_at").over(order)) | (F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) > F.col("item_words"))
     broken = ranked.where("_rank = 1").withColumn("_new", F.coalesce(back, F.lit(False)).cast("int"))
-    stretches = broken.withColumn("part", part("stretch", F.col("copy"), F.sum("_new").over(order))).drop("_weight", "_rank", "_new")
+    stretches = broken.withColumn("part", part("stretch", F.sum("_new").over(order))).drop("_weight", "_rank", "_new")
     return sides.unionByName(stretches)
 
 
@@ -160,10 +160,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverag
     seen = stored(seen, "seen").distinct()
     pairs = seen.join(items, "hash").groupBy("doc_id", "copy", "item_id", "version", "item_words", "at", "item_at").agg(F.max(F.col("plain") & F.col("item_plain")).alias("plain"))
     pairs = stored(pairs.withColumn("diagonal", F.col("at") - F.col("item_at")), "pairs")
+    # From here on all is done text by text: dealt out once, windows, joins and sums need no other shuffle.
+    dealt = pairs.repartition("doc_id", "copy")
     # Windows equal as plain words are judged by themselves and with the others. Of windows that follow each other on
     # a diagonal, each gives only the places that those before have not given.
     key = ["doc_id", "copy", "item_id", "version", "item_words", "part", "diagonal", "plain"]
-    met = _occurrences(pairs).withColumn("plain", F.explode(F.when(F.col("plain"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))))
+    met = _occurrences(dealt).withColumn("plain", F.explode(F.when(F.col("plain"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))))
     last = F.least(F.col("item_at") + window - 1, F.col("item_words"))
     given = F.max(last).over(Window.partitionBy(*key).orderBy("item_at").rowsBetween(Window.unboundedPreceding, -1))
     met = met.withColumn("_from", F.greatest(F.col("item_at"), F.coalesce(given + 1, F.lit(1)))).where(F.col("_from") <= last)
@@ -171,18 +173,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverag
     # Each word of the item with each word it met; what repeated rows repeat is counted once below. The ids
     # are written first, so that the join knows their size and need not shuffle the texts.
     likely = known.join(stored(pairs.select("doc_id").distinct(), "likely"), "doc_id", "left_semi")
-    # The outer explode again: a filter on sizes would be moved to the scan and canonicalise all texts.
-    ours = templates(likely, "doc_id").select("doc_id", "copy", F.posexplode_outer("marked").alias("at", "ours"))
-    ours = ours.select("doc_id", "copy", (F.col("at") + 1).alias("at"), _raw(F.col("ours")).alias("ours"))
+    ours = templates(likely, "doc_id").dropDuplicates(["doc_id", "copy"])
     theirs = wanted.select("item_id", "version", F.posexplode("marked").alias("place", "w"))
     theirs = theirs.select("item_id", "version", (F.col("place") + 1).alias("place"), _raw(F.col("w")).alias("theirs"), _is_slot(F.col("w"), False).alias("_words"), _is_slot(F.col("w"), True).alias("_named"))
     if small:
         theirs = F.broadcast(theirs)
-    # Neither side has a bound, and files say little of what their rows explode to.
-    met = met.withColumn("at", F.col("place") + F.col("diagonal")).hint("merge").join(ours, ["doc_id", "copy", "at"]).join(theirs, ["item_id", "version", "place"]).withColumn("is_slot", F.when(F.col("plain"), F.col("_words")).otherwise(F.col("_named")))
-    group = ["doc_id", "item_id", "version", "item_words", "part", "plain"]
-    values = met.groupBy(*group, "theirs").agg(F.count_distinct("place").alias("places"), F.count_distinct(F.when(F.col("is_slot"), F.col("place"))).alias("slots"), F.count_distinct(F.when(F.col("is_slot"), F.col("ours"))).alias("n"), F.max(F.col("is_slot") & (F.col("ours") != F.col("theirs"))).alias("changed"))
-    judged = values.groupBy(*group).agg(F.sum("places").alias("matched_words"), F.sum("slots").alias("slots"), F.sum(F.when(F.col("n") == 1, F.col("slots")).otherwise(0)).alias("consistent_slots"), F.max("changed").alias("changed"))
+    # Files say little of what their rows explode to, so no side is broadcast by their size.
+    met = met.hint("merge").join(ours, ["doc_id", "copy"]).withColumn("ours", _raw(F.get("marked", F.col("place") + F.col("diagonal") - 1))).drop("marked")
+    met = met.join(theirs, ["item_id", "version", "place"]).withColumn("is_slot", F.when(F.col("plain"), F.col("_words")).otherwise(F.col("_named")))
+    group = ["doc_id", "copy", "item_id", "version", "item_words", "part", "plain"]
+    slot = F.when(F.col("is_slot"), F.col("ours"))
+    each = met.groupBy(*group, "theirs", "place").agg(F.max("is_slot").alias("is_slot"), F.min(slot).alias("least"), F.max(slot).alias("most"), F.max(F.col("is_slot") & (F.col("ours") != F.col("theirs"))).alias("changed"))
+    values = each.groupBy(*group, "theirs").agg(F.count("*").alias("places"), F.count_if("is_slot").alias("slots"), (F.min("least") == F.max("most")).alias("one"), F.max("changed").alias("changed"))
+    judged = values.groupBy(*group).agg(F.sum("places").alias("matched_words"), F.sum("slots").alias("slots"), F.sum(F.when(F.col("one"), F.col("slots")).otherwise(0)).alias("consistent_slots"), F.max("changed").alias("changed"))
     passed = judged.where((F.col("matched_words") >= F.col("item_words") * coverage) & (F.col("consistent_slots") >= F.col("slots") * consistency))
     best = passed.groupBy("doc_id", "item_id").agg(F.max(F.struct("matched_words", "consistent_slots", (-F.col("slots")).alias("slots"), (~F.col("changed")).alias("same"), "item_words")).alias("b"))
     return best.select("doc_id", "item_id", "b.matched_words", "b.item_words", (-F.col("b.slots")).alias("slots"), "b.consistent_slots", (~F.col("b.same")).alias("reparameterised"))
