@@ -67,8 +67,15 @@ def united_terms(*lists: Column) -> Column:
     return F.array_distinct(F.concat(*[terms(x) for x in lists]))
 
 
-def slug(name: Column, most: int = 40) -> Column:
-    return F.substring(F.regexp_replace(F.regexp_replace(strip(name), r'[\\/:*?"<>|\s]+', "_"), "^_+|_+$", ""), 1, most)
+def slug(name: Column, most: int = 20) -> Column:
+    """A name for files: each mark that they may not have becomes an underscore, and what is too long is cut."""
+    return F.substring(F.regexp_replace(strip(name), r'[\\/:*?"<>|\s]', "_"), 1, most)
+
+
+def filled(values: Column) -> Column:
+    """The strings of an array that are not null or blank, trimmed; null gives none."""
+    empty = F.array().cast("array<string>")
+    return F.coalesce(F.filter(F.transform(values, strip), lambda x: x.isNotNull() & (x != "")), empty)
 
 
 def visible(text: Column) -> Column:

@@ -72,14 +72,17 @@ def guarded_merge(edges: DataFrame, counts: DataFrame, principal: int = PRINCIPA
         return names.select("name", F.col("name").alias("cluster")), edges.select("a", "b").limit(0)
     components = connected_components(edges.select("a", "b")).withColumnRenamed("node", "name")
     chiefs = counts.where(F.col("n") >= principal).select("name")
-    many = components.join(chiefs, "name").groupBy("component").agg(F.count("*").alias("p"), F.collect_list("name").alias("chiefs")).where("p > 1")
+    many = components.join(chiefs, "name").groupBy("component").agg(F.count("*").alias("p")).where("p > 1").select("component")
     simple = components.join(many, "component", "left_anti").select("name", F.col("component").alias("cluster"))
     kind = dict(edges.dtypes)["a"]
-    hard = edges.join(components.withColumnRenamed("name", "a"), "a").join(many.drop("p"), "component").select("component", "a", "b", "verified", "ord.*", "chiefs")
+    hard = edges.join(components.withColumnRenamed("name", "a"), "a").join(many, "component").select("component", "a", "b", "verified", "ord.*")
+    for side in "ab":
+        hard = hard.join(chiefs.select(F.col("name").alias(side), F.lit(True).alias(f"{side}_chief")), side, "left")
+    hard = hard.fillna(False, ["a_chief", "b_chief"])
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["verified", "seq", "pos", "alias_pos", "a", "b"], ascending=[False, True, True, True, True, True])
-        roots, rejected = replay(rows, set(rows["chiefs"].iloc[0]))
+        roots, rejected = replay(rows, set(rows["a"][rows["a_chief"]]) | set(rows["b"][rows["b_chief"]]))
         least: dict = {}
         for n, r in roots.items():
             least[r] = min(least.get(r, n), n)
@@ -175,3 +178,39 @@ def ranked_ids(df: DataFrame, name: Column, *order: Column, letter: str = "c") -
     from storyloom.functions.text import slug
 
     return df.withColumn("_k", F.row_number().over(Window.orderBy(*order))).withColumn("id", F.concat(F.format_string(letter + "%03d_", "_k"), slug(name))).drop("_k")
+
+
+def details(rows: DataFrame, key: str, names: DataFrame | None = None, **columns: str) -> DataFrame:
+    """One row an entity: for each column named, its values with their units in order, as arrays of (seq, pos, value).
+
+    rows: seq, pos, ``key`` and the columns, of which arrays give a value for each element; null and blank values are left
+    out. names: name, canonical, by which keys are resolved (others stand for themselves).
+    """
+    rows = resolved(rows, key, names)
+    out = rows.select(key).distinct()
+    for name, column in columns.items():
+        values = rows.select(key, "seq", "pos", F.explode(column).alias("value")) if dict(rows.dtypes)[column].startswith("array") else rows.select(key, "seq", "pos", F.col(column).alias("value"))
+        values = values.where("trim(value) <> ''")
+        out = out.join(values.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("seq", "pos", "value"))).alias(name)), key, "left")
+    return out
+
+
+def resolved(rows: DataFrame, key: str, names: DataFrame | None) -> DataFrame:
+    """``key`` replaced by its canonical name; without one it stays."""
+    if names is None:
+        return rows
+    known = names.select(F.col("name").alias(key), F.col("canonical").alias("_canonical"))
+    return rows.join(known, key, "left").withColumn(key, F.coalesce("_canonical", key)).drop("_canonical")
+
+
+def counted(rows: DataFrame, key: str, value: str, names: DataFrame | None = None) -> DataFrame:
+    """key, counts: how often each value occurs with each key, most frequent first; values resolved by ``names``."""
+    n = resolved(rows.select(key, value), value, names).where(f"trim({value}) <> ''").groupBy(key, value).agg(F.count("*").alias("n"))
+    return n.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), F.col(value).alias("v")))), lambda x: F.struct(x["v"].alias("value"), (-x["k"]).alias("n"))).alias("counts"))
+
+
+def flagged(rows: DataFrame, key: str, **there: DataFrame) -> DataFrame:
+    """Add a flag for each table of names (column ``key``): is the row's name in it?"""
+    for name, table in there.items():
+        rows = rows.join(table.select(key).distinct().withColumn(name, F.lit(True)), key, "left").withColumn(name, F.coalesce(name, F.lit(False)))
+    return rows

@@ -50,6 +50,13 @@ def newcomers(names: DataFrame, last_seq: int, bucket: int = 25, first: int = 1)
     return every.join(counts, "bucket", "left").select("bucket", (F.col("bucket") * bucket + first).alias("start"), F.least(F.col("bucket") * bucket + first + bucket - 1, F.lit(last_seq)).alias("end"), F.coalesce("n", F.lit(0)).alias("newcomers"))
 
 
+def newcomer_names(names: DataFrame, bucket: int = 25, first: int = 1, most: int = 200) -> DataFrame:
+    """bucket, names: the first ``most`` newcomers of each bucket in order of appearance. names: name, first_seq."""
+    rows = names.withColumn("bucket", F.floor((F.col("first_seq") - first) / bucket))
+    ranked = rows.withColumn("_k", F.row_number().over(Window.partitionBy("bucket").orderBy("first_seq", "name"))).where(F.col("_k") <= most)
+    return ranked.groupBy("bucket").agg(F.transform(F.array_sort(F.collect_list(F.struct("_k", "name"))), lambda x: x["name"]).alias("names"))
+
+
 def hottest(buckets: DataFrame, most: int = 8) -> DataFrame:
     return buckets.orderBy(F.desc("newcomers"), "bucket").limit(most).orderBy("bucket")
 
@@ -91,6 +98,12 @@ def dossier(paragraphs: DataFrame, sure: list[str], ambiguous: list[str] = (), e
     return rows.groupBy("word", "is_sure").agg(F.count("*").alias("hits"), F.count_distinct("seq").alias("units"), first["seq"].alias("first_seq"), first["para"].alias("first_para"))
 
 
+def densest(hits: DataFrame, most: int = 40, unit: str = "seq") -> DataFrame:
+    """word, unit, n, rank: the units in which each word has most hits. hits: word, unit."""
+    n = hits.groupBy("word", unit).agg(F.count("*").alias("n"))
+    return n.withColumn("rank", F.row_number().over(Window.partitionBy("word").orderBy(F.desc("n"), unit))).where(F.col("rank") <= most)
+
+
 def tags(rows: DataFrame, words: dict[str, list[str]], keep: tuple[str, ...] = ("seq",)) -> DataFrame:
     """keep, tag: a tag applies when any of its words occurs."""
     found = F.filter(F.array(*[F.when(has_any(F.col("text"), ws), F.lit(t)) for t, ws in words.items()]), lambda t: t.isNotNull())

@@ -94,6 +94,16 @@ def reviews(docs: DataFrame) -> DataFrame:
     return docs.select("seq", F.posexplode("reviews").alias("pos", "r")).select("seq", "pos", "r.*")
 
 
+def repaired_units(df: DataFrame, rounds: str = "repair_rounds") -> DataFrame:
+    """units, repaired: those that took a repair round or more."""
+    return df.agg(F.count("*").alias("units"), F.count_if(F.col(rounds) > 0).alias("repaired"))
+
+
+def token_usage(calls: DataFrame, *keys: str) -> DataFrame:
+    """Prompt and completion tokens of a call log."""
+    return calls.groupBy(*keys).agg(F.sum("prompt_tokens").alias("prompt_tokens"), F.sum("completion_tokens").alias("completion_tokens"))
+
+
 def usage(calls: DataFrame, *keys: str) -> DataFrame:
     """Calls, retries, failures and totals of a call log."""
     return calls.groupBy(*keys).agg(F.count("*").alias("calls"), F.count_if(F.col("attempt") > 1).alias("retries"), F.count_if(F.col("error").isNotNull()).alias("failures"), F.round(F.sum("elapsed"), 2).alias("elapsed"), F.sum("chars").alias("chars"))

@@ -98,3 +98,13 @@ def missing_characters(speakers: DataFrame, attendees: DataFrame, known: DataFra
     """seq, name, _filled: speakers and attendees without an entry."""
     names = speakers.select("seq", "name").union(attendees.select("seq", "name")).where("name IS NOT NULL AND trim(name) <> ''").distinct()
     return names.join(known, ["seq", "name"], "left_anti").withColumn("_filled", F.lit(True))
+
+
+def repair_log(repaired: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """seq, field, kind, before, after and the unit's rates, one row for each quote that was repaired.
+
+    repaired: as :func:`repair` returns it. before, after: seq, verbatim_rate, coverage_rate of the units.
+    """
+    changed = repaired.where("kind IS NOT NULL").select("qid", "seq", "field", "kind", F.col("quote").alias("before"), F.transform("parts", lambda x: x["text"]).alias("after"))
+    rates = lambda df, when: df.select("seq", F.col("verbatim_rate").alias(f"rate_{when}"), F.col("coverage_rate").alias(f"coverage_{when}"))
+    return changed.join(rates(before, "before"), "seq", "left").join(rates(after, "after"), "seq", "left")

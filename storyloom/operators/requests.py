@@ -10,31 +10,47 @@ from storyloom.functions.text import json_block, united_terms
 
 def previous_context(units: DataFrame, most: int = 3, lookback: int = 12, group: str | None = None) -> DataFrame:
     """Add context: the last ``most`` synopses that there are among the ``lookback`` units before. units: seq, synopsis."""
-    if not group:  # a unit counts for those after it: no window over the whole table
-        own = units.where("synopsis IS NOT NULL").select(F.explode(F.sequence(F.col("seq") + 1, F.col("seq") + lookback)).alias("to"), "seq", "synopsis")
-        near = own.groupBy(F.col("to").alias("seq")).agg(F.array_sort(F.collect_list(F.struct("seq", "synopsis"))).alias("c"))
-        near = near.select("seq", F.transform(F.slice("c", F.greatest(F.lit(1), F.size("c") - most + 1), most), lambda x: x["synopsis"]).alias("context"))
-        return units.join(near, "seq", "left").withColumn("context", F.coalesce("context", F.array().cast("array<string>")))
+    if not group:  # a unit counts for those after it: no window over the whole table; texts join where their numbers are chosen
+        own = units.where("synopsis IS NOT NULL").select(F.explode(F.sequence(F.col("seq") + 1, F.col("seq") + lookback)).alias("to"), F.col("seq").alias("from"))
+        near = own.groupBy("to").agg(F.array_sort(F.collect_list("from")).alias("c")).select("to", F.explode(F.slice("c", F.greatest(F.lit(1), F.size("c") - most + 1), most)).alias("from"))
+        texts = near.join(units.select(F.col("seq").alias("from"), "synopsis"), "from").join(units.select(F.col("seq").alias("to")), "to", "left_semi")
+        found = texts.groupBy(F.col("to").alias("seq")).agg(F.transform(F.array_sort(F.collect_list(F.struct("from", "synopsis"))), lambda x: x["synopsis"]).alias("context"))
+        return units.join(found, "seq", "left").withColumn("context", F.coalesce("context", F.array().cast("array<string>")))
     w = Window.partitionBy(group).orderBy("seq").rangeBetween(-lookback, -1)
     seen = F.collect_list(F.when(F.col("synopsis").isNotNull(), F.struct("seq", "synopsis"))).over(w)
     return units.withColumn("_c", F.array_sort(seen)).withColumn("context", F.transform(F.slice("_c", F.greatest(F.lit(1), F.size("_c") - most + 1), most), lambda x: x["synopsis"])).drop("_c")
 
 
+def following_target(seqs: DataFrame, targets: DataFrame, block: int = 1 << 16) -> DataFrame:
+    """seq, target: the least target greater than each seq (seqs: seq; targets: target). Windows are by blocks of numbers."""
+    rows = seqs.select("seq", F.lit(None).cast("long").alias("target")).distinct().unionByName(targets.select(F.col("target").alias("seq"), "target").distinct())
+    rows = rows.withColumn("_block", F.floor(F.col("seq") / block))
+    ahead = Window.partitionBy("_block").orderBy("seq").rangeBetween(1, Window.unboundedFollowing)
+    edges = rows.groupBy("_block").agg(F.min("target").alias("_own"))
+    edges = edges.select("_block", F.min("_own").over(Window.orderBy("_block").rowsBetween(1, Window.unboundedFollowing)).alias("_later"))  # a row for each block
+    found = rows.withColumn("_next", F.min("target").over(ahead)).where("target IS NULL").join(edges, "_block")
+    return found.select("seq", F.coalesce("_next", "_later").alias("target")).where("target IS NOT NULL")
+
+
 def registry_before(mentions: DataFrame, targets: DataFrame, most: int = 400) -> DataFrame:
     """target, name, n, rank: the names seen before each target, by frequency. mentions: seq, name; targets: seq.
 
-    Each mention is counted for the first target after it; running sums by name then give the count before every target.
-    A name has a row for a target only from the one where it is first known, so the table grows with names x targets, as the result does.
+    A mention counts for the first target after it, and for all that follow. A name's count stays the same until its next mention,
+    while others only grow, so a name can be among the ``most`` frequent ones of a target only if it was so where it
+    was last counted, also among the names counted there. Only those are carried on to later targets.
     """
-    t = targets.select(F.col("seq").alias("target")).distinct()
-    counts = mentions.groupBy("name", "seq").agg(F.count("*").alias("n"))
-    events = counts.select("name", "seq", "n", F.lit(0).alias("kind"))
-    known = counts.groupBy("name").agg(F.min("seq").alias("first"))
-    asks = t.join(known, F.col("first") < F.col("target")).select("name", F.col("target").alias("seq"), F.lit(0).cast("long").alias("n"), F.lit(-1).alias("kind"))
-    w = Window.partitionBy("name").orderBy("seq", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    running = events.unionByName(asks).withColumn("n", F.sum("n").over(w)).where("kind = -1").select(F.col("seq").alias("target"), "name", "n")
-    ranked = running.withColumn("rank", F.row_number().over(Window.partitionBy("target").orderBy(F.desc("n"), "name")))
-    return ranked.where(F.col("rank") <= most)
+    from storyloom.scratch import stored
+    from storyloom.sources.readers import with_ordinal
+
+    t = stored(with_ordinal(targets.select(F.col("seq").cast("long").alias("target")).distinct(), "target", "nth"), "targets")
+    last = t.count()
+    counts = mentions.groupBy(F.col("seq").cast("long").alias("seq"), "name").agg(F.count("*").alias("n"))
+    counts = counts.join(following_target(counts.select("seq"), t), "seq").join(t, "target").groupBy("name", "nth").agg(F.sum("n").alias("n"))
+    own = Window.partitionBy("name").orderBy("nth")
+    held = counts.select("name", "nth", F.sum("n").over(own).alias("n"), F.coalesce(F.lead("nth").over(own) - 1, F.lit(last)).alias("until"))
+    ranked = lambda rows: rows.withColumn("rank", F.row_number().over(Window.partitionBy("nth").orderBy(F.desc("n"), "name"))).where(F.col("rank") <= most)
+    carried = ranked(held).select("name", "n", F.explode(F.sequence("nth", "until")).alias("nth"))
+    return ranked(carried).join(t, "nth").select("target", "name", "n", "rank")
 
 
 def request_text(registry: Column, context: Column, heading: Column, body: Column) -> Column:
@@ -70,5 +86,20 @@ def prompt(prefix: Column, target: Column, style: Column, suffix: Column, *avoid
     return F.concat_ws(" ", prefix, target, style, suffix, F.concat(F.lit("Avoid: "), F.array_join(united_terms(*avoid), ", ")))
 
 
+def review_text(stage: Column, body: Column, analysis: Column) -> Column:
+    """A request to judge an analysis against its unit."""
+    return F.concat_ws("\n\n", F.concat(F.lit("Review: "), stage), body, F.concat(F.lit("Analysis: "), analysis))
+
+
+def repair_text(body: Column, analysis: Column, reasons: Column) -> Column:
+    """A request to mend an analysis, with the reasons for which it failed."""
+    return F.concat_ws("\n\n", F.concat(F.lit("Repair: "), F.array_join(reasons, "; ")), body, F.concat(F.lit("Analysis: "), analysis))
+
+
+def batches(missing: DataFrame, size: int) -> DataFrame:
+    """missing, batches: how many rows are missing, and how many batches of ``size`` they make."""
+    return missing.agg(F.count("*").alias("missing")).select("missing", F.ceil(F.col("missing") / size).cast("long").alias("batches"))
+
+
 def missing_cells(expected: DataFrame, done: DataFrame, *key: str) -> DataFrame:
     return expected.join(done.select(*key), list(key), "left_anti")

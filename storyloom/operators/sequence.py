@@ -84,7 +84,7 @@ def change_points(curve: DataFrame, group: str = "grp", cost: float | None = Non
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("pos")
-        cuts = pick_cuts(rows["change"].tolist(), rows["change"].mean() if cost is None else cost, shortest, longest)
+        cuts = pick_cuts(rows["change"].tolist(), round(rows["change"].mean(), 9) if cost is None else cost, shortest, longest)
         return pd.DataFrame({group: rows[group].iloc[0], "cut": pd.array(cuts or [None], "Int64"), "feasible": bool(cuts)})
 
     return curve.select(group, "pos", "change").groupBy(group).applyInPandas(run, f"{group} {kind}, cut long, feasible boolean")
@@ -211,3 +211,47 @@ def roster(mentions: DataFrame, group: str = "season") -> DataFrame:
 
 def roster_totals(rows: DataFrame, group: str = "season") -> DataFrame:
     return rows.groupBy(group).agg(*[F.count_if(F.col("tier") == t).alias(f"tier_{t.lower()}") for t in "ABC"], F.count_if("debut").alias("debuts"), F.count_if("doubt").alias("doubtful"))
+
+
+def timeline_details(units: DataFrame, scenes: DataFrame | None = None, **lists: DataFrame) -> DataFrame:
+    """Add scenes (distinct, in order), and for each further table (seq, pos, text) its texts in order. scenes: seq, pos, name."""
+    if scenes is not None:
+        first = scenes.groupBy("seq", "name").agg(F.min("pos").alias("pos"))
+        lists = {"scenes": first.select("seq", "pos", F.col("name").alias("text")), **lists}
+    for name, rows in lists.items():
+        own = rows.groupBy("seq").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]).alias(name))
+        units = units.join(own, "seq", "left").withColumn(name, F.coalesce(name, F.array().cast("array<string>")))
+    return units
+
+
+def histogram(rows: DataFrame, column: str, most: int = 8) -> DataFrame:
+    """The most frequent values of a column, such as tones or cuts: value, n."""
+    return rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "value").limit(most)
+
+
+def segment_rollup(segments: DataFrame, **items: DataFrame) -> DataFrame:
+    """Each segment (start, stop, ...) with the sorted distinct items of its units. items: tables of seq, name."""
+    keys = segments.columns
+    for column, rows in items.items():
+        found = into_ranges(rows, segments.select("start", "stop"), "seq").groupBy("start", "stop").agg(F.sort_array(F.collect_set("name")).alias(column))
+        segments = segments.join(found, ["start", "stop"], "left").withColumn(column, F.coalesce(column, F.array().cast("array<string>")))
+    return segments.select(*keys, *items)
+
+
+def load_summary(loads: DataFrame) -> DataFrame:
+    return loads.agg(F.count("*").alias("parts"), F.round(F.avg("load"), 6).alias("mean"), F.max("load").alias("most"))
+
+
+def heaviest(loads: DataFrame, most: int = 12) -> DataFrame:
+    return loads.orderBy(F.desc("load"), "part").limit(most)
+
+
+def frequent_scenes(scenes: DataFrame, group: str = "season", least: int = 3) -> DataFrame:
+    """group, scenes: how many scenes are in ``least`` units of the group or more. scenes: group, seq, name."""
+    own = scenes.groupBy(group, "name").agg(F.count_distinct("seq").alias("units"))
+    return own.groupBy(group).agg(F.count_if(F.col("units") >= least).alias("scenes"))
+
+
+def change_stats(curve: DataFrame) -> DataFrame:
+    """mean, the default cost of a cut, and the 85th percentile of change."""
+    return curve.agg(F.round(F.avg("change"), 9).alias("mean"), F.round(F.percentile("change", 0.85), 9).alias("p85"))

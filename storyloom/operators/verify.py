@@ -44,7 +44,8 @@ def quote_tables(docs: DataFrame) -> DataFrame:
         return rows.select("seq", F.lit(name).alias("field"), "pos", (F.col("x.para") if para is None else para).cast("int").alias("para"), text.alias("quote"))
 
     spoken = [field(n, F.col(f"analysis.{n}"), None, F.col("x.text")) for n in ("dialogues", "monologues", "narration")]
-    nested = [field(f"{n}.{q}", F.flatten(F.transform(f"analysis.{n}", lambda c, q=q: F.coalesce(c[q], F.array().cast("array<string>")))), F.lit(None), F.col("x")) for n, q in (("characters", "appearance_quotes"), ("scenes", "description_quotes"))]
+    lists = lambda n, q: F.flatten(F.transform(F.col(f"analysis.{n}.{q}"), lambda c: F.coalesce(c, F.array().cast("array<string>"))))
+    nested = [field(f"{n}.{q}", lists(n, q), F.lit(None), F.col("x")) for n, q in (("characters", "appearance_quotes"), ("scenes", "description_quotes"))]
     out = spoken[0]
     for more in [*spoken[1:], *nested]:
         out = out.unionByName(more)

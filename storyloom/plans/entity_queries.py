@@ -25,15 +25,15 @@ def query(sql: str | None = None):
     return add
 
 
-SYNOPSIS = "CASE WHEN n_chars % 5 <> 0 THEN substr(text, 1, 20) END"
+SYNOPSIS = "CASE WHEN n_chars % 5 <> 0 THEN text END"
 SQL_CONTEXT = f"u AS (SELECT doc_id AS seq, {SYNOPSIS} AS synopsis FROM documents)"
 
 
 @query(f"""WITH {SQL_CONTEXT}, p AS (SELECT a.seq, b.seq AS s, b.synopsis, row_number() OVER (PARTITION BY a.seq ORDER BY b.seq DESC) AS r FROM u a JOIN u b ON b.seq BETWEEN a.seq - 12 AND a.seq - 1 AND b.synopsis IS NOT NULL)
-SELECT u.seq, coalesce(string_agg(p.synopsis, '|' ORDER BY p.s), '') AS context FROM u LEFT JOIN p ON p.seq = u.seq AND p.r <= 3 GROUP BY 1""")
+SELECT u.seq, md5(coalesce(string_agg(p.synopsis, '|' ORDER BY p.s), '')) AS context FROM u LEFT JOIN p ON p.seq = u.seq AND p.r <= 3 GROUP BY 1""")
 def prev_context(spark: SparkSession, sf: str) -> DataFrame:
     units = docs(spark, sf).select("seq", F.expr(SYNOPSIS).alias("synopsis"))
-    return requests.previous_context(units).select("seq", F.array_join("context", "|").alias("context"))
+    return requests.previous_context(units).select("seq", F.md5(F.array_join("context", "|")).alias("context"))
 
 
 @query(f"""WITH {SQL_MENTIONS}, t AS (SELECT DISTINCT seq // 100 * 100 + 100 AS target FROM mentions), c AS (SELECT t.target, m.name, count(*) AS n FROM t JOIN mentions m ON m.seq < t.target GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY n DESC, name) AS rank FROM c)
@@ -49,11 +49,11 @@ def _edges(spark, sf):
     return e.select(F.col("event_id").alias("seq"), F.lit(0).cast("long").alias("pos"), F.concat(F.lit("u"), "user_id").alias("name"), F.array(F.concat(F.lit("k"), "k")).alias("aliases"))
 
 
-@query("""WITH RECURSIVE e AS (SELECT DISTINCT 'u' || user_id AS a, 'k' || json_extract_string(props, '$.k') AS b FROM events WHERE event_type = 'error' AND value > 30), d AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT 'u' || user_id AS a, 'k' || json_extract_string(props, '$.k') AS b FROM events WHERE event_type = 'error'), d AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 w(node, root) AS (SELECT a, a FROM d UNION SELECT d.b, w.root FROM w JOIN d ON d.a = w.node)
 SELECT node, min(root) AS component FROM w GROUP BY 1""")
 def alias_components(spark, sf):
-    e = table(spark, sf, "events").where("event_type = 'error' AND value > 30").select(F.concat(F.lit("u"), "user_id").alias("a"), F.concat(F.lit("k"), F.get_json_object("props", "$.k")).alias("b"))
+    e = table(spark, sf, "events").where("event_type = 'error'").select(F.concat(F.lit("u"), "user_id").alias("a"), F.concat(F.lit("k"), F.get_json_object("props", "$.k")).alias("b"))
     return connected_components(e)
 
 
@@ -98,16 +98,25 @@ def mutual_aliases(spark, sf):
     return entities.mutual_aliases(stored(_index(spark, sf), "index"))
 
 
-@query("""SELECT CAST(user_id AS VARCHAR) AS canonical, count(DISTINCT event_id // 10) AS units, count(*) AS mentions, min(event_id // 10) AS first_seq, max(event_id // 10) AS last_seq, count(*) FILTER (event_type = 'view') AS mentioned_only FROM events GROUP BY 1""")
+@query("""WITH r AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2), t AS (SELECT CAST(user_id AS VARCHAR) AS canonical, string_agg(event_type || '=' || n, ',' ORDER BY event_type) AS roles FROM r GROUP BY 1)
+SELECT e.*, CAST(e.canonical AS VARCHAR) AS aliases, t.roles FROM (SELECT CAST(user_id AS VARCHAR) AS canonical, count(DISTINCT event_id // 10) AS units, count(*) AS mentions, min(event_id // 10) AS first_seq, max(event_id // 10) AS last_seq, count(*) FILTER (event_type = 'view') AS mentioned_only FROM events GROUP BY 1) e JOIN t USING (canonical)""")
 def entity_rollup(spark, sf):
     m = table(spark, sf, "events").select(F.floor(F.col("event_id") / 10).alias("seq"), F.lit(0).alias("pos"), F.col("user_id").cast("string").alias("name"), (F.col("event_type") == "view").alias("mentioned_only"), F.col("event_type").alias("role"))
-    return entities.rollup(m).drop("aliases", "roles")
+    return _spelled(entities.rollup(m))
 
 
-@query("SELECT event_type AS canonical, count(DISTINCT user_id) AS units, count(*) AS mentions, min(user_id) AS first_seq, max(user_id) AS last_seq, CAST(0 AS BIGINT) AS mentioned_only FROM events GROUP BY 1")
+def _spelled(rollup: DataFrame) -> DataFrame:
+    """Aliases and roles as text, to be compared."""
+    roles = F.array_join(F.transform(F.array_sort(F.map_entries("roles")), lambda x: F.concat(x["key"], F.lit("="), x["value"])), ",")
+    return rollup.withColumn("aliases", F.array_join("aliases", ",")).withColumn("roles", roles)
+
+
+@query("""WITH r AS (SELECT left(event_type, 1) AS canonical, props AS role, count(*) AS n FROM events GROUP BY 1, 2), t AS (SELECT canonical, string_agg(role || '=' || n, ',' ORDER BY role) AS roles FROM r GROUP BY 1), a AS (SELECT canonical, string_agg(event_type, ',' ORDER BY n DESC, event_type) AS aliases FROM (SELECT left(event_type, 1) AS canonical, event_type, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY 1)
+SELECT e.*, a.aliases, t.roles FROM (SELECT left(event_type, 1) AS canonical, count(DISTINCT user_id) AS units, count(*) AS mentions, min(user_id) AS first_seq, max(user_id) AS last_seq, CAST(0 AS BIGINT) AS mentioned_only FROM events GROUP BY 1) e JOIN t USING (canonical) JOIN a USING (canonical)""")
 def scene_rollup(spark, sf):
     m = table(spark, sf, "events").select(F.col("user_id").alias("seq"), F.lit(0).alias("pos"), F.col("event_type").alias("name"), F.lit(False).alias("mentioned_only"), F.col("props").alias("role"))
-    return entities.rollup(m).drop("aliases", "roles")
+    names = m.select("name", F.substring("name", 1, 1).alias("canonical")).distinct()
+    return _spelled(entities.rollup(m, names))
 
 
 @query("""WITH o AS (SELECT DISTINCT l_orderkey AS u, l_suppkey AS i FROM lineitem) SELECT x.i AS a, y.i AS b, count(*) AS units FROM o x JOIN o y ON x.u = y.u AND x.i < y.i GROUP BY 1, 2 ORDER BY units DESC, a, b LIMIT 3000""")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storyloom.operators import quality, sequence
 from storyloom.plans.common import SQL_MENTIONS, docs, mentions, table
+from storyloom.scratch import shared_folder, stored
+from storyloom.sources.readers import with_ordinal
 from storyloom.streaming import monitors
 
 Q: dict = {}
@@ -31,14 +33,17 @@ def unit_minutes(spark: SparkSession, sf: str) -> DataFrame:
 
 def _units(spark, sf):
     """Documents of each source in order: grp, pos, seq, minutes."""
-    d = table(spark, sf, "documents")
-    pos = F.row_number().over(Window.partitionBy("source").orderBy("doc_id")).cast("long")
-    return d.select(F.col("source").alias("grp"), pos.alias("pos"), F.col("doc_id").alias("seq"), (F.lit(4.0) + F.col("n_chars") % 60 / 10).alias("minutes"), "text")
+    numbered = with_ordinal(table(spark, sf, "documents").select("doc_id", "source", "n_chars"), "doc_id", "pos", "source")
+    return stored(numbered.select(F.col("source").alias("grp"), "pos", F.col("doc_id").alias("seq"), (F.lit(4.0) + F.col("n_chars") % 60 / 10).alias("minutes")), "units")
 
 
-def _curve(spark, sf):
-    u = _units(spark, sf)
-    items = mentions(u).join(u.select("seq", "grp", "pos").withColumnRenamed("pos", "unit"), "seq").select("grp", F.col("unit").alias("pos"), F.col("name").alias("item"))
+def _mentions(spark, sf, u):
+    return mentions(docs(spark, sf)).join(u.select("seq", "grp", "pos").withColumnRenamed("pos", "unit"), "seq")
+
+
+def _curve(spark, sf, u=None):
+    u = _units(spark, sf) if u is None else u
+    items = _mentions(spark, sf, u).select("grp", F.col("unit").alias("pos"), F.col("name").alias("item"))
     return sequence.change_curve(items, u.select("grp", "pos"))
 
 
@@ -59,15 +64,14 @@ def change_points(spark, sf):
     return sequence.change_points(_curve(spark, sf))
 
 
-def _exits(spark, sf):
-    u = _units(spark, sf)
-    m = mentions(u).join(u.select("seq", "grp", F.col("pos").alias("unit")), "seq")
-    return m.groupBy("grp", "name").agg(F.max("unit").alias("last"), F.count_distinct("unit").alias("n")).where("n >= 15").select("grp", "name", "last")
+def _exits(spark, sf, u):
+    return _mentions(spark, sf, u).groupBy("grp", "name").agg(F.max("unit").alias("last"), F.count_distinct("unit").alias("n")).where("n >= 15").select("grp", "name", "last")
 
 
 @query()
 def arc_table(spark, sf):
-    return sequence.arcs(change_points(spark, sf), _exits(spark, sf))
+    u = _units(spark, sf)
+    return sequence.arcs(sequence.change_points(_curve(spark, sf, u)), _exits(spark, sf, u))
 
 
 @query(f"""WITH {SQL_UNITS}, l AS (SELECT grp, max(pos) AS last FROM u GROUP BY 1), k AS (SELECT a.grp, a.pos AS start, a.pos + v.n - 1 AS stop, v.n AS units, (SELECT sum(b.minutes) FROM u b WHERE b.grp = a.grp AND b.pos BETWEEN a.pos AND a.pos + v.n - 1) AS minutes FROM u a, (VALUES (2), (3), (4), (5)) v(n))
@@ -81,8 +85,9 @@ def segment_candidates(spark, sf):
 
 @query()
 def budgeted_segments(spark, sf):
-    u = _units(spark, sf).select("grp", "pos", "minutes")
-    cuts = sequence.arcs(change_points(spark, sf), _exits(spark, sf)).select("grp", F.col("stop").alias("pos"), F.col("cut").alias("kind"))
+    units = _units(spark, sf)
+    u = units.select("grp", "pos", "minutes")
+    cuts = sequence.arcs(stored(sequence.change_points(_curve(spark, sf, units)), "cuts"), _exits(spark, sf, units)).select("grp", F.col("stop").alias("pos"), F.col("cut").alias("kind"))
     return sequence.budgeted_segments(sequence.segment_candidates(u, cuts), u)
 
 
@@ -146,13 +151,11 @@ def progress_headline(spark, sf):
     return monitors.headline(log, 20000).select("done", "ok", "failed", F.round("elapsed", 3).alias("elapsed"), "percent")
 
 
-@query()
+@query("SELECT doc_id AS seq, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def incremental_units(spark, sf):
     """documents as a file stream; units that labels have finished are passed over."""
     import uuid
 
-    from storyloom.scratch import shared_folder
-
     base = f"{shared_folder(spark)}/incremental-{uuid.uuid4().hex}"
     d = table(spark, sf, "documents").select(F.col("doc_id").alias("seq"), "source")
     d.write.parquet(f"{base}/in")

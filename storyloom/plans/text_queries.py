@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyloom.functions.text import flat, is_speech
+from storyloom.functions.text import flat
 from storyloom.operators import mining, quality, repair, segment, verify
-from storyloom.plans.common import NAME, SQL_MENTIONS, SQL_PARAS, docs, mentions, table
+from storyloom.plans.common import SQL_MENTIONS, SQL_PARAS, docs, mentions, table
+from storyloom.scratch import stored
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -56,8 +57,8 @@ HTML_JUNK = "<(nav|script|style|footer)|class=.ad."
 SELECT CASE WHEN trim(line) = '' THEN 'blank' WHEN regexp_matches(line, '{HTML_JUNK}') THEN 'inserted' ELSE 'body' END AS kind, count(*) AS lines, CAST(sum(length(line)) AS BIGINT) AS chars, count(DISTINCT page_id) AS pages FROM l GROUP BY 1""")
 def html_line_strip_audit(spark, sf):
     lines = table(spark, sf, "pages").select(F.col("page_id").alias("doc"), F.posexplode(F.split(F.regexp_replace("html", "(</[a-z0-9]+>)", "$1\n"), "\n")).alias("line_no", "text"))
-    kind = F.when(F.trim("text") == "", "blank").when(F.col("text").rlike(HTML_JUNK), "inserted").otherwise("body")
-    return lines.groupBy(kind.alias("kind")).agg(F.count("*").alias("lines"), F.sum(F.length("text")).alias("chars"), F.count_distinct("doc").alias("pages"))
+    marked = segment.classify_lines(lines, F.lit(False), F.col("text").rlike(HTML_JUNK))
+    return marked.groupBy("kind").agg(F.count("*").alias("lines"), F.sum(F.length("text")).alias("chars"), F.count_distinct("doc").alias("pages"))
 
 
 @query(f"""WITH {SQL_PARAS}, t AS (SELECT seq, para, text, length(text) BETWEEN 1 AND 60 AS is_title FROM paras),
@@ -95,8 +96,6 @@ def name_mining(spark, sf):
 
 @query(f"WITH {MINED_SQL} SELECT * FROM mined c WHERE NOT EXISTS (SELECT 1 FROM mined q WHERE q.name <> c.name AND starts_with(c.name, q.name) AND q.variety >= c.variety)")
 def name_prefix_cover(spark, sf):
-    from storyloom.scratch import stored
-
     return mining.without_covered(stored(name_mining(spark, sf), "names"))
 
 
@@ -162,11 +161,11 @@ def context_window(spark, sf):
 
 
 def _quotes(spark, sf):
-    """A sentence for each conversation, from the document of the same number; a character is lost where it has an odd number of turns."""
+    """Every line of the documents that have a conversation's number; a character is lost where that has an odd number of turns."""
     turns = table(spark, sf, "conversations").groupBy("conv_id").agg(F.max("turn").alias("turn"))
-    rows = turns.join(docs(spark, sf).select("seq", F.split(F.split("text", "\n")[0], r"(?<=\.) ")[0].alias("line")), F.col("conv_id") == F.col("seq"))
-    odd = F.when(F.col("turn") % 2 == 1, F.regexp_replace("line", "^(.{10}).(.*)$", "$1$2")).otherwise(F.col("line"))
-    return rows.select(F.col("seq").alias("qid"), "seq", F.lit(1).alias("para"), odd.alias("quote"))
+    rows = segment.paragraphs(table(spark, sf, "documents")).join(turns, F.col("conv_id") == F.col("seq"))
+    odd = F.when(F.col("turn") % 2 == 1, F.regexp_replace("text", "^(.{10}).(.*)$", "$1$2")).otherwise(F.col("text"))
+    return rows.select((F.col("seq") * 1_000_000 + F.col("para")).alias("qid"), "seq", "para", odd.alias("quote"))
 
 
 @query()
@@ -175,13 +174,14 @@ def quote_residue_similarity(spark, sf):
     return checked.select("qid", "status", "para_found", "para_correct", F.round("similarity", 6).alias("similarity"))
 
 
-@query("""WITH q AS (SELECT c.conv_id, c.turn, length(regexp_replace(c.text, '\\s+', '', 'g')) AS chars, d.text IS NOT NULL AND contains(regexp_replace(d.text, '\\s+', '', 'g'), regexp_replace(string_split(c.text, chr(10))[1], '\\s+', '', 'g')) AS covered FROM conversations c LEFT JOIN documents d ON d.doc_id = c.conv_id)
-SELECT conv_id, count(*) AS speech, count(*) FILTER (covered) AS covered, count(*) FILTER (covered) / count(*) AS coverage_rate FROM q WHERE chars >= 7 GROUP BY 1""")
+@query(f"""WITH {SQL_PARAS}, s AS (SELECT seq, unnest(regexp_extract_all(text, '([^.\\n]{{2,}})', 1)) AS span FROM paras), f AS (SELECT seq, regexp_replace(span, '\\s+', '', 'g') AS span FROM s WHERE length(regexp_replace(span, '\\s+', '', 'g')) >= 7 OR regexp_matches(span, ',')),
+g AS (SELECT conv_id AS seq, regexp_replace(string_agg(text, '' ORDER BY turn), '\\s+', '', 'g') AS given FROM conversations GROUP BY 1), k AS (SELECT f.seq, count(*) AS speech, count(*) FILTER (contains(coalesce(g.given, ''), f.span)) AS covered FROM f LEFT JOIN g ON g.seq = f.seq GROUP BY 1)
+SELECT d.doc_id AS seq, coalesce(speech, 0) AS speech, coalesce(covered, 0) AS covered, coalesce(covered / speech, 1.0) AS coverage_rate FROM documents d LEFT JOIN k ON k.seq = d.doc_id""")
 def dialogue_coverage(spark, sf):
-    turns = table(spark, sf, "conversations").where(is_speech(flat(F.col("text")), ".")).where(F.length(flat(F.col("text"))) >= 7)
-    d = docs(spark, sf).select(F.col("seq").alias("conv_id"), flat(F.col("text")).alias("source_text"))
-    rows = turns.join(d, "conv_id", "left").withColumn("has", F.coalesce(F.contains("source_text", flat(F.split("text", "\n")[0])), F.lit(False)))
-    return rows.groupBy("conv_id").agg(F.count("*").alias("speech"), F.count_if("has").alias("covered"), (F.count_if("has") / F.count("*")).alias("coverage_rate"))
+    """Every sentence of every document as speech, against all turns of the conversation of its number."""
+    given = table(spark, sf, "conversations").select(F.col("conv_id").alias("seq"), F.col("turn").alias("para"), F.col("text").alias("quote"))
+    speech = lambda s: (F.length(flat(s)) >= 7) | F.contains(s, F.lit(","))
+    return verify.coverage(segment.paragraphs(table(spark, sf, "documents")), given, r"([^.\n]{2,})", flat, speech).drop("missed")
 
 
 def _scores(spark, sf):
@@ -232,10 +232,10 @@ def rerun_set(spark, sf):
     return quality.rerun_set(_states(spark, sf), table(spark, sf, "labels").where("toxic = 1").select(F.col("doc_id").alias("seq")))
 
 
-@query(f"""WITH {SQL_MENTIONS}, s AS (SELECT DISTINCT conv_id AS seq, regexp_extract(text, '^[^ ,.]*') AS name FROM conversations WHERE role <> 'system')
+@query(f"""WITH {SQL_MENTIONS}, s AS (SELECT DISTINCT conv_id AS seq, unnest(regexp_extract_all(text, '([A-Za-z]+)', 1)) AS name FROM conversations WHERE role <> 'system')
 SELECT seq, name FROM s WHERE name <> '' AND NOT regexp_matches(name, 'tion|heit') AND NOT EXISTS (SELECT 1 FROM mentions m WHERE m.seq = s.seq AND m.name = s.name)""")
 def unregistered_speakers(spark, sf):
-    names = table(spark, sf, "conversations").where("role <> 'system'").select(F.col("conv_id").alias("seq"), F.regexp_extract("text", "^[^ ,.]*", 0).alias("name")).distinct()
+    names = table(spark, sf, "conversations").where("role <> 'system'").select(F.col("conv_id").alias("seq"), F.explode(F.regexp_extract_all("text", F.lit("([A-Za-z]+)"), 1)).alias("name")).distinct()
     return quality.unregistered(names, mentions(docs(spark, sf)), ["tion", "heit"], [])
 
 
@@ -276,7 +276,7 @@ def repair_align(spark, sf):
 @query()
 def repair_rollback(spark, sf):
     quotes, p = _broken(spark, sf)
-    fixed = repair.repair(quotes, p, SENTENCE)
+    fixed = stored(repair.repair(quotes, p, SENTENCE), "repaired")
     after = fixed.select("qid", "seq", F.lit(None).cast("int").alias("para"), F.coalesce(F.col("parts")[0]["text"], F.col("quote")).alias("quote"))
     report = lambda q: verify.unit_report(verify.check_quotes(q.select("qid", "seq", "para", "quote"), p, norm=flat))
     return repair.rolled_back(report(quotes), report(after))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from storyloom.functions.text import strip
+from storyloom.scratch import stored
 
 
 def read_lines(spark: SparkSession, path: str, encoding: str = "GB18030") -> DataFrame:
@@ -20,11 +21,11 @@ def read_lines(spark: SparkSession, path: str, encoding: str = "GB18030") -> Dat
     return files.select(F.col("path").alias("doc"), F.posexplode(F.split(body, "\n")).alias("line_no", "text"))
 
 
-def read_documents(spark: SparkSession, path: str, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
-    """JSON documents of a folder: (good rows, rejects with file and text). Wrongly typed documents are rejects."""
+def read_documents(spark: SparkSession, path: str, schema: StructType | str, lines: bool = False) -> tuple[DataFrame, DataFrame]:
+    """JSON documents of a folder, one a file or, with ``lines``, one a line: (good rows, rejects with file and text). Wrongly typed documents are rejects."""
     schema = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    rows = spark.read.schema(schema.add("_corrupt", "string")).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path).withColumn("file", F.col("_metadata.file_name"))
-    rows = rows.cache()  # Spark does not let _corrupt be read alone
+    rows = spark.read.schema(schema.add("_corrupt", "string")).option("multiLine", not lines).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path).withColumn("file", F.col("_metadata.file_name"))
+    rows = stored(rows, "documents")  # Spark does not let _corrupt be read alone
     return rows.where("_corrupt IS NULL").drop("_corrupt"), rows.where("_corrupt IS NOT NULL").select("file", "_corrupt")
 
 
@@ -49,16 +50,25 @@ def chunked(df: DataFrame, order: str, chunks: int, group: str | None = None) ->
     return numbered.withColumn("chunk", F.ceil(F.col("_nth") / per).cast("int")).drop("_nth")
 
 
-def with_ordinal(df: DataFrame, order: str, name: str = "seq") -> DataFrame:
-    """Add a gapless ordinal from 1 by ``order``: ranks in ranges, after the rows of the ranges before."""
+def with_ordinal(df: DataFrame, order: str, name: str = "seq", group: str | None = None) -> DataFrame:
+    """Add a gapless ordinal from 1 by ``order``, of each ``group`` if given: ranks in ranges, after the rows of the ranges before.
+
+    A range of the whole table is one task, however large a group is.
+    """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts = df.agg(F.percentile_approx(order, [i / n for i in range(1, n)] or [0.5], 100 * n)).first()[0] or []
     cuts = sorted(set(cuts))
+    keys = [group] if group else []
     ranged = df.withColumn("_range", F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col(order))) if cuts else F.lit(0))
-    counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
-    before = counts.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))  # a row for each range
-    ranked = ranged.withColumn("_in", F.row_number().over(Window.partitionBy("_range").orderBy(order)))
-    return ranked.join(F.broadcast(before), "_range").withColumn(name, (F.col("_before") + F.col("_in")).cast("long")).drop("_range", "_in", "_before")
+    counts = ranged.groupBy(*keys, "_range").agg(F.count("*").alias("_n"))
+    before = counts.select(*keys, "_range", (F.sum("_n").over(Window.partitionBy(*keys).orderBy("_range")) - F.col("_n")).alias("_before"))  # a row for each range (and group)
+    ranked = ranged.withColumn("_in", F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(order)))
+    if group:
+        before = before.withColumnRenamed(group, "_group")
+        joined = ranked.join(before.withColumnRenamed("_range", "_r"), F.col(group).eqNullSafe(F.col("_group")) & (F.col("_range") == F.col("_r"))).drop("_group", "_r")
+    else:
+        joined = ranked.join(F.broadcast(before), "_range")
+    return joined.withColumn(name, (F.col("_before") + F.col("_in")).cast("long")).drop("_range", "_in", "_before")
 
 
 def parse_header(lines: DataFrame, body_mark: str = "------章节内容开始-------", site: str = "ixdzs", most: int = 40) -> DataFrame:
@@ -106,3 +116,16 @@ def write_entities(df: DataFrame, path: str, least: int = 2, count: str = "units
 def upserted(manifest: DataFrame, done: DataFrame, *key: str) -> DataFrame:
     """A manifest with the entries of ``done`` in place of those of equal key."""
     return manifest.join(done, list(key), "left_anti").unionByName(done)
+
+
+def curated(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """Curated tables of a JSON file: identities (name, owner), ambiguous (name), excluded (phrase), tags (tag, word).
+
+    The file holds {"identities": [{"canonical", "aliases", "ambiguous", "exclude"}], "tags": {tag: [words]}}; what is absent is empty.
+    """
+    person = "struct<canonical: string, aliases: array<string>, ambiguous: array<string>, exclude: array<string>>"
+    rows = spark.read.schema(f"identities array<{person}>, tags map<string, array<string>>").option("multiLine", True).json(path)
+    people = rows.select(F.explode("identities").alias("p")).select("p.*")
+    owned = people.select(F.explode(F.array_union(F.array("canonical"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("name"), F.col("canonical").alias("owner"))
+    unsure = people.select(F.explode("ambiguous").alias("name")).distinct()
+    return {"identities": owned.join(unsure, "name", "left_anti"), "ambiguous": unsure, "excluded": people.select(F.explode("exclude").alias("phrase")).distinct(), "tags": rows.select(F.explode("tags").alias("tag", "words")).select("tag", F.explode("words").alias("word"))}
