@@ -1,7 +1,9 @@
 """Documents to packed training sequences, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stage before has kept; what it
-returns is written as Parquet and read again as the docs of the next.
+returns is written as Parquet and read again as the docs of the next. Columns other than those of documents are
+dropped. Rows are judged one by one, whether their doc_id is null, repeated or their own (see ``numbered``); an
+empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -13,46 +15,71 @@ from pyspark.sql import functions as F
 
 from storyloom.llm import decontamination, near_duplicates, packing, substring_dedup, toxicity
 from storyloom.scratch import stored
+from storyloom.sources.readers import with_ordinal
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Words of a passage that counts as repeated across documents.
 PASSAGE_WORDS = 50
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The columns of documents and ``row_id``: doc_id where each row has one of its own, else an ordinal by doc_id, nulls last."""
+    docs = docs.select(*COLUMNS)
+    if docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").isEmpty():
+        return docs.withColumn("row_id", F.col("doc_id").cast("long"))
+    ordered = docs.withColumn("_order", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)))
+    return stored(with_ordinal(ordered, "_order", "row_id").drop("_order"), "numbered")
+
+
+def by_row(rows: DataFrame) -> DataFrame:
+    """Row ids in place of doc_ids, for operators."""
+    return rows.select(F.col("row_id").alias("doc_id"), "text")
+
+
+def without(rows: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows whose row_id is not among ``rejected`` (doc_id)."""
+    ids = stored(rejected.select(F.col("doc_id").alias("row_id")).distinct(), "rejected")
+    return rows.join(ids, "row_id", "left_anti").select(*COLUMNS)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: documents with a score of 0.7 or more go. A null text has no evidence and stays."""
+    """Operator 10: documents with a score of 0.7 or more go. A null or empty text has no evidence and stays."""
+    rows = numbered(docs)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rejected = toxicity.toxicity(docs, model).where("score >= 0.7 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(stored(rejected, "rejected"), "doc_id", "left_anti").select(*COLUMNS)
+    return without(rows, toxicity.toxicity(by_row(rows), model).where("score >= 0.7"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: of each group of near duplicates (five-word shingles, 0.8), the smallest doc_id stays; one row of each doc_id."""
-    found = near_duplicates.near_duplicates(docs, shingle_words=5, percent=80)
-    rejected = found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(stored(rejected, "rejected"), "doc_id", "left_anti").select(*COLUMNS)
+    """Operator 5: of each group of near duplicates (five-word shingles, 0.8), the row of the smallest doc_id stays.
+
+    Of rows that are repeated as a whole one stays, too; a row without a doc_id only if no other is like it. Null and empty texts all stay.
+    """
+    rows = numbered(docs)
+    return without(rows, near_duplicates.near_duplicates(by_row(rows), shingle_words=5, percent=80).where("NOT kept"))
 
 
 def remove_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: passages of 50 words or more that an earlier document has are cut out of later ones.
+    """Operator 2: passages of 50 words or more that an earlier row has are cut out of later ones.
 
     Texts that lose nothing stay as they are; in others, the words kept are joined by one space. A
     document all of whose words go is left out.
     """
-    found = stored(substring_dedup.remove_repeats(docs, window=PASSAGE_WORDS).where("n_removed > 0 AND doc_id IS NOT NULL").select("doc_id", "kept_text").dropDuplicates(["doc_id"]), "cut")
-    text = F.coalesce("kept_text", "text")
-    out = docs.select(*COLUMNS).join(found, "doc_id", "left").where("kept_text IS NULL OR kept_text <> ''")
-    return out.select("doc_id", text.alias("text"), "lang", "source", F.when(F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.length("kept_text")).cast("long").alias("n_chars"))
+    rows = numbered(docs)
+    found = substring_dedup.remove_repeats(by_row(rows), window=PASSAGE_WORDS).where("n_removed > 0")
+    found = stored(found.select(F.col("doc_id").alias("row_id"), "kept_text"), "cut")
+    out = rows.join(found, "row_id", "left").where("kept_text IS NULL OR kept_text <> ''")
+    n_chars = F.when(F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.length("kept_text")).cast("long")
+    return out.select("doc_id", F.coalesce("kept_text", "text").alias("text"), "lang", "source", n_chars.alias("n_chars"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: documents that hold a benchmark item, or one with other values, go."""
-    found = decontamination.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(stored(found, "rejected"), "doc_id", "left_anti").select(*COLUMNS)
+    """Operator 3: documents that hold a benchmark item, or one with other values, go. Null and empty texts hold none."""
+    rows = numbered(docs)
+    return without(rows, decontamination.contaminated(by_row(rows), spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: pieces of the documents' ids and their places in sequences of 1024."""
+    """Operator 1: pieces of the documents' ids and their places in sequences of 1024. A null or empty text is its end id alone."""
     import public_tokenizers
 
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))

@@ -438,3 +438,110 @@ def test_op10_long_runs_spaces_and_other_alphabets(spark):
     score = {r.doc_id: r.score for r in toxicity.toxicity(rows, model).collect()}
     assert all(score[d] > score[21] for d in hidden), score
     assert all(score[d] <= score[21] + 1e-9 for d in clean), score
+
+
+STAGE_ROWS = [*AWKWARD, (None, None, None, None), (20, "We are the only ones who write this here, and nobody else does it", "en", "a"), (None, "We are the only ones who write this here, and nobody else does it", "en", "b")]
+
+
+def stage_rows(spark):
+    docs = spark.createDataFrame(STAGE_ROWS, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.length("text").cast("long"))
+    return docs.select("*", *[F.lit("x").alias(c) for c in [*CLASHING, "row_id", "kept_text", "item_id"]])
+
+
+def test_stages_on_awkward_rows(spark):
+    import corpus_pipeline
+
+    docs, stages = stage_rows(spark).cache(), dict(corpus_pipeline.STAGES)
+    kept = {}
+    for name in ("toxicity", "near_dedup", "substring_dedup", "decontamination"):
+        out = stages[name](spark, docs, SF)
+        assert out.columns == corpus_pipeline.COLUMNS
+        kept[name] = [(r.doc_id, r.text) for r in out.collect()]
+    everything = [(r[0], r[1]) for r in STAGE_ROWS]
+    assert len(kept["toxicity"]) == len(everything) == len(kept["decontamination"])
+    # Rows 1, 1 and 7 are one text, 4 and 9 are, and 20 and a row without an id: of each the smallest id stays.
+    near = sorted(kept["near_dedup"], key=repr)
+    assert sorted((d, t) for d, t in near if t and t.startswith("One two")) == [(1, AWKWARD[0][1])]
+    assert [d for d, t in near if t == LONG] == [4] and [d for d, t in near if t and t.startswith("We are")] == [20]
+    assert sum(t is None for _, t in near) == 2 and (3, "") in near and (5, " \n\t ") in near
+    assert [d for d, t in kept["substring_dedup"] if t == LONG] == [4]
+    assert stages["packing"](spark, docs, SF).count() >= len(everything)
+
+
+def test_stages_on_an_empty_table(spark):
+    import corpus_pipeline
+
+    docs = stage_rows(spark).limit(0)
+    assert all(stage(spark, docs, SF).count() == 0 for _, stage in corpus_pipeline.STAGES)
+
+
+def test_op1_query_against_the_tokenizer(spark, given):
+    """Pieces, their ids and places of the whole query, and no more sequences than one by one best fit makes."""
+    plain, pieces, bins = Tokenizer.from_file(byte_path()), {}, []
+    for d, t in given.items():
+        ids = [*plain.encode(t or "", add_special_tokens=False).ids, 2]
+        first = len(ids) - (len(ids) - 1) // 1024 * 1024
+        cuts = [0, *range(first, len(ids) + 1, 1024)]
+        for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            pieces[d, i] = (a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes()))
+    rows = QUERIES["op1_best_fit_packing"](spark, SF).collect()
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in rows} == pieces and len(rows) == len(pieces)
+    places = defaultdict(list)
+    for r in rows:
+        places[r.sequence_id].append((r.offset, r.length))
+    for spans in places.values():
+        spans.sort()
+        assert [o for o, _ in spans] == [sum(n for _, n in spans[:i]) for i in range(len(spans))] and sum(n for _, n in spans) <= 1024
+    for n in sorted((x[1] for x in pieces.values()), reverse=True):
+        i = bisect.bisect_left(bins, n)
+        left = bins.pop(i) - n if i < len(bins) else 1024 - n
+        bisect.insort(bins, left)
+    assert len(places) == len(bins)
+
+
+def test_op9_query_against_the_tokenizer(spark, given):
+    plain, start = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), 0
+    found = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in QUERIES["op9_token_files"](spark, SF).collect()}
+    for d, t in sorted(given.items()):
+        ids = np.array([*plain.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
+        assert found[d] == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
+@pytest.mark.parametrize("encoding", ["dictionary", "delta"])
+def test_token_files_are_encoded_as_asked_and_read_selectively(spark, given, tmp_path, encoding):
+    import pyarrow.parquet as pq
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    token_files.write_token_files(docs, str(tmp_path / "t"), byte_path(), "space", 2, encoding)
+    meta = pq.read_metadata(next((tmp_path / "t" / "ids").glob("*.parquet"))).row_group(0)
+    used = {meta.column(i).path_in_schema.split(".")[0]: meta.column(i).encodings for i in range(meta.num_columns)}["ids"]
+    assert ("RLE_DICTIONARY" in used or "PLAIN_DICTIONARY" in used) if encoding == "dictionary" else "DELTA_BINARY_PACKED" in used
+    one = token_files.read_token_files(spark, str(tmp_path / "t"), "ids").where("doc_id = 7").collect()
+    assert one[0].ids == [*Tokenizer.from_file(byte_path()).encode(given[7], add_special_tokens=False).ids, 2]
+
+
+def test_op7_fingerprints_from_plain_sets(spark, given):
+    """Minima over the set of phrases of a plain parse, byte by byte, without the operator's own parse."""
+    from storyloom.llm.text_arrays import span_hashes
+
+    found = {r.doc_id: r.fingerprint for r in QUERIES["op7_phrase_fingerprints"](spark, SF).collect()}
+    for d, t in sorted(given.items())[:25]:
+        seen, at, text = set(), 0, (t or "").encode()[:3000]
+        if len((t or "").encode()) > 3000:
+            continue
+        for i in range(1, len(text) + 1):
+            if text[at:i] not in seen:
+                seen.add(text[at:i])
+                at = i
+        x = [np.uint32(span_hashes(np.frombuffer(p, np.uint8), np.array([0]), np.array([len(p)]))[0] >> np.uint64(32)) for p in seen]
+        minima = [min((int(v) * int(f) + int(e)) % 2**32 for v in x) if x else 0xFFFFFFFF for f, e in zip(phrase_fingerprints._FACTORS, phrase_fingerprints._TERMS, strict=True)]
+        assert found[d] == np.array([(m ^ (m >> 16)) & 0xFFFF for m in minima], np.uint16).tobytes().hex()
+
+
+def test_op8_learns_rare_languages_and_never_needs_more_than_the_sample(spark):
+    rows = [(i, f"the house and the garden {i}", "en") for i in range(3000)] + [(5000 + i, f"qux zork blip vrang {i}", "zz") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_field.fit_sample(docs, max_rows=100)
+    found = {r.doc_id: r.lang_pred for r in language_field.identify(spark.createDataFrame([(1, "zork vrang blip"), (2, "the garden and the house")], "doc_id long, text string"), model).collect()}
+    assert model.languages == ["en", "zz"] and found == {1: "zz", 2: "en"}
