@@ -2,17 +2,18 @@
 
 After Talbot and Osborne (2007): n-gram counts are quantised to logarithmic levels, and an n-gram of
 level q is put into a Bloom filter with each of 1..q; probing level after level until one is missing
-gives the count back. The filter holds all words, all bigrams and, for each history, how many kinds of words follow
-it. A smoothed probability comes from three such counts (Witten and Bell's interpolation):
+gives the count back. The filter holds all words and all bigrams of the corpus. A smoothed probability comes from three such counts:
 
-    P(w | h) = (v(h, w) + t(h) P(w)) / (m(h) + t(h)),   P(w) = (v(w) + 0.5) / (Q + 0.5 (V + 1))
+    P(w | h) = (v(h, w) + t(h) P(w)) / (c(h) + t(h)),   P(w) = (v(w) + 0.5) / (Q + 0.5 (V + 1)),   t(h) = max(1, v(h) ^ 0.75)
 
-where m(h) is the sum of v(h, w) over all w and Q that of v(w), of quantised counts, so that probabilities sum to one but for
-false positives (2^-12 for each bigram that was not seen).
+where v is the count that a level stands for, c(h) that of the history and Q the sum of v(w). As the counts of a history's
+bigrams sum up to c(h), probabilities sum to one but for the rounding to levels, whose values are means, and for false positives
+(2^-10 for each bigram of known words that was not seen). t(h) grows as the number of different words after h does.
 
-The filter has a place for every n-gram of the corpus, in segments. Up to ``filter_bytes`` it is broadcast.
+The filter has a place for every n-gram, in segments whose sizes follow from what they hold: n-grams are counted where their segment is
+built, so they are shuffled once. Up to ``filter_bytes`` the filter is broadcast.
 Beyond, its segments stay a table: the n-grams of blocks of texts are sent to their segments by a join, and what
-they find is sent back. Both ways give the same scores. m(h) + t(h) and the exact counts of base scores come from a table of words:
+they find is sent back. Both ways give the same scores. c(h) + t(h) and the exact counts of base scores come from a table of words:
 its most frequent ones, at most ``head_words``, are in every task, the others reach the texts through a join.
 """
 
@@ -25,24 +26,35 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storyloom.llm.text_arrays import flat, mix, slices, span_hashes, words
 from storyloom.scratch import stored
 
 END = int(mix(np.array([0xE0D], np.uint64))[0])  # the end token's place among word hashes
-SEGMENT_BITS = 1 << 21
-PROBES = 12
-STEP = 1.5
-#: What tells words, histories and bigrams apart in the filter.
-WORD, FOLLOWERS, PAIR = (np.uint64(x) for x in (0x57, 0xF0, 0x2B))
+#: Tokens of the corpus for each segment, which has a few bits less than fifteen for each n-gram and level.
+SEGMENT_TOKENS = 1 << 18
+PROBES = 10
+STEP = 1.25
+#: What tells words and bigrams apart in the filter.
+WORD, PAIR = np.uint64(0x57), np.uint64(0x2B)
 #: Bytes of text in a block, where the filter is not broadcast.
 BLOCK_BYTES = 24 << 20
-_LEVELS = 128
-_LOW = np.ceil(STEP ** np.arange(_LEVELS) - 1e-9)
-#: Count that each level stands for: the middle of the counts that have it (level 0: none).
-VALUES = np.concatenate([[0.0], (_LOW[:-1] + np.maximum(_LOW[:-1], _LOW[1:] - 1)) / 2])
+_LOW = np.unique(np.ceil(STEP ** np.arange(190) - 1e-9))
+_LEVELS = len(_LOW)
+
+
+def _mean(low: float, high: float) -> float:
+    """Mean of the counts from ``low`` to ``high``, rare ones being more frequent (by the square)."""
+    if high - low < 1000:
+        n = np.arange(low, high + 1)
+        return float((1 / n).sum() / (1 / n**2).sum())
+    return math.log(high / low) / (1 / low - 1 / high)
+
+
+#: Count that each level stands for (level 0: none).
+VALUES = np.array([0.0, *(_mean(a, max(a, b - 1)) for a, b in zip(_LOW, _LOW[1:], strict=False))])
 
 
 def level_of(n: np.ndarray) -> np.ndarray:
@@ -69,28 +81,28 @@ def tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, np.repeat(np.arange(batch.num_rows), count), count
 
 
-def _counted(batches: Iterator[tuple[np.ndarray, np.ndarray]], most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Distinct keys, what goes with each, and counts, put together in a task before they are shuffled."""
-    keys, of, counts = (np.zeros(0, np.int64) for _ in range(3))
-    for values, more in batches:
-        one, first, n = np.unique(values, return_index=True, return_counts=True)
+def _counted(batches: Iterator[np.ndarray], most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct values and counts, put together in a task before they are shuffled."""
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for values in batches:
+        one, n = np.unique(values, return_counts=True)
         both = np.concatenate([keys, one])
         order = np.argsort(both, kind="stable")
-        both, of, n = both[order], np.concatenate([of, more[first]])[order], np.concatenate([counts, n])[order]
+        both, n = both[order], np.concatenate([counts, n])[order]
         new = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.zeros(0, np.int64)
-        keys, of, counts = both[new], of[new], np.add.reduceat(n, new) if len(new) else n
+        keys, counts = both[new], np.add.reduceat(n, new) if len(new) else n
         if len(keys) > most:
-            yield keys, of, counts
-            keys, of, counts = (np.zeros(0, np.int64) for _ in range(3))
+            yield keys, counts
+            keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
     if len(keys):
-        yield keys, of, counts
+        yield keys, counts
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """word (hash), c over all whole texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, _, counts in _counted((w, w) for w in (tokens(b)[0].view(np.int64) for b in slices(batches))):
+        for keys, counts in _counted(tokens(b)[0].view(np.int64) for b in slices(batches)):
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["word", "c"])
 
     return docs.select("text").mapInArrow(count, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
@@ -111,40 +123,53 @@ class Head:
         return np.where(self.keys[at] == hashes, at, -1)
 
 
-def _places(key: np.ndarray, level: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
-    """Segment of each n-gram, and its two hashes at a level."""
-    h = mix(key.astype(np.uint64))
-    g = mix(h ^ mix(level.astype(np.uint64)))
-    return (h % np.uint64(segments)).astype(np.int64), g
+def _places(key: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
+    """Segment of each n-gram, and a hash to begin with."""
+    h = mix(key)
+    return ((h >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64), h
+
 
+def _bit(g: np.ndarray, j: int, size: np.ndarray | np.uint64) -> np.ndarray:
+    """The j-th bit of a hash in a segment of ``size`` bits."""
+    x = (g >> np.uint64(32)) + np.uint64(j) * (g | np.uint64(1)) & np.uint64(0xFFFFFFFF)
+    return (x * size >> np.uint64(32)).astype(np.int64)
 
-def probe(bits: np.ndarray, segments: int, key: np.ndarray, one_segment: bool = False) -> np.ndarray:
-    """Level of each n-gram: how many membership probes in a row succeed. ``one_segment``: ``bits`` are those of the keys' segment."""
+
+def probe(bits: np.ndarray, sizes: np.ndarray, key: np.ndarray, only: bool = False) -> np.ndarray:
+    """Level of each n-gram: how many membership probes in a row succeed. ``only``: ``bits`` are the segment of all keys."""
     out = np.zeros(len(key), np.int64)
-    alive = np.arange(len(key))
+    segment, h = _places(key, len(sizes))
+    at = np.flatnonzero(sizes[segment] > 0) if not only else np.arange(len(key))
+    segment, h = segment[at], h[at]
+    begin = np.zeros(len(at), np.int64) if only else (np.cumsum(sizes) - sizes)[segment]
+    size = np.uint64(len(bits) * 8) if only else sizes[segment].astype(np.uint64)
+    held = lambda place: (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
     for q in range(1, _LEVELS):
-        segment, g = _places(key[alive], np.full(len(alive), q), segments)
-        at, step = g >> np.uint64(32), (g | np.uint64(1)) & np.uint64(0xFFFFFFFF)
-        base = np.zeros(len(alive), np.int64) if one_segment else segment * SEGMENT_BITS
-        for j in range(PROBES):
-            bit = base + ((at + np.uint64(j) * step) % np.uint64(SEGMENT_BITS)).astype(np.int64)
-            ok = (bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
-            if not ok.all():
-                alive, base, at, step = alive[ok], base[ok], at[ok], step[ok]
-            if not len(alive):
-                return out
-        out[alive] = q
+        g = mix(h ^ mix(np.array([q], np.uint64)))
+        ok = held(begin + _bit(g, 0, size))  # most of what is missing goes here
+        some = np.flatnonzero(ok)
+        g, part = g[some], size if only else size[some]
+        ok = np.ones(len(some), bool)
+        for j in range(1, PROBES):
+            ok &= held(begin[some] + _bit(g, j, part))
+        some = some[ok]
+        if not len(some):
+            break
+        at, h, begin = at[some], h[some], begin[some]
+        size = size if only else size[some]
+        out[at] = q
     return out
 
 
 @dataclass
 class Model:
     head: Head
-    divisors: np.ndarray  # log10 of m + t of the head's words
+    divisors: np.ndarray  # log10 of c + t of the head's words
     total: int  # N
     vocabulary: int  # V
     mass: float  # Q
     segments: int
+    sizes: np.ndarray | None  # bits of each segment
     bits: Broadcast | None  # the filter, or None where it is larger than may be broadcast
     filter: DataFrame  # segment, bits
     words: DataFrame  # word, c, divisor
@@ -154,16 +179,22 @@ class Model:
         return (VALUES[level] + 0.5) / (self.mass + 0.5 * (self.vocabulary + 1))
 
 
-def _build(table: pa.Table, segments: int) -> pa.Table:
-    """All n-grams of a segment: at the designed load, some 120,000 insertions."""
-    key, level = table["key"].to_numpy(), table["level"].to_numpy()
-    out = np.zeros(SEGMENT_BITS, bool)
+def spread(level: np.ndarray) -> np.ndarray:
+    """t(h) from the level of a history."""
+    return np.maximum(1.0, VALUES[level] ** 0.75)
+
+
+def _build(table: pa.Table) -> pa.Table:
+    """Count the n-grams of a segment and put them in: at most ``SEGMENT_TOKENS`` on average."""
+    key, inverse = np.unique(table["key"].to_numpy().view(np.uint64), return_inverse=True)
+    level = level_of(np.bincount(inverse, table["n"].to_numpy()))
+    bits = np.zeros(-(-int(level.sum() * PROBES / math.log(2)) // 64) * 64, bool)
+    h = mix(key)
     for q in range(1, int(level.max()) + 1):
-        _, g = _places(key[level >= q], np.full(int((level >= q).sum()), q), segments)
-        at, step = g >> np.uint64(32), g | np.uint64(1)
+        g = mix(h[level >= q] ^ mix(np.array([q], np.uint64)))
         for j in range(PROBES):
-            out[((at + np.uint64(j) * (step & np.uint64(0xFFFFFFFF))) % np.uint64(SEGMENT_BITS)).astype(np.int64)] = True
-    return pa.table({"segment": table["segment"][:1], "bits": pa.array([np.packbits(out, bitorder="little").tobytes()], pa.binary())})
+            bits[_bit(g, j, np.uint64(len(bits)))] = True
+    return pa.table({"segment": table["segment"][:1], "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
 
 
 def fit(docs: DataFrame, head_words: int = 1 << 18, filter_bytes: int = 1 << 27) -> Model:
@@ -172,50 +203,41 @@ def fit(docs: DataFrame, head_words: int = 1 << 18, filter_bytes: int = 1 << 27)
     An empty table gives a model without words. The head, totals and a filter of up to ``filter_bytes`` come to the driver.
     """
     spark = docs.sparkSession
-    counts = stored(word_counts(docs), "words")
 
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def keys_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    def valued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            c = batch.column(1).to_numpy()
+            level = level_of(c)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(VALUES[level]), pa.array(np.log10(c + spread(level)))], names=["word", "c", "v", "divisor"])
+
+    counts = stored(word_counts(docs).mapInArrow(valued, "word long, c long, v double, divisor double"), "words")
+    totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"), F.coalesce(F.sum("v"), F.lit(0.0)).alias("q")).first()
+    segments = max(1, -(-int(totals["n"]) // SEGMENT_TOKENS))
+
+    def sent(key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(_places(key, segments)[0].astype(np.int32)), pa.array(key.view(np.int64)), pa.array(n)], names=["segment", "key", "n"])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def keys_of(batch: pa.RecordBatch) -> np.ndarray:
             hashes, row, _ = tokens(batch)
-            before, key = followed(hashes, row)
-            return key.view(np.int64), before.view(np.int64)
-
-        for keys, of, n in _counted(keys_of(b) for b in slices(batches)):
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(of), pa.array(n)], names=["key", "history", "n"])
-
-    pairs = docs.select("text").mapInArrow(count_pairs, "key long, history long, n long").groupBy("key", "history").agg(F.sum("n").alias("n"))
-    pairs = stored(pairs, "pairs")
-    value = F.element_at(F.lit(VALUES[1:].tolist()), _level(F.col("n")))
-    followers = pairs.groupBy("history").agg(F.sum(value).alias("m"), F.count("*").alias("types"))
-    followers = stored(followers, "followers")
-
-    grams = [(pairs, "key", "n", np.uint64(0)), (counts, "word", "c", WORD), (followers, "history", "types", FOLLOWERS)]
-    inserts = sum(t.agg(F.coalesce(F.sum(_level(F.col(n))), F.lit(0))).first()[0] for t, _, n, _ in grams)
-    segments = max(1, math.ceil(inserts * PROBES / math.log(2) / SEGMENT_BITS))
-
-    def route(kind: np.uint64):
-        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                key, n = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
-                key = mix(key ^ kind) if kind else key
-                yield pa.RecordBatch.from_arrays([pa.array(_places(key, np.ones(len(key)), segments)[0].astype(np.int32)), pa.array(key.view(np.int64)), pa.array(level_of(n).astype(np.int16))], names=["segment", "key", "level"])
-
-        return place
-
-    rows = [t.select(key, n).mapInArrow(route(kind), "segment int, key long, level short") for t, key, n, kind in grams]
-    placed = rows[0].unionByName(rows[1]).unionByName(rows[2])
-    built = stored(placed.groupBy("segment").applyInArrow(lambda t: _build(t, segments), "segment int, bits binary"), "filter")
-    size, bits = SEGMENT_BITS // 8, None
-    if segments * size <= filter_bytes:
-        whole = np.zeros(segments * size, np.uint8)
-        for row in built.toLocalIterator():
-            whole[row["segment"] * size : (row["segment"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
-        bits = spark.sparkContext.broadcast(whole)
-
-    # The divisor has the count of followers as the filter gives it back.
-    divisor = F.log10(F.coalesce("m", F.lit(0.0)) + F.greatest(F.lit(1.0), F.coalesce(F.element_at(F.lit(VALUES[1:].tolist()), _level(F.col("types"))), F.lit(0.0))))
-    known = stored(counts.join(followers.withColumnRenamed("history", "word"), "word", "left").select("word", "c", divisor.alias("divisor")), "model")
-    totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"), F.coalesce(F.sum(F.element_at(F.lit(VALUES[1:].tolist()), _level(F.col("c")))), F.lit(0.0)).alias("q")).first()
+            return followed(hashes, row)[1].view(np.int64)
+
+        for keys, n in _counted(keys_of(b) for b in slices(batches)):
+            yield sent(keys.view(np.uint64), n)
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield sent(mix(batch.column(0).to_numpy().view(np.uint64) ^ WORD), batch.column(1).to_numpy())
+
+    grams = docs.select("text").mapInArrow(pairs, "segment int, key long, n long").unionByName(counts.select("word", "c").mapInArrow(single, "segment int, key long, n long"))
+    built = stored(grams.groupBy("segment").applyInArrow(_build, "segment int, bits binary"), "filter", compression="none")
+    sizes, bits = None, None
+    if (built.agg(F.sum(F.octet_length("bits"))).first()[0] or 0) <= filter_bytes:
+        parts = {row["segment"]: np.frombuffer(row["bits"], np.uint8) for row in built.toLocalIterator()}
+        sizes = np.array([8 * len(parts[i]) if i in parts else 0 for i in range(segments)])
+        bits = spark.sparkContext.broadcast(np.concatenate([parts[i] for i in sorted(parts)] or [np.zeros(0, np.uint8)]))
+
+    known = counts.select("word", "c", "divisor")
     # The head's least count, from a histogram of at most 1,000 rows; without a head all words are joined.
     bins = sorted(((r["b"], r["n"]) for r in counts.groupBy(F.floor(F.log2("c") * 16).cast("int").alias("b")).agg(F.count("*").alias("n")).collect()), reverse=True)
     taken, cut = 0, None
@@ -228,12 +250,7 @@ def fit(docs: DataFrame, head_words: int = 1 << 18, filter_bytes: int = 1 << 27)
     keys = frequent["word"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
     head = Head(keys[order], frequent["c"].to_numpy()[order])
-    return Model(head, frequent["divisor"].to_numpy()[order], int(totals["n"]), int(totals["v"]), float(totals["q"]), segments, bits, built, known)
-
-
-def _level(n: Column) -> Column:
-    """The level of a count, as in :func:`level_of`."""
-    return (F.floor(F.log(n) / math.log(STEP) + 1e-12) + 1).cast("int")
+    return Model(head, frequent["divisor"].to_numpy()[order], int(totals["n"]), int(totals["v"]), float(totals["q"]), segments, sizes, bits, built, known)
 
 
 def _scored(batch: pa.RecordBatch, model: Model, levels) -> pa.RecordBatch:
@@ -249,7 +266,7 @@ def _scored(batch: pa.RecordBatch, model: Model, levels) -> pa.RecordBatch:
     sums = lambda x, at: np.bincount(row[at], x, n).astype(np.float64)
     base = sums(np.log10((model.head.counts + 0.5) / norm)[rank[known]], known)
     distinct, inverse = np.unique(hashes, return_inverse=True)
-    word, kinds = levels(mix(distinct ^ WORD)), np.maximum(1.0, VALUES[levels(mix(distinct ^ FOLLOWERS))])
+    word = levels(mix(distinct ^ WORD))
     before, key = followed(hashes, row)
     place = np.empty(len(hashes), np.int64)  # of the history among the distinct hashes; every text has an end
     place[1:] = inverse[:-1]
@@ -257,7 +274,7 @@ def _scored(batch: pa.RecordBatch, model: Model, levels) -> pa.RecordBatch:
     pair = np.zeros(len(hashes), np.int64)
     both = np.flatnonzero((word[inverse] > 0) & (word[place] > 0))  # no others can be bigrams
     pair[both] = levels(key[both])
-    total = np.log10(VALUES[pair] + kinds[place] * model.single(word)[inverse])
+    total = np.log10(VALUES[pair] + spread(word)[place] * model.single(word)[inverse])
     model_score = np.bincount(row, total, n) - sums(model.divisors[rank[known]], known)  # every token but an end is the history of one, and an end begins the text
     return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(count), pa.array(np.bincount(row[known], minlength=n)), pa.array(base), pa.array(model_score.astype(np.float64))], names=["doc_id", "text_key", "n_tokens", "head_known", "head_base", "model_score"])
 
@@ -279,14 +296,14 @@ def _by_join(docs: DataFrame, model: Model) -> DataFrame:
             block = np.repeat(batch.column("block").to_numpy(), np.bincount(row, minlength=batch.num_rows))
             for b in np.unique(block):
                 some = np.unique(hashes[block == b])
-                key = np.unique(np.concatenate([mix(some ^ WORD), mix(some ^ FOLLOWERS), pair[block == b], mix(np.array([END], np.uint64) ^ WORD), mix(np.array([END], np.uint64) ^ FOLLOWERS)]))
-                yield pa.RecordBatch.from_arrays([pa.array(_places(key, np.ones(len(key)), segments)[0].astype(np.int32)), pa.array(key.view(np.int64)), pa.array(np.full(len(key), b, np.int32))], names=["segment", "key", "block"])
+                key = np.unique(np.concatenate([mix(some ^ WORD), pair[block == b]]))
+                yield pa.RecordBatch.from_arrays([pa.array(_places(key, segments)[0].astype(np.int32)), pa.array(key.view(np.int64)), pa.array(np.full(len(key), b, np.int32))], names=["segment", "key", "block"])
 
     def answer(asked: pa.Table, held: pa.Table) -> pa.Table:
         key = asked["key"].to_numpy().view(np.uint64)
         level = np.zeros(len(key), np.int64)
         if held.num_rows and len(key):
-            level = probe(np.frombuffer(held["bits"][0].as_py(), np.uint8), segments, key, one_segment=True)
+            level = probe(np.frombuffer(held["bits"][0].as_py(), np.uint8), np.zeros(segments), key, only=True)
         some = level > 0
         return pa.table({"block": asked["block"].filter(pa.array(some)), "key": asked["key"].filter(pa.array(some)), "level": pa.array(level[some].astype(np.int16))})
 
@@ -318,7 +335,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def main(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            yield _scored(batch, light, lambda keys: probe(light.bits.value, light.segments, keys))
+            yield _scored(batch, light, lambda keys: probe(light.bits.value, light.sizes, keys))
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
