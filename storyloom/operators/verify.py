@@ -79,17 +79,23 @@ def containments(quotes: DataFrame, docs: DataFrame, anchor: int = 3) -> DataFra
     """(qid, seq) for every document that contains a quote, white space apart.
 
     Instead of every quote with every document, the quote's second to fourth words are looked up among
-    the documents' word runs; containment is then checked on the candidates. Quotes of fewer than five
+    the documents' word runs; containment is then checked on the candidates. Words are hashed once and runs after positions
+    are exploded, in compiled code; up to a million quotes' runs are broadcast, as their number is counted before, more are shuffled. Quotes of fewer than five
     words have no such run inside them: they are compared with all documents, as a broadcast side, and
     are refused if there are more than 10,000 of them.
     """
     words = lambda t: F.filter(F.split(t, r"(?U)\s+"), lambda w: w != "")
     own = quotes.select("qid", "quote", words(F.col("quote")).alias("_w"))
-    long = own.where(F.size("_w") >= anchor + 2).select("qid", "quote", F.xxhash64(F.slice("_w", 2, anchor)).alias("_h"))
+    long = own.where(F.size("_w") >= anchor + 2).select("qid", "quote", F.xxhash64(*[F.xxhash64(F.get("_w", F.lit(j))) for j in range(1, anchor + 1)]).alias("_h"))
     short = own.where((F.size("_w") < anchor + 2) & (F.size("_w") > 0)).select("qid", "quote")
-    runs = docs.select("seq", words(F.col("text")).alias("_w")).where(F.size("_w") >= anchor)
-    runs = runs.select("seq", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("_w") - anchor + 1), lambda i: F.xxhash64(F.slice("_w", i, anchor))))).alias("_h"))
-    pairs = runs.join(long, "_h").select("seq", "qid", "quote").distinct()
+    hashed = docs.select("seq", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("_w"))
+    hashed = hashed.select("seq", "_w", F.sequence(F.lit(0), F.greatest(F.size("_w") - anchor, F.lit(0))).alias("_starts"))
+    runs = hashed.select("seq", "_w", F.explode_outer("_starts").alias("_i"))
+    runs = runs.select("seq", F.when(F.col("_i") + anchor <= F.size("_w"), F.xxhash64(*[F.get("_w", F.col("_i") + j) for j in range(anchor)])).alias("_h"))
+    wanted = long.select("_h").distinct()
+    if long.limit(1_000_001).count() <= 1_000_000:
+        wanted = F.broadcast(wanted)
+    pairs = runs.join(wanted, "_h", "left_semi").distinct().join(long, "_h").select("seq", "qid", "quote").distinct()
     out = pairs.join(docs.select("seq", "text"), "seq").where(F.contains(flat(F.col("text")), flat(F.col("quote")))).select("qid", "seq")
     n = short.limit(10_001).count()
     if n > 10_000:

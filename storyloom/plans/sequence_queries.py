@@ -59,16 +59,36 @@ def change_curve(spark, sf):
     return _curve(spark, sf).withColumn("change", F.round("change", 9))
 
 
-@query()
+# The choice of cuts step by step: ``b`` holds the best sum up to each position, ``k`` where its last segment begins.
+SQL_CUTS = f"""{SQL_CURVE}, gc AS (SELECT grp, list(change ORDER BY pos) AS ch, count(*) AS n, round(avg(change), 9) AS cost FROM curve GROUP BY 1),
+dp(grp, e, b, k) AS (SELECT grp, CAST(0 AS BIGINT), [CAST(0 AS DOUBLE)], [CAST(0 AS BIGINT)] FROM gc UNION ALL
+SELECT grp, e + 1, list_append(b, list_max(list_transform(c, lambda x: x.v))), list_append(k, list_min(list_transform(list_filter(c, lambda x: x.v = list_max(list_transform(c, lambda y: y.v))), lambda x: x.j)))
+FROM (SELECT grp, e, b, k, list_filter(list_transform(range(greatest(0, e - 49), e - 8), lambda j: {{'v': b[j + 1] + CASE WHEN e + 1 = n THEN 0 ELSE ch[e + 1] - cost END, 'j': j}}), lambda x: x.v IS NOT NULL) AS c FROM dp JOIN gc USING (grp) WHERE e < n)),
+fin AS (SELECT grp, e, b, k FROM dp JOIN gc USING (grp) WHERE e = n), tr(grp, z) AS (SELECT grp, e FROM fin WHERE b[e + 1] IS NOT NULL UNION ALL SELECT grp, k[z + 1] FROM tr JOIN fin USING (grp) WHERE k[z + 1] > 0),
+cuts AS (SELECT grp, z AS cut, true AS feasible FROM tr UNION ALL SELECT grp, NULL, false FROM fin WHERE b[e + 1] IS NULL)"""
+SQL_ARCS = f"""{SQL_CUTS}, ex AS (SELECT DISTINCT grp, last FROM (SELECT u.grp, m.name, max(u.pos) AS last, count(DISTINCT u.pos) AS n FROM mentions m JOIN u ON u.seq = m.seq GROUP BY 1, 2) WHERE n >= 15),
+arcs AS (SELECT grp, coalesce(lag(cut) OVER (PARTITION BY grp ORDER BY cut), 0) + 1 AS start, cut AS stop, CASE WHEN EXISTS (SELECT 1 FROM ex WHERE ex.grp = cuts.grp AND ex.last = cuts.cut) THEN 'hard' ELSE 'soft' END AS cut FROM cuts WHERE feasible)"""
+SQL_SEGMENTS = f"""{SQL_ARCS}, uk AS (SELECT u.*, a.cut AS kind FROM u LEFT JOIN arcs a ON a.grp = u.grp AND a.stop = u.pos), ls AS (SELECT grp, max(pos) AS last FROM u GROUP BY 1),
+cand AS (SELECT s.grp, s.pos AS start, s.pos + v.n - 1 AS stop, v.n AS units, round(sum(x.minutes), 9) AS minutes, count(*) FILTER (x.kind = 'hard' AND x.pos < s.pos + v.n - 1) AS crossed FROM uk s, (VALUES (2), (3), (4), (5)) v(n), uk x WHERE x.grp = s.grp AND x.pos BETWEEN s.pos AND s.pos + v.n - 1 GROUP BY 1, 2, 3, 4),
+priced AS (SELECT c.grp, c.start, c.stop, c.units, c.minutes, CASE WHEN c.minutes < 18 OR c.minutes > 42 THEN 1e5 + 100 * abs(c.minutes - 28) WHEN c.minutes BETWEEN 25 AND 32 THEN 0.5 * abs(c.minutes - 28) * abs(c.minutes - 28) ELSE 3 * abs(c.minutes - 28) * abs(c.minutes - 28) END + CASE WHEN e.kind = 'hard' OR c.stop = ls.last THEN 0 WHEN e.kind = 'soft' THEN 8 ELSE 25 END AS cost FROM cand c JOIN uk e ON e.grp = c.grp AND e.pos = c.stop JOIN ls ON ls.grp = c.grp WHERE c.crossed = 0),
+st AS (SELECT u.grp, u.pos, list({{'s': p.start, 'c': p.cost}}) FILTER (p.start IS NOT NULL) AS c FROM u LEFT JOIN priced p ON p.grp = u.grp AND p.stop = u.pos GROUP BY 1, 2), gs AS (SELECT grp, list(coalesce(c, []) ORDER BY pos) AS cs, count(*) AS n FROM st GROUP BY 1),
+ds(grp, e, b, k) AS (SELECT grp, CAST(0 AS BIGINT), [CAST(0 AS DOUBLE)], [CAST(0 AS BIGINT)] FROM gs UNION ALL
+SELECT grp, e + 1, list_append(b, list_min(list_transform(c, lambda x: x.v))), list_append(k, list_max(list_transform(list_filter(c, lambda x: x.v = list_min(list_transform(c, lambda y: y.v))), lambda x: x.s)))
+FROM (SELECT grp, e, b, k, list_filter(list_transform(cs[e + 1], lambda x: {{'v': b[x.s] + x.c, 's': x.s}}), lambda x: x.v IS NOT NULL) AS c FROM ds JOIN gs USING (grp) WHERE e < n)),
+fs AS (SELECT grp, e, b, k FROM ds JOIN gs USING (grp) WHERE e = n), ts(grp, z) AS (SELECT grp, e FROM fs WHERE b[e + 1] IS NOT NULL UNION ALL SELECT grp, k[z + 1] - 1 FROM ts JOIN fs USING (grp) WHERE k[z + 1] > 1),
+segments AS (SELECT ts.grp, row_number() OVER (PARTITION BY ts.grp ORDER BY z) AS segment, k[z + 1] AS start, z AS stop, CAST(p.units AS BIGINT) AS units, p.minutes, true AS feasible FROM ts JOIN fs USING (grp) JOIN priced p ON p.grp = ts.grp AND p.start = k[z + 1] AND p.stop = z UNION ALL SELECT grp, NULL, NULL, NULL, NULL, NULL, false FROM fs WHERE b[e + 1] IS NULL)"""
+
+
+@query(f"WITH RECURSIVE {SQL_CUTS} SELECT grp, coalesce(cut, -1) AS cut, feasible FROM cuts")
 def change_points(spark, sf):
-    return sequence.change_points(_curve(spark, sf))
+    return sequence.change_points(_curve(spark, sf)).withColumn("cut", F.coalesce("cut", F.lit(-1)))
 
 
 def _exits(spark, sf, u):
     return _mentions(spark, sf, u).groupBy("grp", "name").agg(F.max("unit").alias("last"), F.count_distinct("unit").alias("n")).where("n >= 15").select("grp", "name", "last")
 
 
-@query()
+@query(f"WITH RECURSIVE {SQL_ARCS} SELECT grp, start, stop, stop - start + 1 AS units, cut FROM arcs")
 def arc_table(spark, sf):
     u = _units(spark, sf)
     return sequence.arcs(sequence.change_points(_curve(spark, sf, u)), _exits(spark, sf, u))
@@ -83,17 +103,29 @@ def segment_candidates(spark, sf):
     return sequence.segment_candidates(u.select("grp", "pos", "minutes"), cuts).select("grp", "start", "stop", "units", F.round("minutes", 6).alias("minutes"), F.round("cost", 4).alias("cost"))
 
 
-@query()
+@query(f"WITH RECURSIVE {SQL_SEGMENTS} SELECT grp, coalesce(segment, -1) AS segment, coalesce(start, -1) AS start, coalesce(stop, -1) AS stop, coalesce(units, -1) AS units, coalesce(round(minutes, 6), -1) AS minutes, feasible FROM segments")
 def budgeted_segments(spark, sf):
+    out = _segments(spark, sf).withColumn("minutes", F.round("minutes", 6))
+    return out.fillna(-1, ["segment", "start", "stop", "units", "minutes"])
+
+
+def _segments(spark, sf):
     units = _units(spark, sf)
     u = units.select("grp", "pos", "minutes")
     cuts = sequence.arcs(stored(sequence.change_points(_curve(spark, sf, units)), "cuts"), _exits(spark, sf, units)).select("grp", F.col("stop").alias("pos"), F.col("cut").alias("kind"))
     return sequence.budgeted_segments(sequence.segment_candidates(u, cuts), u)
 
 
-@query()
+@query(f"WITH RECURSIVE {SQL_SEGMENTS} SELECT grp, count(minutes) AS segments, coalesce(round(avg(minutes), 6), -1) AS mean, coalesce(round(min(minutes), 6), -1) AS least, coalesce(round(max(minutes), 6), -1) AS most, coalesce(round(avg(CASE WHEN minutes BETWEEN 25 AND 32 THEN 1 WHEN minutes IS NOT NULL THEN 0 END), 6), -1) AS comfortable FROM segments GROUP BY 1")
 def segment_stats(spark, sf):
-    return sequence.segment_stats(budgeted_segments(spark, sf))
+    return sequence.segment_stats(_segments(spark, sf)).fillna(-1, ["mean", "least", "most", "comfortable"])
+
+
+@query(f"WITH RECURSIVE {SQL_SEGMENTS} SELECT coalesce(a.cut, 'none') AS value, count(*) AS n FROM segments s LEFT JOIN arcs a ON a.grp = s.grp AND a.stop = s.stop WHERE s.feasible GROUP BY 1 ORDER BY n DESC, value LIMIT 8")
+def cut_histogram(spark, sf):
+    """What the segments end at."""
+    s, a = _segments(spark, sf).where("feasible"), arc_table(spark, sf).select("grp", "stop", "cut")
+    return sequence.histogram(s.join(a, ["grp", "stop"], "left").withColumn("cut", F.coalesce("cut", F.lit("none"))), "cut")
 
 
 @query("""WITH i AS (SELECT strftime(o.o_orderdate, '%Y-%m') AS part, 'person' AS kind, l.l_suppkey AS item FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey UNION ALL SELECT strftime(o_orderdate, '%Y-%m'), 'scene', o_custkey FROM orders),
