@@ -8,7 +8,7 @@ gives the count back. The filter holds all words and all bigrams of the corpus.
 
 where v is the count that a level stands for, c(h) that of the history and Q the sum of v(w). As the counts of a history's
 bigrams sum up to c(h), probabilities sum to one but for the rounding to levels, whose values are means, and for false positives
-(2^-10 for each bigram of known words that was not seen). t(h) grows as the number of different words after h does.
+(about one in a thousand bigrams of known words that were not seen). t(h) grows as the number of different words after h does.
 
 The filter has a place for every n-gram, in segments whose sizes follow from what they hold: n-grams are counted where their segment is
 built, so they are shuffled once. Up to ``filter_bytes`` the filter is broadcast.
@@ -33,9 +33,10 @@ from storyloom.llm.text_arrays import flat, mix, slices, span_hashes, words
 from storyloom.scratch import stored
 
 END = int(mix(np.array([0xE0D], np.uint64))[0])  # the end token's place among word hashes
-#: Tokens of the corpus for each segment, which has a few bits less than fifteen for each n-gram and level.
-SEGMENT_TOKENS = 1 << 18
-PROBES = 10
+#: Tokens of the corpus for each segment, and bits for each n-gram and level.
+SEGMENT_TOKENS, BITS = 1 << 18, 16
+#: A member has this many bits set in each of two words of 64.
+MARKS = 5
 STEP = 1.25
 #: What tells words and bigrams apart in the filter.
 WORD, PAIR = np.uint64(0x57), np.uint64(0x2B)
@@ -57,6 +58,9 @@ def _mean(low: float, high: float) -> float:
 VALUES = np.array([0.0, *(_mean(a, max(a, b - 1)) for a, b in zip(_LOW, _LOW[1:], strict=False))])
 
 
+_STEPS = mix(np.arange(_LEVELS, dtype=np.uint64) + np.uint64(0x5EED))
+
+
 def level_of(n: np.ndarray) -> np.ndarray:
     return np.searchsorted(_LOW, n, "right")
 
@@ -123,44 +127,63 @@ class Head:
         return np.where(self.keys[at] == hashes, at, -1)
 
 
-def _places(key: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
-    """Segment of each n-gram, and a hash to begin with."""
-    h = mix(key)
-    return ((h >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64), h
-
+def _identity(key: np.ndarray, segments: int) -> np.ndarray:
+    """Segment (upper half) and 32 further bits, by which an n-gram is known in it.
 
-def _bit(g: np.ndarray, j: int, size: np.ndarray | np.uint64) -> np.ndarray:
-    """The j-th bit of a hash in a segment of ``size`` bits."""
-    x = (g >> np.uint64(32)) + np.uint64(j) * (g | np.uint64(1)) & np.uint64(0xFFFFFFFF)
-    return (x * size >> np.uint64(32)).astype(np.int64)
-
-
-def probe(bits: np.ndarray, sizes: np.ndarray, key: np.ndarray, only: bool = False) -> np.ndarray:
-    """Level of each n-gram: how many membership probes in a row succeed. ``only``: ``bits`` are the segment of all keys."""
-    out = np.zeros(len(key), np.int64)
-    segment, h = _places(key, len(sizes))
-    at = np.flatnonzero(sizes[segment] > 0) if not only else np.arange(len(key))
-    segment, h = segment[at], h[at]
-    begin = np.zeros(len(at), np.int64) if only else (np.cumsum(sizes) - sizes)[segment]
-    size = np.uint64(len(bits) * 8) if only else sizes[segment].astype(np.uint64)
-    held = lambda place: (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
+    Among the n-grams of a segment, another one is the same by chance with a probability of a few in 100,000, far
+    below that of the filter's own false positives.
+    """
+    h = mix(key)
+    return ((h >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)) << np.uint64(32) | h & np.uint64(0xFFFFFFFF)
+
+
+def _word(g: np.ndarray, size: np.ndarray | np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """A hash's word among ``size``, and its marks there."""
+    marks = np.zeros(len(g), np.uint64)
+    for j in range(MARKS):
+        marks |= np.uint64(1) << (g >> np.uint64(6 * j) & np.uint64(63))
+    return ((g >> np.uint64(32)) * size >> np.uint64(32)).astype(np.int64), marks
+
+
+def probe(filter_words: np.ndarray, sizes: np.ndarray | None, identity: np.ndarray) -> np.ndarray:
+    """Level of each n-gram: how many membership probes in a row succeed. ``sizes``: words of each segment; none if there is but the one that all are in."""
+    out = np.zeros(len(identity), np.int64)
+    if not len(filter_words):
+        return out
+    if sizes is None:
+        at, begin, size = np.arange(len(identity)), np.int64(0), np.uint64(len(filter_words))
+    else:
+        segment = (identity >> np.uint64(32)).astype(np.int64)
+        at = np.flatnonzero(sizes[segment])
+        begin, size = (np.cumsum(sizes) - sizes)[segment[at]], sizes[segment[at]].astype(np.uint64)
+    h = identity[at]
     for q in range(1, _LEVELS):
-        g = mix(h ^ mix(np.array([q], np.uint64)))
-        ok = held(begin + _bit(g, 0, size))  # most of what is missing goes here
-        some = np.flatnonzero(ok)
-        g, part = g[some], size if only else size[some]
-        ok = np.ones(len(some), bool)
-        for j in range(1, PROBES):
-            ok &= held(begin[some] + _bit(g, j, part))
-        some = some[ok]
-        if not len(some):
+        g = mix(h ^ _STEPS[q])
+        for _ in range(2):
+            place, marks = _word(g, size)
+            ok = filter_words[begin + place] & marks == marks
+            at, h, g = at[ok], h[ok], g[ok]
+            if sizes is not None:
+                begin, size = begin[ok], size[ok]
+            g = mix(g)
+        if not len(at):
             break
-        at, h, begin = at[some], h[some], begin[some]
-        size = size if only else size[some]
         out[at] = q
     return out
 
 
+def _packed(identity: np.ndarray, n: np.ndarray | None = None, **also: int) -> pa.RecordBatch:
+    """Ascending n-grams as a row for each segment: four bytes for an n-gram, four for its count, which mostly compress to one."""
+    segment = (identity >> np.uint64(32)).astype(np.int32)
+    first = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]])) if len(segment) else np.zeros(0, np.int64)
+    ends = np.append(first, len(segment))
+    lists = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary())
+    columns = {"segment": pa.array(segment[first]), **{k: pa.array(np.full(len(first), v, np.int32)) for k, v in also.items()}, "keys": lists(identity.astype(np.uint32))}
+    if n is not None:
+        columns["counts"] = lists(n.astype(np.uint32))
+    return pa.RecordBatch.from_pydict(columns)
+
+
 @dataclass
 class Model:
     head: Head
@@ -169,7 +192,7 @@ class Model:
     vocabulary: int  # V
     mass: float  # Q
     segments: int
-    sizes: np.ndarray | None  # bits of each segment
+    sizes: np.ndarray | None  # words of each segment
     bits: Broadcast | None  # the filter, or None where it is larger than may be broadcast
     filter: DataFrame  # segment, bits
     words: DataFrame  # word, c, divisor
@@ -186,18 +209,21 @@ def spread(level: np.ndarray) -> np.ndarray:
 
 def _build(table: pa.Table) -> pa.Table:
     """Count the n-grams of a segment and put them in: at most ``SEGMENT_TOKENS`` on average."""
-    key, inverse = np.unique(table["key"].to_numpy().view(np.uint64), return_inverse=True)
-    level = level_of(np.bincount(inverse, table["n"].to_numpy()))
-    bits = np.zeros(-(-int(level.sum() * PROBES / math.log(2)) // 64) * 64, bool)
-    h = mix(key)
+    join = lambda name: np.frombuffer(b"".join(table[name].to_pylist()), np.uint32)
+    key, inverse = np.unique(join("keys"), return_inverse=True)
+    level = level_of(np.bincount(inverse, join("counts")))
+    h = np.uint64(table["segment"][0].as_py()) << np.uint64(32) | key.astype(np.uint64)
+    filter_words = np.zeros(max(1, int(level.sum()) * BITS // 64), np.uint64)
     for q in range(1, int(level.max()) + 1):
-        g = mix(h[level >= q] ^ mix(np.array([q], np.uint64)))
-        for j in range(PROBES):
-            bits[_bit(g, j, np.uint64(len(bits)))] = True
-    return pa.table({"segment": table["segment"][:1], "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+        g = mix(h[level >= q] ^ _STEPS[q])
+        for _ in range(2):
+            place, marks = _word(g, np.uint64(len(filter_words)))
+            np.bitwise_or.at(filter_words, place, marks)
+            g = mix(g)
+    return pa.table({"segment": table["segment"][:1], "bits": pa.array([filter_words.tobytes()], pa.binary())})
 
 
-def fit(docs: DataFrame, head_words: int = 1 << 18, filter_bytes: int = 1 << 27) -> Model:
+def fit(docs: DataFrame, head_words: int = 1 << 18, filter_bytes: int = 1 << 28) -> Model:
     """Count words and bigrams of all whole texts of ``docs`` (null: empty) and put all of them into the filter.
 
     An empty table gives a model without words. The head, totals and a filter of up to ``filter_bytes`` come to the driver.
@@ -215,7 +241,9 @@ def fit(docs: DataFrame, head_words: int = 1 << 18, filter_bytes: int = 1 << 27)
     segments = max(1, -(-int(totals["n"]) // SEGMENT_TOKENS))
 
     def sent(key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(_places(key, segments)[0].astype(np.int32)), pa.array(key.view(np.int64)), pa.array(n)], names=["segment", "key", "n"])
+        identity = _identity(key, segments)
+        order = np.argsort(identity)
+        return _packed(identity[order], n[order])
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def keys_of(batch: pa.RecordBatch) -> np.ndarray:
@@ -229,13 +257,14 @@ def fit(docs: DataFrame, head_words: int = 1 << 18, filter_bytes: int = 1 << 27)
         for batch in batches:
             yield sent(mix(batch.column(0).to_numpy().view(np.uint64) ^ WORD), batch.column(1).to_numpy())
 
-    grams = docs.select("text").mapInArrow(pairs, "segment int, key long, n long").unionByName(counts.select("word", "c").mapInArrow(single, "segment int, key long, n long"))
+    row = "segment int, keys binary, counts binary"
+    grams = docs.select("text").mapInArrow(pairs, row).unionByName(counts.select("word", "c").mapInArrow(single, row))
     built = stored(grams.groupBy("segment").applyInArrow(_build, "segment int, bits binary"), "filter", compression="none")
     sizes, bits = None, None
     if (built.agg(F.sum(F.octet_length("bits"))).first()[0] or 0) <= filter_bytes:
-        parts = {row["segment"]: np.frombuffer(row["bits"], np.uint8) for row in built.toLocalIterator()}
-        sizes = np.array([8 * len(parts[i]) if i in parts else 0 for i in range(segments)])
-        bits = spark.sparkContext.broadcast(np.concatenate([parts[i] for i in sorted(parts)] or [np.zeros(0, np.uint8)]))
+        parts = {row["segment"]: np.frombuffer(row["bits"], np.uint64) for row in built.toLocalIterator()}
+        sizes = np.array([len(parts[i]) if i in parts else 0 for i in range(segments)])
+        bits = spark.sparkContext.broadcast(np.concatenate([parts[i] for i in sorted(parts)] or [np.zeros(0, np.uint64)]))
 
     known = counts.select("word", "c", "divisor")
     # The head's least count, from a histogram of at most 1,000 rows; without a head all words are joined.
@@ -284,43 +313,37 @@ SCORED = "doc_id long, text_key long, n_tokens long, head_known long, head_base
 
 def _by_join(docs: DataFrame, model: Model) -> DataFrame:
     """:func:`_scored` where the filter is a table: keys of blocks of texts go to their segments, and levels back."""
-    light = replace(model, bits=None, filter=None, words=None)
+    light = replace(model, bits=None, sizes=None, filter=None, words=None)
     segments = model.segments
     blocks = max(1, math.ceil((docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / BLOCK_BYTES))
-    docs = stored(docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(blocks)).cast("int")).repartition(blocks, "block"), "blocks")
+    docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(blocks)).cast("int"))
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+    def asked(texts: pa.Table) -> np.ndarray:
+        """Distinct n-grams of a block, ascending."""
+        parts = [np.zeros(0, np.uint64)]
+        for batch in slices(iter(texts.to_batches())):
             hashes, row, _ = tokens(batch)
-            _, pair = followed(hashes, row)
-            block = np.repeat(batch.column("block").to_numpy(), np.bincount(row, minlength=batch.num_rows))
-            for b in np.unique(block):
-                some = np.unique(hashes[block == b])
-                key = np.unique(np.concatenate([mix(some ^ WORD), pair[block == b]]))
-                yield pa.RecordBatch.from_arrays([pa.array(_places(key, segments)[0].astype(np.int32)), pa.array(key.view(np.int64)), pa.array(np.full(len(key), b, np.int32))], names=["segment", "key", "block"])
-
-    def answer(asked: pa.Table, held: pa.Table) -> pa.Table:
-        key = asked["key"].to_numpy().view(np.uint64)
-        level = np.zeros(len(key), np.int64)
-        if held.num_rows and len(key):
-            level = probe(np.frombuffer(held["bits"][0].as_py(), np.uint8), np.zeros(segments), key, only=True)
-        some = level > 0
-        return pa.table({"block": asked["block"].filter(pa.array(some)), "key": asked["key"].filter(pa.array(some)), "level": pa.array(level[some].astype(np.int16))})
+            parts.append(np.unique(np.concatenate([mix(np.unique(hashes) ^ WORD), followed(hashes, row)[1]])))
+        return np.unique(_identity(np.concatenate(parts), segments))
 
-    def finish(texts: pa.Table, found: pa.Table) -> pa.Table:
-        key, first = np.unique(found["key"].to_numpy().view(np.uint64), return_index=True)
-        level = found["level"].to_numpy()[first].astype(np.int64)
+    def ask(texts: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([_packed(asked(texts), block=texts["block"][0].as_py())])
 
-        def levels(keys: np.ndarray) -> np.ndarray:
-            if not len(key):
-                return np.zeros(len(keys), np.int64)
-            at = np.minimum(np.searchsorted(key, keys), len(key) - 1)
-            return np.where(key[at] == keys, level[at], 0)
+    def answer(wanted: pa.Table, held: pa.Table) -> pa.Table:
+        filter_words = np.frombuffer(held["bits"][0].as_py(), np.uint64) if held.num_rows else np.zeros(0, np.uint64)
+        upper = np.uint64(wanted["segment"][0].as_py() if wanted.num_rows else 0) << np.uint64(32)
+        levels = [probe(filter_words, None, upper | np.frombuffer(k, np.uint32).astype(np.uint64)).astype(np.uint8).tobytes() for k in wanted["keys"].to_pylist()]
+        return pa.table({"block": wanted["block"], "segment": wanted["segment"], "levels": pa.array(levels, pa.binary())})
 
+    def finish(texts: pa.Table, found: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return pa.Table.from_batches([], pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_tokens", pa.int64()), ("head_known", pa.int64()), ("head_base", pa.float64()), ("model_score", pa.float64())]))
+        identity = asked(texts)
+        level = np.frombuffer(b"".join(found.sort_by("segment")["levels"].to_pylist()), np.uint8).astype(np.int64)
+        levels = lambda keys: level[np.searchsorted(identity, _identity(keys, segments))]
         return pa.Table.from_batches([_scored(b, light, levels) for b in slices(iter(texts.to_batches()))])
 
-    asked = docs.mapInArrow(ask, "segment int, key long, block int")
-    answers = asked.groupBy("segment").cogroup(model.filter.groupBy("segment")).applyInArrow(answer, "block int, key long, level short")
+    answers = docs.groupBy("block").applyInArrow(ask, "segment int, block int, keys binary").groupBy("segment").cogroup(model.filter.groupBy("segment")).applyInArrow(answer, "block int, segment int, levels binary")
     return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finish, SCORED)
 
 
@@ -335,7 +358,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def main(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            yield _scored(batch, light, lambda keys: probe(light.bits.value, light.sizes, keys))
+            yield _scored(batch, light, lambda keys: probe(light.bits.value, light.sizes, _identity(keys, light.segments)))
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
