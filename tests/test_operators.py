@@ -207,3 +207,76 @@ def test_documents_with_rejects(spark, tmp_path):
     (tmp_path / "b.json").write_text("{broken")
     good, bad = readers.read_documents(spark, str(tmp_path), "seq int, x string")
     assert good.count() == 1 and bad.first().file == "b.json"
+
+
+def test_ordinal_by_group_is_gapless(spark):
+    rows = [(x % 3 if x % 7 else None, x) for x in range(300)]
+    found = readers.with_ordinal(spark.createDataFrame(rows, "g long, x long"), "x", "n", "g").collect()
+    for g in (0, 1, 2, None):
+        assert [r.n for r in sorted(found, key=lambda r: r.x) if r.g == g] == list(range(1, sum(k == g for k, _ in rows) + 1))
+
+
+def test_registry_against_plain_counts(spark):
+    rng = random.Random(7)
+    rows = [(rng.randrange(1, 300_000), f"n{int(rng.random() ** 2 * 12)}") for _ in range(400)]
+    targets = sorted({rng.randrange(1, 320_000) for _ in range(25)} | {5, 400_000})
+    found = {}
+    for r in requests.registry_before(spark.createDataFrame(rows, "seq long, name string"), spark.createDataFrame([(t,) for t in targets], "seq long"), most=4).collect():
+        found.setdefault(r.target, []).append((r["rank"], r.name, r.n))
+    for t in targets:
+        n = {}
+        for s, name in rows:
+            if s < t:
+                n[name] = n.get(name, 0) + 1
+        want = [(i, name, k) for i, (name, k) in enumerate(sorted(n.items(), key=lambda x: (-x[1], x[0]))[:4], 1)]
+        assert sorted(found.get(t, [])) == want
+
+
+def test_similarity_against_all_windows():
+    from difflib import SequenceMatcher
+
+    rng = random.Random(11)
+    for _ in range(60):
+        source = "".join(rng.choice("abcdef ,.“”") for _ in range(rng.randrange(12, 60)))
+        at = rng.randrange(len(source) - 8)
+        quote = "".join(c if rng.random() > 0.15 else "z" for c in source[at : at + rng.randrange(6, 20)])
+        n = len(quote)
+        block = SequenceMatcher(None, quote, source, autojunk=False).find_longest_match(0, n, 0, len(source))
+        if block.size and n < len(source):
+            places = [p for p in range(len(source) - n + 1) if abs(p - (block.b - block.a)) <= n // 2]
+            assert abs(window_ratio(quote, source) - max((SequenceMatcher(None, quote, source[p : p + n]).ratio() for p in places), default=0)) < 1e-12
+        score, span, lo = aligned_span(quote, source)
+        assert span is None or (span in source and len(span) >= 0.8 * n and score <= 1.1 and span in source[lo:])
+
+
+def test_curated_tables(spark, tmp_path):
+    (tmp_path / "c.json").write_text('{"identities": [{"canonical": "A", "aliases": ["a1", "x"], "ambiguous": ["x"], "exclude": ["A-list"]}], "tags": {"t": ["w", "v"]}}')
+    found = readers.curated(spark, str(tmp_path / "c.json"))
+    assert {(r.name, r.owner) for r in found["identities"].collect()} == {("A", "A"), ("a1", "A")}
+    assert [r.name for r in found["ambiguous"].collect()] == ["x"] and [r.phrase for r in found["excluded"].collect()] == ["A-list"] and found["tags"].count() == 2
+
+
+def test_small_text_functions(spark):
+    assert value(spark, T.slug(F.lit(' a/b "c" with a very long name'))) == "a_b__c__with_a_very_"
+    assert value(spark, T.filled(F.array(F.lit(" a "), F.lit(""), F.lit(None), F.lit("　")))) == ["a"]
+    assert value(spark, T.filled(F.lit(None).cast("array<string>"))) == []
+    assert value(spark, T.without_note(F.lit("name（note）"))) == "name"
+
+
+def test_assembly(spark):
+    from storyloom.operators import assemble
+
+    paras = spark.createDataFrame([(1, 1, "他说：“今天的天气真好啊！”她答：“我们快点走吧！”"), (2, 1, "“这是一句没有人抄下来的话。”")], "seq int, para int, text string")
+    refs = spark.createDataFrame([(1, "dialogues", 0, 1, 0, None), (1, "dialogues", 1, 1, 1, None), (2, "narration", 0, 1, None, "没有"), (2, "narration", 1, 9, None, None)], "seq int, field string, pos int, para int, q int, text string")
+    quotes, rejects = assemble.expanded(refs, paras)
+    assert [r.error for r in rejects.collect()] == ["para out of range"]
+    found = {r.seq: (r.total, r.errors, r.coverage_rate, r.passed) for r in assemble.verified(quotes, paras, rejects).collect()}
+    assert found == {1: (2, 0, 1.0, True), 2: (1, 1, 0.0, False)}
+    assert [[q.text for q in x] for x in assemble.documents(quotes.where("seq = 1")).first().fields.values()] == [["今天的天气真好啊！", "我们快点走吧！"]]
+
+
+def test_repaired_quotes_are_logged(spark):
+    fixed = spark.createDataFrame([(1, 1, "dialogues", "ab", "joined", [("a", 1), ("b", 1)]), (2, 1, "dialogues", "x", None, None)], "qid int, seq int, field string, quote string, kind string, parts array<struct<text: string, para: int>>")
+    rates = lambda r: spark.createDataFrame([(1, r, 1.0)], "seq int, verbatim_rate double, coverage_rate double")
+    (row,) = repair.repair_log(fixed, rates(0.5), rates(1.0)).collect()
+    assert (row.before, row.after, row.rate_before, row.rate_after) == ("ab", ["a", "b"], 0.5, 1.0)
