@@ -117,7 +117,7 @@ def compare_with_following(docs: DataFrame) -> DataFrame:
     Documents are dealt out by ranges of doc_id and sorted, and each is compared with the next in its
     range. The first and last document of each range are kept aside, and the last is then compared with
     the first of the next range that has rows; the very last with the very first. A null text is as
-    empty; rows of equal doc_id lie side by side in any order; null doc_ids come first; an empty table
+    empty; rows of equal doc_id lie side by side, by text; null doc_ids come first; an empty table
     gives no rows; other columns are ignored.
     """
 
@@ -154,7 +154,7 @@ def compare_with_following(docs: DataFrame) -> DataFrame:
                 rows.append([*row, likeness(own, fingerprints_of(following)[0])])
             yield _batch(rows, _NAMES, _SCHEMA)
 
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id").withColumn("part", F.spark_partition_id())
+    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").withColumn("part", F.spark_partition_id())
     found = stored(ordered.mapInArrow(within, ROW + ", part int, edge string, text binary"), "fingerprints")
     firsts = found.where("edge = 'first'")
     # Part numbers alone go through one task: a row for each range.

@@ -39,7 +39,7 @@ def encode_in_order(docs: DataFrame, tokenizer: str, cut: str, end_id: int | Non
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("part"), pa.array(done + ends - count), pa.array(count), lists], names=["doc_id", "part", "local_start", "n_tokens", "ids"])
             done += int(ends[-1])
 
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return ordered.withColumn("part", F.spark_partition_id()).mapInArrow(encode, FILE_SCHEMA)
 
 

@@ -1,7 +1,8 @@
 """Token ids of public tokenizers for Arrow batches.
 
 Texts are cut where the tokenizer itself always cuts (``cut``), each distinct piece is encoded once
-per worker, and ids are put together by array operations; the ids equal those of the whole text.
+per worker, and ids are put together by array operations; the ids equal those of the whole text. This holds for
+vocabularies whose own pattern cuts there, too; each worker compares its first texts with whole encodings and fails where they differ.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from storyloom.llm.text_arrays import gathered, span_hashes, words
 
 #: Pieces that a worker remembers at most, places in its hash table, and pieces encoded in one call.
 CACHE_PIECES, SLOTS, LEARN = 1_000_000, 1 << 21, 1 << 13
+#: Texts of up to so many bytes that a worker compares with whole encodings.
+COMPARED, COMPARED_BYTES = 32, 4096
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -73,6 +76,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.cut = CUTS[cut]
         self.folds = cut == "white"
+        self.compared = 0
         self.forget()
 
     def forget(self, slots: int = SLOTS) -> None:
@@ -140,6 +144,8 @@ class Encoder:
         size = self.size[entry]
         ids = self.pool[gathered(self.at[entry], size)]
         count = np.bincount(doc, size, len(offsets) - 1).astype(np.int64)
+        if self.compared < COMPARED:
+            self._compare(raw, offsets, ids, count)
         if end is not None:
             closed = np.empty(len(ids) + len(count), np.int32)
             closed[np.arange(len(ids)) + np.repeat(doc, size)] = ids
@@ -149,6 +155,16 @@ class Encoder:
         return ids, count
 
 
+    def _compare(self, raw: bytes, offsets: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
+        """Some texts against the tokenizer's own ids."""
+        stops = np.cumsum(count)
+        for i in np.flatnonzero((np.diff(offsets) > 0) & (np.diff(offsets) <= COMPARED_BYTES))[: COMPARED - self.compared].tolist():
+            whole = self.tokenizer.encode(raw[offsets[i] : offsets[i + 1]].decode("utf-8", "replace"), add_special_tokens=False).ids
+            if whole != ids[stops[i] - count[i] : stops[i]].tolist():
+                raise ValueError("this tokenizer doesn't cut texts where they were cut: its ids differ from those of whole texts")
+            self.compared += 1
+
+
 @cache
 def encoder(path: str, cut: str) -> Encoder:
     """One for each Python worker, which keeps what it has encoded."""
