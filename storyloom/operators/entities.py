@@ -112,9 +112,15 @@ def suspicious(canonical: DataFrame, counts: DataFrame, pinned: DataFrame | None
 
 
 def claims(index: DataFrame) -> DataFrame:
-    """alias, owners, n of an index (canonical, aliases)."""
+    """alias, n and first_owner of an index (canonical, aliases): how many claim an alias, and the least of them."""
     rows = index.select("canonical", F.explode("aliases").alias("alias")).where("alias <> canonical").distinct()
-    return rows.groupBy("alias").agg(F.count("*").alias("n"), F.min("canonical").alias("first_owner"), F.sort_array(F.collect_set("canonical")).alias("owners"))
+    return rows.groupBy("alias").agg(F.count("*").alias("n"), F.min("canonical").alias("first_owner"))
+
+
+def claimants(index: DataFrame, most: int = 1000) -> DataFrame:
+    """alias, canonical, rank: each alias with its claimants, the first ``most`` by name, a row each."""
+    rows = index.select(F.explode("aliases").alias("alias"), "canonical").where("alias <> canonical").distinct()
+    return rows.withColumn("rank", F.row_number().over(Window.partitionBy("alias").orderBy("canonical"))).where(F.col("rank") <= most)
 
 
 def resolve(names: DataFrame, index: DataFrame, curated: DataFrame | None = None, blocked: DataFrame | None = None) -> DataFrame:

@@ -72,7 +72,9 @@ def number_health(df: DataFrame, number: str) -> DataFrame:
     edges = marked.groupBy("bucket").agg(F.min("number").alias("first"))
     edges = edges.select("bucket", F.lead("first").over(Window.orderBy("bucket")).alias("next_first"))  # a row for each million numbers
     marked = marked.join(edges, "bucket").withColumn("following", F.coalesce("following", "next_first"))
-    missing = marked.where("following > number + 1").select(F.explode(F.sequence(F.col("number") + 1, F.col("following") - 1)).alias("number"), F.lit("missing").alias("kind"))
+    # A long gap is expanded in two steps, so that no row holds all of it.
+    gaps = marked.where("following > number + 1").select(F.explode(F.sequence(F.col("number") + 1, F.col("following") - 1, F.lit(100_000))).alias("begin"), (F.col("following") - 1).alias("end"))
+    missing = gaps.select(F.explode(F.sequence("begin", F.least(F.col("begin") + 99_999, F.col("end")))).alias("number"), F.lit("missing").alias("kind"))
     return counts.where("n > 1").select("number", F.lit("duplicate").alias("kind")).unionByName(missing)
 
 
@@ -88,3 +90,13 @@ def selected(df: DataFrame, wanted: list[int], key: str = "seq") -> tuple[DataFr
 
 def in_range(df: DataFrame, first: int, last: int, key: str = "seq") -> DataFrame:
     return df.where(F.col(key).between(first, last))
+
+
+def junk_counts(units_: DataFrame) -> DataFrame:
+    """kind, lines of what was stripped."""
+    return units_.select(F.explode("stripped_lines").alias("s")).groupBy(F.col("s.kind").alias("kind")).agg(F.count("*").alias("lines"))
+
+
+def merged_listing(units_: DataFrame) -> DataFrame:
+    """seq, title and the titles merged into it."""
+    return units_.where("is_merged").select("doc", "seq", "title", F.transform("merged_titles", lambda t: t["title"]).alias("merged"))

@@ -373,3 +373,33 @@ def repair_log(spark, sf):
     after = fixed.select("qid", "seq", F.lit(None).cast("int").alias("para"), F.coalesce(F.col("parts")[0]["text"], F.col("quote")).alias("quote"))
     rates = lambda q: verify.unit_report(verify.check_quotes(q.select("qid", "seq", "para", "quote"), p, norm=flat)).select("seq", "verbatim_rate", F.lit(1.0).alias("coverage_rate"))
     return repair.repair_log(fixed, rates(quotes), rates(after)).select("qid", "seq", "field", "kind", F.array_join("after", " / ").alias("after"), "rate_before", "rate_after")
+
+
+@query(f"WITH {entity_queries.SQL_INDEX}, r AS (SELECT alias, canonical, row_number() OVER (PARTITION BY alias ORDER BY canonical) AS rank FROM (SELECT DISTINCT alias, canonical FROM i WHERE alias <> canonical)) SELECT alias, canonical, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 1000")
+def alias_claimants(spark, sf):
+    return entities.claimants(entity_queries._index(spark, sf))
+
+
+@query(f"WITH RECURSIVE {sequence_queries.SQL_ARCS} SELECT cut, count(*) AS n, round(avg(stop - start + 1), 6) AS mean, quantile_cont(stop - start + 1, 0.5) AS median, min(stop - start + 1) AS least, max(stop - start + 1) AS most FROM arcs GROUP BY 1")
+def arc_stats(spark, sf):
+    return sequence.length_stats(sequence_queries.arc_table(spark, sf), "units", "cut")
+
+
+def _titled(spark, sf):
+    """The books with a second title after the first of every third document, and a site's notice at its end."""
+    d = table(spark, sf, "documents").select("source", "doc_id", "lang")
+    third = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("\n第9章 again"))).otherwise("")
+    text = F.concat(F.lit("第"), "doc_id", F.lit("章 "), "lang", third, F.lit("\nbody\n　　第7章 again\nixdzs"))
+    lines = d.select(F.col("source").alias("doc"), "doc_id", F.posexplode(F.split(text, "\n")).alias("at", "text"))
+    lines = lines.select("doc", (F.col("doc_id") * 100 + F.col("at")).alias("line_no"), "text")
+    return segment.units(segment.classify_lines(lines, segment.is_title(F.col("text"))))
+
+
+@query("SELECT 'dup title' AS kind, count(*) AS lines FROM documents UNION ALL SELECT 'inserted', count(*) FROM documents")
+def junk_kinds(spark, sf):
+    return segment.junk_counts(_titled(spark, sf))
+
+
+@query("SELECT source AS doc, CAST(seq AS INTEGER) AS seq, lang AS title, 'again' AS merged FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS seq FROM documents) WHERE doc_id % 3 = 0")
+def merged_titles(spark, sf):
+    return segment.merged_listing(_titled(spark, sf)).select("doc", "seq", "title", F.array_join("merged", ",").alias("merged"))

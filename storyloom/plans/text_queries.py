@@ -259,11 +259,18 @@ def _broken(spark, sf):
 SENTENCE = r"([^.]+\.)"
 
 
-@query()
+SQL_SEGMENTS = r"list_filter(list_transform(regexp_extract_all(text, '([^.]+\.)', 1), lambda x: regexp_replace(regexp_replace(x, '^[\s：，、；:,;]+', ''), '\s+$', '')), lambda x: x <> '')"
+
+
+@query(rf"""WITH {SQL_PARAS}, t AS (SELECT p.seq, CAST(p.para AS INTEGER) AS para, string_split(p.text, '. ') AS s FROM paras p JOIN conversations c ON c.conv_id = p.seq AND c.turn + 1 = p.para WHERE c.turn % 2 = 0),
+q AS (SELECT seq, para, regexp_replace(s[1] || '.' || s[2] || '.', '\s+', '', 'g') AS joined FROM t WHERE len(s) >= 3), g AS (SELECT seq, para, {SQL_SEGMENTS} AS l FROM paras WHERE seq IN (SELECT seq FROM q)),
+r AS (SELECT seq, para, i, n, list_slice(l, i, i + n - 1) AS parts FROM (SELECT seq, para, l, unnest(range(1, len(l) + 1)) AS i FROM g), (VALUES (2), (3), (4), (5), (6), (7), (8)) v(n) WHERE i + n - 1 <= len(l)),
+h AS (SELECT q.seq, q.para, r.parts, row_number() OVER (PARTITION BY q.seq, q.para ORDER BY CASE WHEN r.para = q.para THEN 0 ELSE 1 END, r.para, r.i) AS k FROM q JOIN r ON r.seq = q.seq AND regexp_replace(array_to_string(r.parts, ''), '\s+', '', 'g') = q.joined)
+SELECT seq, para, 'joined' AS kind, array_to_string(parts, ' / ') AS parts FROM h WHERE k = 1""")
 def repair_split_concat(spark, sf):
     quotes, p = _broken(spark, sf)
     found = repair.split_joined(quotes.where("field = 'dialogues'"), repair.segments(p, SENTENCE))
-    return found.select("qid", "kind", F.array_join(F.transform("parts", lambda x: x["text"]), " / ").alias("parts"))
+    return found.join(quotes.select("qid", "seq", "para"), "qid").select("seq", "para", "kind", F.array_join(F.transform("parts", lambda x: x["text"]), " / ").alias("parts"))
 
 
 @query()
