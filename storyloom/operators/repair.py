@@ -56,7 +56,7 @@ def strip_narration(quotes: DataFrame, segs: DataFrame) -> DataFrame:
 
 def align(quotes: DataFrame, paragraphs: DataFrame, accept: float = 0.75) -> DataFrame:
     """qid, parts, score: the substring of the unit's paragraphs that fits best; the claimed paragraph wins ties, then the earliest."""
-    rows = quotes.select("qid", "seq", "quote", F.col("para").alias("claimed")).join(paragraphs.select("seq", "para", "text"), "seq").withColumn("a", align_span("quote", "text"))
+    rows = quotes.select("qid", "seq", "quote", F.col("para").alias("claimed")).join(paragraphs.select("seq", "para", "text"), "seq").withColumn("a", align_span(accept)("quote", "text"))
     rows = rows.where(F.col("a.score") >= accept)
     best = _first(rows, F.desc("a.score"), F.desc(F.coalesce((F.col("claimed") == F.col("para")).cast("int"), F.lit(0))), "para", "a.lo")
     return best.select("qid", F.lit("aligned").alias("kind"), F.array(F.struct(F.col("a.span").alias("text"), F.col("para"))).alias("parts"), F.col("a.score").alias("score"))
