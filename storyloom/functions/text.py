@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # Punctuation that counts as equal after compatibility normalisation.
 PUNCTUATION = {"“": '"', "”": '"', "„": '"', "‟": '"', "「": '"', "」": '"', "‘": "'", "’": "'", "『": "'", "』": "'", "！": "!", "？": "?", "，": ",", "。": ".", "；": ";", "：": ":", "（": "(", "）": ")", "、": ",", "—": "-", "－": "-", "～": "~", "《": "<", "》": ">"}
+# Speech from an opening mark on, and marks of a sentence.
 SPEECH = r'[“"]([^“”"]{2,})'
 SENTENCE_MARKS = "。！？…～~，,、；;：:"
 #: White space as Python's str methods see it: the ideographic space, too.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from storyloom.functions.text import SPEECH, has_any, speech_segments
 
+# Fixed value: what follows a closing quote.
 AFTER_QUOTE = r"[”\"]([一-鿿]{2,6})"
 
 

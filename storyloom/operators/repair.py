@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from storyloom.functions.similarity import align_span
 from storyloom.functions.text import SPEECH, flat, is_speech
 
+# Fixed value: a quoted segment, whose closing mark is not required.
 SEGMENT = r'[“"]([^“”"]+)'
 #: Strategies in the order in which they are tried.
 ORDER = {"across paragraphs": 1, "joined": 2, "narration": 3, "aligned": 4}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from storyloom.functions.text import strip
 
+# The form of a numbered title, and what site notices hold.
 TITLE = r"^第\s*(\d+)\s*章(.*)$"
 JUNK = "请点击下一页|本小章还未完|小主，这个章节后面还有|爱下电子书|ixdzs"
 
