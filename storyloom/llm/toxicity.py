@@ -107,13 +107,13 @@ def _lattice(core: str) -> list[tuple[list[str], bool]]:
     return out
 
 
-def decode(core: str, model: np.ndarray) -> str:
+def decode(core: str, model: np.ndarray | list) -> str:
     """The likeliest reading of a hidden word or spaced run (lower case), words parted by a space.
 
     A state is the last two characters; each keeps its best score and a pointer to the readings before, so the
     work is linear in the length, which has no limit.
     """
-    logs = model.tolist()
+    logs = model if isinstance(model, list) else model.tolist()
     states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     for readings, may_split in _lattice(unicodedata.normalize("NFKC", core).lower()):
         following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
@@ -200,14 +200,14 @@ def features(batch: pa.RecordBatch, model: np.ndarray, memory: dict[str, str]) -
             found.append(_evidence(pairs, stop - size.sum(1), stop))
             rows.append(doc[left])
 
-        raw = data.tobytes()
+        raw, logs = data.tobytes(), model.tolist()
         texts, owner = [], []
 
         def restore(text: str, row: int) -> None:
             if text not in memory:
                 if len(memory) > 100_000 or len(text) > 1000:  # long ones are few and large
                     memory.clear()
-                memory[text] = decode(text, model)
+                memory[text] = decode(text, logs)
             texts.extend(memory[text].split())
             owner.extend([row] * (len(texts) - len(owner)))
 
