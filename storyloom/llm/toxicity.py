@@ -41,6 +41,8 @@ _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in LOOKALIKES]] = True
 _SEP = np.zeros(256, bool)
 _SEP[[ord(c) for c in SEPARATORS]] = True
+#: Two words are read as one if that is likelier by this log ratio; less takes too many common neighbours for one word.
+SURE = 2.0
 _LOOSE = np.zeros(256, bool)  # may be part of a hidden word at its edge
 _LOOSE[[ord(c) for c in "@$"]] = True
 _FOREIGN = np.zeros(256, bool)  # first bytes of Cyrillic, Greek and full-width letters
@@ -142,13 +144,13 @@ def decode(core: str, model: np.ndarray | list) -> str:
 
 
 def _joined(data: np.ndarray, first: np.ndarray, last: np.ndarray, at: np.ndarray, model: np.ndarray) -> np.ndarray:
-    """Which of the words ``at`` the model finds likelier as one with the next."""
+    """Which of the words ``at`` the model finds clearly likelier as one with the next."""
     a, b = at, at + 1
     code = lambda place, inside: np.where(inside, _CODE[data[np.minimum(np.maximum(place, 0), len(data) - 1)]], 0).astype(np.int64)
     y, z = code(last[a] - 2, last[a] - first[a] > 1), code(last[a] - 1, True)
     p, q = code(first[b], True), code(first[b] + 1, last[b] - first[b] > 1)
     gain = model[y, z, p] + model[z, p, q] - model[y, z, 0] - model[0, 0, p] - model[0, p, q]
-    return at[gain > 0]
+    return at[gain > SURE]
 
 
 def _evidence(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
