@@ -2,7 +2,8 @@
 
 Texts are cut where the tokenizer itself always cuts (``cut``), each distinct piece is encoded once
 per worker, and ids are put together by array operations; the ids equal those of the whole text. This holds for
-vocabularies whose own pattern cuts there, too; each worker compares its first texts with whole encodings and fails where they differ.
+vocabularies whose own pattern cuts there, too; each worker compares its first texts, and then one text of every batch,
+with whole encodings and fails where they differ.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from storyloom.llm.text_arrays import gathered, span_hashes, words
 
 #: Pieces that a worker remembers at most, places in its hash table, and pieces encoded in one call.
 CACHE_PIECES, SLOTS, LEARN = 1_000_000, 1 << 21, 1 << 13
-#: Texts of up to so many bytes that a worker compares with whole encodings.
-COMPARED, COMPARED_BYTES = 32, 4096
+#: Texts of up to so many bytes that a worker compares with whole encodings: at first, and of each batch.
+COMPARED, COMPARED_BYTES, COMPARED_EACH = 32, 4096, 1
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -55,12 +56,14 @@ def _before_spaces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
 
 
 def _words_and_letters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words, cut once more where letters end."""
+    """Words, cut once more where letters end inside a word (a text's end is a word's end already)."""
     starts, ends, _ = words(data, offsets)
     if not len(data):
         return (np.zeros(0, np.int64),) * 3
-    inner = np.flatnonzero(_letters_end(data)) + 1
-    starts, ends = (np.sort(np.concatenate([x, inner]), kind="stable") for x in (starts, ends))  # ``inner`` has none of them
+    between = np.zeros(len(data) + 1, bool)
+    between[offsets] = True
+    inner = np.flatnonzero(_letters_end(data) & ~between[1:-1]) + 1
+    starts, ends = (np.sort(np.concatenate([x, inner]), kind="stable") for x in (starts, ends))
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
@@ -100,8 +103,12 @@ class Encoder:
             at = at[~same & (found != 0)]
         return out
 
+    def encoded(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of each piece."""
+        return [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
     def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
-        ids = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        ids = self.encoded(pieces)
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         flat_ids = np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum()))
         entry = np.arange(self.known, self.known + len(ids))
@@ -128,6 +135,7 @@ class Encoder:
         raw = data.tobytes()
         # The word vocabulary has lower case only, but for names of special tokens.
         hashes = span_hashes(data, starts, ends, self.folds and b"<|" not in raw)
+        hashes[hashes == 0] = 1  # 0 marks a free slot
         entry = self._find(hashes)
         new = np.flatnonzero(entry < 0)
         if len(new):
@@ -144,8 +152,7 @@ class Encoder:
         size = self.size[entry]
         ids = self.pool[gathered(self.at[entry], size)]
         count = np.bincount(doc, size, len(offsets) - 1).astype(np.int64)
-        if self.compared < COMPARED:
-            self._compare(raw, offsets, ids, count)
+        self._compare(raw, offsets, ids, count)
         if end is not None:
             closed = np.empty(len(ids) + len(count), np.int32)
             closed[np.arange(len(ids)) + np.repeat(doc, size)] = ids
@@ -154,11 +161,13 @@ class Encoder:
             ids = closed
         return ids, count
 
-
     def _compare(self, raw: bytes, offsets: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
-        """Some texts against the tokenizer's own ids."""
+        """Some texts against the tokenizer's own ids: those of a worker's first batches, then such as stand at changing places."""
         stops = np.cumsum(count)
-        for i in np.flatnonzero((np.diff(offsets) > 0) & (np.diff(offsets) <= COMPARED_BYTES))[: COMPARED - self.compared].tolist():
+        short = np.flatnonzero((np.diff(offsets) > 0) & (np.diff(offsets) <= COMPARED_BYTES))
+        if len(short):
+            short = np.roll(short, -(self.compared * 7919 % len(short)) if self.compared >= COMPARED else 0)
+        for i in short[: max(COMPARED - self.compared, COMPARED_EACH)].tolist():
             whole = self.tokenizer.encode(raw[offsets[i] : offsets[i + 1]].decode("utf-8", "replace"), add_special_tokens=False).ids
             if whole != ids[stops[i] - count[i] : stops[i]].tolist():
                 raise ValueError("this tokenizer doesn't cut texts where they were cut: its ids differ from those of whole texts")
