@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from storyloom.llm.decontamination import op3_template_decontamination
+from storyloom.llm.filter_audit import OP11_SQL, op11_filter_audit
 from storyloom.llm.language_field import op8_language_field
 from storyloom.llm.language_model import op6_language_model
 from storyloom.llm.near_duplicates import op5_near_duplicates
 from storyloom.llm.packing import op1_best_fit_packing
+from storyloom.llm.part_trie import OP13_SQL, op13_part_trie_codes
 from storyloom.llm.phrase_fingerprints import op7_phrase_fingerprints
+from storyloom.llm.prefix_trie import op12_prefix_trie_bpe
 from storyloom.llm.sharding import op4_kd_shards
 from storyloom.llm.substring_dedup import op2_substring_dedup
 from storyloom.llm.token_files import op9_token_files
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_language_field": op8_language_field,
     "op9_token_files": op9_token_files,
     "op10_toxicity": op10_toxicity,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_prefix_trie_bpe": op12_prefix_trie_bpe,
+    "op13_part_trie_codes": op13_part_trie_codes,
 }
 #: Words as the contract has them.
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -42,4 +48,4 @@ link AS (SELECT a, b FROM same JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
 reach(a, b) AS (SELECT a, b FROM ways UNION SELECT r.a, x.b FROM reach r JOIN ways x ON x.a = r.b), least AS (SELECT a, min(b) AS m FROM reach GROUP BY 1)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id, d.doc_id = least(d.doc_id, coalesce(m, d.doc_id)) AS kept FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least l ON l.a = d.doc_id"""
 #: The others learn, tokenize, mask with patterns or lay out files in ways that SQL has no words for; tests/llm has plain versions.
-ORACLE_SQL: dict[str, str] = {"op2_substring_dedup": _OP2, "op5_near_duplicates": _OP5}
+ORACLE_SQL: dict[str, str] = {"op2_substring_dedup": _OP2, "op5_near_duplicates": _OP5, "op11_filter_audit": OP11_SQL, "op13_part_trie_codes": OP13_SQL}
