@@ -3,9 +3,10 @@
 In a BPE encoding, the tokens up to any of its borders are the encoding of the text up to there. A prefix of a word
 hence has one last token, and its encoding is that of the prefix before this token, and the token. Words
 that begin alike share nodes of a trie; a node's state is the last token of its prefix and the node where
-that token begins. New nodes are visited depth first, each after its parent, and each finds its last token
+that token begins. Distinct words are inserted in order, so every new node extends the path to the word before, and nodes are
+made depth first, each after its parent; the path is all of the trie that must be held. A new node finds its last token
 among the vocabulary's entries that end there: the one that stays next to the last token of the prefix
-before it. Whole words follow the states back to the root.
+before it. A whole word follows the states back to the root.
 
 Two tokens stay next to each other if no merge across their border comes before the merges that make them.
 Both sides are walked in order of rank (``stays``), so nothing is merged by trial.
@@ -31,16 +32,19 @@ from pyspark.sql import functions as F
 from storyloom.llm.text_arrays import flat, gathered, slices
 from storyloom.llm.token_ids import Encoder
 
-#: Nodes of a worker's trie at most; beyond that it begins anew (what has been encoded stays in the worker's cache).
-MOST_NODES = 400_000
+#: Characters by which the common prefix of words is told; what they share beyond is worked out again.
+SHARED = 32
+#: Pairs of tokens of which a worker remembers whether they stay next to each other.
+MOST_PAIRS = 200_000
+#: Ids are below this.
+_WIDE = 1 << 20
 
 
 class PrefixTrie:
-    """Encodes words (lists of symbols) with merges of given ranks; symbols and tokens are ids."""
+    """Encodes words with merges of given ranks; ``suffix`` marks the last character of a word."""
 
-    def __init__(self, vocabulary: dict[str, int], merges: list[tuple[str, str]]):
-        self.vocabulary = vocabulary
-        self.text = {i: t for t, i in vocabulary.items()}
+    def __init__(self, vocabulary: dict[str, int], merges: list[tuple[str, str]], suffix: str = ""):
+        self.vocabulary, self.suffix = vocabulary, suffix
         self.rank: dict[tuple[int, int], float] = {}
         self.halves: dict[int, tuple[int, int, int]] = {}
         for rank, (left, right) in enumerate(merges):
@@ -51,13 +55,8 @@ class PrefixTrie:
         self._left: dict[int, list[tuple[int, float]]] = {}
         self._right: dict[int, list[tuple[int, float]]] = {}
         self._whole: dict[int, bool] = {}
-        self._next_to: dict[tuple[int, int], bool] = {}
-        self.forget()
-
-    def forget(self) -> None:
-        """An empty trie; node 0 is the root. ``last`` is a node's last token, ``begin`` the node before it."""
-        self.child: dict[tuple[int, int], int] = {}
-        self.parent, self.symbol, self.last, self.begin = [0], [-1], [-1], [0]
+        self._next_to: dict[int, bool] = {}
+        self.nodes = 0  # made so far
 
     def edge(self, token: int, side: int) -> list[tuple[int, float]]:
         """The symbols and tokens at the left (0) or right (1) end of a token while it is made, each with the rank of the merge that takes it."""
@@ -100,62 +99,59 @@ class PrefixTrie:
 
     def stays(self, a: int, b: int) -> bool:
         """Whether ``a`` and ``b`` next to each other are left as they are."""
-        found = self._next_to.get((a, b))
+        found = self._next_to.get(a * _WIDE + b)
         if found is None:
             found = self.whole(b) and self.border(a, b)[0] == inf
-            if len(self._next_to) > 1_000_000:
+            if len(self._next_to) >= MOST_PAIRS:
                 self._next_to.clear()
-            self._next_to[a, b] = found
+            self._next_to[a * _WIDE + b] = found
         return found
 
-    def insert(self, symbols: list[int], fresh: dict[int, list[int]]) -> int:
-        """The node of a word; new nodes are listed in ``fresh`` by their parents."""
-        at = 0
-        for s in symbols:
-            to = self.child.get((at, s))
-            if to is None:
-                to = self.child[at, s] = len(self.parent)
-                self.parent.append(at)
-                self.symbol.append(s)
-                self.last.append(-1)
-                self.begin.append(0)
-                fresh.setdefault(at, []).append(to)
-            at = to
-        return at
-
-    def settle(self, node: int) -> None:
-        """State of a node all of whose ancestors have theirs."""
-        text, at = "", node
-        for _ in range(self.longest):
-            text = self.text[self.symbol[at]] + text
-            at = self.parent[at]
-            token = self.vocabulary.get(text)
-            if token is not None and (self.stays(self.last[at], token) if at else self.whole(token)):
-                self.last[node], self.begin[node] = token, at
-                return
-            if not at:
-                break
-        raise ValueError(f"no last token for {text!r}: these merges don't give one encoding for each prefix")
-
-    def encode(self, words: list[list[int]]) -> list[list[int]]:
-        """Token ids of each word: insert all, visit what is new depth first, read the states back."""
-        if len(self.parent) > MOST_NODES:
-            self.forget()
-        fresh: dict[int, list[int]] = {}
-        ends = [self.insert(w, fresh) for w in words]
-        new = {x for nodes in fresh.values() for x in nodes}
-        stack = [x for at, nodes in fresh.items() if at not in new for x in nodes]
-        while stack:
-            node = stack.pop()
-            self.settle(node)
-            stack += fresh.get(node, ())
-        out = []
-        for node in ends:
-            ids = []
-            while node:
-                ids.append(self.last[node])
-                node = self.begin[node]
-            out.append(ids[::-1])
+    def shared(self, words: list[str]) -> list[int]:
+        """Nodes that each of ``words``, in order and distinct, shares with the one before it; a word's end is a node of its own if it is marked."""
+        if len(words) < 2:
+            return [0] * len(words)
+        heads = np.array([w[:SHARED] for w in words])
+        matrix = np.ascontiguousarray(heads).view(np.uint32).reshape(len(words), -1)
+        differ = matrix[1:] != matrix[:-1]
+        first = np.where(differ.any(1), differ.argmax(1), matrix.shape[1])
+        inner = np.fromiter(map(len, words), np.int64, len(words)) - bool(self.suffix)
+        return [0, *np.minimum(first, np.minimum(inner[1:], inner[:-1])).tolist()]
+
+    def encode(self, words: list[str]) -> list[list[int]]:
+        """Token ids of each of ``words``, distinct ones of characters that the vocabulary has."""
+        vocabulary, next_to, suffix, longest = self.vocabulary, self._next_to, self.suffix, self.longest
+        out: list[list[int]] = [[]] * len(words)
+        order = sorted(range(len(words)), key=words.__getitem__)
+        last, begin = [-1], [0]  # of the nodes on the path, the root first
+        for k, common in zip(order, self.shared([words[k] for k in order]), strict=True):
+            word = words[k]
+            del last[common + 1 :], begin[common + 1 :]
+            self.nodes += len(word) - common
+            for end in range(common + 1, len(word) + 1):
+                mark = suffix if end == len(word) else ""
+                for start in range(end - 1, max(-1, end - 1 - longest), -1):
+                    token = vocabulary.get(word[start:end] + mark)
+                    if token is None:
+                        continue
+                    if not start:
+                        stays = self.whole(token)
+                    else:
+                        stays = next_to.get(last[start] * _WIDE + token)
+                        if stays is None:
+                            stays = self.stays(last[start], token)
+                    if stays:
+                        break
+                else:
+                    raise ValueError(f"no last token for {word[:end]!r}: these merges don't give one encoding for each prefix")
+                last.append(token)
+                begin.append(start)
+            ids, end = [], len(word)
+            while end:
+                ids.append(last[end])
+                end = begin[end]
+            ids.reverse()
+            out[k] = ids
         return out
 
 
@@ -167,18 +163,28 @@ class TrieEncoder(Encoder):
         with open(path, encoding="utf-8") as f:
             model = json.load(f)
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["model"]["merges"]]
-        self.suffix = model["model"].get("end_of_word_suffix") or ""
         self.special = {x["content"]: x["id"] for x in model["added_tokens"]}
-        self.trie = PrefixTrie(model["model"]["vocab"], pairs)
+        self.trie = PrefixTrie(model["model"]["vocab"], pairs, model["model"].get("end_of_word_suffix") or "")
+
+    def words(self, texts: list[str]) -> list[list[str]]:
+        """Words of each text, by the vocabulary's own normalizer and pattern. Where white space is dropped, one call splits all texts."""
+        normal, split = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer.pre_tokenize_str
+        if normal:
+            texts = [normal.normalize_str(t) for t in texts]
+        if not self.folds:
+            return [[w for w, _ in split(t)] for t in texts]
+        stops = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+        found = split(" ".join(texts))
+        of = np.searchsorted(stops, np.fromiter((at for _, (at, _) in found), np.int64, len(found)), "right")
+        out: list[list[str]] = [[] for _ in texts]
+        for i, (word, _) in zip(of.tolist(), found, strict=True):
+            out[i].append(word)
+        return out
 
-    def symbols(self, word: str) -> list[int]:
-        """Ids of a word's characters, the last with the mark of a word's end; characters that the vocabulary lacks are left out."""
+    def within(self, word: str) -> str:
+        """A word without the characters that the vocabulary lacks."""
         of = self.trie.vocabulary
-        return [x for x in (*(of.get(c) for c in word[:-1]), of.get(word[-1] + self.suffix)) if x is not None]
-
-    def words(self, piece: str) -> list[str]:
-        normal = self.tokenizer.normalizer
-        return [w for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal.normalize_str(piece) if normal else piece)]
+        return word if all(map(of.__contains__, word)) else "".join(c for c in word if c in of)
 
     def sections(self, piece: str) -> list[str | int]:
         """A piece cut at the names of special tokens, which stand as ids."""
@@ -192,24 +198,23 @@ class TrieEncoder(Encoder):
         return [x for x in out if x != ""]
 
     def encoded(self, pieces: list[str]) -> list[list[int]]:
-        """Ids of each piece; all words of the pieces are inserted before any is encoded."""
-        words: list[list[int]] = []
+        """Ids of each piece; all distinct words of the pieces go into the trie together."""
+        special = any(name in p for name in self.special for p in pieces)
+        parts = [self.sections(p) for p in pieces] if special else [[p] for p in pieces]
+        texts = [x for row in parts for x in row if isinstance(x, str)]
+        split = iter(self.words(texts))
+        rows = [[x if isinstance(x, int) else next(split) for x in row] for row in parts]
         numbers: dict[str, int] = {}
-        parts: list[list[tuple[bool, int]]] = []
-        for piece in pieces:
-            row: list[tuple[bool, int]] = []
-            for section in self.sections(piece):
-                if isinstance(section, int):
-                    row.append((True, section))
-                    continue
-                for word in self.words(section):
-                    if word not in numbers:
-                        numbers[word] = len(words)
-                        words.append(self.symbols(word))
-                    row.append((False, numbers[word]))
-            parts.append(row)
-        ids = self.trie.encode(words)
-        return [[x for special, k in row for x in ([k] if special else ids[k])] for row in parts]
+        for row in rows:
+            for x in row:
+                if not isinstance(x, int):
+                    for word in x:
+                        numbers.setdefault(word, len(numbers))
+        names = [self.within(w) for w in numbers]
+        distinct = list(dict.fromkeys(names))
+        found = dict(zip(distinct, self.trie.encode(distinct), strict=True))
+        ids = {word: found[name] for word, name in zip(numbers, names, strict=True)}
+        return [[i for x in row for i in ((x,) if isinstance(x, int) else (i for word in x for i in ids[word]))] for row in rows]
 
 
 @cache
@@ -260,48 +265,60 @@ def decoder(path: str) -> Decoder:
     return Decoder(path)
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, cut: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns and ``ids`` of every whole text, one row for each row.
+def _kinds(rows: DataFrame, keep: tuple[str, ...]) -> str:
+    kinds = dict(rows.dtypes)
+    return ", ".join(f"`{c}` {kinds[c]}" for c in keep)
+
+
+def _lists(ids: np.ndarray, count: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32)), pa.array(ids, pa.int32()))
+
+
+def _read_back(dec: Decoder, lists: pa.ListArray) -> list[pa.Array]:
+    """n_tokens, ids_sha256, decoded of lists of ids."""
+    count = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    values = lists.flatten().to_numpy(zero_copy_only=False)
+    offsets = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
+    raw = values.astype("<u4").view(np.uint8)
+    sums = [sha256(raw[4 * a : 4 * b]).hexdigest() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    return [pa.array(count), pa.array(sums, pa.string()), pa.array(dec.decode(values, offsets), pa.binary()).cast(pa.string())]
+
+
+def encode_documents(docs: DataFrame, tokenizer: str, cut: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), decoded: bool = False) -> DataFrame:
+    """``keep`` columns and ``ids`` of every whole text, one row for each row; with ``decoded`` also what :func:`decode_ids` gives for them.
 
     A null or empty text has no ids. Repeated rows, null ids and ties are encoded like others; other columns are ignored.
+    Ids are decoded in the same task if asked for, so that a task needs one worker.
     """
+    more = ["n_tokens", "ids_sha256", "decoded"] if decoded else []
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = trie_encoder(tokenizer, cut)
         for batch in slices(batches, "_text"):
-            ids, count = enc.encode(*flat(batch.column(batch.schema.get_field_index("_text"))))
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32)), pa.array(ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(len(keep))), lists], names=[*keep, "ids"])
+            lists = _lists(*enc.encode(*flat(batch.column(batch.schema.get_field_index("_text")))))
+            back = _read_back(decoder(tokenizer), lists) if decoded else []
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(len(keep))), lists, *back], names=[*keep, "ids", *more])
 
     rows = docs.select(*keep, F.col(text).alias("_text"))
-    return rows.mapInArrow(encode, ", ".join(f"`{c}` {k}" for c, k in rows.dtypes if c != "_text") + ", ids array<int>")
+    return rows.mapInArrow(encode, f"{_kinds(rows, keep)}, ids array<int>" + (", n_tokens long, ids_sha256 string, decoded string" if decoded else ""))
 
 
 def decode_ids(rows: DataFrame, tokenizer: str, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, ``n_tokens``, ``ids_sha256`` (of little-endian unsigned 32-bit ids) and ``decoded``; a null list counts as empty."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dec = decoder(tokenizer)
         for batch in batches:
-            lists = batch.column(len(keep))
-            count = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            values = lists.flatten().to_numpy(zero_copy_only=False)
-            offsets = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
-            raw = values.astype("<u4").view(np.uint8)
-            sums = [sha256(raw[4 * a : 4 * b]).hexdigest() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            texts = pa.array(dec.decode(values, offsets), pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(len(keep))), pa.array(count), pa.array(sums), texts], names=[*keep, "n_tokens", "ids_sha256", "decoded"])
+            back = _read_back(decoder(tokenizer), batch.column(len(keep)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(len(keep))), *back], names=[*keep, "n_tokens", "ids_sha256", "decoded"])
 
     picked = rows.select(*keep, ids)
-    kinds = dict(picked.dtypes)
-    return picked.mapInArrow(decode, ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", n_tokens long, ids_sha256 string, decoded string")
+    return picked.mapInArrow(decode, f"{_kinds(picked, keep)}, n_tokens long, ids_sha256 string, decoded string")
 
 
 def op12_prefix_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract's query: all documents with word_bpe_49k, encoded and decoded."""
     import public_tokenizers
 
-    path = public_tokenizers.path("word_bpe_49k.json")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("long"), "text")
-    out = decode_ids(encode_documents(docs, path, "white"), path)
+    out = encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"), "white", decoded=True)
     return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
