@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from storyloom.operators.chains import BLOCK, best_chains
+
 # Minutes of a segment, and how speech becomes minutes.
 CHARS_PER_SECOND, PAUSES = 4.5, 1.20
 TARGET, SOFT, HARD, SIZES = 28.0, (25.0, 32.0), (18.0, 42.0), (2, 5)
@@ -55,50 +56,36 @@ def blended(people: DataFrame, scenes: DataFrame, group: str = "grp") -> DataFra
     return people.join(scenes.withColumnRenamed("change", "_s"), [group, "pos"]).select(group, "pos", (0.65 * F.col("change") + 0.35 * F.col("_s")).alias("change"))
 
 
-def pick_cuts(change: list[float], cost: float, shortest: int = ARC[0], longest: int = ARC[1]) -> list[int]:
-    """Ends (from 1) of segments of allowed lengths that maximise the sum of change - cost; the last is free. Empty if impossible."""
-    n = len(change)
-    best: list[float | None] = [0.0] + [None] * n
-    back = [0] * (n + 1)
-    for end in range(1, n + 1):
-        gain = 0.0 if end == n else change[end - 1] - cost
-        for begin in range(end - shortest, max(-1, end - longest - 1), -1):
-            if begin >= 0 and best[begin] is not None and (best[end] is None or best[begin] + gain >= best[end]):
-                best[end], back[end] = best[begin] + gain, begin
-    if n == 0 or best[n] is None:
-        return []
-    cuts, at = [], n
-    while at:
-        cuts.append(at)
-        at = back[at]
-    return cuts[::-1]
-
-
-def change_points(curve: DataFrame, group: str = "grp", cost: float | None = None, shortest: int = ARC[0], longest: int = ARC[1]) -> DataFrame:
-    """group, cut, feasible: chosen ends of each group; the cost is the group's mean change unless given.
-
-    Each group (a book or season) is one sequence and one task; a group that cannot be divided gives one row
-    with a null cut and feasible false.
-    """
-    kind = dict(curve.dtypes)[group]
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("pos")
-        cuts = pick_cuts(rows["change"].tolist(), round(rows["change"].mean(), 9) if cost is None else cost, shortest, longest)
-        return pd.DataFrame({group: rows[group].iloc[0], "cut": pd.array(cuts or [None], "Int64"), "feasible": bool(cuts)})
+def change_points(curve: DataFrame, group: str = "grp", cost: float | None = None, shortest: int = ARC[0], longest: int = ARC[1], block: int = BLOCK) -> DataFrame:
+    """group, start, cut, feasible: segments of allowed lengths that maximise the sum of change - cost over their ends; the last end is free.
 
-    return curve.select(group, "pos", "change").groupBy(group).applyInPandas(run, f"{group} {kind}, cut long, feasible boolean")
+    The cost is the group's mean change unless given; sums are exact in units of 1e-9, and of equally good choices
+    segments that begin earlier are taken, from the end. A group that cannot be divided gives one row with nulls and feasible
+    false. A group may be of any length: see ``chains``.
+    """
+    last = curve.groupBy(group).agg(F.max("pos").alias("_last"), F.round(F.avg("change"), 9).alias("_cost"))
+    price = F.col("_cost") if cost is None else F.lit(cost)
+    paid = F.when(F.col("pos") == F.col("_last"), 0.0).otherwise(price - F.col("change"))
+    units = curve.join(last, group).select(group, "pos", F.round(paid * 1e9).cast("long").alias("cost"))
+    ways = lambda state: F.slice(state, shortest, longest - shortest + 1)
+    values = lambda state, c: F.concat(F.array_repeat(F.lit(None).cast("long"), shortest - 1), F.transform(ways(state), lambda x: x + c))
+    chosen, none = best_chains(units, longest, values, group, long_first=True, block=block, least=lambda state, c: F.array_min(ways(state)) + c)
+    missing = none.select(group, F.lit(None).cast("long").alias("start"), F.lit(None).cast("long").alias("cut"), F.lit(False).alias("feasible"))
+    return chosen.select(group, "start", F.col("stop").alias("cut"), F.lit(True).alias("feasible")).unionByName(missing)
 
 
 def arcs(cuts: DataFrame, entities: DataFrame | None = None, group: str = "grp") -> DataFrame:
-    """group, start, stop, units, cut: consecutive ranges; hard where an entity's last unit is the cut. entities: group, name, last."""
-    rows = cuts.where("cut IS NOT NULL").select(group, F.col("cut").alias("stop"))
-    rows = rows.withColumn("start", F.coalesce(F.lag("stop").over(Window.partitionBy(group).orderBy("stop")), F.lit(0)) + 1)
+    """group, start, stop, units, cut, exits: the ranges of :func:`change_points`; hard where entities leave, that is have their last unit at the cut.
+
+    entities: group, name, last; ``exits`` are the names that leave, sorted.
+    """
+    rows = cuts.where("cut IS NOT NULL").select(group, "start", F.col("cut").alias("stop"), (F.col("cut") - F.col("start") + 1).alias("units"))
+    nobody = F.array().cast("array<string>")
     if entities is None:
-        return rows.select(group, "start", "stop", (F.col("stop") - F.col("start") + 1).alias("units"), F.lit("soft").alias("cut"))
+        return rows.select("*", F.lit("soft").alias("cut"), nobody.alias("exits"))
     exits = entities.groupBy(group, F.col("last").alias("stop")).agg(F.sort_array(F.collect_set("name")).alias("exits"))
     rows = rows.join(exits, [group, "stop"], "left")
-    return rows.select(group, "start", "stop", (F.col("stop") - F.col("start") + 1).alias("units"), F.when(F.col("exits").isNotNull(), "hard").otherwise("soft").alias("cut"))
+    return rows.select(group, "start", "stop", "units", F.when(F.col("exits").isNotNull(), "hard").otherwise("soft").alias("cut"), F.coalesce("exits", nobody).alias("exits"))
 
 
 def length_stats(rows: DataFrame, length: str, *keys: str) -> DataFrame:
@@ -115,62 +102,35 @@ def segment_candidates(units: DataFrame, cuts: DataFrame | None = None, group: s
 
     A segment crosses no hard cut; its end costs 0 at a hard cut or the group's end, 8 at a soft cut, else 25.
     """
-    rows = units if cuts is None else units.join(cuts.select(group, "pos", F.col("kind").alias("_kind")), [group, "pos"], "left")
-    if cuts is None:
-        rows = rows.withColumn("_kind", F.lit(None).cast("string"))
-    w = Window.partitionBy(group).orderBy("pos")
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    hard = (F.coalesce("_kind", F.lit("")) == "hard").cast("int")
-    rows = rows.withColumn("_sum", F.sum("minutes").over(run)).withColumn("_hard", F.sum(hard).over(run)).withColumn("_last", F.max("pos").over(Window.partitionBy(group)))
-    before = rows.select(group, F.col("pos").alias("start"), F.coalesce(F.lag("_sum").over(w), F.lit(0.0)).alias("_s0"), F.coalesce(F.lag("_hard").over(w), F.lit(0)).alias("_h0"))
-    starts = before.select("*", F.explode(F.sequence(F.lit(sizes[0]), F.lit(sizes[1]))).alias("units")).withColumn("stop", F.col("start") + F.col("units") - 1)
-    ends = rows.select(group, F.col("pos").alias("stop"), "_sum", "_hard", "_kind", "_last")
-    pairs = starts.join(ends, [group, "stop"])
-    at_end = F.coalesce("_kind", F.lit(""))
-    pairs = pairs.where(F.col("_hard") - (at_end == "hard").cast("int") - F.col("_h0") == 0).withColumn("minutes", F.round(F.col("_sum") - F.col("_s0"), 9))  # sums of decimals, so that limits are met exactly
-    end_cost = F.when((at_end == "hard") | (F.col("stop") == F.col("_last")), 0.0).when(at_end == "soft", SOFT_END).otherwise(OTHER_END)
-    return pairs.select(group, "start", "stop", "units", "minutes", (duration_penalty(F.col("minutes")) + end_cost).alias("cost"))
-
-
-def cheapest_path(candidates: pd.DataFrame, last: int) -> list[int]:
-    """Rows of the cheapest chain of segments from 1 to ``last``; of equal ones, that with shorter last segments."""
-    best, by_end = {0: (0.0, None)}, {}
-    for i, (start, stop, cost) in enumerate(zip(candidates["start"], candidates["stop"], candidates["cost"], strict=True)):
-        by_end.setdefault(stop, []).append((start, cost, i))
-    for stop in range(1, last + 1):
-        options = [(best[s - 1][0] + c, -s, i) for s, c, i in by_end.get(stop, []) if s - 1 in best]
-        if options:
-            total, _, i = min(options)
-            best[stop] = (total, i)
-    if last not in best or not last:
-        return []
-    chain, at = [], last
-    while at:
-        i = best[at][1]
-        chain.append(i)
-        at = int(candidates["start"].iloc[i]) - 1
-    return chain[::-1]
-
-
-def budgeted_segments(candidates: DataFrame, units: DataFrame, group: str = "grp") -> DataFrame:
+    rows = units.withColumn("_kind", F.lit("")) if cuts is None else units.join(cuts.select(group, "pos", F.col("kind").alias("_kind")), [group, "pos"], "left")
+    rows = rows.withColumn("_kind", F.coalesce("_kind", F.lit("")))
+    last = units.groupBy(group).agg(F.max("pos").alias("_last"))
+    # Every unit is sent to the starts whose segments may hold it, so that no window spans a group.
+    sent = rows.withColumn("start", F.explode(F.sequence(F.greatest(F.lit(1).cast("long"), F.col("pos").cast("long") - sizes[1] + 1), F.col("pos").cast("long"))))
+    near = sent.groupBy(group, "start").agg(F.array_sort(F.collect_list(F.struct("pos", "minutes", F.col("_kind").alias("kind")))).alias("u")).join(last, group)
+    held = near.select(group, "start", "_last", "u", F.explode(F.sequence(F.lit(sizes[0]), F.lit(sizes[1]))).alias("units")).where(F.size("u") >= F.col("units"))
+    inner, end = F.slice("u", 1, F.col("units") - 1), F.element_at("u", F.col("units"))
+    minutes = F.round(F.aggregate(inner, F.lit(0.0), lambda acc, u: acc + u["minutes"]) + end["minutes"], 9)  # sums of decimals, so that limits are met exactly
+    pairs = held.where(~F.exists(inner, lambda u: u["kind"] == "hard")).select(group, "start", "_last", "units", minutes.alias("minutes"), end["kind"].alias("kind"))
+    stop = F.col("start") + F.col("units") - 1
+    end_cost = F.when((F.col("kind") == "hard") | (stop == F.col("_last")), 0.0).when(F.col("kind") == "soft", SOFT_END).otherwise(OTHER_END)
+    return pairs.select(group, "start", stop.alias("stop"), "units", "minutes", (duration_penalty(F.col("minutes")) + end_cost).alias("cost"))
+
+
+def budgeted_segments(candidates: DataFrame, units: DataFrame, group: str = "grp", longest: int = SIZES[1], block: int = BLOCK) -> DataFrame:
     """group, segment (from 1), start, stop, units, minutes, feasible: the cheapest cover of each group without overlap.
 
-    A group is one sequence and one task. Where no cover exists, one row says so, with nulls.
+    Costs are summed exactly in units of 1e-6; of equally cheap covers the one with shorter last segments is taken. Where no
+    cover exists, one row says so, with nulls. A group may be of any length: see ``chains``.
     """
-    last = units.groupBy(group).agg(F.max("pos").alias("last"))
-    kind = dict(units.dtypes)[group]
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["start", "stop"], ignore_index=True)
-        name, n = rows[group].iloc[0], int(rows["last"].iloc[0])
-        chain = cheapest_path(rows.dropna(subset=["start"]), n)
-        if not chain:
-            return pd.DataFrame([(name, None, None, None, None, None, False)], columns=[group, "segment", "start", "stop", "units", "minutes", "feasible"])
-        out = rows.iloc[chain][[group, "start", "stop", "units", "minutes"]].copy()
-        out.insert(1, "segment", range(1, len(out) + 1))
-        return out.assign(feasible=True)
-
-    return last.join(candidates, group, "left").groupBy(group).applyInPandas(run, f"{group} {kind}, segment long, start long, stop long, units long, minutes double, feasible boolean")
+    by_size = [F.max(F.when(F.col("units") == n, F.round(F.col("cost") * 1e6).cast("long"))) for n in range(1, longest + 1)]
+    costs = candidates.groupBy(group, F.col("stop").alias("pos")).agg(F.array(*by_size).alias("cost"))
+    priced = units.select(group, F.col("pos").cast("long").alias("pos")).join(costs, [group, "pos"], "left").withColumn("cost", F.coalesce("cost", F.array_repeat(F.lit(None).cast("long"), longest)))
+    chosen, none = best_chains(priced, longest, lambda state, cost: F.zip_with(state, cost, lambda x, c: x + c), group, block=block)
+    minutes = candidates.select(group, "start", "stop", "minutes")
+    found = chosen.join(minutes, [group, "start", "stop"]).select(group, F.col("nth").alias("segment"), "start", "stop", (F.col("stop") - F.col("start") + 1).alias("units"), "minutes", F.lit(True).alias("feasible"))
+    empty = [F.lit(None).cast("long").alias(c) for c in ("segment", "start", "stop", "units")]
+    return found.unionByName(none.select(group, *empty, F.lit(None).cast("double").alias("minutes"), F.lit(False).alias("feasible")))
 
 
 def segment_codes(segments: DataFrame, season: str = "season") -> DataFrame:

@@ -66,7 +66,7 @@ SELECT grp, e + 1, list_append(b, list_max(list_transform(c, lambda x: x.v))), l
 FROM (SELECT grp, e, b, k, list_filter(list_transform(range(greatest(0, e - 49), e - 8), lambda j: {{'v': b[j + 1] + CASE WHEN e + 1 = n THEN 0 ELSE ch[e + 1] - cost END, 'j': j}}), lambda x: x.v IS NOT NULL) AS c FROM dp JOIN gc USING (grp) WHERE e < n)),
 fin AS (SELECT grp, e, b, k FROM dp JOIN gc USING (grp) WHERE e = n), tr(grp, z) AS (SELECT grp, e FROM fin WHERE b[e + 1] IS NOT NULL UNION ALL SELECT grp, k[z + 1] FROM tr JOIN fin USING (grp) WHERE k[z + 1] > 0),
 cuts AS (SELECT grp, z AS cut, true AS feasible FROM tr UNION ALL SELECT grp, NULL, false FROM fin WHERE b[e + 1] IS NULL)"""
-SQL_ARCS = f"""{SQL_CUTS}, ex AS (SELECT DISTINCT grp, last FROM (SELECT u.grp, m.name, max(u.pos) AS last, count(DISTINCT u.pos) AS n FROM mentions m JOIN u ON u.seq = m.seq GROUP BY 1, 2) WHERE n >= 15),
+SQL_ARCS = f"""{SQL_CUTS}, ex AS (SELECT grp, name, last FROM (SELECT u.grp, m.name, max(u.pos) AS last, count(DISTINCT u.pos) AS n FROM mentions m JOIN u ON u.seq = m.seq GROUP BY 1, 2) WHERE n >= 15),
 arcs AS (SELECT grp, coalesce(lag(cut) OVER (PARTITION BY grp ORDER BY cut), 0) + 1 AS start, cut AS stop, CASE WHEN EXISTS (SELECT 1 FROM ex WHERE ex.grp = cuts.grp AND ex.last = cuts.cut) THEN 'hard' ELSE 'soft' END AS cut FROM cuts WHERE feasible)"""
 SQL_SEGMENTS = f"""{SQL_ARCS}, uk AS (SELECT u.*, a.cut AS kind FROM u LEFT JOIN arcs a ON a.grp = u.grp AND a.stop = u.pos), ls AS (SELECT grp, max(pos) AS last FROM u GROUP BY 1),
 cand AS (SELECT s.grp, s.pos AS start, s.pos + v.n - 1 AS stop, v.n AS units, round(sum(x.minutes), 9) AS minutes, count(*) FILTER (x.kind = 'hard' AND x.pos < s.pos + v.n - 1) AS crossed FROM uk s, (VALUES (2), (3), (4), (5)) v(n), uk x WHERE x.grp = s.grp AND x.pos BETWEEN s.pos AND s.pos + v.n - 1 GROUP BY 1, 2, 3, 4),
@@ -81,17 +81,27 @@ segments AS (SELECT ts.grp, row_number() OVER (PARTITION BY ts.grp ORDER BY z) A
 
 @query(f"WITH RECURSIVE {SQL_CUTS} SELECT grp, coalesce(cut, -1) AS cut, feasible FROM cuts")
 def change_points(spark, sf):
-    return sequence.change_points(_curve(spark, sf)).withColumn("cut", F.coalesce("cut", F.lit(-1)))
-
-
-def _exits(spark, sf, u):
-    return _mentions(spark, sf, u).groupBy("grp", "name").agg(F.max("unit").alias("last"), F.count_distinct("unit").alias("n")).where("n >= 15").select("grp", "name", "last")
+    return sequence.change_points(stored(_curve(spark, sf), "curve")).select("grp", F.coalesce("cut", F.lit(-1)).alias("cut"), "feasible")
 
 
 @query(f"WITH RECURSIVE {SQL_ARCS} SELECT grp, start, stop, stop - start + 1 AS units, cut FROM arcs")
 def arc_table(spark, sf):
-    u = _units(spark, sf)
-    return sequence.arcs(sequence.change_points(_curve(spark, sf, u)), _exits(spark, sf, u))
+    return _arcs(spark, sf).drop("exits")
+
+
+@query(f"WITH RECURSIVE {SQL_ARCS.replace('n >= 15', 'n >= 3')} SELECT a.grp, a.stop, ex.name FROM arcs a JOIN ex ON ex.grp = a.grp AND ex.last = a.stop")
+def arc_exits(spark, sf):
+    """The names in three units or more that leave at each hard cut."""
+    return _arcs(spark, sf, least=3).select("grp", "stop", F.explode("exits").alias("name"))
+
+
+def _arcs(spark, sf, units=None, least=15):
+    """Arcs from names that are looked for once."""
+    u = _units(spark, sf) if units is None else units
+    found = stored(_mentions(spark, sf, u), "mentions")
+    curve = sequence.change_curve(found.select("grp", F.col("unit").alias("pos"), F.col("name").alias("item")), u.select("grp", "pos"))
+    exits = found.groupBy("grp", "name").agg(F.max("unit").alias("last"), F.count_distinct("unit").alias("n")).where(F.col("n") >= least).select("grp", "name", "last")
+    return sequence.arcs(sequence.change_points(stored(curve, "curve")), exits)
 
 
 @query(f"""WITH {SQL_UNITS}, l AS (SELECT grp, max(pos) AS last FROM u GROUP BY 1), k AS (SELECT a.grp, a.pos AS start, a.pos + v.n - 1 AS stop, v.n AS units, (SELECT sum(b.minutes) FROM u b WHERE b.grp = a.grp AND b.pos BETWEEN a.pos AND a.pos + v.n - 1) AS minutes FROM u a, (VALUES (2), (3), (4), (5)) v(n))
@@ -112,8 +122,8 @@ def budgeted_segments(spark, sf):
 def _segments(spark, sf):
     units = _units(spark, sf)
     u = units.select("grp", "pos", "minutes")
-    cuts = sequence.arcs(stored(sequence.change_points(_curve(spark, sf, units)), "cuts"), _exits(spark, sf, units)).select("grp", F.col("stop").alias("pos"), F.col("cut").alias("kind"))
-    return sequence.budgeted_segments(sequence.segment_candidates(u, cuts), u)
+    cuts = _arcs(spark, sf, units).select("grp", F.col("stop").alias("pos"), F.col("cut").alias("kind"))
+    return sequence.budgeted_segments(stored(sequence.segment_candidates(u, cuts), "candidates"), u)
 
 
 @query(f"WITH RECURSIVE {SQL_SEGMENTS} SELECT grp, count(minutes) AS segments, coalesce(round(avg(minutes), 6), -1) AS mean, coalesce(round(min(minutes), 6), -1) AS least, coalesce(round(max(minutes), 6), -1) AS most, coalesce(round(avg(CASE WHEN minutes BETWEEN 25 AND 32 THEN 1 WHEN minutes IS NOT NULL THEN 0 END), 6), -1) AS comfortable FROM segments GROUP BY 1")

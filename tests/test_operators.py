@@ -2,8 +2,11 @@
 
 import itertools
 import random
+import re
+from collections import defaultdict
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from storyloom.functions import text as T
@@ -151,13 +154,80 @@ def best_cuts(change, cost, lo, hi):
     return best
 
 
-def test_change_points_against_all_choices():
+def plain_cuts(change, cost, lo, hi):
+    """Ends of the best segments by one pass over all of them; costs in units of 1e-9."""
+    n = len(change)
+    gain = [round((c - cost) * 1e9) for c in change[:-1]] + [0]
+    best, back = [0] + [None] * n, [0] * (n + 1)
+    for end in range(1, n + 1):
+        options = [(best[b], -b) for b in range(max(0, end - hi), end - lo + 1) if best[b] is not None]
+        if options:
+            most, begin = max(options)
+            best[end], back[end] = most + gain[end - 1], -begin
+    cuts, at = [], n if n and best[n] is not None else 0
+    while at:
+        cuts.append(at)
+        at = back[at]
+    return cuts[::-1]
+
+
+def test_plain_cuts_against_all_choices():
     rng = random.Random(3)
     for _ in range(20):
         change = [rng.random() for _ in range(12)]
-        cuts = sequence.pick_cuts(change, 0.5, 2, 5)
+        cuts = plain_cuts(change, 0.5, 2, 5)
         assert abs(sum(change[c - 1] - 0.5 for c in cuts[:-1]) - best_cuts(change, 0.5, 2, 5)[0]) < 1e-9
-    assert sequence.pick_cuts([0.1] * 3, 0.5, 5, 9) == []
+
+
+@pytest.mark.parametrize("block, lo, hi", [(1024, 10, 50), (64, 3, 9), (9, 3, 9), (16, 1, 4)])
+def test_change_points_in_blocks_equal_one_pass(spark, block, lo, hi):
+    rng = random.Random(block)
+    groups = {"long": 700, "short": 5, "none": 2, "odd": 33, "even": 64}
+    change = {g: [rng.choice([0.0, 0.25, 0.5, rng.random()]) for _ in range(n)] for g, n in groups.items()}  # with ties
+    curve = spark.createDataFrame([(g, i + 1, c) for g, x in change.items() for i, c in enumerate(x)] + [(None, 1, 0.5)], "grp string, pos long, change double")
+    out = sequence.change_points(curve.repartition(5), cost=0.4, shortest=lo, longest=hi, block=block).collect()
+    for g, x in change.items():
+        own = sorted((r.cut, r.start) for r in out if r.grp == g and r.feasible)
+        cuts = plain_cuts(x, 0.4, lo, hi)
+        assert [c for c, _ in own] == cuts and [s for _, s in own] == [1, *(c + 1 for c in cuts[:-1])][: len(cuts)]
+        assert bool(cuts) != any(r.grp == g and not r.feasible for r in out)
+    assert sequence.change_points(curve.limit(0)).count() == 0
+
+
+def test_segments_in_blocks_equal_one_pass(spark):
+    rng = random.Random(8)
+    sizes = {"a": 900, "b": 40, "c": 1, "d": 13}
+    units = spark.createDataFrame([(g, i, rng.choice([4.0, 5.5, 7.0, 9.3])) for g, n in sizes.items() for i in range(1, n + 1)], "grp string, pos long, minutes double")
+    kinds = spark.createDataFrame([("a", i, rng.choice(["hard", "soft"])) for i in range(7, 900, 11)], "grp string, pos long, kind string")
+    candidates = sequence.segment_candidates(units, kinds).cache()
+    found = {block: sorted(map(tuple, sequence.budgeted_segments(candidates, units, block=block).collect()), key=str) for block in (1024, 5, 32)}
+    assert found[1024] == found[5] == found[32]
+    rows = defaultdict(list)
+    for r in candidates.collect():
+        rows[r.grp, r.stop].append((r.start, round(r.cost * 1e6)))
+    for g, n in sizes.items():
+        best = {0: 0}
+        for stop in range(1, n + 1):
+            options = [best[s - 1] + c for s, c in rows[g, stop] if s - 1 in best]
+            if options:
+                best[stop] = min(options)
+        own = sorted(r for r in found[32] if r[0] == g and r[-1])
+        cost = {(r.grp, r.start, r.stop): round(r.cost * 1e6) for r in candidates.collect()}
+        assert (n in best) == bool(own) and sum(cost[g, r[2], r[3]] for r in own) == best.get(n, 0)
+        assert [r[1] for r in own] == list(range(1, len(own) + 1)) and [r[2] for r in own] == [1, *(r[3] + 1 for r in own[:-1])][: len(own)]
+
+
+def test_chains_have_no_python_in_their_plans(spark):
+    units = spark.createDataFrame([("g", i, 7.0) for i in range(1, 41)], "grp string, pos long, minutes double")
+    out = sequence.budgeted_segments(sequence.segment_candidates(units), units, block=8)
+    assert not re.search("Python|Pandas|Arrow", out._jdf.queryExecution().executedPlan().toString())
+
+
+def test_arcs_name_who_leaves(spark):
+    cuts = spark.createDataFrame([("g", 1, 5, True), ("g", 6, 9, True), ("h", None, None, False)], "grp string, start long, cut long, feasible boolean")
+    last = spark.createDataFrame([("g", "b", 5), ("g", "a", 5), ("g", "c", 7), ("h", "d", 9)], "grp string, name string, last long")
+    assert sorted(map(tuple, sequence.arcs(cuts, last).collect())) == [("g", 1, 5, 5, "hard", ["a", "b"]), ("g", 6, 9, 4, "soft", [])]
+    assert {(r.cut, tuple(r.exits)) for r in sequence.arcs(cuts).collect()} == {("soft", ())}
 
 
 def test_segments(spark):
@@ -171,17 +241,6 @@ def test_segments(spark):
     assert {12, 24} <= set(cut.stop) and not any(a < 12 < b or a < 24 < b for a, b in zip(cut.start - 1, cut.stop, strict=True))
 
 
-def test_cheapest_path_against_all_choices():
-    rng = random.Random(4)
-    rows = pd.DataFrame([(s, s + k - 1, rng.random()) for s in range(1, 11) for k in (2, 3) if s + k - 1 <= 10], columns=["start", "stop", "cost"])
-    chain = sequence.cheapest_path(rows, 10)
-
-    def least(at):
-        return 0.0 if at > 10 else min((c + least(e + 1) for s, e, c in rows.values if s == at), default=float("inf"))
-
-    assert abs(rows.cost.iloc[chain].sum() - least(1)) < 1e-9
-
-
 def test_requests(spark):
     good, bad = requests.parse_replies(spark.createDataFrame([('x {"k": 3} y',), ("nothing",), (None,)], "reply string"), "k int")
     assert good.first().parsed.k == 3 and bad.count() == 2
