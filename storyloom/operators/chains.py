@@ -5,14 +5,16 @@ last unit. Where a chain stands is told by the ends of the last ``longest`` unit
 (min, +) matrix from the places before the block to those at its end. Matrices are multiplied up a tree, which gives
 each block what chains cost when they come to it; each block then chooses its segments by itself, and a second tree hands
 the place where the chosen chain lands from the last block to the first. No task holds more than a block or the
-matrices of one node of the tree, and all of it is SQL on arrays in the JVM. Costs are longs, so sums do not depend on how they are put together;
+matrices of one node of the tree. It is SQL on arrays in the JVM, but for the matrices of long segments. Costs are longs, so sums do not depend on how they are put together;
 null stands for what is not allowed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,6 +59,37 @@ def _scan(tree: list[DataFrame], top: DataFrame, apply: Callable[[Column, Column
     return states
 
 
+def _uniform(blocks: DataFrame, shortest: int, longest: int) -> DataFrame:
+    """group, block, e: the matrices of blocks whose units have one cost for segments of any allowed length.
+
+    A matrix follows up to ``longest`` places through every unit, which with long segments is much for array functions; here a unit is
+    one minimum over an array of places.
+    """
+    far = np.int64(1) << np.int64(61)
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            flat, sizes = lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy()
+            stops = np.cumsum(sizes)
+            out = []
+            for size, stop in zip(sizes.tolist(), stops.tolist(), strict=True):
+                best = np.full((longest + size, longest), far)  # unit x place before the block, the units before it first
+                best[np.arange(longest), longest - 1 - np.arange(longest)] = 0
+                for i, cost in enumerate(flat[stop - size : stop].tolist(), longest):
+                    np.minimum.reduce(best[i - longest : i - shortest + 1], 0, out=best[i])
+                    best[i] += cost
+                out.append(best[-longest:][::-1].T)
+            matrix = np.concatenate(out)
+            inner = pa.array(matrix.ravel(), mask=matrix.ravel() > far // 2)
+            rows = pa.ListArray.from_arrays(pa.array(np.arange(len(matrix) + 1, dtype=np.int32) * longest), inner)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * longest), rows)], names=["group", "block", "e"])
+
+    rows = blocks.select("group", "block", F.transform("u", lambda u: u["cost"]).alias("costs"))
+    kinds = dict(rows.dtypes)
+    return rows.mapInArrow(follow, f"group {kinds['group']}, block {kinds['block']}, e array<array<long>>")
+
+
 def _tree(elements: DataFrame, blocks: int, compose: Callable[[Column, Column], Column]) -> list[DataFrame]:
     """Levels of composed elements, until a group has at most FAN of them."""
     levels = [elements]
@@ -68,12 +101,13 @@ def _tree(elements: DataFrame, blocks: int, compose: Callable[[Column, Column],
     return levels
 
 
-def best_chains(units: DataFrame, longest: int, value: Callable[[Column, Column], Column], group: str = "grp", long_first: bool = False, block: int = BLOCK, least: Callable[[Column, Column], Column] | None = None) -> tuple[DataFrame, DataFrame]:
+def best_chains(units: DataFrame, longest: int, value: Callable[[Column, Column], Column], group: str = "grp", long_first: bool = False, block: int = BLOCK, shortest: int | None = None) -> tuple[DataFrame, DataFrame]:
     """((group, nth, start, stop) of the segments of each group's cheapest chain, (group) of the groups that no chain covers).
 
     units: group, pos (gapless from 1) and ``cost``, of any type. ``value(state, cost)`` gives an array of ``longest`` longs: what
     chains cost whose last segment has 1, 2, ... units and ends here, from ``state``, what they cost where that segment begins. Of equally
-    cheap segments the shorter is taken, or the longer with ``long_first``. ``least`` gives the least of these values where that can be had sooner. Null groups are left out; an empty table gives no rows.
+    cheap segments the shorter is taken, or the longer with ``long_first``. ``shortest`` says that any segment from so many units on
+    may end at a unit, at the unit's one cost: then the matrices are made by :func:`_uniform`. Null groups are left out; an empty table gives no rows.
     """
     assert block >= longest
     at = F.col("pos").cast("long") - 1
@@ -82,11 +116,12 @@ def best_chains(units: DataFrame, longest: int, value: Callable[[Column, Column]
     most = (blocks.agg(F.max("block")).first()[0] or 0) + 1
     start = _entered(longest)
     root = blocks.select("group").distinct().withColumn("block", F.lit(0).cast("long"))
-    cheapest = least or (lambda state, cost: F.array_min(value(state, cost)))
+    cheapest = lambda state, cost: F.array_min(value(state, cost))
     if most > 1:
         every = F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda k: F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda j: F.when(j == k, F.lit(0).cast("long"))))
         matrix = F.aggregate("u", every, lambda m, u: F.transform(m, lambda s: _moved(s, cheapest(s, u["cost"]), longest)))
-        matrices = stored(blocks.select("group", "block", matrix.alias("e")), "matrices")
+        made = blocks.select("group", "block", matrix.alias("e")) if shortest is None else _uniform(blocks, shortest, longest)
+        matrices = stored(made, "matrices")
         tree = _tree(matrices, most, lambda a, b: F.transform(a, lambda s: _through(s, b, longest)))
         entries = _scan(tree, root.withColumn("state", start), lambda s, m: _through(s, m, longest), "array<bigint>", False)
         entered = blocks.join(entries, ["group", "block"])
@@ -102,11 +137,8 @@ def best_chains(units: DataFrame, longest: int, value: Callable[[Column, Column]
 
     none = F.array().cast("array<int>")
     run = F.aggregate("u", F.struct(F.col("state").alias("s"), none.alias("back")), choose)
-    chosen = entered.withColumn("run", run).select("group", "block", F.col("run.back").alias("back"), F.col("run.s")[0].alias("total"))  # back: units of the segment that ends at each unit
-    if most > 1:
-        chosen = stored(chosen, "chosen")
-    last = chosen.groupBy("group").agg(F.max("block").alias("last"))
-    covered = chosen.join(last, "group").where("block = last")
+    chosen = stored(entered.select("group", "block", run.alias("run")), "chosen").select("group", "block", F.col("run.back").alias("back"), F.col("run.s")[0].alias("total"))  # back: units of the segment that ends at each unit
+    covered = chosen if most == 1 else chosen.join(chosen.groupBy("group").agg(F.max("block").alias("last")), "group").where("block = last")
     good, bad = covered.where("total IS NOT NULL").select("group"), covered.where("total IS NULL").select(F.col("group").alias(group))
     size = F.size("back")
     # Places are counted back from a block's end: 0 is its last unit, ``size`` the last unit of the block before.
@@ -121,7 +153,7 @@ def best_chains(units: DataFrame, longest: int, value: Callable[[Column, Column]
         landings = _scan(tree, root.join(good, "group", "left_semi").withColumn("state", F.lit(0)), lambda p, f: chain(f, p), "int", True)
         walked = chosen.join(landings, ["group", "block"])
     else:
-        walked = chosen.join(good, "group", "left_semi").withColumn("state", F.lit(0))
+        walked = chosen.where("total IS NOT NULL").withColumn("state", F.lit(0))
     walk = F.aggregate(F.sequence(F.lit(0), size - 1), F.struct(F.col("state").alias("p"), none.alias("ends")), lambda acc, i: F.when(acc["p"] == i, F.struct((acc["p"] + F.element_at("back", size - i)).alias("p"), F.concat(F.array(i), acc["ends"]).alias("ends"))).otherwise(acc))
     ends = walked.select("group", "block", "back", size.alias("size"), walk["ends"].alias("ends"))
     if most > 1:

@@ -67,9 +67,8 @@ def change_points(curve: DataFrame, group: str = "grp", cost: float | None = Non
     price = F.col("_cost") if cost is None else F.lit(cost)
     paid = F.when(F.col("pos") == F.col("_last"), 0.0).otherwise(price - F.col("change"))
     units = curve.join(last, group).select(group, "pos", F.round(paid * 1e9).cast("long").alias("cost"))
-    ways = lambda state: F.slice(state, shortest, longest - shortest + 1)
-    values = lambda state, c: F.concat(F.array_repeat(F.lit(None).cast("long"), shortest - 1), F.transform(ways(state), lambda x: x + c))
-    chosen, none = best_chains(units, longest, values, group, long_first=True, block=block, least=lambda state, c: F.array_min(ways(state)) + c)
+    values = lambda state, c: F.concat(F.array_repeat(F.lit(None).cast("long"), shortest - 1), F.transform(F.slice(state, shortest, longest - shortest + 1), lambda x: x + c))
+    chosen, none = best_chains(units, longest, values, group, long_first=True, block=block, shortest=shortest)
     missing = none.select(group, F.lit(None).cast("long").alias("start"), F.lit(None).cast("long").alias("cut"), F.lit(False).alias("feasible"))
     return chosen.select(group, "start", F.col("stop").alias("cut"), F.lit(True).alias("feasible")).unionByName(missing)
 
