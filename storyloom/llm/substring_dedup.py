@@ -2,17 +2,21 @@
 
 A window is ``window`` consecutive words. Its anchor is the least hash among its runs of ``seed_words``
 words (winnowing: neighbouring windows mostly share it, and equal windows always do). Documents are joined
-on anchors that two of them have. From each such place the match is extended both ways: over the
-windows that contain the anchor and, along the diagonal of the two documents, over all windows that follow
-without a gap, up to a maximal repeat of ``window`` words or more.
-
-The partner of a window is its first owner, the smallest doc_id that has it and its first place there. It comes
-from min(), so a passage which very many documents share is never gathered in one task, and no pairs of
-all its holders arise; as every repeated window has a first owner, no repeated word is lost.
+on anchors that two of them have, with the words around: the partner of an anchor's window is its first
+owner, the smallest doc_id that has the window and its first place there. It comes from min(), so a passage that very many documents share is
+never gathered in one task, and no pairs of all its holders arise; as every repeated window has a first owner, no
+repeated word is lost.
+
+From there, matches are extended. Windows that follow each other in both documents are one run. A first owner may end
+where its partner goes on: the next window then has another first owner. So every run is extended along its diagonal, to the left and to the
+right, into the neighbouring runs: a window of the document and that of its partner are equal if both have the same first
+owner, and this holds for a stretch of both documents' runs at a time, so texts need not meet. The longest extents, those within no
+other, are the maximal repeats of ``window`` words or more, and their words go.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -83,31 +87,98 @@ def _windows_at(docs: DataFrame, window: int, seed_words: int) -> DataFrame:
     return docs.mapInArrow(emit, "hash long, doc_id long, place long")
 
 
-def _extended(at: np.ndarray, first_doc: np.ndarray, first_place: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
-    """Maximal repeats from matched windows of one text: start, words, first_doc, first_start.
+RUN = "start long, windows long, first_doc long, first_tag long, first_start long"
+REPEAT = "start long, n_words long, first_doc long, first_start long"
+_fields = lambda kind: [x.split()[0] for x in kind.split(", ")]
+_struct = lambda kind: "struct<" + ", ".join(x.replace(" ", ": ") for x in kind.split(", ")) + ">"
 
-    Windows with one partner text and one distance between the places lie on one diagonal; those that
-    follow each other there are one repeat.
-    """
+
+def runs_of(at: np.ndarray, first_doc: np.ndarray, first_place: np.ndarray) -> np.ndarray:
+    """Rows of :data:`RUN` from matched windows of one text, by start: windows that follow each other there and in one partner's text are a run."""
     tag, first_at = first_place >> 32, first_place & 0xFFFFFFFF
-    diagonal = at - first_at
-    order = np.lexsort((at, diagonal, tag, first_doc))
-    a, d, t, f = at[order], diagonal[order], tag[order], first_doc[order]
+    order = np.argsort(at, kind="stable")  # a window has one first owner
+    a, d, t, f = at[order], (at - first_at)[order], tag[order], first_doc[order]
     new = np.ones(len(a), bool)
     new[1:] = (a[1:] != a[:-1] + 1) | (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (f[1:] != f[:-1])
     begin = np.flatnonzero(new)
-    stop = np.append(begin[1:], len(a)) - 1
-    by = np.argsort(a[begin], kind="stable")
-    begin, stop = begin[by], stop[by]
-    return a[begin], a[stop] - a[begin] + window, f[begin], a[begin] - d[begin]
+    stop = np.append(begin[1:], len(a))
+    return np.stack([a[begin], stop - begin, f[begin], t[begin], a[begin] - d[begin]], 1) if len(begin) else np.zeros((0, 5), np.int64)
 
 
-REPEAT = "start long, n_words long, first_doc long, first_start long"
+def _runs(matches: DataFrame) -> DataFrame:
+    """doc_id, tag, runs of each text from its document's ``matches``."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs, tags, found, sizes = [], [], [np.zeros((0, 5), np.int64)], []
+            lists = batch.column(1)
+            place, first_doc, first_place = (lists.flatten().field(i).to_numpy() for i in range(3))
+            stops = np.cumsum(lists.value_lengths().to_numpy())
+            for doc, low, high in zip(_rows(batch).tolist(), [0, *stops[:-1].tolist()], stops.tolist(), strict=True):
+                own = place[low:high] >> 32
+                for tag in np.unique(own).tolist():  # rows of one doc_id may have different texts
+                    at = np.flatnonzero(own == tag) + low
+                    found.append(runs_of(place[at] & 0xFFFFFFFF, first_doc[at], first_place[at]))
+                    docs.append(doc)
+                    tags.append(tag)
+                    sizes.append(len(found[-1]))
+            table = np.concatenate(found)
+            structs = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(c)) for c in table.T], names=_fields(RUN))
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(tags, pa.int64()), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), structs)], names=["doc_id", "tag", "runs"])
+
+    return matches.mapInArrow(emit, f"doc_id long, tag long, runs array<{_struct(RUN)}>")
+
+
+def extents(doc: int, runs: list[tuple], partners: dict[tuple[int, int], list[tuple]], window: int) -> list[tuple]:
+    """Rows of :data:`REPEAT`, the maximal repeats of a text, from its runs and those of the texts that are their first owners.
+
+    Runs whose first owner is the document itself only name windows; they begin no repeat.
+    """
+    starts = [r[0] for r in runs]
+
+    def owner(table: list[tuple], begins: list[int], own: tuple[int, int], at: int) -> tuple[int, int, int, int, int]:
+        """First owner (document, tag, place) of a text's window, and the first and last window of which this holds in the same way."""
+        i = bisect_right(begins, at) - 1
+        if i >= 0 and at < table[i][0] + table[i][1]:
+            start, many, f, t, first = table[i]
+            return f, t, first + at - start, start, start + many - 1
+        return *own, at, table[i][0] + table[i][1] if i >= 0 else 0, begins[i + 1] - 1 if i + 1 < len(begins) else 1 << 40
+
+    found = {}
+    for start, many, f, t, first in runs:
+        if f == doc:
+            continue
+        low, high, shift = start, start + many - 1, start - first
+        theirs = partners.get((f, t), [])
+        begins = [r[0] for r in theirs]
+        for way in (-1, 1):
+            at = (low if way < 0 else high) + way
+            while True:
+                i = bisect_right(starts, at) - 1
+                if i < 0 or at >= runs[i][0] + runs[i][1] or at < shift:
+                    break
+                mine = owner(runs, starts, (doc, -1), at)
+                other = owner(theirs, begins, (f, t), at - shift)
+                if mine[:3] != other[:3]:
+                    break
+                at = max(mine[3], other[3] + shift, shift) - 1 if way < 0 else min(mine[4], other[4] + shift) + 1
+            if way < 0:
+                low = at + 1
+            else:
+                high = at - 1
+        key = (low, high)
+        found[key] = min(found.get(key, (f, low - shift)), (f, low - shift))
+    out, reached = [], -1
+    for (low, high), (f, first) in sorted(found.items(), key=lambda x: (x[0][0], -x[0][1])):
+        if high > reached:  # within no other
+            out.append((low, high - low + window, f, first))
+            reached = high
+    return out
 
 
 def _without(docs: DataFrame, window: int) -> DataFrame:
-    """Extend ``matches`` of each document to its maximal repeats, and take them out."""
-    fields = [x.split()[0] for x in REPEAT.split(", ")]
+    """Extend the ``runs`` of each text with its ``partners`` to maximal repeats, and take them out."""
+    fields = _fields(REPEAT)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -115,25 +186,18 @@ def _without(docs: DataFrame, window: int) -> DataFrame:
             data, offsets = flat(batch.column(batch.schema.get_field_index("text")))
             starts, ends, doc = words(data, offsets)
             first = np.searchsorted(doc, np.arange(n))
-            lists, tags = batch.column(batch.schema.get_field_index("matches")), _column(batch, "tag")
-            size = lists.value_lengths().fill_null(0).to_numpy()
-            flat_lists = lists.flatten()
-            place, first_doc, first_place = (flat_lists.field(i).to_numpy() for i in range(3))
-            row = np.repeat(np.arange(n), size)
-            own = place >> 32 == tags[row]  # rows of one doc_id may have different texts
-            row, place, first_doc, first_place = row[own], place[own], first_doc[own], first_place[own]
+            ids, runs, partners = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "runs", "partners"))
             cover = np.zeros(len(starts) + 1, np.int64)
-            found: list[list] = [[], [], [], []]
+            found: list[tuple] = []
             many = np.zeros(n, np.int64)
-            cuts = np.searchsorted(row, np.arange(n + 1))
-            for i in np.flatnonzero(np.diff(cuts)).tolist():
-                part = slice(cuts[i], cuts[i + 1])
-                repeats = _extended(place[part] & 0xFFFFFFFF, first_doc[part], first_place[part], window)
-                np.add.at(cover, first[i] + repeats[0], 1)
-                np.add.at(cover, first[i] + repeats[0] + repeats[1], -1)
-                many[i] = len(repeats[0])
-                for to, values in zip(found, repeats, strict=True):
-                    to.append(values)
+            for i in np.flatnonzero(runs.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).tolist():
+                with_runs = {(x["doc"], x["tag"]): [tuple(r.values()) for r in x["runs"]] for x in partners[i].as_py() or []}
+                repeats = extents(ids[i].as_py(), [tuple(r.values()) for r in runs[i].as_py()], with_runs, window)
+                for begin, length, *_ in repeats:
+                    cover[first[i] + begin] += 1
+                    cover[first[i] + begin + length] -= 1
+                many[i] = len(repeats)
+                found += repeats
             keep = np.cumsum(cover[:-1]) == 0
             begin, length, kept = starts[keep], (ends - starts)[keep], doc[keep]
             spaced = length + 1
@@ -144,19 +208,39 @@ def _without(docs: DataFrame, window: int) -> DataFrame:
             texts = [raw[a : max(a, b - 1)] for a, b in zip(begins.tolist(), stops.tolist(), strict=True)]
             total = np.bincount(doc, minlength=n).astype(np.int64)
             removed = total - np.bincount(kept, minlength=n)
-            repeats = pa.StructArray.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for x in found], names=fields)
+            table = np.array(found, np.int64).reshape(-1, len(fields))
+            repeats = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(c)) for c in table.T], names=fields)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32)), repeats)
-            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("doc_id")), pa.array(total), pa.array(removed), lists, pa.array(texts, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "repeats", "kept_text"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(total), pa.array(removed), lists, pa.array(texts, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "repeats", "kept_text"])
+
+    return docs.mapInArrow(emit, f"doc_id long, n_words long, n_removed long, repeats array<{_struct(REPEAT)}>, kept_text string")
 
-    kind = ", ".join(f"{x.split()[0]}: {x.split()[1]}" for x in REPEAT.split(", "))
-    return docs.mapInArrow(emit, f"doc_id long, n_words long, n_removed long, repeats array<struct<{kind}>>, kept_text string")
+
+def _partners(runs: DataFrame) -> DataFrame:
+    """doc_id, tag, partners (doc, tag, runs) of texts with runs that touch: what their first owners' own runs are where the texts may go on alike.
+
+    A run that no other touches is maximal as it is: the windows next to it are in no earlier document.
+    """
+    end = lambda r: r["start"] + r["windows"]
+    size = F.size("runs")
+    # Stretches of runs without a gap: the first and last window of each run's stretch.
+    stretches = F.aggregate("runs", F.array().cast("array<struct<low: bigint, high: bigint>>"), lambda acc, r: F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["high"] == r["start"]), F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(F.try_element_at(acc, F.lit(-1))["low"].alias("low"), end(r).alias("high"))))).otherwise(F.concat(acc, F.array(F.struct(r["start"].alias("low"), end(r).alias("high"))))))
+    wide = runs.where(size > 1).select("doc_id", "tag", "runs", stretches.alias("stretches")).where(F.size("stretches") < size)
+    each = wide.select("doc_id", "tag", F.explode("runs").alias("r"), "stretches").select("doc_id", "tag", "r", F.filter("stretches", lambda s: (s["low"] <= F.col("r.start")) & (F.col("r.start") < s["high"]))[0].alias("s"))
+    each = each.where("r.first_doc < doc_id AND s.high - s.low > r.windows")
+    shift = F.col("r.start") - F.col("r.first_start")
+    asked = each.groupBy("doc_id", "tag", F.col("r.first_doc").alias("doc"), F.col("r.first_tag").alias("first_tag")).agg(F.min(F.col("s.low") - shift).alias("low"), F.max(F.col("s.high") - shift).alias("high"))
+    theirs = runs.select(F.col("doc_id").alias("doc"), F.col("tag").alias("first_tag"), F.col("runs").alias("own"))
+    near = F.filter("own", lambda r: (r["start"] < F.col("high")) & (end(r) > F.col("low")))
+    return asked.join(theirs, ["doc", "first_tag"]).groupBy("doc_id", "tag").agg(F.collect_list(F.struct("doc", F.col("first_tag").alias("tag"), near.alias("runs"))).alias("partners"))
 
 
 def remove_repeats(docs: DataFrame, window: int = 13, seed_words: int | None = None) -> DataFrame:
     """doc_id, n_words, n_removed, repeats and kept_text (kept words joined by one space), one row for each row.
 
     A word goes if a window that covers it also starts in a document with a smaller doc_id. ``repeats``
-    are the maximal repeats of the text with the first owners of its windows, by words from 0 (see :data:`REPEAT`). A null
+    are the maximal repeats of the text with first owners of its windows, by words from 0, without those that lie within another (see
+    :data:`REPEAT`). A null
     text has no words; texts of fewer than ``window`` words are kept whole. Rows of equal doc_id
     never remove each other; rows whose doc_id is null neither remove nor lose words. Other columns are
     ignored. Windows are compared by 64-bit hashes.
@@ -172,10 +256,12 @@ def remove_repeats(docs: DataFrame, window: int = 13, seed_words: int | None = N
     dropped(places)
     # Written first: joined in the stage of its own aggregation, a hot window's rows could not be split.
     owners = stored(windows.groupBy("hash").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.max("doc_id").alias("last")).where("first.doc_id < last").select("hash", F.col("first.doc_id").alias("first_doc"), F.col("first.place").alias("first_place")), "owners")
-    matched = windows.join(owners, "hash").where("first_doc < doc_id")
-    matches = stored(matched.groupBy("doc_id").agg(F.collect_list(F.struct("place", "first_doc", "first_place")).alias("matches")), "matches")
+    matched = windows.join(owners, "hash").where("first_doc < doc_id OR first_doc = doc_id AND first_place <> place")
+    runs = stored(_runs(matched.groupBy("doc_id").agg(F.collect_list(F.struct("place", "first_doc", "first_place")).alias("matches"))), "runs")
     dropped(windows, owners)
-    return _without(docs.join(matches, "doc_id", "left"), window)
+    found = stored(runs.join(_partners(runs), ["doc_id", "tag"], "left"), "partners")
+    dropped(runs)
+    return _without(docs.join(found, ["doc_id", "tag"], "left"), window)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
