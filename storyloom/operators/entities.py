@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from storyloom.graph import connected_components
+from storyloom.graph import FEW, connected_components, ordered_forest
+from storyloom.scratch import stored
 
 # Names and roots of names that are never merged.
 GENERIC = "老人 女人 男人 那人 此人 众人 有人 少年 少女 中年 青年 老者 老头 老妇 孩子 童子 弟子 长老 掌门 宫主 城主 护卫 侍女 丫鬟 和尚 道人 书生 乞丐 掌柜 伙计 对方 双方 两人 三人 几人 大家 旁人 路人 某人 他 她 它 你 我".split()
@@ -35,37 +35,13 @@ def alias_edges(mentions: DataFrame, verified: DataFrame | None = None, is_gener
     return edges
 
 
-def replay(edges: pd.DataFrame, principals: set) -> tuple[dict, list[tuple]]:
-    """(name -> root, rejected edges) of one component, edges in order: verified ones always join, others unless both sides hold a principal."""
-    parent: dict = {}
-
-    def root(x):
-        parent.setdefault(x, x)
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    chief, rejected = {}, []
-    for a, b, verified in zip(edges["a"], edges["b"], edges["verified"], strict=True):
-        x, y = root(a), root(b)
-        for name, r in ((a, x), (b, y)):
-            chief[r] = chief.get(r, False) or name in principals
-        if x == y:
-            continue
-        if not verified and chief[x] and chief[y]:
-            rejected.append((a, b))
-            continue
-        parent[y] = x
-        chief[x] = chief[x] or chief[y]
-    return {n: root(n) for n in parent}, rejected
-
-
-def guarded_merge(edges: DataFrame, counts: DataFrame, principal: int = PRINCIPAL, merge: bool = True) -> tuple[DataFrame, DataFrame]:
+def guarded_merge(edges: DataFrame, counts: DataFrame, principal: int = PRINCIPAL, merge: bool = True, few: int = FEW) -> tuple[DataFrame, DataFrame]:
     """((name, cluster) of each name of an edge, (a, b) of rejected edges). counts: name, n as a head name.
 
-    Components over all edges come first. One with at most one principal can reject nothing and is a
-    cluster as a whole, however large. Only the others are replayed in order, each by itself, on distinct edges.
+    Edges count in order, curated ones first and always; others unless both sides hold a principal by then. That is the forest
+    of least order of a graph in which all principals are one node: an edge between two clusters with principals would close a
+    ring through it. So no edge has to be replayed after another, however large a component is (see ``ordered_forest``).
+    An edge was rejected if its sides end in different clusters. A component with at most one principal is a cluster as a whole.
     """
     names = edges.select(F.col("a").alias("name")).union(edges.select("b")).distinct()
     if not merge:
@@ -74,22 +50,24 @@ def guarded_merge(edges: DataFrame, counts: DataFrame, principal: int = PRINCIPA
     chiefs = counts.where(F.col("n") >= principal).select("name")
     many = components.join(chiefs, "name").groupBy("component").agg(F.count("*").alias("p")).where("p > 1").select("component")
     simple = components.join(many, "component", "left_anti").select("name", F.col("component").alias("cluster"))
-    kind = dict(edges.dtypes)["a"]
-    hard = edges.join(components.withColumnRenamed("name", "a"), "a").join(many, "component").select("component", "a", "b", "verified", "ord.*")
-    for side in "ab":
-        hard = hard.join(chiefs.select(F.col("name").alias(side), F.lit(True).alias(f"{side}_chief")), side, "left")
-    hard = hard.fillna(False, ["a_chief", "b_chief"])
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["verified", "seq", "pos", "alias_pos", "a", "b"], ascending=[False, True, True, True, True, True])
-        roots, rejected = replay(rows, set(rows["a"][rows["a_chief"]]) | set(rows["b"][rows["b_chief"]]))
-        least: dict = {}
-        for n, r in roots.items():
-            least[r] = min(least.get(r, n), n)
-        return pd.DataFrame([(n, least[r], None, None) for n, r in roots.items()] + [(None, None, a, b) for a, b in rejected], columns=["name", "cluster", "a", "b"])
-
-    replayed = hard.groupBy("component").applyInPandas(run, f"name {kind}, cluster {kind}, a {kind}, b {kind}")
-    return simple.unionByName(replayed.where("name IS NOT NULL").select("name", "cluster")), replayed.where("a IS NOT NULL").select("a", "b")
+    hard = stored(components.join(many, "component"), "names")
+    if hard.isEmpty():
+        return simple, edges.select("a", "b").limit(0)
+    rows = stored(edges.join(hard.withColumnRenamed("name", "a"), "a").select("a", "b", "verified", "ord.*"), "edges")
+    # Nodes: curated clusters; those of one component that hold a principal are one node, its least name.
+    curated = connected_components(rows.where("verified").select("a", "b"))
+    nodes = hard.join(curated.select(F.col("node").alias("name"), F.col("component").alias("own")), "name", "left").withColumn("own", F.coalesce("own", "name"))
+    held = nodes.join(chiefs, "name").select("component", "own").distinct()
+    held = held.join(held.groupBy("component").agg(F.min("own").alias("chief")), "component").select("own", "chief")
+    nodes = stored(nodes.join(held, "own", "left").select("name", F.coalesce("chief", "own").alias("node")), "nodes")
+    least = rows.where("NOT verified").groupBy("a", "b").agg(F.min(F.struct("seq", "pos", "alias_pos", "a", "b")).alias("ord"))
+    side = lambda c, to: nodes.select(F.col("name").alias(c), F.col("node").alias(to))
+    kept = ordered_forest(least.join(side("a", "x"), "a").join(side("b", "y"), "b").select("x", "y", "ord"), few).select("ord.a", "ord.b")
+    joined = connected_components(kept.unionByName(rows.where("verified").select("a", "b")))
+    clusters = stored(hard.select("name").join(joined.select(F.col("node").alias("name"), F.col("component").alias("cluster")), "name", "left").withColumn("cluster", F.coalesce("cluster", "name")), "clusters")
+    of = lambda c: clusters.select(F.col("name").alias(c), F.col("cluster").alias(f"_{c}"))
+    rejected = rows.where("NOT verified").select("a", "b").distinct().join(of("a"), "a").join(of("b"), "b").where("_a <> _b").select("a", "b")
+    return simple.unionByName(clusters), rejected
 
 
 def canonical_names(clusters: DataFrame, counts: DataFrame, pinned: DataFrame | None = None) -> DataFrame:

@@ -114,20 +114,50 @@ def test_components(spark):
     assert found == {n: root(n) for n in {x for a, b in edges if a != b for x in (a, b)}}
 
 
-def test_guarded_merge(spark):
-    """The distributed merge equals one replay over all edges; two principals stay apart unless curated."""
-    rng = random.Random(9)
-    rows = [(i, 0, f"n{rng.randrange(30)}", [f"n{rng.randrange(30)}"]) for i in range(40)]
+def replay(edges, principals):
+    """(name -> root, rejected edges), edges in order: curated ones always join, others unless both sides hold a principal."""
+    parent = {}
+
+    def root(x):
+        parent.setdefault(x, x)
+        return x if parent[x] == x else root(parent[x])
+
+    chief, rejected = {n: True for n in principals}, []
+    for a, b, verified in edges:
+        x, y = root(a), root(b)
+        if x != y and not verified and chief.get(x) and chief.get(y):
+            rejected.append((a, b))
+        elif x != y:
+            parent[y] = x
+            chief[x] = chief.get(x) or chief.get(y)
+    return {n: root(n) for n in parent}, rejected
+
+
+@pytest.mark.parametrize("names, many, principal, few, curated", [(30, 40, 2, 1000, [("n1", "n2")]), (60, 90, 2, 0, [("n1", "n2"), ("n2", "n3"), ("n5", "n9")]), (40, 200, 6, 5, []), (12, 60, 4, 3, [("n0", "n1")]), (50, 20, 99, 0, [])])
+def test_guarded_merge_equals_one_replay(spark, names, many, principal, few, curated):
+    """Two principals stay apart unless curated, whether edges are finished in one task or not."""
+    rng = random.Random(names)
+    rows = [(i, rng.randrange(2), f"n{rng.randrange(names)}", [f"n{rng.randrange(names)}" for _ in range(rng.randrange(1, 3))]) for i in range(many)]
     mentions = spark.createDataFrame(rows, "seq long, pos long, name string, aliases array<string>")
     counts = mentions.groupBy("name").agg(F.count("*").alias("n"), F.min("seq").alias("first_ord"))
-    edges = entities.alias_edges(mentions, spark.createDataFrame([("n1", "n2")], "a string, b string"))
-    clusters, rejected = entities.guarded_merge(edges, counts, principal=2)
+    edges = entities.alias_edges(mentions, spark.createDataFrame(curated, "a string, b string"))
+    clusters, rejected = entities.guarded_merge(edges, counts, principal=principal, few=few)
     whole = edges.select("a", "b", "verified", "ord.*").toPandas().sort_values(["verified", "seq", "pos", "alias_pos", "a", "b"], ascending=[False, True, True, True, True, True])
-    roots, rejects = entities.replay(whole, {r.name for r in counts.where("n >= 2").collect()})
+    roots, rejects = replay(zip(whole.a, whole.b, whole.verified, strict=True), {r.name for r in counts.where(F.col("n") >= principal).collect()})
     groups = lambda pairs: sorted(sorted(n for n, _ in g) for _, g in itertools.groupby(sorted(pairs, key=lambda x: x[1]), key=lambda x: x[1]))
-    assert groups([(r.name, r.cluster) for r in clusters.collect()]) == groups(roots.items())
-    assert sorted((r.a, r.b) for r in rejected.collect()) == sorted(rejects)
-    assert {r.name for r in entities.canonical_names(clusters, counts).collect()} == set(roots)
+    found = [(r.name, r.cluster) for r in clusters.collect()]
+    assert groups(found) == groups(roots.items()) and all(c == min(n for n, d in found if d == c) for _, c in found)
+    assert sorted((r.a, r.b) for r in rejected.collect()) == sorted(set(rejects))
+    canonical = {r.name: r.canonical for r in entities.canonical_names(clusters, counts).collect()}
+    n = {r.name: (r.n, len(r.name)) for r in counts.collect()}
+    for group in groups(found):
+        assert {n.get(canonical[x], (0, len(canonical[x]))) for x in group} == {max(n.get(y, (0, len(y))) for y in group)} and len({canonical[x] for x in group}) == 1
+
+
+def test_guarded_merge_of_no_edges(spark):
+    none = spark.createDataFrame([], "seq long, pos long, name string, aliases array<string>")
+    clusters, rejected = entities.guarded_merge(entities.alias_edges(none), none.groupBy("name").agg(F.count("*").alias("n")))
+    assert clusters.count() == 0 and rejected.count() == 0
 
 
 def test_resolver_levels(spark):
