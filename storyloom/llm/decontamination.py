@@ -21,8 +21,12 @@ from storyloom.scratch import stored
 
 # Units of measure and money, as they follow a number.
 UNITS = ["mm", "cm", "m", "km", "inch", "inches", "foot", "feet", "mile", "miles", "mg", "g", "kg", "lb", "lbs", "ton", "tons", "ml", "l", "litre", "litres", "liter", "liters", "s", "sec", "second", "seconds", "minute", "minutes", "hour", "hours", "day", "days", "week", "weeks", "month", "months", "year", "years", "percent", "dollar", "dollars", "euro", "euros", "pound", "pounds", "cent", "cents", "usd", "eur"]
+# Numbers in words.
+NUMBER_WORDS = ["two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve", "thirteen", "fourteen", "fifteen", "sixteen", "seventeen", "eighteen", "nineteen", "twenty", "thirty", "forty", "fifty", "sixty", "seventy", "eighty", "ninety", "hundred", "thousand", "million"]
 #: First characters of words that are names, numbers, quantities or units, and of words that may be names.
 _NAME, _NUMBER, _QUANTITY, _UNIT, _MAYBE = "\x01", "\x02", "\x03", "\x04", "\x05"
+#: Between names or number words that are one.
+_LINK = "\x06"
 _TYPED = {_NAME: "<name>", _NUMBER: "<number>", _QUANTITY: "<quantity>", _UNIT: "<unit>"}
 #: Benchmark windows up to this many are broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_WINDOWS = 1_000_000
@@ -32,16 +36,21 @@ def _marked(text: Column) -> Column:
     """Words in lower case without ASCII punctuation; those that a template replaces have their type's mark before them.
 
     Patterns begin with what is rare, so that most characters are passed at the first test. Names are
-    capitalised words inside a sentence; at its start they may be names (``_MAYBE``).
+    capitalised words inside a sentence; at its start they may be names (``_MAYBE``). Names that follow each other are one
+    word, as are numbers in words, so that "Mary Ann" may stand for "Anna" and "twenty five" for "25".
     """
     marked = F.regexp_replace(F.concat(F.lit(" "), F.coalesce(text, F.lit(""))), r"\s[\"'(\[“‘„«¿¡]{0,3}(?=\p{Lu}\p{Ll})", f"$0{_MAYBE}")
     marked = F.regexp_replace(marked, rf"{_MAYBE}(?<=[\p{{L}}\p{{N}},;:]\s{_MAYBE})", _NAME)
     clean = F.concat(F.lit(" "), F.regexp_replace(F.lower(marked), r"[!-/:-@\[-`{-~]+", ""))
+    clean = F.regexp_replace(clean, rf"\s{_NAME}(?<={_NAME}\S{{1,40}}\s{_NAME})", _LINK)
+    spelled = rf"\s(?=[tfsenhm][weiouhal])({'|'.join(NUMBER_WORDS)})(?=\s|$)"
+    clean = F.regexp_replace(clean, spelled, f" {_NUMBER}$1")
+    clean = F.regexp_replace(clean, rf"\s{_NUMBER}(?<={_NUMBER}[a-z]{{3,10}}\s{_NUMBER})", _LINK)
     units = "|".join(UNITS)
     numbers = F.regexp_replace(clean, r"[0-9](?<=\s[0-9])(?=[0-9]*(?:\s|$))", f"{_NUMBER}$0")
     quantities = F.regexp_replace(numbers, rf"[0-9](?<=\s[0-9])(?=[0-9]*(?:{units})(?:\s|$))", f"{_QUANTITY}$0")
-    measured = F.regexp_replace(quantities, rf"({_NUMBER}[0-9]+\s+){_MAYBE}?(?={units})(?=(?:{units})(?:\s|$))", f"$1{_UNIT}")
-    return F.split(F.btrim(F.when(clean.rlike("[0-9]"), measured).otherwise(clean), F.lit(" \t\n\r\f\x0b")), r"\s+")
+    measured = F.regexp_replace(quantities, rf"({_NUMBER}[^\s]+\s+){_MAYBE}?(?={units})(?=(?:{units})(?:\s|$))", f"$1{_UNIT}")
+    return F.split(F.btrim(F.when(clean.rlike(f"[0-9{_NUMBER}]"), measured).otherwise(clean), F.lit(" \t\n\r\f\x0b")), r"\s+")
 
 
 def _raw(word: Column) -> Column:
@@ -95,19 +104,17 @@ def _windows(frame: DataFrame, window: int, exact: list[int], typed: bool = True
 def _item_windows(wanted: DataFrame, window: int) -> tuple[DataFrame, list[int]]:
     """Windows of the benchmark, and the lengths of those that are known by their words as they stand.
 
-    These are items of fewer than ``window`` words, which are one window each, and windows of
-    placeholders only: as templates they would say too little.
+    These are items of fewer than ``window`` words, which are one window each, and all windows of ``window`` words: those of
+    placeholders only say too little as templates, and names can't be told in a copy that is all in capitals.
     """
-    bare = F.exists(F.sequence(F.lit(0), F.size("marked") - window), lambda i: F.forall(F.slice("marked", i + 1, window), lambda w: _is_slot(w, True)))
-    sizes = wanted.select(F.least("item_words", F.lit(window)).alias("n"), F.when(F.col("item_words") >= window, bare).otherwise(True).alias("exact")).where("exact").select("n").distinct()
-    exact = sorted(r["n"] for r in sizes.collect())  # at most ``window`` numbers
+    exact = sorted(r["n"] for r in wanted.select(F.least("item_words", F.lit(window)).alias("n")).distinct().collect())  # at most ``window`` numbers
     long = wanted.where(F.col("item_words") >= window)
     parts = [_windows(wanted.where(F.col("item_words") == n), window, [n], typed=False) for n in exact if n < window]
     slots = F.forall(F.slice("marked", F.col("at"), window), lambda w: _is_slot(w, True))
     whole = long.join(_windows(long, window, []).select("item_id", "version", "at", "hash", "plain"), ["item_id", "version"]).where(~slots)
     parts.append(whole.select("item_id", "version", "item_words", "at", "hash", "plain"))
     if window in exact:
-        values = long.join(_windows(long, window, [window], typed=False).select("item_id", "version", "at", "hash", "plain"), ["item_id", "version"]).where(slots)
+        values = long.join(_windows(long, window, [window], typed=False).select("item_id", "version", "at", "hash", "plain"), ["item_id", "version"])
         parts.append(values.select("item_id", "version", "item_words", "at", "hash", "plain"))
     rows = reduce(DataFrame.unionByName, parts)
     return rows.select("item_id", "version", "item_words", F.col("at").alias("item_at"), "hash", F.col("plain").alias("item_plain")).distinct(), exact

@@ -1,6 +1,7 @@
 """Toxicity scores of restored text (operator 10): a noisy channel, then weighted evidence.
 
-Writers hide words behind look-alike characters, spacing and repetition. Words that show any of these
+Writers hide words behind look-alike characters, spacing and repetition, invisible characters, accents and marks. Invisible characters and
+combining marks are dropped first; a word with accented Latin letters is also read without the accents. Words that show any of the others
 become a lattice of the characters that may have been meant; Viterbi decoding under a character
 trigram model of the corpus picks the likeliest reading, which may also split a spaced run into words.
 All other words stay as they are. Words of the restored text and their beginnings are then evidence
@@ -45,10 +46,40 @@ _SEP[[ord(c) for c in SEPARATORS]] = True
 SURE = 2.0
 _LOOSE = np.zeros(256, bool)  # may be part of a hidden word at its edge
 _LOOSE[[ord(c) for c in "@$"]] = True
+#: Letters of a fragment at most; three fragments or more side by side are also read as a run.
+FRAGMENT = 2
 _FOREIGN = np.zeros(256, bool)  # first bytes of Cyrillic, Greek and full-width letters
 _FOREIGN[[0xCE, 0xCF, 0xD0, 0xD1, 0xD2, 0xD4, 0xEF]] = True
 
 
+def _base_letters() -> np.ndarray:
+    """ASCII letter under each accented Latin letter of two bytes (U+00C0 to U+017F), by first and second byte; 0 for others."""
+    table = np.zeros((256, 256), np.uint8)
+    for point in range(0xC0, 0x180):
+        base, first, second = unicodedata.normalize("NFD", chr(point))[0], *chr(point).encode()
+        if base.isascii() and base.isalpha():
+            table[first, second] = ord(base)
+    return table
+
+
+_BASE_LETTER = _base_letters()
+
+
+def _visible(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts without invisible characters (soft hyphen, zero widths, directions, joiners, byte order mark) and combining marks (U+0300 to U+036F)."""
+    n = len(data)
+    if not n or data.max() < 0x80:
+        return data, offsets
+    second, third = (np.append(data[k:], np.zeros(k, np.uint8))[:n] for k in (1, 2))
+    two = (data == 0xC2) & (second == 0xAD) | (data == 0xCC) & (second >= 0x80) | (data == 0xCD) & (second >= 0x80) & (second < 0xB0)
+    three = (data == 0xE2) & ((second == 0x80) & ((third >= 0x8B) & (third <= 0x8F) | (third >= 0xAA) & (third <= 0xAE)) | (second == 0x81) & (third >= 0xA0) & (third <= 0xA4)) | (data == 0xEF) & (second == 0xBB) & (third == 0xBF)
+    gone = two | three
+    gone[1:] |= (two | three)[:-1]
+    gone[2:] |= three[:-2]
+    before = np.concatenate([[0], np.cumsum(gone)])
+    return data[~gone], offsets - before[offsets]
+
+
 def character_counts(docs: DataFrame) -> np.ndarray:
     """Trigram counts over all whole texts, words framed by 0; ``CODES`` cubed numbers come to the driver."""
 
@@ -117,7 +148,8 @@ def decode(core: str, model: np.ndarray | list) -> str:
     """
     logs = model if isinstance(model, list) else model.tolist()
     states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-    for readings, may_split in _lattice(unicodedata.normalize("NFKC", core).lower()):
+    bare = "".join(c for c in unicodedata.normalize("NFKD", core).lower() if not unicodedata.combining(c))
+    for readings, may_split in _lattice(bare):
         following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (p, q), (score, path) in states.items():
             starts = [(p, q, score, "")]
@@ -165,7 +197,7 @@ def _evidence(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
 
 def features(batch: pa.RecordBatch, model: np.ndarray, memory: dict[str, str]) -> tuple[np.ndarray, np.ndarray]:
     """Row and evidence of each distinct word of each restored text."""
-    data, offsets = flat(batch.column(batch.schema.get_field_index("text")))
+    data, offsets = _visible(*flat(batch.column(batch.schema.get_field_index("text"))))
     starts, ends, doc = words(data, offsets)
     found, rows = [np.zeros((0, 4), np.uint64)], [np.zeros(0, np.int64)]
     if len(starts):
@@ -187,10 +219,24 @@ def features(batch: pa.RecordBatch, model: np.ndarray, memory: dict[str, str]) -
         odd = (lettered & (any_of((_SIGN[kind] | _SEP[kind]) & inner) | any_of(triple) | foreign)) | any_of((kind == 0xEF) & inner)
         hidden = core & odd
         letters = np.add.reduceat(_LETTER[kind].astype(np.int32), starts)
-        single = core & (last - first == 1) & (_ASCII[kind[np.minimum(first, len(data) - 1)]] | _SIGN[kind[np.minimum(first, len(data) - 1)]])
+        head = kind[np.minimum(first, len(data) - 1)]
+        wide = np.where(head < 0x80, 1, np.where(head < 0xE0, 2, 3))  # bytes of the first character
+        single = core & (last - first == wide) & (_ASCII[head] | _SIGN[head] | _FOREIGN[head])
         plain = core & ~hidden & (letters > 0)
         found.append(_evidence(data, first[plain], last[plain]))
         rows.append(doc[plain])
+        # Words with accented letters once more without them.
+        base = np.zeros(len(data), np.uint8)
+        base[:-1] = _BASE_LETTER[data[:-1], data[1:]]
+        accented = plain & any_of((base > 0) & inner)
+        if accented.any():
+            folded = np.where(base > 0, base, data)
+            keep = np.ones(len(data) + 1, bool)
+            keep[1:] = np.append(base[:-1], 0) == 0
+            keep = keep[:-1]
+            before = np.concatenate([[0], np.cumsum(keep)])
+            found.append(_evidence(folded[keep], before[first[accented]], before[last[accented]]))
+            rows.append(doc[accented])
         # Neighbours of ASCII letters with one space between.
         spelled = plain & (np.add.reduceat(_ASCII[kind].astype(np.int32), starts) == last - first)
         next_to = spelled[:-1] & spelled[1:] & (doc[:-1] == doc[1:]) & (last[:-1] == ends[:-1]) & (first[1:] == starts[1:]) & (starts[1:] == ends[:-1] + 1)
@@ -215,13 +261,15 @@ def features(batch: pa.RecordBatch, model: np.ndarray, memory: dict[str, str]) -
 
         for i in np.flatnonzero(hidden).tolist():
             restore(raw[first[i] : last[i]].decode("utf-8", "replace").lower(), int(doc[i]))
-        # Runs of three or more words of one character each.
-        joined = np.concatenate([[False], single[1:] & single[:-1] & (doc[1:] == doc[:-1]), [False]])
-        begins = np.flatnonzero(single & ~joined[:-1])
-        stops = np.flatnonzero(single & ~joined[1:]) + 1
-        for a, b in zip(begins.tolist(), stops.tolist(), strict=True):
-            if b - a >= 3:
-                restore(" ".join(chr(data[first[i]]) for i in range(a, b)).lower(), int(doc[a]))
+        # Runs of three or more words of one character each, or of fragments.
+        for short in (single, spelled & (last - first <= FRAGMENT)):
+            joined = np.concatenate([[False], short[1:] & short[:-1] & (doc[1:] == doc[:-1]), [False]])
+            begins = np.flatnonzero(short & ~joined[:-1])
+            stops = np.flatnonzero(short & ~joined[1:]) + 1
+            long = stops - begins >= 3
+            for a, b in zip(begins[long].tolist(), stops[long].tolist(), strict=True):
+                if short is single or (last[a:b] - first[a:b]).max() > 1:
+                    restore(" ".join(raw[first[i] : last[i]].decode("utf-8", "replace") for i in range(a, b)).lower(), int(doc[a]))
         if texts:
             encoded = [t.encode() for t in texts]
             size = np.fromiter(map(len, encoded), np.int64, len(encoded))
