@@ -36,21 +36,24 @@ def _marked(text: Column) -> Column:
     """Words in lower case without ASCII punctuation; those that a template replaces have their type's mark before them.
 
     Patterns begin with what is rare, so that most characters are passed at the first test. Names are
-    capitalised words inside a sentence; at its start they may be names (``_MAYBE``). Names that follow each other are one
-    word, as are numbers in words, so that "Mary Ann" may stand for "Anna" and "twenty five" for "25".
+    capitalised words inside a sentence; at its start they may be names (``_MAYBE``).
     """
     marked = F.regexp_replace(F.concat(F.lit(" "), F.coalesce(text, F.lit(""))), r"\s[\"'(\[“‘„«¿¡]{0,3}(?=\p{Lu}\p{Ll})", f"$0{_MAYBE}")
     marked = F.regexp_replace(marked, rf"{_MAYBE}(?<=[\p{{L}}\p{{N}},;:]\s{_MAYBE})", _NAME)
     clean = F.concat(F.lit(" "), F.regexp_replace(F.lower(marked), r"[!-/:-@\[-`{-~]+", ""))
-    clean = F.regexp_replace(clean, rf"\s{_NAME}(?<={_NAME}\S{{1,40}}\s{_NAME})", _LINK)
     spelled = rf"\s(?=[tfsenhm][weiouhal])({'|'.join(NUMBER_WORDS)})(?=\s|$)"
     clean = F.regexp_replace(clean, spelled, f" {_NUMBER}$1")
-    clean = F.regexp_replace(clean, rf"\s{_NUMBER}(?<={_NUMBER}[a-z]{{3,10}}\s{_NUMBER})", _LINK)
     units = "|".join(UNITS)
     numbers = F.regexp_replace(clean, r"[0-9](?<=\s[0-9])(?=[0-9]*(?:\s|$))", f"{_NUMBER}$0")
     quantities = F.regexp_replace(numbers, rf"[0-9](?<=\s[0-9])(?=[0-9]*(?:{units})(?:\s|$))", f"{_QUANTITY}$0")
     measured = F.regexp_replace(quantities, rf"({_NUMBER}[^\s]+\s+){_MAYBE}?(?={units})(?=(?:{units})(?:\s|$))", f"$1{_UNIT}")
-    return F.split(F.btrim(F.when(clean.rlike(f"[0-9{_NUMBER}]"), measured).otherwise(clean), F.lit(" \t\n\r\f\x0b")), r"\s+")
+    return F.btrim(F.when(clean.rlike(f"[0-9{_NUMBER}]"), measured).otherwise(clean), F.lit(" \t\n\r\f\x0b"))
+
+
+def _linked(marked: Column) -> Column:
+    """Marked words with names that follow each other as one, and numbers in words likewise."""
+    names = F.regexp_replace(marked, rf"\s{_NAME}(?<={_NAME}\S{{1,40}}\s{_NAME})", _LINK)
+    return F.regexp_replace(names, rf"\s{_NUMBER}(?<={_NUMBER}[a-z]{{3,10}}\s{_NUMBER})(?=[a-z])", _LINK)
 
 
 def _raw(word: Column) -> Column:
@@ -71,8 +74,15 @@ def _template(word: Column, maybe: bool) -> Column:
 
 
 def templates(rows: DataFrame, key: str) -> DataFrame:
-    """key, a hash of the text (``copy``) and its marked words."""
-    return rows.select(F.col(key).cast("long").alias(key), F.xxhash64("text").alias("copy"), _marked(F.col("text")).alias("marked"))
+    """key, a hash of the text (``copy``) and its marked words; once more with linked names and numbers where that differs.
+
+    So "Mary Ann" may stand for "Anna" and "twenty five" for "25", and words that are the same word for word still match singly.
+    """
+    marked = rows.select(F.col(key).cast("long").alias(key), F.xxhash64("text").alias("copy"), _marked(F.col("text")).alias("text"))
+    both = marked.select(key, "copy", "text", F.when(F.col("text").rlike(rf"[{_NAME}{_NUMBER}]\S+\s[{_NAME}{_NUMBER}]"), _linked(F.col("text"))).alias("linked"))
+    forms = F.array(F.struct("copy", "text"), F.when(F.col("linked") != F.col("text"), F.struct(F.xxhash64("copy", F.lit("linked")).alias("copy"), F.col("linked").alias("text"))))
+    each = both.select(key, F.explode(forms).alias("form")).where("form IS NOT NULL")
+    return each.select(key, "form.copy", F.split("form.text", r"\s+").alias("marked"))
 
 
 def _windows(frame: DataFrame, window: int, exact: list[int], typed: bool = True) -> DataFrame:
