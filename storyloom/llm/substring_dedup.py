@@ -16,7 +16,6 @@ other, are the maximal repeats of ``window`` words or more, and their words go.
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -129,51 +128,84 @@ def _runs(matches: DataFrame) -> DataFrame:
     return matches.mapInArrow(emit, f"doc_id long, tag long, runs array<{_struct(RUN)}>")
 
 
-def extents(doc: int, runs: list[tuple], partners: dict[tuple[int, int], list[tuple]], window: int) -> list[tuple]:
-    """Rows of :data:`REPEAT`, the maximal repeats of a text, from its runs and those of the texts that are their first owners.
-
-    Runs whose first owner is the document itself only name windows; they begin no repeat.
+#: Above any place in a text.
+_FAR = np.int64(1) << np.int64(32)
+
+
+class RunTable:
+    """Runs of many texts in order, to be looked up by text and place; a last run, of no text, stands for none."""
+
+    def __init__(self, text: np.ndarray, runs: np.ndarray):
+        none = np.array([[0, 0, -1, -1, 0]], np.int64)
+        self.text, runs = np.append(text, -1), np.concatenate([runs, none])
+        self.start, self.end = runs[:, 0], runs[:, 0] + runs[:, 1]
+        self.doc, self.tag, self.shift = runs[:, 2], runs[:, 3], runs[:, 0] - runs[:, 4]
+        self.key = text * _FAR + runs[:-1, 0]
+
+    def at(self, text: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of the run at or before each place (-1: none of this text), and whether the place is in it."""
+        i = np.searchsorted(self.key, text * _FAR + place, "right") - 1
+        i[self.text[i] != text] = -1
+        return i, (i >= 0) & (place < self.end[i])
+
+
+def _reached(own: RunTable, theirs: RunTable, text: np.ndarray, partner: np.ndarray, first: tuple[np.ndarray, np.ndarray], shift: np.ndarray, edge: np.ndarray, way: int) -> np.ndarray:
+    """How far runs extend along their diagonals from their edges, as long as both texts' windows have one first owner; a stretch of both at a time."""
+    at, active = edge + way, np.arange(len(edge))
+    while len(active):
+        i, held = own.at(text[active], at[active])
+        held &= at[active] >= shift[active]
+        active, i = active[held], i[held]
+        a, s, k = at[active], shift[active], partner[active]
+        j, inside = theirs.at(k, a - s)
+        # A window of the partner that is in no run is its own first owner.
+        same = own.doc[i] == np.where(inside, theirs.doc[j], first[0][active])
+        same &= own.tag[i] == np.where(inside, theirs.tag[j], first[1][active])
+        same &= own.shift[i] == s + np.where(inside, theirs.shift[j], 0)
+        active, i, j, inside, s, k = (x[same] for x in (active, i, j, inside, s, k))
+        if way < 0:
+            low = np.where(j < 0, 0, np.where(inside, theirs.start[j], theirs.end[j]))
+            at[active] = np.maximum(np.maximum(own.start[i], low + s), s) - 1
+        else:
+            high = np.where(inside, theirs.end[j], np.where(theirs.text[j + 1] == k, theirs.start[j + 1], _FAR))
+            at[active] = np.minimum(own.end[i], high + s)
+    return at - way
+
+
+def maximal(text: np.ndarray, runs: np.ndarray, doc_ids: np.ndarray, partner: np.ndarray, theirs: RunTable, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, rows of :data:`REPEAT`) of the maximal repeats of texts, from their runs and those of the texts that are their first owners.
+
+    ``partner`` numbers the runs of each run's first owner in ``theirs`` (-1: not there). Runs whose first owner is the document itself only name windows.
+    On each diagonal of a partner the first run is extended, then the first that lies beyond, and so on.
     """
-    starts = [r[0] for r in runs]
-
-    def owner(table: list[tuple], begins: list[int], own: tuple[int, int], at: int) -> tuple[int, int, int, int, int]:
-        """First owner (document, tag, place) of a text's window, and the first and last window of which this holds in the same way."""
-        i = bisect_right(begins, at) - 1
-        if i >= 0 and at < table[i][0] + table[i][1]:
-            start, many, f, t, first = table[i]
-            return f, t, first + at - start, start, start + many - 1
-        return *own, at, table[i][0] + table[i][1] if i >= 0 else 0, begins[i + 1] - 1 if i + 1 < len(begins) else 1 << 40
-
-    found = {}
-    for start, many, f, t, first in runs:
-        if f == doc:
-            continue
-        low, high, shift = start, start + many - 1, start - first
-        theirs = partners.get((f, t), [])
-        begins = [r[0] for r in theirs]
-        for way in (-1, 1):
-            at = (low if way < 0 else high) + way
-            while True:
-                i = bisect_right(starts, at) - 1
-                if i < 0 or at >= runs[i][0] + runs[i][1] or at < shift:
-                    break
-                mine = owner(runs, starts, (doc, -1), at)
-                other = owner(theirs, begins, (f, t), at - shift)
-                if mine[:3] != other[:3]:
-                    break
-                at = max(mine[3], other[3] + shift, shift) - 1 if way < 0 else min(mine[4], other[4] + shift) + 1
-            if way < 0:
-                low = at + 1
-            else:
-                high = at - 1
-        key = (low, high)
-        found[key] = min(found.get(key, (f, low - shift)), (f, low - shift))
-    out, reached = [], -1
-    for (low, high), (f, first) in sorted(found.items(), key=lambda x: (x[0][0], -x[0][1])):
-        if high > reached:  # within no other
-            out.append((low, high - low + window, f, first))
-            reached = high
-    return out
+    own, shift = RunTable(text, runs), runs[:, 0] - runs[:, 4]
+    left = np.flatnonzero(runs[:, 2] != doc_ids[text])
+    order = np.lexsort((runs[left, 0], shift[left], runs[left, 3], runs[left, 2], text[left]))
+    left = left[order]
+    found = [np.zeros((0, 5), np.int64)]
+    while len(left):
+        keys = np.stack([text[left], runs[left, 2], runs[left, 3], shift[left]], 1)
+        new = np.ones(len(left), bool)
+        new[1:] = (keys[1:] != keys[:-1]).any(1)
+        head = left[new]
+        side = lambda edge, way: _reached(own, theirs, text[head], partner[head], (runs[head, 2], runs[head, 3]), shift[head], edge, way)
+        low, high = side(runs[head, 0], -1), side(runs[head, 0] + runs[head, 1] - 1, 1)
+        found.append(np.stack([text[head], low, high, runs[head, 2], low - shift[head]], 1))
+        left = left[runs[left, 0] > high[np.cumsum(new) - 1]]
+    table = np.concatenate(found)
+    table = table[np.lexsort((table[:, 4], table[:, 3], -table[:, 2], table[:, 1], table[:, 0]))]
+    end = table[:, 0] * _FAR + table[:, 2]
+    kept = np.ones(len(table), bool)
+    kept[1:] = end[1:] > np.maximum.accumulate(end)[:-1]  # within no other
+    table = table[kept]
+    return table[:, 0], np.stack([table[:, 1], table[:, 2] - table[:, 1] + window, table[:, 3], table[:, 4]], 1)
+
+
+def _table(lists: pa.ListArray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Columns of the structs of all lists, and where each list begins and the last ends."""
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    flat_lists = lists.flatten()
+    return [flat_lists.field(i) for i in range(flat_lists.type.num_fields)], np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
 
 
 def _without(docs: DataFrame, window: int) -> DataFrame:
@@ -186,18 +218,22 @@ def _without(docs: DataFrame, window: int) -> DataFrame:
             data, offsets = flat(batch.column(batch.schema.get_field_index("text")))
             starts, ends, doc = words(data, offsets)
             first = np.searchsorted(doc, np.arange(n))
-            ids, runs, partners = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "runs", "partners"))
+            ids = batch.column(batch.schema.get_field_index("doc_id"))
+            columns, at = _table(batch.column(batch.schema.get_field_index("runs")))
+            runs = np.stack([c.to_numpy(zero_copy_only=False) for c in columns], 1).astype(np.int64).reshape(-1, 5)
+            (p_doc, p_tag, p_runs), p_at = _table(batch.column(batch.schema.get_field_index("partners")))
+            q_columns, q_at = _table(p_runs)
+            theirs = np.stack([c.to_numpy(zero_copy_only=False) for c in q_columns], 1).astype(np.int64).reshape(-1, 5)
+            number = {x: k for k, x in enumerate(zip(np.repeat(np.arange(n), np.diff(p_at)).tolist(), p_doc.to_pylist(), p_tag.to_pylist(), strict=True))}
+            of = np.repeat(np.arange(n), np.diff(at))
+            partner = np.full(len(runs), -1, np.int64)
+            some = np.flatnonzero(np.diff(p_at)[of])
+            partner[some] = [number.get(x, -1) for x in zip(of[some].tolist(), runs[some, 2].tolist(), runs[some, 3].tolist(), strict=True)]
+            row, found = maximal(of, runs, ids.fill_null(0).to_numpy(), partner, RunTable(np.repeat(np.arange(len(p_doc)), np.diff(q_at)), theirs), window)
+            many = np.bincount(row, minlength=n)
             cover = np.zeros(len(starts) + 1, np.int64)
-            found: list[tuple] = []
-            many = np.zeros(n, np.int64)
-            for i in np.flatnonzero(runs.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).tolist():
-                with_runs = {(x["doc"], x["tag"]): [tuple(r.values()) for r in x["runs"]] for x in partners[i].as_py() or []}
-                repeats = extents(ids[i].as_py(), [tuple(r.values()) for r in runs[i].as_py()], with_runs, window)
-                for begin, length, *_ in repeats:
-                    cover[first[i] + begin] += 1
-                    cover[first[i] + begin + length] -= 1
-                many[i] = len(repeats)
-                found += repeats
+            np.add.at(cover, first[row] + found[:, 0], 1)
+            np.add.at(cover, first[row] + found[:, 0] + found[:, 1], -1)
             keep = np.cumsum(cover[:-1]) == 0
             begin, length, kept = starts[keep], (ends - starts)[keep], doc[keep]
             spaced = length + 1
@@ -208,8 +244,7 @@ def _without(docs: DataFrame, window: int) -> DataFrame:
             texts = [raw[a : max(a, b - 1)] for a, b in zip(begins.tolist(), stops.tolist(), strict=True)]
             total = np.bincount(doc, minlength=n).astype(np.int64)
             removed = total - np.bincount(kept, minlength=n)
-            table = np.array(found, np.int64).reshape(-1, len(fields))
-            repeats = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(c)) for c in table.T], names=fields)
+            repeats = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(c)) for c in found.T], names=fields)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32)), repeats)
             yield pa.RecordBatch.from_arrays([ids, pa.array(total), pa.array(removed), lists, pa.array(texts, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "repeats", "kept_text"])
 
