@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storyloom.functions.text import SPEECH, has_any, speech_segments
+from storyloom.operators.patterns import pattern_hits
 
 # Fixed value: what follows a closing quote.
 AFTER_QUOTE = r"[”\"]([一-鿿]{2,6})"
@@ -67,17 +68,36 @@ def longest_first(words: list[str]) -> str:
     return "|".join(re.escape(w) for w in sorted(set(words), key=lambda w: (-len(w), w)))
 
 
-def word_hits(rows: DataFrame, words: list[str], exclude: list[str] = (), keep: tuple[str, ...] = ("seq",), text: str = "text") -> DataFrame:
-    """keep, word for each hit, longest match first; excluded phrases are blanked out before."""
+#: Words that an alternation tries one after the other; more go through an automaton.
+FEW_WORDS = 200
+
+
+def word_hits(rows: DataFrame, words: list[str] | DataFrame, exclude: list[str] = (), keep: tuple[str, ...] = ("seq",), text: str = "text") -> DataFrame:
+    """keep, word for each hit, longest match first; excluded phrases are blanked out before. words: a list, or a table (word) of any size."""
     t = F.regexp_replace(text, longest_first(list(exclude)), "\u0000") if exclude else F.col(text)
-    return rows.select(*keep, F.explode(F.regexp_extract_all(t, F.lit(f"({longest_first(words)})"), 1)).alias("word"))
+    if not isinstance(words, DataFrame):
+        if len(words) <= FEW_WORDS:
+            return rows.select(*keep, F.explode(F.regexp_extract_all(t, F.lit(f"({longest_first(words)})"), 1)).alias("word"))
+        words = rows.sparkSession.createDataFrame([(w,) for w in words], "word string")
+    return pattern_hits(rows.select(*keep, t.alias("_blanked")), words, keep, "_blanked").drop("start")
 
 
-def threads(docs: DataFrame, topics: dict[str, list[str]]) -> DataFrame:
-    """topic, total, units, first, last of keyword hits, and by_seq, a map from unit to hits."""
+def thread_hits(docs: DataFrame, topics: dict[str, list[str]]) -> DataFrame:
+    """topic, seq, n of keyword hits."""
     owner = docs.sparkSession.createDataFrame([(t, w) for t, ws in topics.items() for w in ws], "topic string, word string")
-    hits = word_hits(docs, [w for ws in topics.values() for w in ws]).join(F.broadcast(owner), "word").groupBy("topic", "seq").agg(F.count("*").alias("n"))
-    return hits.groupBy("topic").agg(F.sum("n").alias("total"), F.count("*").alias("units"), F.min("seq").alias("first"), F.max("seq").alias("last"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("seq", "n")))).alias("by_seq"))
+    hits = word_hits(docs, [w for ws in topics.values() for w in ws]).groupBy("seq", "word").agg(F.count("*").alias("n"))
+    return hits.join(F.broadcast(owner), "word").groupBy("topic", "seq").agg(F.sum("n").alias("n"))
+
+
+def threads(hits: DataFrame) -> DataFrame:
+    """topic, total, units, first, last of :func:`thread_hits`."""
+    return hits.groupBy("topic").agg(F.sum("n").alias("total"), F.count("*").alias("units"), F.min("seq").alias("first"), F.max("seq").alias("last"))
+
+
+def thread_chunks(hits: DataFrame, size: int = 1000) -> DataFrame:
+    """topic, chunk, first, by_seq: hits by unit, as maps of the units of ``size`` numbers each, so that no row grows with the corpus."""
+    chunks = hits.groupBy("topic", F.floor(F.col("seq") / size).alias("chunk")).agg(F.array_sort(F.collect_list(F.struct("seq", "n"))).alias("own"))
+    return chunks.select("topic", "chunk", F.col("own")[0]["seq"].alias("first"), F.map_from_entries("own").alias("by_seq"))
 
 
 def topk_by_window(items: DataFrame, width: int = 20, k: int = 3, first: int = 1) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from storyloom.functions.similarity import best_window_ratio
 from storyloom.functions.text import SPEECH, flat, is_speech, normalized, speech_segments
+from storyloom.operators.patterns import pattern_hits
 
 
 def check_quotes(quotes: DataFrame, paragraphs: DataFrame, near: float = 0.70, norm=normalized) -> DataFrame:
@@ -81,8 +82,7 @@ def containments(quotes: DataFrame, docs: DataFrame, anchor: int = 3) -> DataFra
     Instead of every quote with every document, the quote's second to fourth words are looked up among
     the documents' word runs; containment is then checked on the candidates. Words are hashed once and runs after positions
     are exploded, in compiled code; up to a million quotes' runs are broadcast, as their number is counted before, more are shuffled. Quotes of fewer than five
-    words have no such run inside them: they are compared with all documents, as a broadcast side, and
-    are refused if there are more than 10,000 of them.
+    words have no such run inside them: all of them are looked for in one pass (see ``pattern_hits``).
     """
     words = lambda t: F.filter(F.split(t, r"(?U)\s+"), lambda w: w != "")
     own = quotes.select("qid", "quote", words(F.col("quote")).alias("_w"))
@@ -97,11 +97,10 @@ def containments(quotes: DataFrame, docs: DataFrame, anchor: int = 3) -> DataFra
         wanted = F.broadcast(wanted)
     pairs = runs.join(wanted, "_h", "left_semi").distinct().join(long, "_h").select("seq", "qid", "quote").distinct()
     out = pairs.join(docs.select("seq", "text"), "seq").where(F.contains(flat(F.col("text")), flat(F.col("quote")))).select("qid", "seq")
-    n = short.limit(10_001).count()
-    if n > 10_000:
-        raise ValueError("too many quotes of fewer than five words")
-    if n:
-        out = out.unionByName(docs.select("seq", flat(F.col("text")).alias("_t")).join(F.broadcast(short.withColumn("_q", flat(F.col("quote")))), F.contains("_t", F.col("_q"))).select("qid", "seq"))
+    if not short.isEmpty():
+        bare = short.select("qid", flat(F.col("quote")).alias("word"))
+        hits = pattern_hits(docs.select("seq", flat(F.col("text")).alias("text")), bare, overlapping=True).select("seq", "word").distinct()
+        out = out.unionByName(hits.join(bare, "word").select("qid", "seq"))
     return out.distinct()
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storyloom.functions.text import flat
-from storyloom.operators import mining, quality, repair, segment, verify
+from storyloom.operators import mining, patterns, quality, repair, segment, verify
 from storyloom.plans.common import SQL_MENTIONS, SQL_PARAS, docs, mentions, table
 from storyloom.scratch import stored
 
@@ -114,7 +114,24 @@ TOPIC_CASE = "CASE " + " ".join(f"WHEN word IN ({', '.join(repr(w) for w in ws)}
 
 @query(f"WITH h AS (SELECT doc_id AS seq, unnest(regexp_extract_all(text, '({ALTERNATION})', 1)) AS word FROM documents) SELECT {TOPIC_CASE} AS topic, count(*) AS total, count(DISTINCT seq) AS units, min(seq) AS first, max(seq) AS last FROM h GROUP BY 1")
 def keyword_threads(spark, sf):
-    return mining.threads(docs(spark, sf), TOPICS).drop("by_seq")
+    return mining.threads(mining.thread_hits(docs(spark, sf), TOPICS))
+
+
+@query(f"WITH h AS (SELECT doc_id AS seq, unnest(regexp_extract_all(text, '({ALTERNATION})', 1)) AS word FROM documents) SELECT {TOPIC_CASE} AS topic, seq // 1000 AS chunk, seq, count(*) AS n FROM h GROUP BY 1, 2, 3")
+def keyword_thread_units(spark, sf):
+    """The maps of units, chunk by chunk."""
+    chunks = mining.thread_chunks(mining.thread_hits(docs(spark, sf), TOPICS))
+    return chunks.select("topic", "chunk", F.explode("by_seq").alias("seq", "n"))
+
+
+@query("""WITH p AS (SELECT DISTINCT substr(text, 1, 12) AS word FROM benchmark UNION SELECT DISTINCT substr(text, 5, 9) FROM benchmark)
+SELECT word, CAST(sum((length(d.text) - length(replace(d.text, word, ''))) // length(word)) AS BIGINT) AS hits, count(*) AS units FROM p JOIN documents d ON contains(d.text, word) WHERE word <> '' GROUP BY 1""")
+def phrase_hits(spark, sf):
+    """Beginnings of all benchmark items in all documents, in one pass."""
+    b = table(spark, sf, "benchmark")
+    words = b.select(F.substring("text", 1, 12).alias("word")).union(b.select(F.substring("text", 5, 9)))
+    hits = patterns.pattern_hits(docs(spark, sf), words, overlapping=True)
+    return hits.groupBy("word").agg(F.count("*").alias("hits"), F.count_distinct("seq").alias("units"))
 
 
 @query(f"""WITH {SQL_MENTIONS}, c AS (SELECT seq // 20 AS "window", name AS item, count(*) AS n FROM mentions GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY "window" ORDER BY n DESC, item) AS rank FROM c) SELECT "window", item, n, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 3""")

@@ -4,6 +4,7 @@ import itertools
 import random
 import re
 from collections import defaultdict
+from datetime import datetime, timedelta
 
 import pandas as pd
 import pytest
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from storyloom.functions import text as T
 from storyloom.functions.similarity import aligned_span, window_ratio
 from storyloom.graph import connected_components
-from storyloom.operators import entities, quality, repair, requests, segment, sequence, verify
+from storyloom.operators import entities, mining, patterns, quality, repair, requests, segment, sequence, verify
 from storyloom.sources import readers
 from storyloom.streaming import monitors
 
@@ -369,3 +370,61 @@ def test_repaired_quotes_are_logged(spark):
     rates = lambda r: spark.createDataFrame([(1, r, 1.0)], "seq int, verbatim_rate double, coverage_rate double")
     (row,) = repair.repair_log(fixed, rates(0.5), rates(1.0)).collect()
     assert (row.before, row.after, row.rate_before, row.rate_after) == ("ab", ["a", "b"], 0.5, 1.0)
+
+
+@pytest.mark.parametrize("most_bytes", [1 << 20, 0])
+def test_pattern_hits_equal_the_alternation(spark, most_bytes):
+    rng = random.Random(77)
+    words = ["".join(rng.choices("abcé中", k=rng.randint(1, 7))) for _ in range(60)] + ["", "aa", "a", "\U0001f600a"]
+    texts = ["".join(rng.choices("abcé中 \U0001f600", k=rng.randint(0, 60))) for _ in range(80)] + [None, "", "aaaaa"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "seq long, text string").withColumn("word", F.lit("clash"))
+    table = spark.createDataFrame([(w,) for w in [*words, None, "a"]], "word string")
+    found = sorted(map(tuple, patterns.pattern_hits(rows, table, most_bytes=most_bytes).collect()))
+    one = re.compile("|".join(re.escape(w) for w in sorted(set(words) - {""}, key=lambda w: (-len(w), w))))
+    assert found == sorted((i, m.start(), m[0]) for i, t in enumerate(texts) for m in one.finditer(t or ""))
+    every = sorted(map(tuple, patterns.pattern_hits(rows, table, overlapping=True, most_bytes=most_bytes).collect()))
+    assert every == sorted((i, k, w) for i, t in enumerate(texts) for w in set(words) - {""} for k in range(len(t or "")) if t.startswith(w, k))
+
+
+def test_a_hundred_thousand_patterns_in_one_pass(spark):
+    words = [f"n{i:x}" for i in range(100_000)]
+    rows = spark.createDataFrame([(i, f"n{i:x} or n{i * 7 % 100_000:x}z, where") for i in range(200)], "seq long, text string")
+    found = {(r.seq, r.word) for r in mining.word_hits(rows, spark.createDataFrame([(w,) for w in words], "word string")).collect()}
+    assert found == {(i, f"n{k:x}") for i in range(200) for k in (i, i * 7 % 100_000)}
+
+
+def streamed(spark, tmp_path, batches, kind, make, mode):
+    """Rows that a streaming query gives for batches one after the other."""
+    folder, out = str(tmp_path / "in"), []
+    spark.createDataFrame([], kind).write.parquet(folder)
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        for rows in batches:
+            spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(folder)
+            got = []
+            stream = make(spark.readStream.schema(kind).parquet(folder))
+            q = stream.writeStream.outputMode(mode).foreachBatch(lambda df, _: got.extend(df.collect())).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+            q.awaitTermination()
+            out.append(sorted(map(tuple, got)))
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
+    return out
+
+
+def test_stall_alert_comes_before_the_next_event(spark, tmp_path):
+    t = lambda s: datetime(2024, 1, 1) + timedelta(seconds=s)
+    batches = [[("a", t(0)), ("b", t(1)), (None, t(2))], [("a", t(5))], [("b", t(24)), ("c", t(24))], [("c", t(60))], [("a", t(61))]]
+    out = streamed(spark, tmp_path, batches, "job string, ts timestamp", lambda s: monitors.stall_alerts(s, "job"), "append")
+    told = [(k, r[0], (r[1] - t(0)).total_seconds(), r[3]) for k, rows in enumerate(out) for r in rows]
+    assert ("a", 5.0, 2) in [x[1:] for x in told] and min(k for k, *x in told if x[0] == "a") < 4  # told before a's next event at 61
+    assert not any(x[0] == "b" and x[1] == 1.0 and k < 2 for k, *x in told)
+
+
+def test_progress_as_a_stream_takes_late_rows(spark, tmp_path):
+    t = lambda s: datetime(2024, 1, 1) + timedelta(seconds=s)
+    expected = spark.createDataFrame([("j", 20)], "job string, expected long")
+    batches = [[("j", t(10), True), ("j", t(20), False)], [("j", t(700), True)], [("j", t(30), True)], [("j", t(20_000), True)], [("j", t(40), True)]]
+    out = streamed(spark, tmp_path, batches, "job string, ts timestamp, passed boolean", lambda s: monitors.progress_stream(s, expected), "update")
+    assert [[(r[2], r[3], r[4], r[6]) for r in rows] for rows in out[:3]] == [[(2, 1, 1, 10.0)], [(1, 1, 0, 5.0)], [(3, 2, 1, 15.0)]]
+    assert [r[2] for r in out[3]] == [1] and out[4] == []  # the first window is closed by then
