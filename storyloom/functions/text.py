@@ -102,6 +102,14 @@ def display_width(text: Column) -> Column:
     return F.length(text) + F.length(wide)
 
 
+def clip(text: Column, width: int) -> Column:
+    """The longest beginning of a text that takes at most ``width`` terminal columns; characters beyond U+2E80 take two."""
+    head = F.substring(text, 1, width)
+    used = lambda s: F.length(s) + F.length(F.regexp_replace(s, r"[^\x{2E81}-\x{10FFFF}]", ""))
+    fits = F.filter(F.sequence(F.lit(0), F.length(head)), lambda n: used(F.substr(head, F.lit(1), n)) <= width)
+    return F.substr(head, F.lit(1), F.array_max(fits))
+
+
 def has_any(text: Column, words: list[str]) -> Column:
     """Whether any of the words occurs."""
     return F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(text, w)) if words else F.lit(False)

@@ -179,6 +179,26 @@ def details(rows: DataFrame, key: str, names: DataFrame | None = None, **columns
     return out
 
 
+def evidence(rows: DataFrame, key: str, names: DataFrame | None = None, size: int = 1000, **columns: str) -> DataFrame:
+    """key, kind, chunk, first, n, values: as :func:`details`, but in rows of ``size`` unit numbers each, so that no row grows with the corpus.
+
+    An entity's list is its chunks in order; ``first`` and ``n`` are an index of them, which reads no values.
+    """
+    rows = resolved(rows, key, names)
+    each = None
+    for name, column in columns.items():
+        value = F.explode(column) if dict(rows.dtypes)[column].startswith("array") else F.col(column)
+        part = rows.select(key, F.lit(name).alias("kind"), "seq", "pos", value.alias("value")).where("trim(value) <> ''")
+        each = part if each is None else each.unionByName(part)
+    chunks = each.groupBy(key, "kind", F.floor(F.col("seq") / size).alias("chunk")).agg(F.array_sort(F.collect_list(F.struct("seq", "pos", "value"))).alias("values"))
+    return chunks.select(key, "kind", "chunk", F.col("values")[0]["seq"].alias("first"), F.size("values").alias("n"), "values")
+
+
+def unit_sets(mentions: DataFrame, size: int = 1000, key: str = "name") -> DataFrame:
+    """key, chunk, units: the distinct units of each name, sorted, in rows of ``size`` unit numbers."""
+    return mentions.groupBy(key, F.floor(F.col("seq") / size).alias("chunk")).agg(F.sort_array(F.collect_set("seq")).alias("units"))
+
+
 def resolved(rows: DataFrame, key: str, names: DataFrame | None) -> DataFrame:
     """``key`` replaced by its canonical name; without one it stays."""
     if names is None:

@@ -26,6 +26,15 @@ def mine_names(docs: DataFrame, after: str = AFTER_QUOTE, sizes: tuple[int, ...]
     return out.where((F.col("hits") >= least_hits) & (F.col("variety") >= least_variety) & (F.col("units") >= least_units))
 
 
+def name_units(docs: DataFrame, names: DataFrame, after: str = AFTER_QUOTE, sizes: tuple[int, ...] = (2, 3, 4), most: int = 200) -> DataFrame:
+    """name, units: the first ``most`` units of each mined name, sorted. names: see :func:`mine_names`."""
+    s = docs.select("seq", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(after), 1))).alias("s"))
+    rows = s.select("seq", "s", F.explode(F.array(*[F.lit(n) for n in sizes])).alias("n")).where(F.length("s") > F.col("n"))
+    found = rows.select("seq", F.col("s").substr(F.lit(1), F.col("n")).alias("name")).distinct().join(names.select("name"), "name", "left_semi")
+    ranked = found.withColumn("_k", F.row_number().over(Window.partitionBy("name").orderBy("seq"))).where(F.col("_k") <= most)
+    return ranked.groupBy("name").agg(F.array_sort(F.collect_list("seq")).alias("units"))
+
+
 def without_covered(names: DataFrame, least: int = 1) -> DataFrame:
     """Drop names with a proper prefix among the names whose variety is no less. Prefixes are joined by equality."""
     prefixes = names.where(F.length("name") > least).select(F.col("name").alias("_long"), F.col("variety").alias("_v"), F.explode(F.transform(F.sequence(F.lit(least), F.length("name") - 1), lambda n: F.col("name").substr(F.lit(1), n))).alias("name"))

@@ -53,10 +53,15 @@ def registry_before(mentions: DataFrame, targets: DataFrame, most: int = 400) ->
     return ranked(carried).join(t, "nth").select("target", "name", "n", "rank")
 
 
-def request_text(registry: Column, context: Column, heading: Column, body: Column) -> Column:
-    """The parts that there are, parted by blank lines."""
+def request_text(registry: Column, context: Column, heading: Column, body: Column, notice: Column | None = None) -> Column:
+    """The parts that there are, parted by blank lines; ``notice``: see :func:`merge_notice`."""
     part = lambda title, c: F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(title), c))
-    return F.concat_ws("\n\n", part("Known names: ", registry), part("Before: ", context), heading, body)
+    return F.concat_ws("\n\n", part("Known names: ", registry), part("Before: ", context), *([] if notice is None else [notice]), heading, body)
+
+
+def merge_notice(merged: Column) -> Column:
+    """A warning that the titles ``merged`` share this unit's text; null where there are none."""
+    return F.when(F.size(merged) > 0, F.concat(F.lit("Note: this unit also holds "), F.array_join(merged, ", "), F.lit(". Don't make up events for titles without text.")))
 
 
 def parse_replies(replies: DataFrame, schema: str, text: str = "reply") -> tuple[DataFrame, DataFrame]:

@@ -89,6 +89,11 @@ def selected(df: DataFrame, wanted: list[int], key: str = "seq") -> tuple[DataFr
     return df.join(F.broadcast(keys), key, "left_semi"), keys.join(df.select(key), key, "left_anti")
 
 
+def first_units(df: DataFrame, n: int, key: str = "seq") -> DataFrame:
+    """The rows of the ``n`` smallest keys."""
+    return df.join(F.broadcast(df.select(key).distinct().orderBy(key).limit(n)), key, "left_semi")
+
+
 def in_range(df: DataFrame, first: int, last: int, key: str = "seq") -> DataFrame:
     return df.where(F.col(key).between(first, last))
 

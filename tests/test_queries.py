@@ -3,12 +3,12 @@
 import duckdb
 import pytest
 
-from storyloom.plans import asset_queries, entity_queries, sequence_queries, text_queries
+from storyloom.plans import asset_queries, entity_queries, report_queries, sequence_queries, text_queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES = text_queries.Q | entity_queries.Q | sequence_queries.Q | asset_queries.Q
-SQL = text_queries.SQL | entity_queries.SQL | sequence_queries.SQL | asset_queries.SQL
+QUERIES = text_queries.Q | entity_queries.Q | sequence_queries.Q | asset_queries.Q | report_queries.Q
+SQL = text_queries.SQL | entity_queries.SQL | sequence_queries.SQL | asset_queries.SQL | report_queries.SQL
 
 
 @pytest.fixture(scope="module")
