@@ -46,7 +46,7 @@ def guarded_merge(edges: DataFrame, counts: DataFrame, principal: int = PRINCIPA
     names = edges.select(F.col("a").alias("name")).union(edges.select("b")).distinct()
     if not merge:
         return names.select("name", F.col("name").alias("cluster")), edges.select("a", "b").limit(0)
-    components = connected_components(edges.select("a", "b")).withColumnRenamed("node", "name")
+    components = connected_components(edges.select("a", "b"), few=few).withColumnRenamed("node", "name")
     chiefs = counts.where(F.col("n") >= principal).select("name")
     many = components.join(chiefs, "name").groupBy("component").agg(F.count("*").alias("p")).where("p > 1").select("component")
     simple = components.join(many, "component", "left_anti").select("name", F.col("component").alias("cluster"))
@@ -55,7 +55,7 @@ def guarded_merge(edges: DataFrame, counts: DataFrame, principal: int = PRINCIPA
         return simple, edges.select("a", "b").limit(0)
     rows = stored(edges.join(hard.withColumnRenamed("name", "a"), "a").select("a", "b", "verified", "ord.*"), "edges")
     # Nodes: curated clusters; those of one component that hold a principal are one node, its least name.
-    curated = connected_components(rows.where("verified").select("a", "b"))
+    curated = connected_components(rows.where("verified").select("a", "b"), few=few)
     nodes = hard.join(curated.select(F.col("node").alias("name"), F.col("component").alias("own")), "name", "left").withColumn("own", F.coalesce("own", "name"))
     held = nodes.join(chiefs, "name").select("component", "own").distinct()
     held = held.join(held.groupBy("component").agg(F.min("own").alias("chief")), "component").select("own", "chief")
@@ -63,7 +63,7 @@ def guarded_merge(edges: DataFrame, counts: DataFrame, principal: int = PRINCIPA
     least = rows.where("NOT verified").groupBy("a", "b").agg(F.min(F.struct("seq", "pos", "alias_pos", "a", "b")).alias("ord"))
     side = lambda c, to: nodes.select(F.col("name").alias(c), F.col("node").alias(to))
     kept = ordered_forest(least.join(side("a", "x"), "a").join(side("b", "y"), "b").select("x", "y", "ord"), few).select("ord.a", "ord.b")
-    joined = connected_components(kept.unionByName(rows.where("verified").select("a", "b")))
+    joined = connected_components(kept.unionByName(rows.where("verified").select("a", "b")), few=few)
     clusters = stored(hard.select("name").join(joined.select(F.col("node").alias("name"), F.col("component").alias("cluster")), "name", "left").withColumn("cluster", F.coalesce("cluster", "name")), "clusters")
     of = lambda c: clusters.select(F.col("name").alias(c), F.col("cluster").alias(f"_{c}"))
     rejected = rows.where("NOT verified").select("a", "b").distinct().join(of("a"), "a").join(of("b"), "b").where("_a <> _b").select("a", "b")

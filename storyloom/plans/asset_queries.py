@@ -387,11 +387,11 @@ def arc_stats(spark, sf):
 
 def _titled(spark, sf):
     """The books with a second title after the first of every third document, and a site's notice at its end."""
-    d = table(spark, sf, "documents").select("source", "doc_id", "lang")
+    d = table(spark, sf, "documents").select("source", "doc_id", "lang", "text")
     third = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("\n第9章 again"))).otherwise("")
-    text = F.concat(F.lit("第"), "doc_id", F.lit("章 "), "lang", third, F.lit("\nbody\n　　第7章 again\nixdzs"))
+    text = F.concat(F.lit("第"), "doc_id", F.lit("章 "), "lang", third, F.lit("\n"), F.coalesce("text", F.lit("")), F.lit("\n　　第7章 again\nixdzs"))
     lines = d.select(F.col("source").alias("doc"), "doc_id", F.posexplode(F.split(text, "\n")).alias("at", "text"))
-    lines = lines.select("doc", (F.col("doc_id") * 100 + F.col("at")).alias("line_no"), "text")
+    lines = lines.select("doc", (F.col("doc_id") * 1_000_000 + F.col("at")).alias("line_no"), "text")
     return segment.units(segment.classify_lines(lines, segment.is_title(F.col("text"))))
 
 
@@ -400,6 +400,8 @@ def junk_kinds(spark, sf):
     return segment.junk_counts(_titled(spark, sf))
 
 
-@query("SELECT source AS doc, CAST(seq AS INTEGER) AS seq, lang AS title, 'again' AS merged FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS seq FROM documents) WHERE doc_id % 3 = 0")
+@query("SELECT source AS doc, CAST(seq AS INTEGER) AS seq, lang AS title, 'again' AS merged, CAST(len(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '')) AS INTEGER) AS paragraphs FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS seq FROM documents) WHERE doc_id % 3 = 0")
 def merged_titles(spark, sf):
-    return segment.merged_listing(_titled(spark, sf)).select("doc", "seq", "title", F.array_join("merged", ",").alias("merged"))
+    units = stored(_titled(spark, sf), "units")
+    listed = segment.merged_listing(units).join(units.select("doc", "seq", F.col("paragraph_count").cast("int").alias("paragraphs")), ["doc", "seq"])
+    return listed.select("doc", "seq", "title", F.array_join("merged", ",").alias("merged"), "paragraphs")

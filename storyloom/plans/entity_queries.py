@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyloom.graph import connected_components
+from storyloom.graph import FEW, connected_components
 from storyloom.operators import entities, mining, requests, sequence
 from storyloom.plans.common import SQL_MENTIONS, docs, mentions, table
 from storyloom.scratch import stored
@@ -54,10 +54,21 @@ w(node, root) AS (SELECT a, a FROM d UNION SELECT d.b, w.root FROM w JOIN d ON d
 SELECT node, min(root) AS component FROM w GROUP BY 1""")
 def alias_components(spark, sf):
     e = table(spark, sf, "events").where("event_type = 'error'").select(F.concat(F.lit("u"), "user_id").alias("a"), F.concat(F.lit("k"), F.get_json_object("props", "$.k")).alias("b"))
-    return connected_components(e)
+    return connected_components(e, few=FEW)
 
 
-@query()
+# Edges one after the other: ``lab`` has the cluster of each name, ``chief`` whether a cluster holds a principal.
+SQL_MERGE = """m AS (SELECT event_id AS seq, 'u' || user_id AS a, 'k' || json_extract_string(props, '$.k') AS b FROM events WHERE event_type = 'error'), n AS (SELECT a AS name, count(*) AS n, min(seq) AS first_ord FROM m GROUP BY 1),
+e0 AS (SELECT a, b, min(seq) AS seq FROM m GROUP BY 1, 2), names AS (SELECT name, row_number() OVER (ORDER BY name) AS i FROM (SELECT a AS name FROM e0 UNION SELECT b FROM e0)),
+e AS (SELECT x.i AS x, y.i AS y, row_number() OVER (ORDER BY seq, a, b) AS k FROM e0 JOIN names x ON x.name = a JOIN names y ON y.name = b), s AS (SELECT list(i ORDER BY i) AS lab, list(coalesce(n.n >= 12, false) ORDER BY i) AS chief FROM names LEFT JOIN n USING (name)),
+st(k, lab, chief) AS (SELECT CAST(0 AS BIGINT), lab, chief FROM s UNION ALL
+SELECT k + 1, CASE WHEN ok THEN list_transform(lab, lambda l: CASE WHEN l = ly THEN lx ELSE l END) ELSE lab END, CASE WHEN ok THEN list_transform(chief, lambda c, j: CASE WHEN j = lx THEN c OR chief[ly] ELSE c END) ELSE chief END
+FROM (SELECT st.k, lab, chief, lab[x] AS lx, lab[y] AS ly, lab[x] <> lab[y] AND NOT (chief[lab[x]] AND chief[lab[y]]) AS ok FROM st JOIN e ON e.k = st.k + 1)),
+c AS (SELECT name, f.lab[i] AS cluster FROM names, (SELECT lab FROM st ORDER BY k DESC LIMIT 1) f),
+r AS (SELECT cluster, c.name, row_number() OVER (PARTITION BY cluster ORDER BY coalesce(n.n, 0) DESC, length(c.name) DESC, first_ord NULLS LAST, c.name) AS k FROM c LEFT JOIN n USING (name))"""
+
+
+@query(f"WITH RECURSIVE {SQL_MERGE} SELECT c.name, r.name AS canonical FROM c JOIN r ON r.cluster = c.cluster AND r.k = 1")
 def guarded_merge(spark, sf):
     m = _edges(spark, sf)
     counts = m.groupBy("name").agg(F.count("*").alias("n"), F.min("seq").alias("first_ord"))

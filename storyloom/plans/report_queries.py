@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storyloom.functions.text import clip, label, numbered
-from storyloom.operators import entities, mining, quality, reports, requests, segment, sequence
+from storyloom.operators import entities, mining, quality, reports, requests, segment, sequence, verify
 from storyloom.plans import entity_queries, sequence_queries, text_queries
 from storyloom.plans.common import SQL_MENTIONS, SQL_PARAS, docs, mentions, table
 from storyloom.scratch import stored
@@ -139,3 +139,37 @@ def scene_evidence(spark, sf):
 @query(f"WITH {SQL_MENTIONS} SELECT DISTINCT name, seq FROM mentions")
 def entity_unit_sets(spark, sf):
     return entities.unit_sets(mentions(docs(spark, sf))).select("name", F.explode("units").alias("seq"))
+
+
+@query(f"""WITH {SQL_PARAS}, t AS (SELECT conv_id AS seq, turn FROM conversations), q AS (SELECT t.seq, t.turn, regexp_replace(substr(p.text, 1, 40), '\\s+', '', 'g') AS q, t.turn + 2 AS claimed FROM t JOIN paras p ON p.seq = t.seq AND p.para = t.turn + 1),
+h AS (SELECT q.seq, q.turn, min(p.para) AS least, max(CASE WHEN p.para = claimed THEN 1 ELSE 0 END) AS own FROM q JOIN paras p ON p.seq = q.seq AND contains(regexp_replace(p.text, '\\s+', '', 'g'), q.q) WHERE q.q <> '' GROUP BY 1, 2)
+SELECT q.seq, q.turn, CASE WHEN q.q = '' THEN 'empty' ELSE 'exact' END AS status, CAST(CASE WHEN q.q = '' THEN -9 WHEN own = 1 THEN claimed ELSE least END AS INTEGER) AS para_found, coalesce(own, 0) = 1 AS para_correct FROM q LEFT JOIN h ON h.seq = q.seq AND h.turn = q.turn""")
+def normalized_quotes(spark, sf):
+    """Beginnings of lines with full-width marks, claimed a line too late: found in normal form."""
+    p = stored(segment.paragraphs(table(spark, sf, "documents")), "paragraphs")
+    turns = table(spark, sf, "conversations").select(F.col("conv_id").alias("seq"), "turn", (F.col("turn") + 1).cast("int").alias("para"))
+    wide = F.translate(F.substring("text", 1, 40), ",.!?()", "，。！？（）")
+    quotes = p.join(turns, ["seq", "para"]).select(F.xxhash64("seq", "turn").alias("qid"), "seq", "turn", (F.col("para") + 1).alias("para"), wide.alias("quote"))
+    found = verify.check_quotes(quotes, p)
+    return found.select("seq", "turn", "status", F.coalesce("para_found", F.lit(-9)).alias("para_found"), F.coalesce("para_correct", F.lit(False)).alias("para_correct"))
+
+
+SQL_SAID = r"""t AS (SELECT conv_id AS seq, turn, role, 'So “' || replace(text, '"', ' ') || '” and “ok.” or “thing”' AS text, replace(text, '"', ' ') AS said FROM conversations),
+s AS (SELECT seq, unnest(regexp_extract_all(text, '“([^“”"]{2,})', 1)) AS x FROM t), k AS (SELECT seq, regexp_replace(x, '\s+', '', 'g') AS f FROM s WHERE length(trim(x)) >= 7 OR (length(trim(x)) >= 2 AND regexp_matches(x, '[。！？…～~，,、；;：:]'))),
+g AS (SELECT seq, string_agg(regexp_replace(said, '\s+', '', 'g'), '' ORDER BY turn) AS given FROM t WHERE role <> 'assistant' GROUP BY 1)"""
+
+
+@query(f"WITH {SQL_SAID}, n AS (SELECT k.seq, count(*) AS speech, count(*) FILTER (contains(coalesce(g.given, ''), f)) AS covered FROM k LEFT JOIN g ON g.seq = k.seq GROUP BY 1) SELECT c.seq, coalesce(speech, 0) AS speech, coalesce(covered, 0) AS covered, coalesce(covered / speech, 1.0) AS coverage_rate FROM (SELECT DISTINCT conv_id AS seq FROM conversations) c LEFT JOIN n USING (seq)")
+def speech_coverage(spark, sf):
+    """Turns as speech in curly marks, with a quoted noun and a short word, against all turns but the assistant's, by the rules as they are."""
+    c = table(spark, sf, "conversations").select(F.col("conv_id").alias("seq"), (F.col("turn") + 1).alias("para"), "role", F.translate("text", '"', " ").alias("said"))
+    paragraphs = c.select("seq", "para", F.concat(F.lit("So “"), "said", F.lit("” and “ok.” or “thing”")).alias("text"))
+    return verify.coverage(paragraphs, c.where("role <> 'assistant'").select("seq", "para", F.col("said").alias("quote"))).drop("missed")
+
+
+@query("SELECT user_id, count(*) FILTER (event_id % 5 < 3) AS generic, count(*) AS names FROM events GROUP BY 1")
+def generic_names(spark, sf):
+    """Names that are never merged, by the lists as they are: one that is listed, one with a listed root, one marked as a group."""
+    name = F.element_at(F.array(F.lit("众人"), F.lit("小丫头"), F.lit("客人（群体）"), F.concat(F.lit("u"), "user_id"), F.concat(F.lit("u"), "user_id")), (F.col("event_id") % 5 + 1).cast("int"))
+    rows = table(spark, sf, "events").select("user_id", entities.generic(name).alias("is_generic"))
+    return rows.groupBy("user_id").agg(F.count_if("is_generic").alias("generic"), F.count("*").alias("names"))

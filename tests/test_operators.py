@@ -111,8 +111,10 @@ def test_components(spark):
     for a, b in edges:
         x, y = sorted((root(a), root(b)))
         parent[y] = x
-    found = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert found == {n: root(n) for n in {x for a, b in edges if a != b for x in (a, b)}}
+    for few in (0, 1000):
+        found = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long"), few=few).collect()}
+        assert found == {n: root(n) for n in {x for a, b in edges if a != b for x in (a, b)}}
+    assert connected_components(spark.createDataFrame([], "a long, b long"), few=9).count() == 0
 
 
 def replay(edges, principals):
@@ -428,3 +430,21 @@ def test_progress_as_a_stream_takes_late_rows(spark, tmp_path):
     out = streamed(spark, tmp_path, batches, "job string, ts timestamp, passed boolean", lambda s: monitors.progress_stream(s, expected), "update")
     assert [[(r[2], r[3], r[4], r[6]) for r in rows] for rows in out[:3]] == [[(2, 1, 1, 10.0)], [(1, 1, 0, 5.0)], [(3, 2, 1, 15.0)]]
     assert [r[2] for r in out[3]] == [1] and out[4] == []  # the first window is closed by then
+
+
+def test_narration_between_segments_is_stripped(spark):
+    paras = spark.createDataFrame([(1, 1, "“我们快走吧，天要黑了。”他低声说，“不然就来不及了，真的。”"), (1, 2, "“没有旁白的一句话而已。”")], "seq long, para int, text string")
+    quotes = spark.createDataFrame([(10, 1, 1, "我们快走吧，天要黑了。他低声说，不然就来不及了，真的。"), (11, 1, 2, "没有旁白的一句话而已。他说。"), (12, 1, None, "无关的话")], "qid long, seq long, para int, quote string")
+    found = {r.qid: (r.kind, [(p.text, p.para) for p in r.parts]) for r in repair.strip_narration(quotes, repair.segments(paras)).collect()}
+    assert found == {10: ("narration", [("我们快走吧，天要黑了。", 1), ("不然就来不及了，真的。", 1)])}
+
+
+def test_quotes_are_aligned_to_the_span_that_fits_best(spark):
+    paras = spark.createDataFrame([(1, 1, "前面的话。他慢慢地走到窗前，看着外面的雨。后面的话。"), (1, 2, "前面的话。她慢慢地走到窗前，看着外面的雪。后面的话。"), (2, 1, "他慢慢地走到窗前，看着外面的雨。")], "seq long, para int, text string")
+    quotes = spark.createDataFrame([(1, 1, 2, "他慢慢走到窗前，看着外面的雨。"), (2, 1, None, "完全不同的句子在这里"), (3, 2, 1, "他慢慢地走到窗前，看着外面的雨。")], "qid long, seq long, para int, quote string")
+    found = {r.qid: (r.parts[0].text, r.parts[0].para, round(r.score, 4)) for r in repair.align(quotes, paras).collect()}
+    assert found == {1: ("他慢慢地走到窗前，看着外面的雨。", 1, round(30 / 31 + 0.1, 4)), 3: ("他慢慢地走到窗前，看着外面的雨。", 1, 1.1)}
+
+
+def test_clip_counts_columns(spark):
+    assert [value(spark, T.clip(F.lit(x), 5)) for x in ("abcdefg", "中文字", "a中文字", "", "abc")] == ["abcde", "中文", "a中文", "", "abc"]
