@@ -93,7 +93,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack),
 ]
 
-#: Models and tokenizers are beyond SQL; tests/llm compares each stage with a plain version.
+#: Models and tokenizers are beyond SQL; tests/llm compares the stages' operators with plain versions and runs the stages on awkward rows.
 ORACLE_SQL = None
 
 

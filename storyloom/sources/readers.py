@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -10,15 +10,42 @@ from storyloom.functions.text import strip
 from storyloom.scratch import stored
 
 
+#: Encodings in which the byte of a line feed is never part of another character.
+LINE_SAFE = {"GB18030", "GBK", "GB2312", "BIG5", "BIG5-HKSCS", "EUC-KR", "EUC-JP", "SHIFT_JIS", "WINDOWS-1251", "WINDOWS-1252", "ISO-8859-1", "US-ASCII", "UTF-8"}
+
+
+def _decoded(spark: SparkSession, frame: DataFrame, column: Column, encoding: str, name: str) -> DataFrame:
+    """Add ``name``, ``column`` in an encoding that may be beyond Spark's own list; the setting that allows it is as before once the expression is made."""
+    key = "spark.sql.legacy.javaCharsets"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        out = frame.withColumn(name, F.decode(column, encoding))
+        out.schema  # noqa: B018  analysed now
+        return out
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def read_lines(spark: SparkSession, path: str, encoding: str = "GB18030") -> DataFrame:
-    """doc (file), line_no (from 0), text of encoded files; CRLF and CR count as LF.
+    """doc (file), line_no (from 0), text of encoded files; CRLF and CR count as LF, and one at the end of a file begins no further line.
 
-    Encodings beyond Spark's own list need spark.sql.legacy.javaCharsets, which is set here.
+    A large file is read by many tasks: Spark's text reader divides it at line feeds and keeps its bytes, which are decoded
+    line by line. Numbers come from counts of the parts before. Encodings in which the byte of a line feed
+    may be part of a character, such as UTF-16, are read file by file.
     """
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    files = spark.read.format("binaryFile").load(path)
-    body = F.regexp_replace(F.decode("content", encoding), "\r\n?", "\n")
-    return files.select(F.col("path").alias("doc"), F.posexplode(F.split(body, "\n")).alias("line_no", "text"))
+    if encoding.upper() not in LINE_SAFE:
+        files = _decoded(spark, spark.read.format("binaryFile").load(path), F.col("content"), encoding, "body")
+        body = F.regexp_replace(F.regexp_replace("body", r"\r\n?", "\n"), r"\n\z", "")
+        return files.select(F.col("path").alias("doc"), F.posexplode(F.split(body, "\n")).alias("line_no", "text"))
+    raw = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("doc"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    rows = _decoded(spark, raw, F.col("value").cast("binary"), encoding, "text")
+    rows = rows.select("doc", "block", "at", F.posexplode(F.split(F.regexp_replace("text", r"\r\z", ""), "\r")).alias("in", "text"))
+    rows = stored(rows, "lines")  # the ids of rows are those of one reading
+    counts = rows.groupBy("doc", "block").agg(F.count("*").alias("n"))
+    before = counts.select("doc", "block", (F.sum("n").over(Window.partitionBy("doc").orderBy("block")) - F.col("n")).alias("before"))  # a row a part
+    own = rows.withColumn("k", F.row_number().over(Window.partitionBy("doc", "block").orderBy("at", "in")) - 1)
+    return own.join(before, ["doc", "block"]).select("doc", (F.col("before") + F.col("k")).cast("int").alias("line_no"), "text")
 
 
 def read_documents(spark: SparkSession, path: str, schema: StructType | str, lines: bool = False) -> tuple[DataFrame, DataFrame]:

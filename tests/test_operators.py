@@ -448,3 +448,23 @@ def test_quotes_are_aligned_to_the_span_that_fits_best(spark):
 
 def test_clip_counts_columns(spark):
     assert [value(spark, T.clip(F.lit(x), 5)) for x in ("abcdefg", "中文字", "a中文字", "", "abc")] == ["abcde", "中文", "a中文", "", "abc"]
+
+
+@pytest.mark.parametrize("encoding, part", [("GB18030", "64"), ("GB18030", "1g"), ("UTF-16", "1g"), ("Shift_JIS", "100")])
+def test_lines_are_the_same_however_a_file_is_divided(spark, tmp_path, encoding, part):
+    rng = random.Random(len(part))
+    alphabet = "甲乙丙丁あいう abc0" + ("\U00020000鿿é" if encoding == "GB18030" else "")
+    texts = {f"{k}.txt": "".join(rng.choice(["\n", "\r\n", "\r"]) if rng.random() < 0.1 else rng.choice(alphabet) for _ in range(900)) + rng.choice(["", "\n"]) for k in range(3)}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode(encoding))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.legacy.javaCharsets", None)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", part)
+    try:
+        lines = readers.read_lines(spark, str(tmp_path), encoding).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+    for name, text in texts.items():
+        plain = text.replace("\r\n", "\n").replace("\r", "\n")
+        own = sorted((r.line_no, r.text) for r in lines if r.doc.endswith(name))
+        assert own == list(enumerate((plain[:-1] if plain.endswith("\n") else plain).split("\n")))
+    assert spark.conf.get("spark.sql.legacy.javaCharsets", None) == before[1]
