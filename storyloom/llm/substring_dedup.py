@@ -208,7 +208,7 @@ def _table(lists: pa.ListArray) -> tuple[list[np.ndarray], np.ndarray]:
     return [flat_lists.field(i) for i in range(flat_lists.type.num_fields)], np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
 
 
-def _without(docs: DataFrame, window: int) -> DataFrame:
+def _without(docs: DataFrame, window: int, carried: list[str]) -> DataFrame:
     """Extend the ``runs`` of each text with its ``partners`` to maximal repeats, and take them out."""
     fields = _fields(REPEAT)
 
@@ -246,9 +246,11 @@ def _without(docs: DataFrame, window: int) -> DataFrame:
             removed = total - np.bincount(kept, minlength=n)
             repeats = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(c)) for c in found.T], names=fields)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32)), repeats)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(total), pa.array(removed), lists, pa.array(texts, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "repeats", "kept_text"])
+            more = [batch.column(batch.schema.get_field_index(c)) for c in carried]
+            yield pa.RecordBatch.from_arrays([ids, pa.array(total), pa.array(removed), lists, pa.array(texts, pa.binary()).cast(pa.string()), *more], names=["doc_id", "n_words", "n_removed", "repeats", "kept_text", *carried])
 
-    return docs.mapInArrow(emit, f"doc_id long, n_words long, n_removed long, repeats array<{_struct(REPEAT)}>, kept_text string")
+    kinds = dict(docs.dtypes)
+    return docs.mapInArrow(emit, f"doc_id long, n_words long, n_removed long, repeats array<{_struct(REPEAT)}>, kept_text string" + "".join(f", {c} {kinds[c]}" for c in carried))
 
 
 def _partners(runs: DataFrame) -> DataFrame:
@@ -270,7 +272,7 @@ def _partners(runs: DataFrame) -> DataFrame:
     return asked.join(theirs, ["doc", "first_tag"]).groupBy("doc_id", "tag").agg(F.collect_list(F.struct("doc", F.col("first_tag").alias("tag"), near.alias("runs"))).alias("partners"))
 
 
-def remove_repeats(docs: DataFrame, window: int = 13, seed_words: int | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 13, seed_words: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_words, n_removed, repeats and kept_text (kept words joined by one space), one row for each row.
 
     A word goes if a window that covers it also starts in a document with a smaller doc_id. ``repeats``
@@ -278,11 +280,12 @@ def remove_repeats(docs: DataFrame, window: int = 13, seed_words: int | None = N
     :data:`REPEAT`). A null
     text has no words; texts of fewer than ``window`` words are kept whole. Rows of equal doc_id
     never remove each other; rows whose doc_id is null neither remove nor lose words. Other columns are
-    ignored. Windows are compared by 64-bit hashes.
+    ignored, but for those of ``keep``, which come along (``text`` may be one). Windows are compared by 64-bit hashes.
     """
     seed_words = seed_words or max(1, min(8, window - 5))
-    docs = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)).alias("tag"))
-    known = docs.where("doc_id IS NOT NULL")
+    names = {c: "text" if c == "text" else f"_keep{i}" for i, c in enumerate(keep)}
+    docs = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)).alias("tag"), *[F.col(c).alias(n) for c, n in names.items() if c != "text"])
+    known = docs.where("doc_id IS NOT NULL").select("doc_id", "text", "tag")
     seeds = _seeds(known, window, seed_words)
     repeated = stored(seeds.groupBy("seed").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("seed"), "seeds")
     places = stored(seeds.join(repeated, "seed", "left_semi").groupBy("doc_id").agg(F.collect_set("seed").alias("seeds")), "places")
@@ -296,7 +299,8 @@ def remove_repeats(docs: DataFrame, window: int = 13, seed_words: int | None = N
     dropped(windows, owners)
     found = stored(runs.join(_partners(runs), ["doc_id", "tag"], "left"), "partners")
     dropped(runs)
-    return _without(docs.join(found, ["doc_id", "tag"], "left"), window)
+    out = _without(docs.join(found, ["doc_id", "tag"], "left"), window, list(names.values()))
+    return out.select("doc_id", "n_words", "n_removed", "repeats", "kept_text", *[F.col(n).alias(c) for c, n in names.items()])
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
