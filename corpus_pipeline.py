@@ -64,12 +64,12 @@ def remove_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Texts that lose nothing stay as they are; in others, the words kept are joined by one space. A
     document all of whose words go is left out.
     """
-    rows = numbered(docs)
-    found = substring_dedup.remove_repeats(by_row(rows), window=PASSAGE_WORDS).where("n_removed > 0")
-    found = stored(found.select(F.col("doc_id").alias("row_id"), "kept_text"), "cut")
-    out = rows.join(found, "row_id", "left").where("kept_text IS NULL OR kept_text <> ''")
-    n_chars = F.when(F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.length("kept_text")).cast("long")
-    return out.select("doc_id", F.coalesce("kept_text", "text").alias("text"), "lang", "source", n_chars.alias("n_chars"))
+    rows = numbered(docs).select(F.col("row_id").alias("doc_id"), F.col("doc_id").alias("own_id"), "text", "lang", "source", "n_chars")
+    out = substring_dedup.remove_repeats(rows, window=PASSAGE_WORDS, keep=("own_id", "text", "lang", "source", "n_chars"))
+    cut = F.col("n_removed") > 0
+    out = out.where("n_removed = 0 OR kept_text <> ''")
+    n_chars = F.when(cut, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
+    return out.select(F.col("own_id").alias("doc_id"), F.when(cut, F.col("kept_text")).otherwise(F.col("text")).alias("text"), "lang", "source", n_chars.alias("n_chars"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
