@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from storyloom.functions.similarity import align_span
 from storyloom.functions.text import SPEECH, flat, is_speech
+from storyloom.scratch import spread, stored
 
 # Fixed value: a quoted segment, whose closing mark is not required.
 SEGMENT = r'[“"]([^“”"]+)'
@@ -20,13 +21,20 @@ def segments(paragraphs: DataFrame, pattern: str = SEGMENT) -> DataFrame:
     return rows.withColumn("segment", F.regexp_replace("segment", r"(?U)^[\s：，、；:,;]+|\s+$", "")).where("segment <> ''").withColumn("flat", flat(F.col("segment")))
 
 
-def _runs(segs: DataFrame, most: int, partition: list[str]) -> DataFrame:
-    """Runs of 2 to ``most`` neighbouring segments: joined text, parts, paragraphs."""
-    w = Window.partitionBy(*partition).orderBy("para", "pos").rowsBetween(0, most - 1)
-    rows = segs.withColumn("_next", F.collect_list(F.struct("para", "segment", "flat")).over(w))
-    rows = rows.select("seq", F.col("para").alias("start_para"), F.col("pos").alias("start_pos"), F.explode(F.sequence(F.lit(2), F.greatest(F.lit(2), F.size("_next")))).alias("n"), "_next").where(F.col("n") <= F.size("_next"))
-    part = F.slice("_next", 1, F.col("n"))
-    return rows.select("seq", "start_para", "start_pos", F.transform(part, lambda x: F.struct(x["segment"].alias("text"), x["para"].alias("para"))).alias("parts"), F.array_join(F.transform(part, lambda x: x["flat"]), "").alias("joined"), F.size(F.array_distinct(F.transform(part, lambda x: x["para"]))).alias("n_paras"))
+def _joining(quotes: DataFrame, segs: DataFrame, most: int) -> DataFrame:
+    """quotes with start_para, start_pos, parts: where 2 to ``most`` neighbouring segments of the unit make the whole quote, white space apart.
+
+    Runs are not made for every segment: each carries those after it to the quotes of its unit that begin with it, and what
+    the quote holds decides how many count.
+    """
+    w = Window.partitionBy("seq").orderBy("para", "pos").rowsBetween(0, most - 1)
+    rows = segs.select("seq", F.col("para").alias("start_para"), F.col("pos").alias("start_pos"), F.collect_list(F.struct("para", "segment", "flat")).over(w).alias("_next"))
+    own = quotes.withColumn("_q", flat(F.col("quote")))
+    hits = rows.join(own, "seq").where(F.startswith("_q", F.col("_next")[0]["flat"]))
+    joined = lambda n: F.array_join(F.transform(F.slice("_next", 1, n), lambda x: x["flat"]), "")
+    n = F.filter(F.sequence(F.lit(2), F.greatest(F.lit(2), F.size("_next"))), lambda n: (n <= F.size("_next")) & (joined(n) == F.col("_q")))
+    hits = hits.withColumn("_n", F.get(n, F.lit(0))).where("_n IS NOT NULL")
+    return hits.withColumn("parts", F.transform(F.slice("_next", 1, F.col("_n")), lambda x: F.struct(x["segment"].alias("text"), x["para"].alias("para")))).drop("_next", "_n", "_q")
 
 
 def _first(rows: DataFrame, *order) -> DataFrame:
@@ -36,15 +44,14 @@ def _first(rows: DataFrame, *order) -> DataFrame:
 
 def split_joined(quotes: DataFrame, segs: DataFrame, most: int = 8) -> DataFrame:
     """qid, parts: quotes that join neighbouring segments of one paragraph (the claimed one first, then the earliest)."""
-    runs = _runs(segs, most, ["seq", "para"])
-    hits = quotes.withColumn("joined", flat(F.col("quote"))).join(runs, ["seq", "joined"])
+    hits = _joining(quotes, segs, most).where(F.element_at("parts", -1)["para"] == F.col("start_para"))
     return _first(hits, F.desc(F.coalesce((F.col("start_para") == F.col("para")).cast("int"), F.lit(0))), "start_para", "start_pos").select("qid", F.lit("joined").alias("kind"), "parts")
 
 
 def split_across(quotes: DataFrame, segs: DataFrame, span: int = 3, most: int = 8) -> DataFrame:
     """qid, parts: quotes that join segments of neighbouring paragraphs, at most ``span`` from the claimed one."""
-    runs = _runs(segs, most, ["seq"]).where("n_paras > 1").withColumn("end_para", F.element_at("parts", -1)["para"])
-    hits = quotes.withColumn("joined", flat(F.col("quote"))).join(runs, ["seq", "joined"]).where(F.col("start_para").between(F.col("para") - span, F.col("para") + span) & F.col("end_para").between(F.col("para") - span, F.col("para") + span))
+    runs = _joining(quotes, segs, most).withColumn("end_para", F.element_at("parts", -1)["para"]).where("end_para <> start_para")
+    hits = runs.where(F.col("start_para").between(F.col("para") - span, F.col("para") + span) & F.col("end_para").between(F.col("para") - span, F.col("para") + span))
     return _first(hits, "start_para", "start_pos").select("qid", F.lit("across paragraphs").alias("kind"), "parts")
 
 
@@ -57,7 +64,8 @@ def strip_narration(quotes: DataFrame, segs: DataFrame) -> DataFrame:
 
 def align(quotes: DataFrame, paragraphs: DataFrame, accept: float = 0.75) -> DataFrame:
     """qid, parts, score: the substring of the unit's paragraphs that fits best; the claimed paragraph wins ties, then the earliest."""
-    rows = quotes.select("qid", "seq", "quote", F.col("para").alias("claimed")).join(paragraphs.select("seq", "para", "text"), "seq").withColumn("a", align_span(accept)("quote", "text"))
+    rows = quotes.select("qid", "seq", "quote", F.col("para").alias("claimed")).join(paragraphs.select("seq", "para", "text"), "seq")
+    rows = spread(rows, "qid", "para").withColumn("a", align_span(accept)("quote", "text"))
     rows = rows.where(F.col("a.score") >= accept)
     best = _first(rows, F.desc("a.score"), F.desc(F.coalesce((F.col("claimed") == F.col("para")).cast("int"), F.lit(0))), "para", "a.lo")
     return best.select("qid", F.lit("aligned").alias("kind"), F.array(F.struct(F.col("a.span").alias("text"), F.col("para"))).alias("parts"), F.col("a.score").alias("score"))
@@ -69,9 +77,10 @@ def repair(quotes: DataFrame, paragraphs: DataFrame, pattern: str = SEGMENT, ope
     Nested fields are only aligned; narration is stripped from dialogue that holds an opening quote. What
     no strategy can repair has null parts and stays.
     """
-    segs = segments(paragraphs, pattern)
+    segs = stored(segments(paragraphs.join(quotes.select("seq").distinct(), "seq", "left_semi"), pattern), "segments")
     spoken = quotes.where(~F.contains("field", F.lit(".")))
     tried = split_across(spoken, segs).unionByName(split_joined(spoken, segs)).unionByName(strip_narration(spoken.where((F.col("field") == "dialogues") & F.col("quote").rlike(opening)), segs))
+    tried = stored(tried, "tried")
     left = quotes.join(tried.select("qid"), "qid", "left_anti")
     tried = tried.unionByName(align(left, paragraphs).drop("score"))
     rank = F.create_map(*[F.lit(x) for kv in ORDER.items() for x in kv])

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from storyloom.functions.similarity import best_window_ratio
 from storyloom.functions.text import SPEECH, flat, is_speech, normalized, speech_segments
 from storyloom.operators.patterns import pattern_hits
+from storyloom.scratch import spread
 
 
 def check_quotes(quotes: DataFrame, paragraphs: DataFrame, near: float = 0.70, norm=normalized) -> DataFrame:
@@ -30,7 +31,7 @@ def check_quotes(quotes: DataFrame, paragraphs: DataFrame, near: float = 0.70, n
     found = full.join(hits, "qid").select("qid", F.lit("exact").alias("status"), F.when(F.col("_claimed") == 1, F.col("para")).otherwise(F.col("_first")).cast("int").alias("para_found"), F.when(F.col("para").isNotNull(), F.col("_claimed") == 1).alias("para_correct"), F.lit(1.0).alias("similarity"))
     rest = full.join(hits, "qid", "left_anti")
     whole = text.join(rest.select("seq").distinct(), "seq", "left_semi").groupBy("seq").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_p", "_t"))), lambda x: x["_t"]), "").alias("_all"))
-    rest = rest.join(whole, "seq", "left")
+    rest = spread(rest, "seq").join(spread(whole, "seq"), "seq", "left")
     across = F.coalesce(F.contains("_all", F.col("_q")), F.lit(False))
     crossing = rest.where(across).select("qid", F.lit("exact").alias("status"), F.lit(-1).alias("para_found"), F.lit(None).cast("boolean").alias("para_correct"), F.lit(1.0).alias("similarity"))
     scored = rest.where(~across).withColumn("_r", best_window_ratio("_q", F.coalesce("_all", F.lit(""))))
