@@ -265,15 +265,16 @@ def position_refs(spark, sf):
 
 def _broken(spark, sf):
     """A faulty quote for each turn, from the paragraph of that number: two sentences joined, or one with an edit."""
-    p = segment.paragraphs(table(spark, sf, "documents"))
     turns = table(spark, sf, "conversations").select(F.col("conv_id").alias("seq"), (F.col("turn") + 1).cast("int").alias("para"), "turn")
+    own = table(spark, sf, "documents").join(turns.select(F.col("seq").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    p = stored(segment.paragraphs(own), "paragraphs")  # of the units that have quotes
     s = p.join(turns, ["seq", "para"]).select("seq", "para", "turn", F.split("text", r"(?<=\.) ").alias("s")).where(F.size("s") >= 3)
     joined = s.where("turn % 2 = 0").select("seq", "para", F.concat(F.col("s")[0], F.col("s")[1]).alias("quote"), F.lit("dialogues").alias("field"))
     edited = s.where("turn % 2 = 1").select("seq", "para", F.regexp_replace(F.col("s")[1], "^(.{6}).(.*)$", "$1#$2").alias("quote"), F.lit("narration.x").alias("field"))
-    return joined.unionByName(edited).withColumn("qid", F.xxhash64("seq", "para", "field")), p
+    return stored(joined.unionByName(edited).withColumn("qid", F.xxhash64("seq", "para", "field")), "quotes"), p
 
 
-SENTENCE = r"([^.]+\.)"
+SENTENCE = r"(?<![^.])([^.]++\.)"  # one start for each sentence, so that long lines without an end take no time squared
 
 
 SQL_SEGMENTS = r"list_filter(list_transform(regexp_extract_all(text, '([^.]+\.)', 1), lambda x: regexp_replace(regexp_replace(x, '^[\s：，、；:,;]+', ''), '\s+$', '')), lambda x: x <> '')"
