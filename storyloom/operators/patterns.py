@@ -84,3 +84,10 @@ def pattern_hits(rows: DataFrame, patterns: DataFrame, keep: tuple[str, ...] = (
     if size > most_bytes:
         return _joined(texts.where("_text <> ''"), words, overlapping)
     return _automaton(texts, [r.word for r in words.collect()], overlapping)
+
+
+def counted_apart(hits: DataFrame, key: str = "seq") -> DataFrame:
+    """``key``, word, n: hits of each word that do not overlap each other, taken from the left. hits: all of them (see :func:`pattern_hits`)."""
+    taken = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
+    step = lambda acc, at: F.when(at >= acc["end"], F.struct((at + F.length("word")).alias("end"), (acc["n"] + 1).alias("n"))).otherwise(acc)
+    return hits.groupBy(key, "word").agg(F.array_sort(F.collect_list("start")).alias("_at")).select(key, "word", F.aggregate("_at", taken, step)["n"].alias("n"))

@@ -130,8 +130,8 @@ def phrase_hits(spark, sf):
     """Beginnings of all benchmark items in all documents, in one pass."""
     b = table(spark, sf, "benchmark")
     words = b.select(F.substring("text", 1, 12).alias("word")).union(b.select(F.substring("text", 5, 9)))
-    hits = patterns.pattern_hits(docs(spark, sf), words, overlapping=True)
-    return hits.groupBy("word").agg(F.count("*").alias("hits"), F.count_distinct("seq").alias("units"))
+    hits = patterns.counted_apart(patterns.pattern_hits(docs(spark, sf), words, overlapping=True))
+    return hits.groupBy("word").agg(F.sum("n").alias("hits"), F.count("*").alias("units"))
 
 
 @query(f"""WITH {SQL_MENTIONS}, c AS (SELECT seq // 20 AS "window", name AS item, count(*) AS n FROM mentions GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY "window" ORDER BY n DESC, item) AS rank FROM c) SELECT "window", item, n, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 3""")
