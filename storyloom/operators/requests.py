@@ -25,7 +25,7 @@ def following_target(seqs: DataFrame, targets: DataFrame, block: int = 1 << 16)
     """seq, target: the least target greater than each seq (seqs: seq; targets: target). Windows are by blocks of numbers."""
     rows = seqs.select("seq", F.lit(None).cast("long").alias("target")).distinct().unionByName(targets.select(F.col("target").alias("seq"), "target").distinct())
     rows = rows.withColumn("_block", F.floor(F.col("seq") / block))
-    ahead = Window.partitionBy("_block").orderBy("seq").rangeBetween(1, Window.unboundedFollowing)
+    ahead = Window.partitionBy("_block").orderBy(F.desc("seq")).rangeBetween(Window.unboundedPreceding, -1)  # a frame that grows; one that shrinks is read anew for every row
     edges = rows.groupBy("_block").agg(F.min("target").alias("_own"))
     edges = edges.select("_block", F.min("_own").over(Window.orderBy("_block").rowsBetween(1, Window.unboundedFollowing)).alias("_later"))  # a row for each block
     found = rows.withColumn("_next", F.min("target").over(ahead)).where("target IS NULL").join(edges, "_block")
@@ -37,18 +37,29 @@ def registry_before(mentions: DataFrame, targets: DataFrame, most: int = 400) ->
 
     A mention counts for the first target after it, and for all that follow. A name's count stays the same until its next mention,
     while others only grow, so a name can be among the ``most`` frequent ones of a target only if it was so where it
-    was last counted, also among the names counted there. Only those are carried on to later targets.
+    was last counted, also among the names counted there. Only those are carried on to later targets, and only until the last of the
+    ``most`` names, which can but rise from target to target, stands above them: it is found at some targets, each a quarter further on.
     """
     from storyloom.scratch import stored
     from storyloom.sources.readers import with_ordinal
 
     t = stored(with_ordinal(targets.select(F.col("seq").cast("long").alias("target")).distinct(), "target", "nth"), "targets")
     last = t.count()
-    counts = mentions.groupBy(F.col("seq").cast("long").alias("seq"), "name").agg(F.count("*").alias("n"))
+    counts = stored(mentions.groupBy(F.col("seq").cast("long").alias("seq"), "name").agg(F.count("*").alias("n")), "counts")
     counts = counts.join(following_target(counts.select("seq"), t), "seq").join(t, "target").groupBy("name", "nth").agg(F.sum("n").alias("n"))
     own = Window.partitionBy("name").orderBy("nth")
     held = counts.select("name", "nth", F.sum("n").over(own).alias("n"), F.coalesce(F.lead("nth").over(own) - 1, F.lit(last)).alias("until"))
     ranked = lambda rows: rows.withColumn("rank", F.row_number().over(Window.partitionBy("nth").orderBy(F.desc("n"), "name"))).where(F.col("rank") <= most)
+    held = stored(held, "held")
+    marks = [1]
+    while marks[-1] < last:
+        marks.append(max(marks[-1] + 1, marks[-1] * 5 // 4))
+    at = F.filter(F.array(*[F.lit(m).cast("long") for m in marks]), lambda m: (m >= F.col("nth")) & (m <= F.col("until")))
+    lowest = ranked(held.select("name", "n", F.explode(at).alias("nth"))).where(F.col("rank") == most).collect()  # a row for each mark at most
+    if lowest:
+        bars = F.array(*[F.struct(F.lit(r.nth).cast("long").alias("nth"), F.lit(r.n).cast("long").alias("n"), F.lit(r.name).alias("name")) for r in sorted(lowest, key=lambda r: r.nth)])
+        below = F.filter(bars, lambda b: (F.col("n") < b["n"]) | ((F.col("n") == b["n"]) & (F.col("name") > b["name"])))
+        held = held.withColumn("until", F.least("until", F.get(below, F.lit(0))["nth"] - 1)).where("until >= nth")
     carried = ranked(held).select("name", "n", F.explode(F.sequence("nth", "until")).alias("nth"))
     return ranked(carried).join(t, "nth").select("target", "name", "n", "rank")
 
