@@ -12,6 +12,8 @@ from storyloom.scratch import stored
 GENERIC = "老人 女人 男人 那人 此人 众人 有人 少年 少女 中年 青年 老者 老头 老妇 孩子 童子 弟子 长老 掌门 宫主 城主 护卫 侍女 丫鬟 和尚 道人 书生 乞丐 掌柜 伙计 对方 双方 两人 三人 几人 大家 旁人 路人 某人 他 她 它 你 我".split()
 GENERIC_ROOTS = "丫头 丫鬟 女孩 男孩 孩子 小子 少年 少女 老人 老者 老头 老妇 老农 汉子 男人 女人 男子 女子 青年 中年 书生 和尚 僧 道人 道姑 乞丐 护卫 侍女 弟子 修士 长老 村民 众人 大家 对方 旁人 路人 某人 那人 此人 来人 有人 群体 们".split()
 PRINCIPAL, SUSPICIOUS = 5, 10
+#: Rows of units and items whose pairs one task counts.
+ROWS_A_TASK = 100_000
 
 
 def generic(name: Column, exact: list[str] = GENERIC, roots: list[str] = GENERIC_ROOTS) -> Column:
@@ -121,10 +123,11 @@ def last_claimant(index: DataFrame, position: str) -> DataFrame:
 
 def mutual_aliases(index: DataFrame) -> DataFrame:
     """a < b that list each other; high when one contains the other."""
-    edges = index.select(F.col("canonical").alias("a"), F.explode("aliases").alias("b")).distinct()
-    back = edges.select(F.col("a").alias("b"), F.col("b").alias("a"))
+    edges = index.select(F.col("canonical").alias("x"), F.explode("aliases").alias("y")).where("x <> y")
+    # A pair is one group with both directions in it: nothing is sorted for a join.
+    pairs = edges.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.bool_or(F.col("x") < F.col("y")).alias("_to"), F.bool_or(F.col("x") > F.col("y")).alias("_from"))
     x, y = F.col("a").cast("string"), F.col("b").cast("string")
-    return edges.join(back, ["a", "b"]).where("a < b").select("a", "b", (F.contains(x, y) | F.contains(y, x)).alias("high"))
+    return pairs.where("_to AND _from").select("a", "b", (F.contains(x, y) | F.contains(y, x)).alias("high"))
 
 
 def contested(index: DataFrame, scenes: DataFrame | None = None) -> DataFrame:
@@ -151,9 +154,11 @@ def rollup(mentions: DataFrame, names: DataFrame | None = None) -> DataFrame:
 
 def cooccurrence(items: DataFrame, most: int | None = 3000, unit: str = "seq", item: str = "name") -> DataFrame:
     """a < b, units: pairs of items by the units they share; the ``most`` frequent ones, or all for None."""
-    once = items.select(F.col(unit).alias("u"), F.col(item).alias("i")).distinct()
-    x, y = once.select("u", F.col("i").alias("a")), once.select("u", F.col("i").alias("b"))
-    out = x.join(y, "u").where("a < b").groupBy("a", "b").agg(F.count("*").alias("units"))
+    once = stored(items.select(F.col(unit).alias("u"), F.col(item).alias("i")).distinct(), "once")
+    # Most pairs are met once, so they are dealt before they are counted, over tasks that hold as much however large the table is.
+    parts = max(int(once.sparkSession.conf.get("spark.sql.shuffle.partitions")), once.count() // ROWS_A_TASK)
+    x, y = once.select("u", F.col("i").alias("a")).repartition(parts, "u"), once.select("u", F.col("i").alias("b")).repartition(parts, "u")
+    out = x.join(y, "u").where("a < b").repartition(parts, "a", "b").groupBy("a", "b").agg(F.count("*").alias("units"))
     return out if most is None else out.orderBy(F.desc("units"), "a", "b").limit(most)
 
 
