@@ -71,7 +71,7 @@ def align(quotes: DataFrame, paragraphs: DataFrame, accept: float = 0.75) -> Dat
     return best.select("qid", F.lit("aligned").alias("kind"), F.array(F.struct(F.col("a.span").alias("text"), F.col("para"))).alias("parts"), F.col("a.score").alias("score"))
 
 
-def repair(quotes: DataFrame, paragraphs: DataFrame, pattern: str = SEGMENT, opening: str = '^[“"]|[^“”"]+[“"]') -> DataFrame:
+def repair(quotes: DataFrame, paragraphs: DataFrame, pattern: str = SEGMENT, opening: str = '^[“"]|[^“”"][“"]') -> DataFrame:
     """quotes (qid, seq, para, field, quote), all of them wrong, with kind and parts of the first strategy that works.
 
     Nested fields are only aligned; narration is stripped from dialogue that holds an opening quote. What
