@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from storyloom.functions.similarity import best_window_ratio
 from storyloom.functions.text import SPEECH, flat, is_speech, normalized, speech_segments
 from storyloom.operators.patterns import pattern_hits
-from storyloom.scratch import spread
+from storyloom.scratch import spread, stored
+
+#: Units with quotes up to which they are broadcast to the paragraphs.
+MOST_UNITS = 1_000_000
 
 
 def check_quotes(quotes: DataFrame, paragraphs: DataFrame, near: float = 0.70, norm=normalized) -> DataFrame:
@@ -20,23 +23,28 @@ def check_quotes(quotes: DataFrame, paragraphs: DataFrame, near: float = 0.70, n
 
     Paragraph 0 is no claim. Order of checks: empty; in the claimed paragraph; in any paragraph of the unit (the first counts);
     across paragraphs (para_found -1); else near or miss by similarity. para_correct is null where no
-    paragraph is claimed or the quote goes across paragraphs.
+    paragraph is claimed or the quote goes across paragraphs. Quotes meet their unit once; texts of units without quotes are not shuffled
+    as long as the units with quotes are few enough to be broadcast.
     """
-    own = quotes.withColumn("para", F.nullif("para", F.lit(0))).withColumn("_q", norm(F.coalesce("quote", F.lit(""))))
-    text = paragraphs.select("seq", F.col("para").alias("_p"), norm(F.col("text")).alias("_t"))
-    empty = own.where("_q = ''").select("qid", F.lit("empty").alias("status"), F.lit(None).cast("int").alias("para_found"), F.lit(None).cast("boolean").alias("para_correct"), F.lit(0.0).alias("similarity"))
-    full = own.where("_q <> ''")
-    # One pass over the unit's paragraphs answers the first two checks.
-    hits = full.join(text, "seq").where(F.contains("_t", F.col("_q"))).groupBy("qid").agg(F.min("_p").alias("_first"), F.max((F.col("_p") == F.col("para")).cast("int")).alias("_claimed"))
-    found = full.join(hits, "qid").select("qid", F.lit("exact").alias("status"), F.when(F.col("_claimed") == 1, F.col("para")).otherwise(F.col("_first")).cast("int").alias("para_found"), F.when(F.col("para").isNotNull(), F.col("_claimed") == 1).alias("para_correct"), F.lit(1.0).alias("similarity"))
-    rest = full.join(hits, "qid", "left_anti")
-    whole = text.join(rest.select("seq").distinct(), "seq", "left_semi").groupBy("seq").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_p", "_t"))), lambda x: x["_t"]), "").alias("_all"))
-    rest = spread(rest, "seq").join(spread(whole, "seq"), "seq", "left")
-    across = F.coalesce(F.contains("_all", F.col("_q")), F.lit(False))
-    crossing = rest.where(across).select("qid", F.lit("exact").alias("status"), F.lit(-1).alias("para_found"), F.lit(None).cast("boolean").alias("para_correct"), F.lit(1.0).alias("similarity"))
-    scored = rest.where(~across).withColumn("_r", best_window_ratio("_q", F.coalesce("_all", F.lit(""))))
-    unsure = scored.select("qid", F.when(F.col("_r") >= near, "near").otherwise("miss").alias("status"), F.lit(None).cast("int").alias("para_found"), F.lit(None).cast("boolean").alias("para_correct"), F.col("_r").alias("similarity"))
-    return quotes.join(empty.unionByName(found).unionByName(crossing).unionByName(unsure), "qid")
+    own = stored(quotes.withColumn("_q", norm(F.coalesce("quote", F.lit("")))), "quotes")
+    wanted = own.where("_q <> ''").select("seq").distinct()
+    if wanted.limit(MOST_UNITS + 1).count() <= MOST_UNITS:
+        wanted = F.broadcast(wanted)
+    text = paragraphs.select("seq", "para", "text").join(wanted, "seq", "left_semi").select("seq", F.col("para").alias("p"), norm(F.col("text")).alias("t"))
+    units = spread(text, "seq").groupBy("seq").agg(F.array_sort(F.collect_list(F.struct("p", "t"))).alias("_u")).withColumn("_all", F.array_join(F.transform("_u", lambda x: x["t"]), ""))
+    claim = F.nullif("para", F.lit(0))
+    rows = spread(own, "seq").join(units, "seq", "left").withColumn("_in", (F.col("_q") != "") & F.coalesce(F.contains("_all", F.col("_q")), F.lit(False)))
+    hits = F.when(F.col("_in"), F.transform(F.filter("_u", lambda x: F.contains(x["t"], F.col("_q"))), lambda x: x["p"]))
+    rows = rows.withColumn("_hits", hits).withColumn("_rest", F.when(~F.col("_in") & (F.col("_q") != ""), F.coalesce("_all", F.lit("")))).drop("_u", "_all")
+    # Only quotes that no exact check has found are sent to the similarity function.
+    rows = rows.withColumn("_r", best_window_ratio(F.when(F.col("_rest").isNotNull(), F.col("_q")), "_rest"))
+    status = F.when(F.col("_q") == "", "empty").when(F.col("_in"), "exact").when(F.col("_r") >= near, "near").otherwise("miss")
+    claimed = F.coalesce(F.array_contains("_hits", claim), F.lit(False))
+    place = F.when(F.col("_in"), F.when(claimed, claim).otherwise(F.coalesce(F.array_min("_hits"), F.lit(-1)))).cast("int")
+    correct = F.when(F.col("_in") & (F.size("_hits") > 0) & claim.isNotNull(), claimed)
+    similarity = F.when(F.col("_in"), 1.0).when(F.col("_q") == "", 0.0).otherwise(F.col("_r"))
+    kept = [c for c in quotes.columns if c != "qid"]
+    return rows.select("qid", *kept, status.alias("status"), place.alias("para_found"), correct.alias("para_correct"), similarity.alias("similarity"))
 
 
 def quote_tables(docs: DataFrame) -> DataFrame:

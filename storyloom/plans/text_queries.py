@@ -179,8 +179,9 @@ def context_window(spark, sf):
 
 def _quotes(spark, sf):
     """Every line of the documents that have a conversation's number; a character is lost where that has an odd number of turns."""
-    turns = table(spark, sf, "conversations").groupBy("conv_id").agg(F.max("turn").alias("turn"))
-    rows = segment.paragraphs(table(spark, sf, "documents")).join(turns, F.col("conv_id") == F.col("seq"))
+    turns = stored(table(spark, sf, "conversations").groupBy("conv_id").agg(F.max("turn").alias("turn")), "turns")
+    own = table(spark, sf, "documents").join(turns, F.col("conv_id") == F.col("doc_id"), "left_semi")  # before texts become lines
+    rows = segment.paragraphs(own).join(turns, F.col("conv_id") == F.col("seq"))
     odd = F.when(F.col("turn") % 2 == 1, F.regexp_replace("text", "^(.{10}).(.*)$", "$1$2")).otherwise(F.col("text"))
     return rows.select((F.col("seq") * 1_000_000 + F.col("para")).alias("qid"), "seq", "para", odd.alias("quote"))
 
